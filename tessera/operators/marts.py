@@ -190,18 +190,18 @@ def item_popularity(events: DataFrame, items: DataFrame, item_key: str, item_nam
                     user_col: str, amount_col: str) -> DataFrame:
     """A5 per item: sales, share of all sales, share of distinct buyers.
 
-    Totals are one-row aggregates cross-joined as scalars (J11); the distinct
+    Totals are scalar subqueries (J11, run once, no join); the distinct
     buyer count per item is a partial-aggregated distinct (no group is ever
     collected into one task)."""
     ev = events.where(F.col(amount_col) != 0)
-    totals = ev.agg(F.count(F.lit(1)).alias("_all_sales"), F.count_distinct(user_col).alias("_all_buyers"))
+    all_sales = ev.agg(F.count(F.lit(1))).scalar()          # scalar subqueries, evaluated once
+    all_buyers = ev.agg(F.count_distinct(user_col)).scalar()
     per_item = ev.groupBy(item_key).agg(F.count(F.lit(1)).alias("total_item_transactions"),
                                         F.count_distinct(user_col).alias("unique_buyers"))
-    return (per_item.crossJoin(F.broadcast(totals))   # one-row scalar side
-            .join(items.select(item_key, item_name), item_key)
+    return (per_item.join(items.select(item_key, item_name), item_key)
             .select(item_key, item_name, "total_item_transactions", "unique_buyers",
-                    ratio("total_item_transactions", "_all_sales").alias("item_share"),
-                    ratio("unique_buyers", "_all_buyers").alias("popularity_share")))
+                    ratio("total_item_transactions", all_sales).alias("item_share"),
+                    ratio("unique_buyers", all_buyers).alias("popularity_share")))
 
 
 def group_activity(users: DataFrame, events: DataFrame, dim: DataFrame, *, user_key: str, group_key: str,

@@ -115,3 +115,28 @@ def game_events(t: Tables) -> DataFrame:
     return (t.lineitem.select("l_orderkey", "l_partkey", "l_discount", "l_extendedprice")
             .join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
             .select(F.col("o_custkey").alias("id"), F.col("l_partkey").alias("item_code"), amount.alias("amount")))
+
+
+# ------------------------------------------------------------------ weekly panel (SRES / SPRE)
+
+def weekly_panel(t: Tables) -> DataFrame:
+    """(store, dept, week) sales: store = customer nation, dept = order
+    priority number, week = Monday of the order date."""
+    o = t.orders.select("o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+    c = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("store"))
+    return (o.join(c, "o_custkey")
+            .groupBy("store", F.substring("o_orderpriority", 1, 1).cast("int").alias("dept"),
+                     F.date_trunc("week", F.col("o_orderdate").cast("timestamp")).cast("date").alias("date"))
+            .agg(F.sum(money(F.col("o_totalprice"))).alias("weekly_sales")))
+
+
+# ------------------------------------------------------------------ shipments as dated events (LOAN / HOTEL)
+
+def shipments(t: Tables) -> DataFrame:
+    """Line shipments with the ordering customer and the shipping delay in
+    days (ship date - order date) as the overdue measure."""
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
+    return (t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+            .join(o, "l_orderkey")
+            .select("o_custkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice",
+                    F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")).alias("overdue_days")))

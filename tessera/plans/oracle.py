@@ -232,3 +232,90 @@ def _():
            b.avg_transaction_count, b.avg_transaction, b.avg_sum_of_transaction
     FROM total_players t JOIN buyers b USING (race_id) JOIN g_race r USING (race_id)
     WHERE b.total_paying_buyers > 0"""
+
+
+# ------------------------------------------------------------------ time-aware core
+PANEL = """
+panel AS (SELECT c.c_nationkey AS store, CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) AS dept,
+                 CAST(date_trunc('week', o.o_orderdate) AS DATE) AS date,
+                 sum(CAST(o.o_totalprice AS DECIMAL(15,2))) AS weekly_sales
+          FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY ALL)
+"""
+W = "PARTITION BY store, dept ORDER BY date"
+
+
+@oracle("ts_lags", dates=("date",), dbl=("weekly_sales", "sales_1week_ago", "sales_2week_ago", "sales_4week_ago"),
+        ints=("store", "dept"))
+def _():
+    return f"""WITH {PANEL}
+    SELECT *, lag(weekly_sales, 1) OVER ({W}) AS sales_1week_ago, lag(weekly_sales, 2) OVER ({W}) AS sales_2week_ago,
+           lag(weekly_sales, 4) OVER ({W}) AS sales_4week_ago FROM panel"""
+
+
+EXPANDING = f"""CAST(sum(weekly_sales) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE)
+           / NULLIF(count(weekly_sales) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"""
+
+
+def _rolling(n):
+    f = f"OVER ({W} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    return f"CASE WHEN count(weekly_sales) {f} = {n} THEN CAST(sum(weekly_sales) {f} AS DOUBLE) / {n} END"
+
+
+@oracle("ts_expanding_mean", dates=("date",), dbl=("weekly_sales", "avg_sales_before"), ints=("store", "dept"))
+def _():
+    return f"WITH {PANEL} SELECT *, {EXPANDING} AS avg_sales_before FROM panel"
+
+
+@oracle("ts_rolling_mean", dates=("date",), dbl=("weekly_sales", "mean_sales_2week", "mean_sales_4week"),
+        ints=("store", "dept"))
+def _():
+    return f"WITH {PANEL} SELECT *, {_rolling(2)} AS mean_sales_2week, {_rolling(4)} AS mean_sales_4week FROM panel"
+
+
+@oracle("ts_features", dates=("date",), ints=("store", "dept", "month", "quarter", "year"),
+        dbl=("weekly_sales", "avg_sales_before", "sales_1week_ago", "sales_2week_ago", "sales_4week_ago",
+             "mean_sales_2week", "mean_sales_4week"))
+def _():
+    return f"""WITH {PANEL}
+    SELECT *, month(date) AS month, quarter(date) AS quarter, year(date) AS year, {EXPANDING} AS avg_sales_before,
+           lag(weekly_sales, 1) OVER ({W}) AS sales_1week_ago, lag(weekly_sales, 2) OVER ({W}) AS sales_2week_ago,
+           lag(weekly_sales, 4) OVER ({W}) AS sales_4week_ago,
+           {_rolling(2)} AS mean_sales_2week, {_rolling(4)} AS mean_sales_4week FROM panel"""
+
+
+@oracle("lag_gap_days", dates=("order_dt",), ints=("days_since_prev",))
+def _():
+    return """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_dt,
+           datediff('day', lag(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey),
+                    CAST(o_orderdate AS DATE)) AS days_since_prev FROM orders"""
+
+
+SHIP = """
+ship AS (SELECT o.o_custkey, l.l_orderkey, l.l_linenumber, l.l_shipdate, l.l_extendedprice,
+                datediff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS overdue_days
+         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+"""
+
+
+@oracle("asof_join", ts=("o_orderdate", "l_shipdate"), dbl=("l_extendedprice",), ints=("l_linenumber",))
+def _():
+    return f"""WITH {SHIP},
+    pairs AS (SELECT o.o_orderkey, s.l_shipdate, s.l_orderkey, s.l_linenumber, s.l_extendedprice,
+                     row_number() OVER (PARTITION BY o.o_orderkey
+                                        ORDER BY s.l_shipdate DESC, s.l_orderkey DESC, s.l_linenumber DESC,
+                                                 s.l_extendedprice DESC) AS rn
+              FROM orders o JOIN ship s ON s.o_custkey = o.o_custkey AND s.l_shipdate < o.o_orderdate)
+    SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, p.l_shipdate, p.l_orderkey, p.l_linenumber, p.l_extendedprice
+    FROM orders o LEFT JOIN pairs p ON p.o_orderkey = o.o_orderkey AND p.rn = 1"""
+
+
+@oracle("interval_label", dates=("score_date",), ints=("target",))
+def _():
+    return f"""WITH {SHIP},
+    firsts AS (SELECT o_custkey, min(CAST(l_shipdate AS DATE)) AS f FROM ship WHERE overdue_days >= 90 GROUP BY o_custkey),
+    last AS (SELECT max(CAST(l_shipdate AS DATE)) AS l FROM ship)
+    SELECT c.o_orderkey, c.o_custkey, CAST(c.o_orderdate AS DATE) AS score_date,
+           CASE WHEN f.f IS NOT NULL AND f.f < CAST(c.o_orderdate AS DATE) + 365 THEN 1 ELSE 0 END AS target
+    FROM orders c LEFT JOIN firsts f ON f.o_custkey = c.o_custkey
+    WHERE (f.f IS NULL OR f.f >= CAST(c.o_orderdate AS DATE))
+      AND CAST(c.o_orderdate AS DATE) <= (SELECT l FROM last) - 365"""

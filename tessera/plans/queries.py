@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import marts
+from tessera.operators import joins, marts, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -104,3 +104,56 @@ def q_group_activity(spark, base):
     t = D.Tables(spark, base)
     return finish(marts.group_activity(D.game_users(t), D.game_events(t), D.game_race(t), user_key="id",
                                        group_key="race_id", group_name="race", amount_col="amount"))
+
+
+# ------------------------------------------------------------------ time-aware core
+
+@query("ts_lags")
+def q_ts_lags(spark, base):
+    p = D.weekly_panel(D.Tables(spark, base))
+    return finish(windows.lags(p, ["store", "dept"], [F.col("date")], "weekly_sales", ks=(1, 2, 4),
+                               names=["sales_1week_ago", "sales_2week_ago", "sales_4week_ago"]))
+
+
+@query("ts_expanding_mean")
+def q_ts_expanding(spark, base):
+    p = D.weekly_panel(D.Tables(spark, base))
+    return finish(windows.expanding_mean_before(p, ["store", "dept"], [F.col("date")], "weekly_sales", "avg_sales_before"))
+
+
+@query("ts_rolling_mean")
+def q_ts_rolling(spark, base):
+    p = D.weekly_panel(D.Tables(spark, base))
+    return finish(windows.rolling_mean_before(p, ["store", "dept"], [F.col("date")], "weekly_sales", (2, 4),
+                                              ["mean_sales_2week", "mean_sales_4week"]))
+
+
+@query("ts_features")
+def q_ts_features(spark, base):
+    p = D.weekly_panel(D.Tables(spark, base))
+    return finish(windows.time_series_features(p, ["store", "dept"], "date", "weekly_sales"))
+
+
+@query("lag_gap_days")
+def q_lag_gap_days(spark, base):
+    o = D.Tables(spark, base).orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("order_dt"))
+    return finish(windows.gap_days(o, ["o_custkey"], [F.col("order_dt"), F.col("o_orderkey")], "order_dt"))
+
+
+@query("asof_join")
+def q_asof_join(spark, base):
+    t = D.Tables(spark, base)
+    left = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    right = D.shipments(t).select("o_custkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
+    out = joins.asof_join(left, right, by=["o_custkey"], left_on="o_orderdate", right_on="l_shipdate",
+                          right_cols=["l_orderkey", "l_linenumber", "l_extendedprice"], strict=True)
+    return finish(out)
+
+
+@query("interval_label")
+def q_interval_label(spark, base):
+    t = D.Tables(spark, base)
+    cohort = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("score_date"))
+    events = D.shipments(t).select("o_custkey", "l_shipdate", "overdue_days")
+    return finish(joins.interval_label(cohort, events, "o_custkey", "score_date", "l_shipdate", "overdue_days",
+                                       threshold=90, horizon_days=365))
