@@ -140,3 +140,44 @@ def shipments(t: Tables) -> DataFrame:
             .join(o, "l_orderkey")
             .select("o_custkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice",
                     F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")).alias("overdue_days")))
+
+
+# ------------------------------------------------------------------ customers with (sparse) event activity
+
+def customer_activity(t: Tables) -> DataFrame:
+    """Every customer with its event activity; customers without events have
+    NULL activity columns (the null-bearing table for profiling / fills)."""
+    ev = t.events.groupBy(F.col("user_id").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("value_sum"),
+        F.min("ts").alias("first_event_ts"))
+    return t.customer.select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal").join(ev, "c_custkey", "left")
+
+
+# ------------------------------------------------------------------ ticket purchases (AFI)
+# The foreign currency, the segment paying in it, and the rate nominal.
+FOREIGN, HOME, FOREIGN_SEGMENT, NOMINAL = "kzt", "rub", "MACHINERY", 100
+
+
+def purchases(t: Tables) -> DataFrame:
+    """Orders as ticket purchases: device from priority, service = market
+    segment, region name, currency from the segment, tickets = line count."""
+    tickets = t.lineitem.groupBy(F.col("l_orderkey").alias("order_id")).agg(F.count(F.lit(1)).alias("tickets_count"))
+    cr = customer_region(t).select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("service_name"),
+                                   F.col("r_name").alias("region_name"))
+    device = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("mobile")).otherwise(F.lit("desktop"))
+    o = t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+                        F.col("o_orderdate").cast("date").alias("created_dt"), F.col("o_orderdate").alias("created_ts"),
+                        money(F.col("o_totalprice")).alias("revenue"), device.alias("device_type"),
+                        F.col("o_orderstatus").alias("event_type"))
+    return (o.join(cr, "user_id").join(tickets, "order_id", "left")
+            .withColumn("tickets_count", F.coalesce(F.col("tickets_count"), F.lit(0)))
+            .withColumn("currency_code", F.when(F.col("service_name") == FOREIGN_SEGMENT, F.lit(FOREIGN)).otherwise(F.lit(HOME))))
+
+
+def daily_rates(t: Tables) -> DataFrame:
+    """A rate per order day (none on the 31st, to exercise missing days):
+    curs = 20 + day-of-month / 10 per NOMINAL units."""
+    d = t.orders.select(F.col("o_orderdate").cast("date").alias("data")).distinct()
+    return (d.where(F.dayofmonth("data") != 31)
+            .select("data", F.lit(NOMINAL).alias("nominal"),
+                    (F.lit(20).cast("decimal(10,2)") + (F.dayofmonth("data").cast("decimal(10,2)") / 10)).cast("decimal(10,2)").alias("curs")))

@@ -319,3 +319,169 @@ def _():
     FROM orders c LEFT JOIN firsts f ON f.o_custkey = c.o_custkey
     WHERE (f.f IS NULL OR f.f >= CAST(c.o_orderdate AS DATE))
       AND CAST(c.o_orderdate AS DATE) <= (SELECT l FROM last) - 365"""
+
+
+# ------------------------------------------------------------------ profiling and data quality
+ACTIVITY = """
+ca AS (SELECT c.c_custkey, c.c_nationkey, c.c_mktsegment, c.c_acctbal, e.n_events, e.value_sum, e.first_event_ts
+       FROM customer c LEFT JOIN (SELECT user_id, count(*) AS n_events, sum(value) AS value_sum, min(ts) AS first_event_ts
+                                  FROM events GROUP BY user_id) e ON e.user_id = c.c_custkey)
+"""
+CA_COLS = ["c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal", "n_events", "value_sum", "first_event_ts"]
+
+
+@oracle("null_share", dbl=("null_share",))
+def _():
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, "
+        f"CAST(count(*) - count({c}) AS DOUBLE) / count(*) AS null_share FROM ca" for c in CA_COLS)
+    return f"WITH {ACTIVITY} {parts}"
+
+
+@oracle("profile_counts")
+def _():
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS rows, count({c}) AS non_null, count(*) - count({c}) AS nulls FROM ca"
+        for c in CA_COLS)
+    return f"WITH {ACTIVITY} {parts}"
+
+
+@oracle("describe_numeric", dbl=("mean", "std", "min", "max", "q25", "q50", "q75"))
+def _():
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
+        f"min({c}) AS min, max({c}) AS max, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, "
+        f"quantile_cont({c}, 0.75) AS q75 FROM lineitem"
+        for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    return parts
+
+
+@oracle("null_share_by", dbl=("null_share",))
+def _():
+    return f"""WITH {ACTIVITY}
+    SELECT c_mktsegment, count(*) AS rows, count(*) - count(n_events) AS nulls,
+           CAST(count(*) - count(n_events) AS DOUBLE) / count(*) AS null_share
+    FROM ca WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment HAVING count(*) - count(n_events) > 0"""
+
+
+@oracle("dup_count_key", ints=("duplicate_rows",))
+def _():
+    return """SELECT COALESCE(sum(n - 1), 0) AS duplicate_rows, count(*) FILTER (WHERE n > 1) AS duplicated_keys,
+           count(*) AS distinct_keys FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+
+
+@oracle("dup_count_rows", ints=("duplicate_rows",))
+def _():
+    return """SELECT COALESCE(sum(n - 1), 0) AS duplicate_rows, count(*) FILTER (WHERE n > 1) AS duplicated_keys,
+           count(*) AS distinct_keys FROM (SELECT count(*) AS n FROM lineitem
+           GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+                    l_returnflag, l_linestatus, l_shipdate)"""
+
+
+@oracle("cardinality", ints=("high_cardinality",))
+def _():
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_values, "
+        f"CASE WHEN count(DISTINCT {c}) > 300 THEN 1 ELSE 0 END AS high_cardinality FROM orders" for c in cols)
+
+
+@oracle("date_span", dates=("min_date", "max_date"), ints=("span_days",))
+def _():
+    return """SELECT min(CAST(o_orderdate AS DATE)) AS min_date, max(CAST(o_orderdate AS DATE)) AS max_date,
+           datediff('day', min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE))) AS span_days FROM orders"""
+
+
+@oracle("value_counts", dbl=("share",))
+def _():
+    return """SELECT o_orderpriority, count(*) AS cnt,
+           CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM orders WHERE o_orderpriority IS NOT NULL) AS share
+    FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority"""
+
+
+@oracle("key_overlap")
+def _():
+    return """SELECT (SELECT count(DISTINCT o_custkey) FROM orders) AS keys_a,
+                  (SELECT count(DISTINCT user_id) FROM events) AS keys_b,
+                  (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM orders) a
+                   JOIN (SELECT DISTINCT user_id FROM events) b ON a.o_custkey = b.user_id) AS keys_both"""
+
+
+@oracle("removal_report", dbl=("removed_share",))
+def _():
+    return """WITH kept AS (SELECT * FROM orders WHERE o_totalprice <= (SELECT quantile_cont(o_totalprice, 0.99) FROM orders)
+                              AND o_totalprice > 0)
+    SELECT (SELECT count(*) FROM orders) AS rows_before, (SELECT count(*) FROM kept) AS rows_after,
+           (SELECT count(*) FROM orders) - (SELECT count(*) FROM kept) AS removed,
+           CAST((SELECT count(*) FROM orders) - (SELECT count(*) FROM kept) AS DOUBLE) / (SELECT count(*) FROM orders) AS removed_share"""
+
+
+# ------------------------------------------------------------------ cleaning
+
+@oracle("fill_group_mean", dbl=("n_events_filled",))
+def _():
+    return f"""WITH {ACTIVITY}, m AS (SELECT c_mktsegment, avg(n_events) AS g FROM ca GROUP BY c_mktsegment)
+    SELECT ca.c_custkey, ca.c_mktsegment, ca.n_events, COALESCE(CAST(ca.n_events AS DOUBLE), m.g) AS n_events_filled
+    FROM ca LEFT JOIN m ON m.c_mktsegment IS NOT DISTINCT FROM ca.c_mktsegment"""
+
+
+@oracle("dedup_first", ts=("ts",), dbl=("value",))
+def _():
+    return """SELECT user_id, event_id, ts, event_type, value, props FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1"""
+
+
+@oracle("trim_percentile", dbl=("o_totalprice",))
+def _():
+    return """SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_totalprice <= (SELECT quantile_cont(o_totalprice, 0.99) FROM orders)"""
+
+
+@oracle("iqr_outliers", dbl=("q1", "median", "q3", "lower", "upper"))
+def _():
+    return """WITH b AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS median,
+                              quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem),
+    f AS (SELECT q1, median, q3, q1 - 1.5 * (q3 - q1) AS lower, q3 + 1.5 * (q3 - q1) AS upper FROM b)
+    SELECT f.*, (SELECT count(*) FROM lineitem WHERE l_extendedprice < f.lower) AS outliers_low,
+                (SELECT count(*) FROM lineitem WHERE l_extendedprice > f.upper) AS outliers_high FROM f"""
+
+
+@oracle("calendar_parts", ts=("o_orderdate",), dates=("month_start",),
+        ints=("month", "quarter", "year", "weekday", "hour"))
+def _():
+    return """SELECT o_orderkey, o_orderdate, month(o_orderdate) AS month, quarter(o_orderdate) AS quarter,
+           year(o_orderdate) AS year, isodow(o_orderdate) - 1 AS weekday, dayname(o_orderdate) AS weekday_name,
+           hour(o_orderdate) AS hour, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start FROM orders"""
+
+
+@oracle("packed_time", ts=("hour_code_ts",), dates=("hour_code_date",), ints=("hour_code_hour",))
+def _():
+    return """WITH p AS (SELECT o_orderkey, strftime(o_orderdate, '%y%m%d%H') AS hour_code FROM orders)
+    SELECT o_orderkey, hour_code, strptime(hour_code, '%y%m%d%H') AS hour_code_ts,
+           CAST(strptime(hour_code, '%y%m%d%H') AS DATE) AS hour_code_date,
+           hour(strptime(hour_code, '%y%m%d%H')) AS hour_code_hour FROM p"""
+
+
+PURCHASES = """
+cr AS (SELECT c.c_custkey AS user_id, c.c_mktsegment AS service_name, r.r_name AS region_name
+       FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+tk AS (SELECT l_orderkey AS order_id, count(*) AS tickets_count FROM lineitem GROUP BY l_orderkey),
+pur AS (SELECT o.o_orderkey AS order_id, o.o_custkey AS user_id, CAST(o.o_orderdate AS DATE) AS created_dt,
+               o.o_orderdate AS created_ts, CAST(o.o_totalprice AS DECIMAL(15,2)) AS revenue,
+               CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'mobile' ELSE 'desktop' END AS device_type,
+               o.o_orderstatus AS event_type, cr.service_name, cr.region_name,
+               COALESCE(tk.tickets_count, 0) AS tickets_count,
+               CASE WHEN cr.service_name = 'MACHINERY' THEN 'kzt' ELSE 'rub' END AS currency_code
+        FROM orders o JOIN cr ON cr.user_id = o.o_custkey LEFT JOIN tk ON tk.order_id = o.o_orderkey),
+rates AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS data, 100 AS nominal,
+                 CAST(CAST(20 AS DECIMAL(10,2)) + CAST(day(o_orderdate) AS DECIMAL(10,2)) / 10 AS DECIMAL(10,2)) AS curs
+          FROM orders WHERE day(o_orderdate) != 31)
+"""
+
+
+@oracle("currency_convert", dates=("created_dt",), dbl=("revenue", "revenue_rub"))
+def _():
+    return f"""WITH {PURCHASES}
+    SELECT p.order_id, p.created_dt, p.currency_code, p.revenue,
+           CASE WHEN p.currency_code = 'kzt' THEN p.revenue / r.nominal * r.curs ELSE p.revenue END AS revenue_rub
+    FROM pur p LEFT JOIN rates r ON r.data = p.created_dt"""

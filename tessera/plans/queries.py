@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import joins, marts, windows
+from tessera.operators import clean, joins, marts, profile, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -157,3 +157,110 @@ def q_interval_label(spark, base):
     events = D.shipments(t).select("o_custkey", "l_shipdate", "overdue_days")
     return finish(joins.interval_label(cohort, events, "o_custkey", "score_date", "l_shipdate", "overdue_days",
                                        threshold=90, horizon_days=365))
+
+
+# ------------------------------------------------------------------ profiling and data quality
+
+@query("null_share")
+def q_null_share(spark, base):
+    return finish(profile.null_share(D.customer_activity(D.Tables(spark, base))))
+
+
+@query("profile_counts")
+def q_profile_counts(spark, base):
+    return finish(profile.profile(D.customer_activity(D.Tables(spark, base))))
+
+
+@query("describe_numeric")
+def q_describe(spark, base):
+    li = D.Tables(spark, base).lineitem
+    return finish(profile.describe(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+
+
+@query("null_share_by")
+def q_null_share_by(spark, base):
+    return finish(profile.null_share_by(D.customer_activity(D.Tables(spark, base)), "n_events", "c_mktsegment"))
+
+
+@query("dup_count_key")
+def q_dup_count_key(spark, base):
+    return finish(profile.dup_count(D.Tables(spark, base).lineitem, ["l_orderkey", "l_linenumber"]))
+
+
+@query("dup_count_rows")
+def q_dup_count_rows(spark, base):
+    return finish(profile.dup_count(D.Tables(spark, base).lineitem))
+
+
+@query("cardinality")
+def q_cardinality(spark, base):
+    return finish(profile.cardinality(D.Tables(spark, base).orders, n=300))
+
+
+@query("date_span")
+def q_date_span(spark, base):
+    return finish(profile.date_span(D.Tables(spark, base).orders, "o_orderdate"))
+
+
+@query("value_counts")
+def q_value_counts(spark, base):
+    return finish(profile.value_counts(D.Tables(spark, base).orders, "o_orderpriority"))
+
+
+@query("key_overlap")
+def q_key_overlap(spark, base):
+    t = D.Tables(spark, base)
+    return finish(joins.key_overlap_join(t.orders.select(F.col("o_custkey").alias("k")),
+                                         t.events.select(F.col("user_id").alias("k")), "k"))
+
+
+@query("removal_report")
+def q_removal_report(spark, base):
+    o = D.Tables(spark, base).orders
+    after = clean.trim_percentile(o, "o_totalprice", 0.99).where(F.col("o_totalprice") > 0)
+    return finish(profile.removal_report(o, after))
+
+
+# ------------------------------------------------------------------ cleaning
+
+@query("fill_group_mean")
+def q_fill_group_mean(spark, base):
+    ca = D.customer_activity(D.Tables(spark, base))
+    out = clean.fill_group_mean(ca, "n_events", ["c_mktsegment"], name="n_events_filled")
+    return finish(out.select("c_custkey", "c_mktsegment", "n_events", "n_events_filled"))
+
+
+@query("dedup_first")
+def q_dedup_first(spark, base):
+    ev = D.Tables(spark, base).events
+    return finish(clean.dedup_first(ev, ["user_id"], ["ts", "event_id"]))
+
+
+@query("trim_percentile")
+def q_trim_percentile(spark, base):
+    o = D.Tables(spark, base).orders.select("o_orderkey", "o_totalprice")
+    return finish(clean.trim_percentile(o, "o_totalprice", 0.99))
+
+
+@query("iqr_outliers")
+def q_iqr_outliers(spark, base):
+    return finish(clean.iqr_outliers(D.Tables(spark, base).lineitem, "l_extendedprice"))
+
+
+@query("calendar_parts")
+def q_calendar_parts(spark, base):
+    o = D.Tables(spark, base).orders.select("o_orderkey", "o_orderdate")
+    return finish(clean.calendar_parts(o, "o_orderdate"))
+
+
+@query("packed_time")
+def q_packed_time(spark, base):
+    o = D.Tables(spark, base).orders.select("o_orderkey", F.date_format("o_orderdate", "yyMMddHH").alias("hour_code"))
+    return finish(clean.parse_packed_hour(o, "hour_code"))
+
+
+@query("currency_convert")
+def q_currency_convert(spark, base):
+    t = D.Tables(spark, base)
+    p = D.purchases(t).select("order_id", "created_dt", "currency_code", "revenue")
+    return finish(clean.currency_convert(p, D.daily_rates(t), "created_dt", "revenue", "currency_code", D.FOREIGN))
