@@ -181,3 +181,53 @@ def daily_rates(t: Tables) -> DataFrame:
     return (d.where(F.dayofmonth("data") != 31)
             .select("data", F.lit(NOMINAL).alias("nominal"),
                     (F.lit(20).cast("decimal(10,2)") + (F.dayofmonth("data").cast("decimal(10,2)") / 10)).cast("decimal(10,2)").alias("curs")))
+
+
+# ------------------------------------------------------------------ web events, sessions, orders (CBF / AB)
+# Driver event types in the roles of the feature job.
+EVENT_ROLES = {"view": "page_view", "click": "add_to_cart", "purchase": "purchase"}
+RUN_DATE = "2024-01-25"
+
+
+def _event_role():
+    expr = None
+    for k, v in EVENT_ROLES.items():
+        expr = F.when(F.col("event_type") == k, F.lit(v)) if expr is None else expr.when(F.col("event_type") == k, F.lit(v))
+    return expr.otherwise(F.col("event_type"))
+
+
+def _session_id():
+    return F.col("user_id") * 100000 + F.unix_date(F.col("ts").cast("date"))
+
+
+def web_events(t: Tables) -> DataFrame:
+    """Events with roles, product id from the JSON props and a session id
+    (one session per user and day)."""
+    return t.events.select("event_id", F.col("user_id").alias("customer_id"), _session_id().alias("session_id"),
+                           F.col("ts").alias("timestamp"), _event_role().alias("event_type"),
+                           F.get_json_object("props", "$.k").cast("bigint").alias("product_id"))
+
+
+def web_sessions(t: Tables) -> DataFrame:
+    return (t.events.groupBy(_session_id().alias("session_id"), F.col("user_id").alias("customer_id"))
+            .agg(F.min("ts").alias("start_time"), F.max("ts").alias("end_time")))
+
+
+def web_orders(t: Tables) -> DataFrame:
+    return t.events.where(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("order_id"), F.col("user_id").alias("customer_id"),
+        F.col("ts").alias("order_time"), money(F.col("value")).alias("total_usd"))
+
+
+def ab_sessions(t: Tables) -> DataFrame:
+    """App sessions for the A/B test: one per user and day, pages = events,
+    registered when a signup happened, arm A/B by user id parity, region and
+    device from the customer."""
+    s = t.events.groupBy(F.col("user_id"), F.col("ts").cast("date").alias("session_date")).agg(
+        F.min("ts").alias("session_start_ts"), F.count(F.lit(1)).alias("page_counter"),
+        F.max(F.when(F.col("event_type") == "signup", F.lit(1)).otherwise(F.lit(0))).alias("registration_flag"))
+    cr = customer_region(t).select(F.col("c_custkey").alias("user_id"), F.col("r_name").alias("region"),
+                                   F.col("c_mktsegment").alias("device"))
+    return (s.join(cr, "user_id", "left")
+            .withColumn("session_id", F.col("user_id") * 100000 + F.unix_date("session_date"))
+            .withColumn("test_group", F.when(F.col("user_id") % 2 == 0, F.lit("A")).otherwise(F.lit("B"))))

@@ -485,3 +485,223 @@ def _():
     SELECT p.order_id, p.created_dt, p.currency_code, p.revenue,
            CASE WHEN p.currency_code = 'kzt' THEN p.revenue / r.nominal * r.curs ELSE p.revenue END AS revenue_rub
     FROM pur p LEFT JOIN rates r ON r.data = p.created_dt"""
+
+
+# ------------------------------------------------------------------ point-in-time batch features
+WEB = """
+wev AS (SELECT event_id, user_id AS customer_id, user_id * 100000 + (CAST(ts AS DATE) - DATE '1970-01-01') AS session_id,
+               ts AS timestamp,
+               CASE event_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'add_to_cart' ELSE event_type END AS event_type,
+               CAST(json_extract_string(props, '$.k') AS BIGINT) AS product_id FROM events),
+wses AS (SELECT user_id * 100000 + (CAST(ts AS DATE) - DATE '1970-01-01') AS session_id, user_id AS customer_id,
+                min(ts) AS start_time, max(ts) AS end_time FROM events GROUP BY ALL),
+word AS (SELECT event_id AS order_id, user_id AS customer_id, ts AS order_time, CAST(value AS DECIMAL(15,2)) AS total_usd
+         FROM events WHERE event_type = 'purchase')
+"""
+RD = "TIMESTAMP '2024-01-25 00:00:00'"
+
+
+def _w(col, d):
+    return f"({col} >= {RD} - INTERVAL {d} DAY AND {col} < {RD})"
+
+
+def _evf(d):
+    w = _w("timestamp", d)
+    return (f"count(*) FILTER (WHERE {w} AND event_type = 'page_view') AS page_view_counter_{d}, "
+            f"count(*) FILTER (WHERE {w} AND event_type = 'add_to_cart') AS add_to_cart_counter_{d}, "
+            f"count(*) FILTER (WHERE {w} AND event_type = 'purchase') AS purchase_counter_{d}, "
+            f"count(DISTINCT CASE WHEN {w} THEN product_id END) AS unique_product_in_{d}")
+
+
+@oracle("batch_features", dates=("run_date",),
+        dbl=("conversion_add_to_cart_div_page_view_7", "conversion_purchase_div_add_to_cart_7",
+             "conversion_add_to_cart_div_page_view_30", "conversion_purchase_div_add_to_cart_30",
+             "mean_amount_30", "total_amount_30", "session_duration_in_7", "session_duration_in_30"))
+def _():
+    return f"""WITH {WEB},
+    ef AS (SELECT customer_id, {_evf(7)}, {_evf(30)} FROM wev WHERE {_w("timestamp", 30)} GROUP BY customer_id),
+    ofe AS (SELECT customer_id, CAST(sum(total_usd) AS DOUBLE) / count(total_usd) AS mean_amount_30,
+                   sum(total_usd) AS total_amount_30 FROM word WHERE {_w("order_time", 30)} GROUP BY customer_id),
+    sf AS (SELECT customer_id, count(*) FILTER (WHERE {_w("start_time", 7)}) AS session_counter_7,
+                  avg(CASE WHEN {_w("start_time", 7)} THEN epoch(end_time) - epoch(start_time) END) AS session_duration_in_7,
+                  count(*) FILTER (WHERE {_w("start_time", 30)}) AS session_counter_30,
+                  avg(CASE WHEN {_w("start_time", 30)} THEN epoch(end_time) - epoch(start_time) END) AS session_duration_in_30
+           FROM wses WHERE {_w("start_time", 30)} GROUP BY customer_id),
+    rf AS (SELECT customer_id, CAST(floor((epoch({RD}) - epoch(max(order_time))) / 86400) AS BIGINT) AS days_since_last_purchase
+           FROM word WHERE order_time < {RD} GROUP BY customer_id)
+    SELECT c.c_custkey AS customer_id,
+           COALESCE(page_view_counter_7, 0) AS page_view_counter_7, COALESCE(add_to_cart_counter_7, 0) AS add_to_cart_counter_7,
+           COALESCE(purchase_counter_7, 0) AS purchase_counter_7, COALESCE(unique_product_in_7, 0) AS unique_product_in_7,
+           COALESCE(page_view_counter_30, 0) AS page_view_counter_30, COALESCE(add_to_cart_counter_30, 0) AS add_to_cart_counter_30,
+           COALESCE(purchase_counter_30, 0) AS purchase_counter_30, COALESCE(unique_product_in_30, 0) AS unique_product_in_30,
+           COALESCE(CAST(add_to_cart_counter_7 AS DOUBLE) / NULLIF(page_view_counter_7, 0), 0) AS conversion_add_to_cart_div_page_view_7,
+           COALESCE(CAST(purchase_counter_7 AS DOUBLE) / NULLIF(add_to_cart_counter_7, 0), 0) AS conversion_purchase_div_add_to_cart_7,
+           COALESCE(CAST(add_to_cart_counter_30 AS DOUBLE) / NULLIF(page_view_counter_30, 0), 0) AS conversion_add_to_cart_div_page_view_30,
+           COALESCE(CAST(purchase_counter_30 AS DOUBLE) / NULLIF(add_to_cart_counter_30, 0), 0) AS conversion_purchase_div_add_to_cart_30,
+           COALESCE(mean_amount_30, 0) AS mean_amount_30, COALESCE(total_amount_30, 0) AS total_amount_30,
+           COALESCE(session_counter_7, 0) AS session_counter_7, COALESCE(session_duration_in_7, 0) AS session_duration_in_7,
+           COALESCE(session_counter_30, 0) AS session_counter_30, COALESCE(session_duration_in_30, 0) AS session_duration_in_30,
+           COALESCE(days_since_last_purchase, -1) AS days_since_last_purchase, DATE '2024-01-25' AS run_date
+    FROM (SELECT DISTINCT c_custkey FROM customer) c
+    LEFT JOIN ef ON ef.customer_id = c.c_custkey LEFT JOIN ofe ON ofe.customer_id = c.c_custkey
+    LEFT JOIN sf ON sf.customer_id = c.c_custkey LEFT JOIN rf ON rf.customer_id = c.c_custkey"""
+
+
+TYPES = ["view", "click", "purchase", "signup", "error"]
+
+
+@oracle("pivot_counts", dbl=tuple(f"n_{v}_share" for v in TYPES))
+def _():
+    cnt = ", ".join(f"count(*) FILTER (WHERE event_type = '{v}') AS n_{v}" for v in TYPES)
+    tot = " + ".join(f"n_{v}" for v in TYPES)
+    shares = ", ".join(f"CAST(n_{v} AS DOUBLE) / NULLIF({tot}, 0) AS n_{v}_share" for v in TYPES)
+    return f"SELECT *, {shares} FROM (SELECT user_id, {cnt} FROM events GROUP BY user_id)"
+
+
+# ------------------------------------------------------------------ A/B test
+AB = """
+abs_ AS (SELECT s.*, r.r_name AS region, c.c_mktsegment AS device,
+                s.user_id * 100000 + (s.session_date - DATE '1970-01-01') AS session_id,
+                CASE WHEN s.user_id % 2 = 0 THEN 'A' ELSE 'B' END AS test_group
+         FROM (SELECT user_id, CAST(ts AS DATE) AS session_date, min(ts) AS session_start_ts, count(*) AS page_counter,
+                      max(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS registration_flag
+               FROM events GROUP BY ALL) s
+         LEFT JOIN customer c ON c.c_custkey = s.user_id LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+         LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
+firsts AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY session_start_ts, session_id) AS rn
+                                      FROM abs_) WHERE rn = 1)
+"""
+AB_COLS = ("session_date", "session_start_ts", "page_counter", "registration_flag", "region", "device", "session_id", "test_group")
+
+
+def phi(z):
+    """Same closed form as ``functions.normal_cdf`` (Abramowitz-Stegun 26.2.17)."""
+    t = f"(1.0 / (1.0 + 0.2316419 * abs({z})))"
+    poly = (f"({t} * (0.319381530 + {t} * (-0.356563782 + {t} * (1.781477937 + {t} * (-1.821255978 + {t} * 1.330274429)))))")
+    pdf = f"(exp(-({z}) * ({z}) / 2.0) / {(2 * 3.141592653589793) ** 0.5!r})"
+    return f"(CASE WHEN ({z}) >= 0 THEN 1.0 - {pdf} * {poly} ELSE {pdf} * {poly} END)"
+
+
+@oracle("top_user_sessions", dates=("session_date",), ts=("session_start_ts",))
+def _():
+    return f"""WITH {AB}, per AS (SELECT user_id, count(DISTINCT session_id) AS n FROM abs_ GROUP BY user_id)
+    SELECT * FROM abs_ WHERE user_id = (SELECT user_id FROM per ORDER BY n DESC, user_id LIMIT 1)"""
+
+
+@oracle("daily_users", dates=("session_date",), dbl=("registration_share",))
+def _():
+    return f"""WITH {AB}
+    SELECT session_date, count(DISTINCT user_id) AS users,
+           count(DISTINCT CASE WHEN registration_flag = 1 THEN user_id END) AS registered_users,
+           CAST(count(DISTINCT CASE WHEN registration_flag = 1 THEN user_id END) AS DOUBLE) / count(DISTINCT user_id) AS registration_share
+    FROM abs_ GROUP BY session_date"""
+
+
+@oracle("page_distribution")
+def _():
+    return f"WITH {AB} SELECT page_counter, count(*) AS sessions FROM firsts GROUP BY page_counter"
+
+
+@oracle("daily_success", dates=("session_date",), dbl=("success_share",))
+def _():
+    return f"""WITH {AB}
+    SELECT session_date, count(*) AS sessions, count(*) FILTER (WHERE page_counter >= 4) AS successes,
+           CAST(count(*) FILTER (WHERE page_counter >= 4) AS DOUBLE) / count(*) AS success_share
+    FROM firsts GROUP BY session_date"""
+
+
+@oracle("ab_plan", dbl=("base_share", "avg_daily_users", "effect_size_h"), ints=("sample_size_per_arm", "test_days"))
+def _():
+    from tessera.functions.columns import z_quantile
+    zz = z_quantile(0.975) + z_quantile(0.8)
+    return f"""WITH {AB},
+    ds AS (SELECT avg(share) AS base_share FROM (SELECT CAST(count(*) FILTER (WHERE page_counter >= 4) AS DOUBLE) / count(*) AS share
+                                                FROM firsts GROUP BY session_date)),
+    du AS (SELECT avg(u) AS avg_daily_users FROM (SELECT count(DISTINCT user_id) AS u FROM abs_ GROUP BY session_date)),
+    h AS (SELECT base_share, avg_daily_users,
+                 abs(2 * asin(sqrt(base_share * (1 + 0.03))) - 2 * asin(sqrt(base_share))) AS effect_size_h FROM ds, du)
+    SELECT *, ceil(pow({zz!r} / effect_size_h, 2)) AS sample_size_per_arm,
+           ceil(2 * ceil(pow({zz!r} / effect_size_h, 2)) / avg_daily_users) AS test_days FROM h"""
+
+
+@oracle("arm_sizes", dbl=("diff_pct",))
+def _():
+    return f"""WITH {AB}, d1 AS (SELECT * FROM abs_ WHERE session_date = (SELECT min(session_date) FROM abs_)),
+    c AS (SELECT count(DISTINCT CASE WHEN test_group = 'A' THEN user_id END) AS users_a,
+                 count(DISTINCT CASE WHEN test_group = 'B' THEN user_id END) AS users_b FROM d1)
+    SELECT *, CAST(abs(users_a - users_b) * 100 AS DOUBLE) / NULLIF(users_a, 0) AS diff_pct FROM c"""
+
+
+@oracle("arm_balance", dbl=("share_a", "share_b", "gap_pp"))
+def _():
+    return f"""WITH {AB},
+    c AS (SELECT device, count(*) FILTER (WHERE test_group = 'A') AS n_a, count(*) FILTER (WHERE test_group = 'B') AS n_b
+          FROM firsts GROUP BY device),
+    s AS (SELECT *, CAST(n_a AS DOUBLE) / NULLIF((SELECT count(*) FROM firsts WHERE test_group = 'A'), 0) AS share_a,
+                    CAST(n_b AS DOUBLE) / NULLIF((SELECT count(*) FROM firsts WHERE test_group = 'B'), 0) AS share_b FROM c)
+    SELECT *, abs(share_a - share_b) * 100 AS gap_pp FROM s"""
+
+
+@oracle("metric_per_arm", dbl=("share",))
+def _():
+    return f"""WITH {AB}
+    SELECT test_group, CAST(sum(CASE WHEN page_counter >= 4 THEN 1 ELSE 0 END) AS BIGINT) AS successes, count(*) AS users,
+           CAST(sum(CASE WHEN page_counter >= 4 THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS share
+    FROM firsts GROUP BY test_group"""
+
+
+@oracle("prop_ztest", dbl=("share_a", "share_b", "lift", "z_stat", "p_value"))
+def _():
+    z = "((CAST(x_a AS DOUBLE) / n_a - CAST(x_b AS DOUBLE) / n_b) / sqrt(((x_a + x_b) / CAST(n_a + n_b AS DOUBLE)) * (1 - (x_a + x_b) / CAST(n_a + n_b AS DOUBLE)) * (1.0 / n_a + 1.0 / n_b)))"
+    return f"""WITH {AB},
+    g AS (SELECT CAST(sum(CASE WHEN test_group = 'A' THEN (page_counter >= 4)::INT END) AS BIGINT) AS x_a,
+                 count(*) FILTER (WHERE test_group = 'A') AS n_a,
+                 CAST(sum(CASE WHEN test_group = 'B' THEN (page_counter >= 4)::INT END) AS BIGINT) AS x_b,
+                 count(*) FILTER (WHERE test_group = 'B') AS n_b FROM firsts)
+    SELECT *, CAST(x_a AS DOUBLE) / n_a AS share_a, CAST(x_b AS DOUBLE) / n_b AS share_b,
+           (CAST(x_b AS DOUBLE) / n_b - CAST(x_a AS DOUBLE) / n_a) / NULLIF(CAST(x_a AS DOUBLE) / n_a, 0) AS lift,
+           {z} AS z_stat, {phi(z)} AS p_value FROM g"""
+
+
+@oracle("psi", dbl=("psi",), ints=("drifting",))
+def _():
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    stack = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v, CASE WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 0 ELSE 1 END AS side FROM lineitem"
+        for c in cols)
+    return f"""WITH both_ AS ({stack}),
+    rng AS (SELECT column_name, min(v) AS lo, max(v) AS hi FROM both_ GROUP BY column_name),
+    binned AS (SELECT b.*, CASE WHEN r.hi = r.lo THEN 0 ELSE CAST(least(floor((b.v - r.lo) / ((r.hi - r.lo) / 10)), 9) AS INTEGER) END AS bin
+               FROM both_ b JOIN rng r USING (column_name)),
+    cnt AS (SELECT column_name, bin, count(*) FILTER (WHERE side = 0) AS n_e, count(*) FILTER (WHERE side = 1) AS n_a FROM binned GROUP BY ALL),
+    tot AS (SELECT column_name, count(*) FILTER (WHERE side = 0) AS t_e, count(*) FILTER (WHERE side = 1) AS t_a FROM binned GROUP BY ALL),
+    grid AS (SELECT column_name, unnest(range(0, 10)) AS bin FROM rng),
+    full_ AS (SELECT g.column_name, COALESCE(c.n_e, 0) AS n_e, COALESCE(c.n_a, 0) AS n_a, t.t_e, t.t_a
+              FROM grid g LEFT JOIN cnt c USING (column_name, bin) JOIN tot t USING (column_name)),
+    p AS (SELECT column_name, sum((greatest(CAST(n_a AS DOUBLE) / t_a, 1e-10) - greatest(CAST(n_e AS DOUBLE) / t_e, 1e-10))
+                                  * ln(greatest(CAST(n_a AS DOUBLE) / t_a, 1e-10) / greatest(CAST(n_e AS DOUBLE) / t_e, 1e-10))) AS psi
+          FROM full_ GROUP BY column_name)
+    SELECT column_name, psi, CASE WHEN psi >= 0.2 THEN 1 ELSE 0 END AS drifting FROM p"""
+
+
+@oracle("cramers_v", dbl=("chi2", "cramers_v"))
+def _():
+    cols = ["c_mktsegment", "c_nationkey", "c_acctbal"]
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    ex = " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {a} AS va, {b} AS vb FROM w" for a, b in pairs)
+    return f"""WITH st AS (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer),
+    w AS (SELECT CAST(c_mktsegment AS VARCHAR) AS c_mktsegment, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+                 CAST(CAST(CASE WHEN st.hi = st.lo THEN 0 ELSE least(floor((c_acctbal - st.lo) / ((st.hi - st.lo) / 10)), 9) END AS BIGINT) AS VARCHAR) AS c_acctbal
+          FROM customer, st),
+    ex AS ({ex}),
+    cell AS (SELECT col_a, col_b, va, vb, count(*) AS o FROM ex GROUP BY ALL),
+    ra AS (SELECT col_a, col_b, va, sum(o) AS ra FROM cell GROUP BY ALL),
+    rb AS (SELECT col_a, col_b, vb, sum(o) AS rb FROM cell GROUP BY ALL),
+    n AS (SELECT col_a, col_b, sum(o) AS n, count(DISTINCT va) AS r, count(DISTINCT vb) AS k FROM cell GROUP BY ALL),
+    chi AS (SELECT c.col_a, c.col_b, n.n, n.r, n.k, sum(CAST(c.o AS DOUBLE) * c.o / (CAST(ra.ra AS DOUBLE) * rb.rb / n.n)) AS s
+            FROM cell c JOIN ra USING (col_a, col_b, va) JOIN rb USING (col_a, col_b, vb) JOIN n USING (col_a, col_b)
+            GROUP BY ALL)
+    SELECT col_a, col_b, s - n AS chi2,
+           COALESCE(sqrt(greatest(0.0, (s - n) / n - (k - 1) * (r - 1) / (n - 1.0))
+                / NULLIF(least((k - pow(k - 1, 2) / (n - 1.0)) - 1, (r - pow(r - 1, 2) / (n - 1.0)) - 1), 0)), 0.0) AS cramers_v
+    FROM chi"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import clean, joins, marts, profile, windows
+from tessera.operators import clean, experiments as X, features, joins, marts, profile, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -264,3 +264,92 @@ def q_currency_convert(spark, base):
     t = D.Tables(spark, base)
     p = D.purchases(t).select("order_id", "created_dt", "currency_code", "revenue")
     return finish(clean.currency_convert(p, D.daily_rates(t), "created_dt", "revenue", "currency_code", D.FOREIGN))
+
+
+# ------------------------------------------------------------------ point-in-time batch features
+
+@query("batch_features")
+def q_batch_features(spark, base):
+    t = D.Tables(spark, base)
+    cust = t.customer.select(F.col("c_custkey").alias("customer_id"))
+    out = features.batch_features(cust, "customer_id", D.web_events(t), D.web_sessions(t), D.web_orders(t),
+                                  run_date=D.RUN_DATE, ev_ts="timestamp", ev_type="event_type", ev_product="product_id",
+                                  session_key="session_id", s_start="start_time", s_end="end_time",
+                                  o_ts="order_time", o_amount="total_usd")
+    return finish(out)
+
+
+@query("pivot_counts")
+def q_pivot_counts(spark, base):
+    ev = D.Tables(spark, base).events
+    types = ["view", "click", "purchase", "signup", "error"]
+    return finish(clean.row_share(features.pivot_counts(ev, "user_id", "event_type", types, prefix="n_"),
+                                  [f"n_{v}" for v in types]))
+
+
+# ------------------------------------------------------------------ A/B test
+
+def _first(t):
+    return X.first_sessions(D.ab_sessions(t), "user_id", ["session_start_ts", "session_id"])
+
+
+@query("top_user_sessions")
+def q_top_user_sessions(spark, base):
+    return finish(X.top_user_sessions(D.ab_sessions(D.Tables(spark, base)), "user_id", "session_id"))
+
+
+@query("daily_users")
+def q_daily_users(spark, base):
+    return finish(X.daily_users(D.ab_sessions(D.Tables(spark, base)), "session_date", "user_id", "registration_flag"))
+
+
+@query("page_distribution")
+def q_page_distribution(spark, base):
+    return finish(X.page_distribution(_first(D.Tables(spark, base)), "page_counter"))
+
+
+@query("daily_success")
+def q_daily_success(spark, base):
+    return finish(X.daily_success(_first(D.Tables(spark, base)), "session_date", "page_counter", 4))
+
+
+@query("ab_plan")
+def q_ab_plan(spark, base):
+    t = D.Tables(spark, base)
+    return finish(X.ab_plan(_first(t), D.ab_sessions(t), date="session_date", user="user_id", pages="page_counter"))
+
+
+@query("arm_sizes")
+def q_arm_sizes(spark, base):
+    return finish(X.arm_sizes_day_one(D.ab_sessions(D.Tables(spark, base)), "session_date", "test_group", "user_id"))
+
+
+@query("arm_balance")
+def q_arm_balance(spark, base):
+    return finish(X.arm_balance(_first(D.Tables(spark, base)), "test_group", "device"))
+
+
+@query("metric_per_arm")
+def q_metric_per_arm(spark, base):
+    f = _first(D.Tables(spark, base)).withColumn("success", (F.col("page_counter") >= 4).cast("int"))
+    return finish(X.metric_per_arm(f, "test_group", "success"))
+
+
+@query("prop_ztest")
+def q_prop_ztest(spark, base):
+    f = _first(D.Tables(spark, base)).withColumn("success", (F.col("page_counter") >= 4).cast("int"))
+    return finish(X.prop_ztest(f, "test_group", "success", alternative="smaller"))
+
+
+@query("psi")
+def q_psi(spark, base):
+    li = D.Tables(spark, base).lineitem
+    cut = F.lit("1998-01-01").cast("timestamp")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    return finish(X.psi(li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut), cols))
+
+
+@query("cramers_v")
+def q_cramers_v(spark, base):
+    c = D.Tables(spark, base).customer
+    return finish(X.cramers_v(c, ["c_mktsegment", "c_nationkey", "c_acctbal"], numeric=["c_acctbal"]))
