@@ -231,3 +231,25 @@ def ab_sessions(t: Tables) -> DataFrame:
     return (s.join(cr, "user_id", "left")
             .withColumn("session_id", F.col("user_id") * 100000 + F.unix_date("session_date"))
             .withColumn("test_group", F.when(F.col("user_id") % 2 == 0, F.lit("A")).otherwise(F.lit("B"))))
+
+
+# ------------------------------------------------------------------ scored orders (metrics)
+# The logistic score of an order's cancellation from its total price.
+SCORE_CENTER, SCORE_SCALE = 150000.0, 50000.0
+
+
+def scored_orders(t: Tables) -> DataFrame:
+    """Label y = order cancelled (status P); score p = rounded logistic of
+    the total price (3 decimals, so ties occur); fold = order key mod 5."""
+    p = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("o_totalprice") - SCORE_CENTER) / SCORE_SCALE)), 3)
+    return t.orders.select("o_orderkey", (F.col("o_orderstatus") == "P").cast("int").alias("y"), p.alias("p"),
+                           (F.col("o_orderkey") % 5).alias("fold"))
+
+
+def priced_orders(t: Tables) -> DataFrame:
+    """Regression pair: actual order total vs. the total recomputed from its
+    lines (price x (1 - discount) x (1 + tax)), exact decimals."""
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum(money(F.col("l_extendedprice")) * (1 - rate(F.col("l_discount"))) * (1 + rate(F.col("l_tax")))).alias("pred"))
+    return (t.orders.select("o_orderkey", money(F.col("o_totalprice")).alias("y"), (F.col("o_orderkey") % 5).alias("fold"))
+            .join(lines, "o_orderkey"))

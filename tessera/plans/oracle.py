@@ -705,3 +705,187 @@ def _():
            COALESCE(sqrt(greatest(0.0, (s - n) / n - (k - 1) * (r - 1) / (n - 1.0))
                 / NULLIF(least((k - pow(k - 1, 2) / (n - 1.0)) - 1, (r - pow(r - 1, 2) / (n - 1.0)) - 1), 0)), 0.0) AS cramers_v
     FROM chi"""
+
+
+# ------------------------------------------------------------------ metrics
+SCORED = """
+sc AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS y,
+              round(1.0 / (1.0 + exp(-(o_totalprice - 150000.0) / 50000.0)), 3) AS p, o_orderkey % 5 AS fold FROM orders),
+pr AS (SELECT o.o_orderkey, CAST(o.o_totalprice AS DECIMAL(15,2)) AS y, o.o_orderkey % 5 AS fold, l.pred
+       FROM orders o JOIN (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                                                  * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS pred
+                           FROM lineitem GROUP BY l_orderkey) l ON l.l_orderkey = o.o_orderkey)
+"""
+
+
+def _reg(src, by=""):
+    e = "(CAST(pred AS DOUBLE) - CAST(y AS DOUBLE))"
+    grp = f"GROUP BY {by}" if by else ""
+    sel = f"{by}, " if by else ""
+    if by:
+        mean = f"(SELECT avg(CAST(y AS DOUBLE)) FROM {src} i WHERE i.{by} = {src}.{by})"
+    else:
+        mean = f"(SELECT avg(CAST(y AS DOUBLE)) FROM {src})"
+    return f"""SELECT {sel}avg({e} * {e}) AS mse, avg(abs({e})) AS mae, sqrt(avg({e} * {e})) AS rmse,
+           1.0 - sum({e} * {e}) / NULLIF(sum(pow(CAST(y AS DOUBLE) - {mean}, 2)), 0) AS r2 FROM {src} {grp}"""
+
+
+@oracle("regression_metrics", dbl=("mse", "mae", "rmse", "r2"))
+def _():
+    return f"WITH {SCORED} {_reg('pr')}"
+
+
+@oracle("mape", dbl=("mape",))
+def _():
+    return f"""WITH {SCORED} SELECT avg(CASE WHEN CAST(y AS DOUBLE) != 0
+                THEN abs((CAST(y AS DOUBLE) - CAST(pred AS DOUBLE)) / CAST(y AS DOUBLE)) END) * 100 AS mape FROM pr"""
+
+
+@oracle("pricing_risk", dbl=("overpricing_rate", "underpricing_rate", "underpricing_loss"))
+def _():
+    return f"""WITH {SCORED}, d AS (SELECT CAST(y AS DOUBLE) AS yy, CAST(pred AS DOUBLE) AS pp FROM pr)
+    SELECT avg(CASE WHEN pp > yy * 1.2 THEN 1.0 ELSE 0.0 END) AS overpricing_rate,
+           avg(CASE WHEN pp < yy * (1 - 0.2) THEN 1.0 ELSE 0.0 END) AS underpricing_rate,
+           COALESCE(sum(CASE WHEN pp < yy * (1 - 0.2) THEN yy - pp END), 0.0) AS underpricing_loss FROM d"""
+
+
+@oracle("cv_summary", dbl=("rmse_mean", "rmse_std", "mae_mean", "mae_std", "r2_mean", "r2_std"))
+def _():
+    return f"""WITH {SCORED}, f AS ({_reg('pr', 'fold')})
+    SELECT avg(rmse) AS rmse_mean, stddev_pop(rmse) AS rmse_std, avg(mae) AS mae_mean, stddev_pop(mae) AS mae_std,
+           avg(r2) AS r2_mean, stddev_pop(r2) AS r2_std FROM f"""
+
+
+CONF = """SELECT count(*) FILTER (WHERE y = 0 AND pred = 0) AS tn, count(*) FILTER (WHERE y = 0 AND pred = 1) AS fp,
+                 count(*) FILTER (WHERE y = 1 AND pred = 0) AS fn, count(*) FILTER (WHERE y = 1 AND pred = 1) AS tp
+          FROM (SELECT *, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS pred FROM sc)"""
+
+
+@oracle("confusion")
+def _():
+    return f"WITH {SCORED} {CONF}"
+
+
+@oracle("binary_scores", dbl=("accuracy", "precision", "recall", "f1", "macro_f1"))
+def _():
+    return f"""WITH {SCORED}, c AS ({CONF}),
+    r AS (SELECT (tp + tn) * 1.0 / (tp + tn + fp + fn) AS accuracy,
+                 COALESCE(tp * 1.0 / NULLIF(tp + fp, 0), 0) AS p1, COALESCE(tp * 1.0 / NULLIF(tp + fn, 0), 0) AS r1,
+                 COALESCE(tn * 1.0 / NULLIF(tn + fn, 0), 0) AS p0, COALESCE(tn * 1.0 / NULLIF(tn + fp, 0), 0) AS r0 FROM c),
+    f AS (SELECT *, COALESCE(2 * p1 * r1 / NULLIF(p1 + r1, 0), 0) AS f1, COALESCE(2 * p0 * r0 / NULLIF(p0 + r0, 0), 0) AS f0 FROM r)
+    SELECT CAST(accuracy AS DOUBLE) AS accuracy, CAST(p1 AS DOUBLE) AS precision, CAST(r1 AS DOUBLE) AS recall,
+           CAST(f1 AS DOUBLE) AS f1, CAST((f1 + f0) / 2 AS DOUBLE) AS macro_f1 FROM f"""
+
+
+@oracle("classification_report", dbl=("precision", "recall", "f1"))
+def _():
+    return f"""WITH {SCORED}, d AS (SELECT y, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS pred FROM sc),
+    cls AS (SELECT y AS cls FROM d UNION SELECT pred FROM d),
+    m AS (SELECT cls.cls, count(*) FILTER (WHERE d.y = cls.cls AND d.pred = cls.cls) AS tp,
+                 count(*) FILTER (WHERE d.y = cls.cls) AS support, count(*) FILTER (WHERE d.pred = cls.cls) AS predicted
+          FROM cls, d GROUP BY cls.cls),
+    r AS (SELECT cls, COALESCE(CAST(tp AS DOUBLE) / NULLIF(predicted, 0), 0) AS precision,
+                 COALESCE(CAST(tp AS DOUBLE) / NULLIF(support, 0), 0) AS recall, support FROM m)
+    SELECT cls, precision, recall, COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1, support FROM r"""
+
+
+@oracle("roc_auc", dbl=("roc_auc",))
+def _():
+    return f"""WITH {SCORED}, t AS (SELECT p AS s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg
+                                   FROM sc GROUP BY p),
+    c AS (SELECT *, sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below FROM t)
+    SELECT sum(pos * (COALESCE(below, 0) + 0.5 * neg)) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS roc_auc FROM c"""
+
+
+PRT = """t AS (SELECT p AS s, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y = 0) AS neg FROM sc GROUP BY p),
+    c AS (SELECT s, pos, sum(pos) OVER (ORDER BY s DESC) AS tp, sum(neg) OVER (ORDER BY s DESC) AS fp,
+                 (SELECT count(*) FROM sc WHERE y = 1) AS total_pos FROM t)"""
+
+
+@oracle("average_precision", dbl=("average_precision",))
+def _():
+    return f"WITH {SCORED}, {PRT} SELECT sum(CAST(pos AS DOUBLE) / total_pos * (CAST(tp AS DOUBLE) / (tp + fp))) AS average_precision FROM c"
+
+
+@oracle("pr_curve", dbl=("threshold", "precision", "recall"))
+def _():
+    return f"""WITH {SCORED}, {PRT} SELECT s AS threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+           CAST(tp AS DOUBLE) / total_pos AS recall FROM c"""
+
+
+@oracle("log_loss_brier", dbl=("log_loss", "brier"))
+def _():
+    return f"""WITH {SCORED}, d AS (SELECT y, p, least(greatest(p, 1e-15), 1 - 1e-15) AS pp FROM sc)
+    SELECT avg(-(y * ln(pp) + (1 - y) * ln(1 - pp))) AS log_loss, avg(pow(p - y, 2)) AS brier FROM d"""
+
+
+@oracle("calibration_curve", dbl=("prob_pred", "prob_true"), ints=("bin",))
+def _():
+    return f"""WITH {SCORED} SELECT greatest(0, least(9, ceil(p * 10) - 1)) AS bin, avg(p) AS prob_pred,
+           avg(CAST(y AS DOUBLE)) AS prob_true, count(*) AS n FROM sc GROUP BY ALL"""
+
+
+@oracle("ece_mce", dbl=("ece", "mce"))
+def _():
+    return f"""WITH {SCORED}, b AS (SELECT least(floor(p * 10), 9) AS bin, avg(p) AS conf, avg(CAST(y AS DOUBLE)) AS acc,
+                                          count(*) AS n FROM sc GROUP BY ALL)
+    SELECT sum(n * abs(conf - acc)) / sum(n) AS ece, max(abs(conf - acc)) AS mce FROM b"""
+
+
+SWEEP = """grid AS (SELECT CAST(range AS DOUBLE) / 1000.0 AS threshold FROM range(0, 1001)),
+    sw AS (SELECT g.threshold, count(*) FILTER (WHERE sc.p <= g.threshold) AS a,
+                  count(*) FILTER (WHERE sc.p <= g.threshold AND sc.y = 1) AS ad,
+                  (SELECT count(*) FROM sc) AS n, (SELECT count(*) FROM sc WHERE y = 1) AS d
+           FROM grid g, sc GROUP BY g.threshold),
+    app AS (SELECT threshold, CAST(a AS DOUBLE) / n AS approval_rate, COALESCE(CAST(ad AS DOUBLE) / NULLIF(a, 0), 0) AS default_rate,
+                   COALESCE(CAST(ad AS DOUBLE) / NULLIF(d, 0), 0) AS missed_default_rate FROM sw)"""
+
+
+@oracle("threshold_sweep", dbl=("threshold", "approval_rate", "default_rate", "missed_default_rate"))
+def _():
+    return f"WITH {SCORED}, {SWEEP} SELECT * FROM app"
+
+
+@oracle("approval_threshold", dbl=("threshold", "approval_rate", "default_rate", "missed_default_rate"))
+def _():
+    return f"""WITH {SCORED}, {SWEEP} SELECT * FROM app
+    WHERE approval_rate >= 0.3 AND default_rate <= 0.35 AND missed_default_rate <= 0.5
+    ORDER BY approval_rate DESC, threshold LIMIT 1"""
+
+
+RSWEEP = """grid AS (SELECT CAST(range AS DOUBLE) / 1000.0 AS threshold FROM range(0, 1001)),
+    cm AS (SELECT g.threshold, count(*) FILTER (WHERE sc.y = 0 AND sc.p < g.threshold) AS tn,
+                  count(*) FILTER (WHERE sc.y = 0 AND sc.p >= g.threshold) AS fp,
+                  count(*) FILTER (WHERE sc.y = 1 AND sc.p < g.threshold) AS fn,
+                  count(*) FILTER (WHERE sc.y = 1 AND sc.p >= g.threshold) AS tp FROM grid g, sc GROUP BY g.threshold),
+    rev AS (SELECT *, (tp * 45000 + tn * 64500 - fp * 7000 - fn * 64500) - ((tn + fp) * 64500 - (tp + fn) * 64500) AS incremental_revenue,
+                   CAST((tp * 45000 + tn * 64500 - fp * 7000 - fn * 64500) - ((tn + fp) * 64500 - (tp + fn) * 64500) AS DOUBLE)
+                   / NULLIF(CAST((tn + fp) * 64500 - (tp + fn) * 64500 AS DOUBLE), 0) * 100 AS relative_ir FROM cm)"""
+
+
+@oracle("revenue_sweep", dbl=("threshold", "relative_ir"), ints=("incremental_revenue",))
+def _():
+    return f"WITH {SCORED}, {RSWEEP} SELECT * FROM rev"
+
+
+@oracle("best_revenue_threshold", dbl=("threshold", "relative_ir"), ints=("incremental_revenue",))
+def _():
+    return f"WITH {SCORED}, {RSWEEP} SELECT * FROM rev ORDER BY incremental_revenue DESC, threshold LIMIT 1"
+
+
+@oracle("approval_at", dbl=("approval_rate", "default_rate", "missed_default_rate"))
+def _():
+    return f"""WITH {SCORED}, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE p <= 0.5) AS a,
+                                      count(*) FILTER (WHERE p <= 0.5 AND y = 1) AS ad, count(*) FILTER (WHERE y = 1) AS d FROM sc)
+    SELECT CAST(a AS DOUBLE) / n AS approval_rate, COALESCE(CAST(ad AS DOUBLE) / NULLIF(a, 0), 0) AS default_rate,
+           COALESCE(CAST(ad AS DOUBLE) / NULLIF(d, 0), 0) AS missed_default_rate FROM c"""
+
+
+@oracle("business_effect", dbl=("cancel_rate_before", "cancel_rate_after", "occupancy_change_pct", "relative_ir"))
+def _():
+    return f"""WITH {SCORED}, c AS (SELECT count(*) FILTER (WHERE y = 0 AND p < 0.415) AS tn, count(*) FILTER (WHERE y = 0 AND p >= 0.415) AS fp,
+                                      count(*) FILTER (WHERE y = 1 AND p < 0.415) AS fn, count(*) FILTER (WHERE y = 1 AND p >= 0.415) AS tp FROM sc)
+    SELECT CAST(fn + tp AS DOUBLE) / (tn + fp + fn + tp) AS cancel_rate_before, CAST(fn AS DOUBLE) / (tn + fp + fn + tp) AS cancel_rate_after,
+           CAST(tn - (tn + fp) AS DOUBLE) / (tn + fp) * 100 AS occupancy_change_pct,
+           CAST((tp * 45000 + tn * 64500 - fp * 7000 - fn * 64500) - ((tn + fp) * 64500 - (tp + fn) * 64500) AS DOUBLE)
+           / NULLIF(CAST((tn + fp) * 64500 - (tp + fn) * 64500 AS DOUBLE), 0) * 100 AS relative_ir FROM c"""

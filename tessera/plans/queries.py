@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import clean, experiments as X, features, joins, marts, profile, windows
+from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, profile, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -353,3 +353,113 @@ def q_psi(spark, base):
 def q_cramers_v(spark, base):
     c = D.Tables(spark, base).customer
     return finish(X.cramers_v(c, ["c_mktsegment", "c_nationkey", "c_acctbal"], numeric=["c_acctbal"]))
+
+
+# ------------------------------------------------------------------ metrics
+
+def _scored(spark, base):
+    return D.scored_orders(D.Tables(spark, base))
+
+
+def _priced(spark, base):
+    return D.priced_orders(D.Tables(spark, base))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, base):
+    return finish(K.regression_metrics(_priced(spark, base), "y", "pred"))
+
+
+@query("mape")
+def q_mape(spark, base):
+    return finish(K.mape(_priced(spark, base), "y", "pred"))
+
+
+@query("pricing_risk")
+def q_pricing_risk(spark, base):
+    return finish(K.pricing_risk(_priced(spark, base), "y", "pred", band=0.2))
+
+
+@query("cv_summary")
+def q_cv_summary(spark, base):
+    per_fold = K.regression_metrics(_priced(spark, base), "y", "pred", by=["fold"])
+    return finish(K.cv_summary(per_fold, ["rmse", "mae", "r2"]))
+
+
+@query("confusion")
+def q_confusion(spark, base):
+    s = _scored(spark, base).withColumn("pred", (F.col("p") >= 0.5).cast("int"))
+    return finish(K.confusion(s, "y", "pred"))
+
+
+@query("binary_scores")
+def q_binary_scores(spark, base):
+    s = _scored(spark, base).withColumn("pred", (F.col("p") >= 0.5).cast("int"))
+    return finish(K.binary_scores(s, "y", "pred"))
+
+
+@query("classification_report")
+def q_classification_report(spark, base):
+    s = _scored(spark, base).withColumn("pred", (F.col("p") >= 0.5).cast("int"))
+    return finish(K.classification_report(s, "y", "pred"))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, base):
+    return finish(K.roc_auc(_scored(spark, base), "y", "p"))
+
+
+@query("average_precision")
+def q_average_precision(spark, base):
+    return finish(K.average_precision(_scored(spark, base), "y", "p"))
+
+
+@query("pr_curve")
+def q_pr_curve(spark, base):
+    return finish(K.pr_curve(_scored(spark, base), "y", "p"))
+
+
+@query("log_loss_brier")
+def q_log_loss_brier(spark, base):
+    return finish(K.log_loss_brier(_scored(spark, base), "y", "p"))
+
+
+@query("calibration_curve")
+def q_calibration_curve(spark, base):
+    return finish(K.calibration_curve(_scored(spark, base), "y", "p"))
+
+
+@query("ece_mce")
+def q_ece_mce(spark, base):
+    return finish(K.ece_mce(_scored(spark, base), "y", "p"))
+
+
+@query("threshold_sweep")
+def q_threshold_sweep(spark, base):
+    return finish(K.approval_sweep(_scored(spark, base), "y", "p"))
+
+
+@query("approval_threshold")
+def q_approval_threshold(spark, base):
+    sweep = K.approval_sweep(_scored(spark, base), "y", "p")
+    return finish(K.choose_approval_threshold(sweep, min_approval=0.3, max_default=0.35, max_missed=0.5))
+
+
+@query("revenue_sweep")
+def q_revenue_sweep(spark, base):
+    return finish(K.revenue_sweep(_scored(spark, base), "y", "p"))
+
+
+@query("best_revenue_threshold")
+def q_best_revenue_threshold(spark, base):
+    return finish(K.best_revenue_threshold(K.revenue_sweep(_scored(spark, base), "y", "p")))
+
+
+@query("approval_at")
+def q_approval_at(spark, base):
+    return finish(K.approval_at(_scored(spark, base), "y", "p", 0.5))
+
+
+@query("business_effect")
+def q_business_effect(spark, base):
+    return finish(K.business_effect(_scored(spark, base), "y", "p", 0.415))
