@@ -253,3 +253,24 @@ def priced_orders(t: Tables) -> DataFrame:
         F.sum(money(F.col("l_extendedprice")) * (1 - rate(F.col("l_discount"))) * (1 + rate(F.col("l_tax")))).alias("pred"))
     return (t.orders.select("o_orderkey", money(F.col("o_totalprice")).alias("y"), (F.col("o_orderkey") % 5).alias("fold"))
             .join(lines, "o_orderkey"))
+
+
+# ------------------------------------------------------------------ places (FOOD) and games (VG) on parts
+def places(t: Tables) -> DataFrame:
+    """Parts as catering places: category = type, district = brand, rating =
+    size / 10, chain when size > 25, average bill = retail price."""
+    return t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_type").alias("category"),
+                         F.col("p_brand").alias("district"), (F.col("p_size") / 10.0).alias("rating"),
+                         (F.col("p_size") > 25).cast("int").alias("chain"), money(F.col("p_retailprice")).alias("avg_bill"))
+
+
+# Grade bands of the two scoring systems (label, lower inclusive, upper exclusive).
+CRITIC_BANDS = [(0, 30, "low"), (30, 80, "mid"), (80, 101, "high")]
+USER_BANDS = [(0, 3, "low"), (3, 8, "mid"), (8, 10.1, "high")]
+
+
+def games(t: Tables) -> DataFrame:
+    """Parts as games: platform = brand, genre = type, critic score = 2 x size,
+    user score = retail price above 900 / 10."""
+    return t.part.select(F.col("p_name").alias("name"), F.col("p_brand").alias("platform"), F.col("p_type").alias("genre"),
+                         (F.col("p_size") * 2).alias("critic_score"), ((F.col("p_retailprice") - 900) / 10).alias("user_score"))

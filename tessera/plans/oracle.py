@@ -889,3 +889,179 @@ def _():
            CAST(tn - (tn + fp) AS DOUBLE) / (tn + fp) * 100 AS occupancy_change_pct,
            CAST((tp * 45000 + tn * 64500 - fp * 7000 - fn * 64500) - ((tn + fp) * 64500 - (tp + fn) * 64500) AS DOUBLE)
            / NULLIF(CAST((tn + fp) * 64500 - (tp + fn) * 64500 AS DOUBLE), 0) * 100 AS relative_ir FROM c"""
+
+
+# ------------------------------------------------------------------ ticket purchases (AFI)
+PROFILE = """
+gaps AS (SELECT order_id, datediff('day', lag(created_dt) OVER (PARTITION BY user_id ORDER BY created_ts, order_id), created_dt) AS days_since_prev FROM pur),
+pp AS (SELECT p.*, g.days_since_prev, CAST(CAST(p.revenue AS DOUBLE) / NULLIF(p.tickets_count, 0) AS DECIMAL(15,4)) AS rev_per_ticket
+       FROM pur p LEFT JOIN gaps g USING (order_id)),
+firsto AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY created_ts, order_id) AS rn FROM pur) WHERE rn = 1),
+prof AS (SELECT a.*, f.device_type AS first_device_type, f.region_name AS first_region_name, f.service_name AS first_service_name,
+                f.event_type AS first_event_type,
+                CASE WHEN a.total_orders >= 2 THEN 1 ELSE 0 END AS is_two, CASE WHEN a.total_orders >= 5 THEN 1 ELSE 0 END AS is_five
+         FROM (SELECT user_id, min(created_ts) AS first_order, max(created_ts) AS last_order, count(DISTINCT order_id) AS total_orders,
+                      CAST(sum(revenue) AS DOUBLE) / count(revenue) AS avg_order_rev, avg(tickets_count) AS avg_tickets_count,
+                      avg(days_since_prev) AS avg_days_since_prev,
+                      CAST(sum(rev_per_ticket) AS DOUBLE) / count(rev_per_ticket) AS avg_revenue_per_ticket
+               FROM pp GROUP BY user_id) a JOIN firsto f USING (user_id))
+"""
+PROF_DBL = ("avg_order_rev", "avg_tickets_count", "avg_days_since_prev", "avg_revenue_per_ticket")
+
+
+@oracle("monthly_revenue", dates=("month",), dbl=("total",))
+def _():
+    return f"WITH {PURCHASES} SELECT CAST(date_trunc('month', created_dt) AS DATE) AS month, sum(revenue) AS total FROM pur GROUP BY 1"
+
+
+@oracle("revenue_by_device", dbl=("mean", "median"))
+def _():
+    return f"""WITH {PURCHASES} SELECT device_type, count(revenue) AS n, CAST(sum(revenue) AS DOUBLE) / count(revenue) AS mean,
+           quantile_cont(CAST(revenue AS DOUBLE), 0.5) AS median FROM pur GROUP BY device_type"""
+
+
+@oracle("user_profile", ts=("first_order", "last_order"), dbl=PROF_DBL)
+def _():
+    return f"WITH {PURCHASES}, {PROFILE} SELECT * FROM prof"
+
+
+@oracle("kpi_sheet", dbl=("value",))
+def _():
+    m = ["users", "mean_order_revenue", "share_two_plus_pct", "share_five_plus_pct", "orders", "mean_tickets",
+         "mean_days_between", "median_order_revenue", "median_tickets"]
+    row = """SELECT CAST(count(*) AS DOUBLE) AS users, avg(avg_order_rev) AS mean_order_revenue,
+                    avg(is_two) * 100 AS share_two_plus_pct, avg(is_five) * 100 AS share_five_plus_pct,
+                    CAST(sum(total_orders) AS DOUBLE) AS orders, avg(avg_tickets_count) AS mean_tickets,
+                    avg(avg_days_since_prev) AS mean_days_between, quantile_cont(avg_order_rev, 0.5) AS median_order_revenue,
+                    quantile_cont(CAST(avg_tickets_count AS DOUBLE), 0.5) AS median_tickets FROM prof"""
+    un = " UNION ALL ".join(f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM k" for c in m)
+    return f"WITH {PURCHASES}, {PROFILE}, k AS ({row}) {un}"
+
+
+@oracle("return_split", dbl=("share_of_all",))
+def _():
+    return f"""WITH {PURCHASES}, {PROFILE} SELECT is_two, first_device_type, count(*) AS users,
+           CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM prof) AS share_of_all FROM prof GROUP BY ALL"""
+
+
+@oracle("return_share", dbl=("return_share",))
+def _():
+    return f"""WITH {PURCHASES}, {PROFILE} SELECT first_region_name, count(*) AS users, avg(CAST(is_two AS DOUBLE)) AS return_share
+           FROM prof GROUP BY ALL"""
+
+
+@oracle("return_by_segment", dbl=("return_share",))
+def _():
+    seg = ("CASE WHEN avg_tickets_count >= 1 AND avg_tickets_count < 2 THEN '1-2' WHEN avg_tickets_count >= 2 AND avg_tickets_count < 3 THEN '2-3' "
+           "WHEN avg_tickets_count >= 3 AND avg_tickets_count < 5 THEN '3-5' WHEN avg_tickets_count >= 5 AND avg_tickets_count < 100 THEN '5-100' END")
+    return f"""WITH {PURCHASES}, {PROFILE} SELECT {seg} AS segment, count(*) AS users, avg(CAST(is_two AS DOUBLE)) AS return_share
+           FROM prof WHERE {seg} IS NOT NULL GROUP BY ALL"""
+
+
+@oracle("weekday_return", dbl=("return_share",), ints=("weekday_no",))
+def _():
+    return f"""WITH {PURCHASES}, {PROFILE} SELECT isodow(first_order) - 1 AS weekday_no, dayname(first_order) AS weekday,
+           count(*) AS users, avg(CAST(is_two AS DOUBLE)) AS return_share FROM prof GROUP BY ALL"""
+
+
+@oracle("histogram", dbl=("bin_lo", "bin_hi"), ints=("bin",))
+def _():
+    return f"""WITH {PURCHASES}, st AS (SELECT min(CAST(revenue AS DOUBLE)) AS lo, max(CAST(revenue AS DOUBLE)) AS hi FROM pur),
+    b AS (SELECT device_type, CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((CAST(revenue AS DOUBLE) - lo) / ((hi - lo) / 10.0)), 9) END AS INTEGER) AS bin
+          FROM pur, st WHERE revenue IS NOT NULL)
+    SELECT device_type, bin, count(*) AS n, (SELECT lo FROM st) + bin * (((SELECT hi FROM st) - (SELECT lo FROM st)) / 10.0) AS bin_lo,
+           (SELECT lo FROM st) + (bin + 1) * (((SELECT hi FROM st) - (SELECT lo FROM st)) / 10.0) AS bin_hi FROM b GROUP BY ALL"""
+
+
+@oracle("box_stats", dbl=("q1", "median", "q3", "lower_fence", "upper_fence", "whisker_low", "whisker_high"))
+def _():
+    return f"""WITH {PURCHASES}, q AS (SELECT service_name, quantile_cont(CAST(revenue AS DOUBLE), 0.25) AS q1,
+                                         quantile_cont(CAST(revenue AS DOUBLE), 0.5) AS median,
+                                         quantile_cont(CAST(revenue AS DOUBLE), 0.75) AS q3 FROM pur GROUP BY service_name),
+    f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM q)
+    SELECT f.*, min(CASE WHEN CAST(p.revenue AS DOUBLE) BETWEEN f.lower_fence AND f.upper_fence THEN CAST(p.revenue AS DOUBLE) END) AS whisker_low,
+           max(CASE WHEN CAST(p.revenue AS DOUBLE) BETWEEN f.lower_fence AND f.upper_fence THEN CAST(p.revenue AS DOUBLE) END) AS whisker_high,
+           count(*) FILTER (WHERE NOT (CAST(p.revenue AS DOUBLE) BETWEEN f.lower_fence AND f.upper_fence)) AS outliers
+    FROM f JOIN pur p ON p.service_name IS NOT DISTINCT FROM f.service_name GROUP BY ALL"""
+
+
+# ------------------------------------------------------------------ places and games
+PLACES = """
+pl AS (SELECT p_partkey AS id, p_name AS name, p_type AS category, p_brand AS district, p_size / 10.0 AS rating,
+              CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS chain, CAST(p_retailprice AS DECIMAL(15,2)) AS avg_bill FROM part),
+gm AS (SELECT p_name AS name, p_brand AS platform, p_type AS genre, p_size * 2 AS critic_score, (p_retailprice - 900) / 10 AS user_score FROM part)
+"""
+
+
+@oracle("category_counts")
+def _():
+    return f"WITH {PLACES} SELECT district, category, count(*) AS n FROM pl GROUP BY ALL"
+
+
+@oracle("chain_share", dbl=("share",))
+def _():
+    return f"WITH {PLACES} SELECT category, count(*) AS n, CAST(sum(chain) AS BIGINT) AS flagged, CAST(sum(chain) AS DOUBLE) / count(*) AS share FROM pl GROUP BY ALL"
+
+
+@oracle("topk_groups", dbl=("mean_rating",))
+def _():
+    return f"""WITH {PLACES}, t AS (SELECT name, count(*) AS n, avg(rating) AS mean_rating FROM pl GROUP BY name ORDER BY n DESC, name LIMIT 15)
+    SELECT *, row_number() OVER (ORDER BY n DESC, name) AS rank_no FROM t"""
+
+
+@oracle("bill_by_district", dbl=("mean", "median"))
+def _():
+    return f"""WITH {PLACES} SELECT district, count(avg_bill) AS n, CAST(sum(avg_bill) AS DOUBLE) / count(avg_bill) AS mean,
+           quantile_cont(CAST(avg_bill AS DOUBLE), 0.5) AS median FROM pl GROUP BY district"""
+
+
+@oracle("grade_shares", dbl=("critic_share", "user_share"))
+def _():
+    c = "CASE WHEN critic_score >= 0 AND critic_score < 30 THEN 'low' WHEN critic_score >= 30 AND critic_score < 80 THEN 'mid' WHEN critic_score >= 80 AND critic_score < 101 THEN 'high' END"
+    u = "CASE WHEN user_score >= 0 AND user_score < 3 THEN 'low' WHEN user_score >= 3 AND user_score < 8 THEN 'mid' WHEN user_score >= 8 AND user_score < 10.1 THEN 'high' END"
+    return f"""WITH {PLACES},
+    a AS (SELECT {c} AS grade, count(*) AS critic_count FROM gm WHERE {c} IS NOT NULL GROUP BY 1),
+    b AS (SELECT {u} AS grade, count(*) AS user_count FROM gm WHERE {u} IS NOT NULL GROUP BY 1)
+    SELECT COALESCE(a.grade, b.grade) AS grade, a.critic_count, CAST(a.critic_count AS DOUBLE) / (SELECT sum(critic_count) FROM a) AS critic_share,
+           b.user_count, CAST(b.user_count AS DOUBLE) / (SELECT sum(user_count) FROM b) AS user_share
+    FROM a FULL OUTER JOIN b ON a.grade = b.grade"""
+
+
+@oracle("top_platforms")
+def _():
+    return f"""WITH {PLACES}, t AS (SELECT platform, count(*) AS n FROM gm GROUP BY platform ORDER BY n DESC, platform LIMIT 7)
+    SELECT *, row_number() OVER (ORDER BY n DESC, platform) AS rank_no FROM t"""
+
+
+# ------------------------------------------------------------------ other grouped reports
+
+@oracle("monthly_rating", dates=("month",), dbl=("mean_value",))
+def _():
+    return """SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS n, avg(l_quantity / 10.0) AS mean_value
+    FROM lineitem GROUP BY 1 HAVING count(*) >= 10"""
+
+
+@oracle("yearly_overdue", dbl=("mean_value",), ints=("year",))
+def _():
+    return f"WITH {SHIP} SELECT year(l_shipdate) AS year, avg(CAST(overdue_days AS DOUBLE)) AS mean_value, count(overdue_days) AS n FROM ship GROUP BY 1"
+
+
+@oracle("top_sales_mean", dbl=("mean_value",), ints=("store",))
+def _():
+    return f"""WITH {PANEL} SELECT store, count(*) AS n, CAST(sum(weekly_sales) AS DOUBLE) / count(weekly_sales) AS mean_value FROM panel
+    WHERE CAST(weekly_sales AS DOUBLE) > (SELECT quantile_cont(CAST(weekly_sales AS DOUBLE), 0.99) FROM panel) GROUP BY store"""
+
+
+@oracle("cluster_profile", dbl=("mean_e0", "mean_e1", "mean_e2"), ints=("label",))
+def _():
+    return """SELECT label, count(*) AS n, avg(CAST(embedding[1] AS DOUBLE)) AS mean_e0, avg(CAST(embedding[2] AS DOUBLE)) AS mean_e1,
+           avg(CAST(embedding[3] AS DOUBLE)) AS mean_e2 FROM embeddings GROUP BY label"""
+
+
+@oracle("error_profile", dbl=("mean_rel_error", "share_under", "share_over"))
+def _():
+    return f"""WITH {SCORED}, {MARKET.split('m_items')[0].rstrip().rstrip(',')},
+    e AS (SELECT u.region AS r_name, (CAST(pr.pred AS DOUBLE) - CAST(pr.y AS DOUBLE)) / NULLIF(CAST(pr.y AS DOUBLE), 0) AS rel
+          FROM pr JOIN orders o USING (o_orderkey) JOIN m_users u ON u.buyer_id = o.o_custkey)
+    SELECT r_name, count(*) AS n, avg(rel) AS mean_rel_error, avg(CASE WHEN rel < 0 THEN 1.0 ELSE 0.0 END) AS share_under,
+           avg(CASE WHEN rel > 0 THEN 1.0 ELSE 0.0 END) AS share_over FROM e GROUP BY r_name"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, profile, windows
+from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, profile, reports as R, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -463,3 +463,124 @@ def q_approval_at(spark, base):
 @query("business_effect")
 def q_business_effect(spark, base):
     return finish(K.business_effect(_scored(spark, base), "y", "p", 0.415))
+
+
+# ------------------------------------------------------------------ ticket purchases (AFI)
+
+def _profile(spark, base):
+    return R.user_profile(D.purchases(D.Tables(spark, base)))
+
+
+@query("monthly_revenue")
+def q_monthly_revenue(spark, base):
+    return finish(R.monthly_total(D.purchases(D.Tables(spark, base)), "created_dt", "revenue"))
+
+
+@query("revenue_by_device")
+def q_revenue_by_device(spark, base):
+    return finish(R.mean_median_by(D.purchases(D.Tables(spark, base)), ["device_type"], "revenue"))
+
+
+@query("user_profile")
+def q_user_profile(spark, base):
+    return finish(_profile(spark, base))
+
+
+@query("kpi_sheet")
+def q_kpi_sheet(spark, base):
+    return finish(R.kpi_sheet(_profile(spark, base)))
+
+
+@query("return_split")
+def q_return_split(spark, base):
+    return finish(R.return_split(_profile(spark, base), "first_device_type"))
+
+
+@query("return_share")
+def q_return_share(spark, base):
+    return finish(R.return_share_by(_profile(spark, base), "first_region_name"))
+
+
+@query("return_by_segment")
+def q_return_by_segment(spark, base):
+    return finish(R.return_by_segment(_profile(spark, base)))
+
+
+@query("weekday_return")
+def q_weekday_return(spark, base):
+    return finish(R.return_by_weekday(_profile(spark, base)))
+
+
+@query("histogram")
+def q_histogram(spark, base):
+    return finish(R.histogram(D.purchases(D.Tables(spark, base)), "revenue", 10, by=["device_type"]))
+
+
+@query("box_stats")
+def q_box_stats(spark, base):
+    return finish(R.box_stats(D.purchases(D.Tables(spark, base)), "revenue", ["service_name"]))
+
+
+# ------------------------------------------------------------------ places and games
+
+@query("category_counts")
+def q_category_counts(spark, base):
+    return finish(R.counts_by(D.places(D.Tables(spark, base)), ["district", "category"]))
+
+
+@query("chain_share")
+def q_chain_share(spark, base):
+    return finish(R.flag_share_by(D.places(D.Tables(spark, base)), "category", "chain"))
+
+
+@query("topk_groups")
+def q_topk_groups(spark, base):
+    return finish(R.top_groups(D.places(D.Tables(spark, base)), "name", 15, "rating"))
+
+
+@query("bill_by_district")
+def q_bill_by_district(spark, base):
+    return finish(R.mean_median_by(D.places(D.Tables(spark, base)), ["district"], "avg_bill"))
+
+
+@query("grade_shares")
+def q_grade_shares(spark, base):
+    g = D.games(D.Tables(spark, base))
+    return finish(R.grades_side_by_side(g, "critic_score", D.CRITIC_BANDS, "user_score", D.USER_BANDS))
+
+
+@query("top_platforms")
+def q_top_platforms(spark, base):
+    return finish(R.top_groups(D.games(D.Tables(spark, base)), "platform", 7))
+
+
+# ------------------------------------------------------------------ other grouped reports
+
+@query("monthly_rating")
+def q_monthly_rating(spark, base):
+    li = D.Tables(spark, base).lineitem.select("l_shipdate", (F.col("l_quantity") / 10.0).alias("rating"))
+    return finish(R.monthly_mean_min_count(li, "l_shipdate", "rating", 10))
+
+
+@query("yearly_overdue")
+def q_yearly_overdue(spark, base):
+    return finish(R.yearly_mean(D.shipments(D.Tables(spark, base)), "l_shipdate", "overdue_days"))
+
+
+@query("top_sales_mean")
+def q_top_sales_mean(spark, base):
+    return finish(R.top_share_mean(D.weekly_panel(D.Tables(spark, base)), "weekly_sales", ["store"], 0.99))
+
+
+@query("cluster_profile")
+def q_cluster_profile(spark, base):
+    e = D.Tables(spark, base).embeddings.select("label", *[F.col("embedding").getItem(i).alias(f"e{i}") for i in range(3)])
+    return finish(R.cluster_profile(e, "label", ["e0", "e1", "e2"]))
+
+
+@query("error_profile")
+def q_error_profile(spark, base):
+    t = D.Tables(spark, base)
+    reg = D.customer_region(t).select(F.col("c_custkey").alias("o_custkey"), "r_name")
+    pr = D.priced_orders(t).join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey").join(reg, "o_custkey")
+    return finish(R.error_profile(pr, "y", "pred", ["r_name"]))
