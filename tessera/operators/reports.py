@@ -50,7 +50,7 @@ def user_profile(purchases: DataFrame, *, user: str = "user_id", order: str = "o
     gaps = gap_days(purchases.select(user, order, ts, date), [user], [F.col(ts), F.col(order)], date, "days_since_prev")
     p = (purchases.join(gaps.select(order, "days_since_prev"), order, "left")
          .withColumn("rev_per_ticket", F.try_divide(F.col(revenue).cast("double"), F.col(tickets).cast("double"))
-                     .cast("decimal(15,4)")))
+                     .cast("decimal(25,10)")))
     agg = p.groupBy(user).agg(
         F.min(ts).alias("first_order"), F.max(ts).alias("last_order"), F.count_distinct(order).alias("total_orders"),
         ratio(F.sum(revenue), F.count(revenue)).alias("avg_order_rev"),
