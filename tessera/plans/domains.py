@@ -274,3 +274,24 @@ def games(t: Tables) -> DataFrame:
     user score = retail price above 900 / 10."""
     return t.part.select(F.col("p_name").alias("name"), F.col("p_brand").alias("platform"), F.col("p_type").alias("genre"),
                          (F.col("p_size") * 2).alias("critic_score"), ((F.col("p_retailprice") - 900) / 10).alias("user_score"))
+
+
+# ------------------------------------------------------------------ labelled documents (classification jobs)
+
+def doc_features(t: Tables) -> DataFrame:
+    """Documents with whole-text numeric features and, where labelled, the
+    quality / toxicity labels (inner join: labelled documents only)."""
+    d = t.documents.select("doc_id", "lang", "source", "n_chars", "text")
+    words = F.size(F.filter(F.split(F.col("text"), r"\s+"), lambda w: w != ""))
+    lines = F.size(F.split(F.col("text"), "\n"))
+    digits = F.length(F.regexp_replace("text", r"[^0-9]", ""))
+    upper = F.length(F.regexp_replace("text", r"[^\p{Lu}]", ""))
+    return (d.join(t.labels, "doc_id")
+            .select("doc_id", "lang", "source", F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
+                    F.log1p(words.cast("double")).alias("log_words"), lines.cast("double").alias("n_lines"),
+                    F.try_divide(digits.cast("double"), F.col("n_chars").cast("double")).alias("digit_share"),
+                    F.try_divide(upper.cast("double"), F.col("n_chars").cast("double")).alias("upper_share"),
+                    F.col("quality").cast("double").alias("quality"), F.col("toxic").cast("double").alias("toxic")))
+
+
+DOC_NUMERIC = ["log_chars", "log_words", "n_lines", "digit_share", "upper_share"]

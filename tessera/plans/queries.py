@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, profile, reports as R, windows
+from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, models as G, prep, profile, reports as R, splits as M, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -584,3 +584,272 @@ def q_error_profile(spark, base):
     reg = D.customer_region(t).select(F.col("c_custkey").alias("o_custkey"), "r_name")
     pr = D.priced_orders(t).join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey").join(reg, "o_custkey")
     return finish(R.error_profile(pr, "y", "pred", ["r_name"]))
+
+
+# ------------------------------------------------------------------ splits and preparation
+
+@query("stratified_split")
+def q_stratified_split(spark, base):
+    d = D.doc_features(D.Tables(spark, base))
+    s = M.stratified_split(d, "quality", ["doc_id"], 0.2)
+    return finish(s.groupBy("split", "quality").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("stratified_folds")
+def q_stratified_folds(spark, base):
+    d = D.doc_features(D.Tables(spark, base))
+    s = M.stratified_kfold_column(d, "quality", ["doc_id"], 5)
+    return finish(s.groupBy("fold", "quality").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("hash_split")
+def q_hash_split(spark, base):
+    o = D.Tables(spark, base).orders
+    return finish(M.hash_split(o, ["o_orderkey"], [0.6, 0.2, 0.2], ["train", "val", "test"])
+                  .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("group_split_leakage")
+def q_group_split_leakage(spark, base):
+    o = M.group_split(D.Tables(spark, base).orders, ["o_custkey"], [0.8, 0.2], ["train", "test"])
+    return finish(profile.split_leakage({"train": o.where("split = 'train'"), "test": o.where("split = 'test'")}, "o_custkey"))
+
+
+@query("time_split")
+def q_time_split(spark, base):
+    o = D.Tables(spark, base).orders.withColumn("d", F.col("o_orderdate").cast("date"))
+    s = M.time_split(o, "d", ["1999-08-01", "2000-08-01"], ["train", "calib", "test"])
+    return finish(s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("first_date"), F.max("d").alias("last_date")))
+
+
+@query("time_fraction_split")
+def q_time_fraction_split(spark, base):
+    o = D.Tables(spark, base).orders
+    s = M.time_fraction_split(o, "o_orderdate", [0.6, 0.2, 0.2], ["train", "val", "test"])
+    return finish(s.groupBy("split").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("time_folds")
+def q_time_folds(spark, base):
+    o = D.Tables(spark, base).orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    rows = None
+    for i, (tr, te) in enumerate(M.expanding_time_folds(o, "d", 3)):
+        r = tr.agg(F.count(F.lit(1)).alias("train_rows")).withColumn("test_rows", te.agg(F.count(F.lit(1))).scalar()) \
+              .withColumn("fold", F.lit(i))
+        rows = r if rows is None else rows.unionByName(r)
+    return finish(rows)
+
+
+@query("resample")
+def q_resample(spark, base):
+    d = D.doc_features(D.Tables(spark, base))
+    r = M.resample_ratio(d, "toxic", ["doc_id"], over_ratio=0.3, under_ratio=0.6, minority=1)
+    return finish(r.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("class_weights")
+def q_class_weights(spark, base):
+    d = D.doc_features(D.Tables(spark, base))
+    return finish(M.balanced_weights(d, "quality").select("doc_id", "quality", "weight"))
+
+
+@query("target_encoding")
+def q_target_encoding(spark, base):
+    s = D.scored_orders(D.Tables(spark, base)).join(D.Tables(spark, base).orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
+    train = s.where(F.col("fold") != 0)
+    test = s.where(F.col("fold") == 0)
+    _, te = prep.target_encode(train, [test], ["o_orderpriority"], "y", smoothing=10.0)
+    return finish(te.select("o_orderkey", "o_orderpriority", "o_orderpriority_te"))
+
+
+@query("tfidf_terms")
+def q_tfidf_terms(spark, base):
+    d = prep.text_tokens(D.Tables(spark, base).documents.select("doc_id", "text"), "text")
+    (out,) = prep.tfidf_top_terms(d, [], "tokens", vocab=5)
+    from pyspark.ml.functions import vector_to_array
+    return finish(out.select("doc_id", vector_to_array("tfidf").alias("tfidf")))
+
+
+# ------------------------------------------------------------------ model jobs (rows-only checks)
+
+def _doc_split(spark, base):
+    d = D.doc_features(D.Tables(spark, base))
+    s = M.stratified_split(d, "quality", ["doc_id"], 0.25)
+    pipe = prep.feature_pipeline(s, numeric=D.DOC_NUMERIC, onehot=["lang"])
+    model = pipe.fit(s.where("split = 'train'"))
+    data = model.transform(s).checkpoint()       # cut the text-parsing lineage before iterative fits
+    return data.where("split = 'train'"), data.where("split = 'test'")
+
+
+def _clf_metrics(pred: DataFrame, label: str = "quality", score: str = "p1") -> DataFrame:
+    auc = K.roc_auc(pred, label, score).withColumnRenamed("roc_auc", "roc_auc")
+    ap = K.average_precision(pred, label, score)
+    f1 = K.binary_scores(pred.withColumn("_yp", F.col("prediction").cast("int")).withColumn("_y", F.col(label).cast("int")), "_y", "_yp")
+    return auc.withColumn("average_precision", ap.select("average_precision").scalar()) \
+              .withColumn("f1", f1.select("f1").scalar()).withColumn("accuracy", f1.select("accuracy").scalar())
+
+
+def _p1(df):
+    from pyspark.ml.functions import vector_to_array
+    return df.withColumn("p1", vector_to_array("probability")[1])
+
+
+@query("doc_quality_models")
+def q_doc_quality_models(spark, base):
+    train, test = _doc_split(spark, base)
+    train = M.balanced_weights(train, "quality")
+    rows = {}
+    for name, est in [("logistic", G.logistic(label="quality", reg=0.01, weight="weight", maxIter=30)),
+                      ("random_forest", G.random_forest(label="quality", trees=20, depth=5, weight="weight")),
+                      ("gbt", G.gbt_classifier(label="quality", iters=10, depth=3))]:
+        rows[name] = _clf_metrics(_p1(est.fit(train).transform(test)))
+    svc = G.linear_svc(label="quality", weight="weight").setMaxIter(30).fit(train)
+    rows["linear_svc"] = _clf_metrics(G.score(test, svc, out="p1"))
+    (base_pred,) = G.baseline(test, [], "quality", kind="mode")[:1]
+    rows["majority"] = _clf_metrics(base_pred.withColumn("p1", F.col("prediction").cast("double")))
+    return finish(G.comparison_table(rows))
+
+
+@query("grid_search")
+def q_grid_search(spark, base):
+    train, _ = _doc_split(spark, base)
+    train = M.stratified_kfold_column(train, "quality", ["doc_id"], 3)
+    lr = G.logistic(label="quality", maxIter=30)
+    from pyspark.ml.tuning import ParamGridBuilder
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build()
+    ev = G.BinaryClassificationEvaluator(labelCol="quality", metricName="areaUnderROC")
+    _, res = G.grid_search(lr, grid, ev, train, fold_col="fold", parallelism=4)
+    return finish(res)
+
+
+@query("calibration")
+def q_calibration(spark, base):
+    train, test = _doc_split(spark, base)
+    m = G.random_forest(label="quality", trees=20, depth=5).fit(train)
+    scored = _p1(m.transform(test))
+    halves = M.hash_split(scored, ["doc_id"], [0.5, 0.5], ["calib", "held"], seed=7)
+    calib, held = halves.where("split = 'calib'"), halves.where("split = 'held'")
+    _, cal = G.isotonic_calibrate(calib, [held], "p1", "quality")
+    before = K.ece_mce(held, "quality", "p1").select(F.lit("raw").alias("scores"), "*")
+    after = K.ece_mce(cal, "quality", "calibrated").select(F.lit("isotonic").alias("scores"), "*")
+    return finish(before.unionByName(after))
+
+
+@query("kmeans_elbow")
+def q_kmeans_elbow(spark, base):
+    from pyspark.ml.functions import array_to_vector
+    e = D.Tables(spark, base).embeddings.select("vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    table, _ = G.kmeans_elbow(e, "features", [2, 4, 6, 8, 10])
+    return finish(table)
+
+
+@query("cluster_feature")
+def q_cluster_feature(spark, base):
+    from pyspark.ml.functions import array_to_vector
+    e = D.Tables(spark, base).embeddings.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    e = M.hash_split(e, ["vec_id"], [0.8, 0.2], ["train", "test"])
+    tr, te = G.cluster_feature(e.where("split = 'train'"), [e.where("split = 'test'")], "features", k=10)
+    both = tr.unionByName(te)
+    return finish(R.cluster_profile(both.withColumn("label_d", F.col("label").cast("double")), "cluster", ["label_d"]))
+
+
+@query("knn_regression")
+def q_knn_regression(spark, base):
+    e = D.Tables(spark, base).embeddings.select("vec_id", "label", *[F.col("embedding").getItem(i).cast("double").alias(f"e{i}") for i in range(16)])
+    e = M.hash_split(e, ["vec_id"], [0.8, 0.2], ["train", "test"])
+    feats = [f"e{i}" for i in range(16)]
+    pred = G.knn_regress(e.where("split = 'train'"), e.where("split = 'test'"), feats, "label", "vec_id", k=5, weights="distance")
+    return finish(pred.join(e.select("vec_id", F.col("label").cast("double").alias("y")), "vec_id"))
+
+
+@query("multiclass_ovo")
+def q_multiclass_ovo(spark, base):
+    t = D.Tables(spark, base)
+    d = t.documents.select("doc_id", "lang", F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
+                           F.try_divide(F.length(F.regexp_replace("text", "[^\\p{IsLatin}]", "")).cast("double"), F.col("n_chars").cast("double")).alias("latin_share"),
+                           F.try_divide(F.length(F.regexp_replace("text", "[^éèêàçùâîôûëïü]", "")).cast("double"), F.col("n_chars").cast("double")).alias("accent_share"))
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    d = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(d).transform(d)
+    d = VectorAssembler(inputCols=["log_chars", "latin_share", "accent_share"], outputCol="features", handleInvalid="keep").transform(d)
+    d = M.hash_split(d, ["doc_id"], [0.75, 0.25], ["train", "test"]).checkpoint()
+    classes = [r[0] for r in d.select("label").distinct().orderBy("label").collect()]
+    from pyspark.ml.classification import LinearSVC
+    pred = G.one_vs_one(d.where("split = 'train'"), d.where("split = 'test'"), classes, make=lambda: LinearSVC(maxIter=20))
+    return finish(K.classification_report(pred, "label", "prediction"))
+
+
+@query("regression_models")
+def q_regression_models(spark, base):
+    t = D.Tables(spark, base)
+    li = (t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+          .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", "p_size"), "l_partkey"))
+    li = M.hash_split(li, ["l_orderkey", "l_linenumber", "l_partkey"], [0.8, 0.2], ["train", "test"])
+    from pyspark.ml.feature import VectorAssembler
+    feats = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+    li = VectorAssembler(inputCols=feats, outputCol="features").transform(li).checkpoint()
+    tr, te = li.where("split = 'train'"), li.where("split = 'test'")
+    rows = {}
+    for name, est in [("ols", G.LinearRegression(labelCol="l_extendedprice")),
+                      ("ridge", G.LinearRegression(labelCol="l_extendedprice", regParam=1.0, elasticNetParam=0.0)),
+                      ("lasso", G.LinearRegression(labelCol="l_extendedprice", regParam=1.0, elasticNetParam=1.0)),
+                      ("huber", G.huber(label="l_extendedprice")),
+                      ("tree", G.decision_tree(label="l_extendedprice", depth=6)),
+                      ("gbt", G.gbt_regressor(label="l_extendedprice", iters=20, depth=4))]:
+        rows[name] = K.regression_metrics(est.fit(tr).transform(te), "l_extendedprice", "prediction")
+    (bp,) = G.baseline(tr, [te], "l_extendedprice")[1:]
+    rows["mean_baseline"] = K.regression_metrics(bp, "l_extendedprice", "prediction")
+    return finish(G.comparison_table(rows))
+
+
+@query("feature_importance")
+def q_feature_importance(spark, base):
+    t = D.Tables(spark, base)
+    li = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", "p_size"), "l_partkey")
+    from pyspark.ml.feature import VectorAssembler
+    feats = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
+    li = VectorAssembler(inputCols=feats, outputCol="features").transform(li).checkpoint()
+    m = G.gbt_regressor(label="l_extendedprice", iters=15, depth=4).fit(li)
+    return finish(G.importances(m, feats, spark))
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, base):
+    t = D.Tables(spark, base)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice") \
+        .withColumn("row_key", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax"))
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    from pyspark.ml.feature import VectorAssembler
+    asm = VectorAssembler(inputCols=feats, outputCol="features")
+    m = G.decision_tree(label="l_extendedprice", depth=5).fit(asm.transform(li))
+    rmse = lambda d: d.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2)))).first()[0]
+    return finish(G.permutation_importance(m, li, feats, "row_key", lambda d: -rmse(d), asm.transform, repeats=3))
+
+
+@query("forecast_scoring")
+def q_forecast_scoring(spark, base):
+    from tessera.plans.jobs import forecast_scoring
+    return finish(forecast_scoring(D.Tables(spark, base)))
+
+
+@query("written_batch_features")
+def q_written_batch_features(spark, base):
+    from tessera.plans.jobs import batch_features_job
+    return finish(batch_features_job(D.Tables(spark, base)))
+
+
+@query("credit_observations")
+def q_credit_observations(spark, base):
+    from tessera.plans.jobs import credit_observations
+    return finish(credit_observations(D.Tables(spark, base)))
+
+
+@query("booking_table")
+def q_booking_table(spark, base):
+    from tessera.plans.jobs import booking_table
+    return finish(booking_table(D.Tables(spark, base)))
+
+
+@query("visitor_features")
+def q_visitor_features(spark, base):
+    from tessera.plans.jobs import visitor_features
+    return finish(visitor_features(D.Tables(spark, base)))
