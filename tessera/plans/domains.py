@@ -295,3 +295,16 @@ def doc_features(t: Tables) -> DataFrame:
 
 
 DOC_NUMERIC = ["log_chars", "log_words", "n_lines", "digit_share", "upper_share"]
+
+
+def dirty_games(t: Tables) -> DataFrame:
+    """Parts as a raw games table with the defects the cleaning steps fix:
+    padded upper-case names, 'unknown' years, 'tbd' user scores, missing
+    critic scores and an obsolete rating code."""
+    year = F.when(F.col("p_size") > 45, F.lit("unknown")).otherwise((F.lit(1990) + F.col("p_size")).cast("string"))
+    user = F.when(F.col("p_size") % 7 == 0, F.lit("tbd")).otherwise(((F.col("p_retailprice") - 900) / 10).cast("string"))
+    critic = F.when(F.col("p_size") < 5, F.lit(None).cast("int")).otherwise(F.col("p_size") * 2)
+    rating = F.when(F.col("p_type") == "PROMO", F.lit("K-A")).otherwise(F.col("p_type"))
+    return t.part.select(F.concat(F.lit("  "), F.upper("p_name"), F.lit(" ")).alias("Name"), F.col("p_brand").alias("Platform"),
+                         year.alias("Year_of_Release"), F.col("p_type").alias("Genre"), critic.alias("Critic_Score"),
+                         user.alias("User_Score"), rating.alias("Rating"))

@@ -1065,3 +1065,50 @@ def _():
           FROM pr JOIN orders o USING (o_orderkey) JOIN m_users u ON u.buyer_id = o.o_custkey)
     SELECT r_name, count(*) AS n, avg(rel) AS mean_rel_error, avg(CASE WHEN rel < 0 THEN 1.0 ELSE 0.0 END) AS share_under,
            avg(CASE WHEN rel > 0 THEN 1.0 ELSE 0.0 END) AS share_over FROM e GROUP BY r_name"""
+
+
+# ------------------------------------------------------------------ cleaning pipelines
+@oracle("clean_pipeline", dbl=("critic_score", "user_score"), ints=("year_of_release",))
+def _():
+    return """WITH raw AS (
+      SELECT lower(trim(replace('  ' || upper(p_name) || ' ', '  ', ' '))) AS name0, '  ' || upper(p_name) || ' ' AS rawname,
+             p_brand AS platform, CASE WHEN p_size > 45 THEN NULL ELSE 1990 + p_size END AS year_of_release, p_type AS genre,
+             CASE WHEN p_size < 5 THEN NULL ELSE p_size * 2 END AS critic_score,
+             CASE WHEN p_size % 7 = 0 THEN NULL ELSE (p_retailprice - 900) / 10 END AS user_score,
+             CASE WHEN p_type = 'PROMO' THEN 'E' ELSE p_type END AS rating FROM part),
+    gm AS (SELECT platform, avg(critic_score) AS m FROM raw GROUP BY platform),
+    f AS (SELECT replace(lower(trim(rawname)), '  ', ' ') AS name, r.platform, r.year_of_release, r.genre,
+                 COALESCE(CAST(r.critic_score AS DOUBLE), gm.m) AS critic_score, COALESCE(r.user_score, -1.0) AS user_score, r.rating
+          FROM raw r LEFT JOIN gm ON gm.platform IS NOT DISTINCT FROM r.platform
+          WHERE r.year_of_release IS NOT NULL AND r.year_of_release BETWEEN 1995 AND 2030),
+    d AS (SELECT DISTINCT * FROM f)
+    SELECT *, CASE WHEN critic_score >= 0 AND critic_score < 30 THEN 'low' WHEN critic_score >= 30 AND critic_score < 80 THEN 'mid'
+                   WHEN critic_score >= 80 AND critic_score < 101 THEN 'high' ELSE 'none' END AS critic_grade FROM d"""
+
+
+@oracle("derived_columns", ts=("order_ts_utc",), ints=("many_lines", "has_lines", "in_last_year"),
+        dbl=("value_per_line", "log_value", "sqrt_value", "stability", "qty_rescaled", "acctbal_valid", "acctbal_clipped"))
+def _():
+    return """WITH l AS (SELECT l_orderkey, count(*) AS n_lines, max(l_quantity) AS max_qty FROM lineitem GROUP BY l_orderkey),
+    o AS (SELECT o.o_orderkey, o.o_orderdate, timezone('UTC', timezone('Europe/Moscow', o.o_orderdate)) AS utc_ts, o.o_totalprice,
+                 l.n_lines, l.max_qty, c.c_acctbal
+          FROM orders o LEFT JOIN l ON l.l_orderkey = o.o_orderkey JOIN customer c ON c.c_custkey = o.o_custkey)
+    SELECT o_orderkey,
+           CASE WHEN month(o_orderdate) IN (12, 1, 2) THEN 'winter' WHEN month(o_orderdate) IN (3, 4, 5) THEN 'spring'
+                WHEN month(o_orderdate) IN (6, 7, 8) THEN 'summer' WHEN month(o_orderdate) IN (9, 10, 11) THEN 'autumn' END AS season,
+           utc_ts AS order_ts_utc,
+           CASE WHEN COALESCE(n_lines, 0) >= 5 THEN 1 ELSE 0 END AS many_lines,
+           o_totalprice / NULLIF(CAST(n_lines AS DOUBLE), 0) AS value_per_line, ln(1 + o_totalprice) AS log_value,
+           sqrt(o_totalprice) AS sqrt_value, o_totalprice / (COALESCE(n_lines, 0) + 1) AS stability,
+           CASE WHEN max_qty > 45 THEN floor(max_qty / 10.0) ELSE max_qty END AS qty_rescaled,
+           CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS acctbal_valid, greatest(c_acctbal, 0.0) AS acctbal_clipped,
+           CAST(CAST(round(CAST(n_lines AS DOUBLE) / 7 * 100, 2) AS DECIMAL(20,2)) AS VARCHAR) || '%' AS line_fill_pct,
+           CASE WHEN n_lines IS NOT NULL THEN 1 ELSE 0 END AS has_lines,
+           CASE WHEN utc_ts >= TIMESTAMP '1998-01-01' - INTERVAL 365 DAY AND utc_ts < TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END AS in_last_year
+    FROM o"""
+
+
+@oracle("text_flags", ints=("has_the_and",))
+def _():
+    return """SELECT doc_id, lang, CASE WHEN text IS NULL THEN NULL WHEN contains(lower(text), 'the') AND contains(lower(text), 'and') THEN 1 ELSE 0 END AS has_the_and,
+           length(lower(trim(text))) AS norm_len FROM documents"""
