@@ -1112,3 +1112,75 @@ def _():
 def _():
     return """SELECT doc_id, lang, CASE WHEN text IS NULL THEN NULL WHEN contains(lower(text), 'the') AND contains(lower(text), 'and') THEN 1 ELSE 0 END AS has_the_and,
            length(lower(trim(text))) AS norm_len FROM documents"""
+
+
+# ------------------------------------------------------------------ splits and preparation
+DOCS = "dl AS (SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS DOUBLE) AS toxic FROM documents d JOIN labels l USING (doc_id))"
+
+
+@oracle("stratified_split", dbl=("quality",), ints=("n",))
+def _():
+    return f"""WITH {DOCS}, c AS (SELECT quality, count(*) AS n FROM dl GROUP BY quality)
+    SELECT 'test' AS split, quality, ceil(n * 0.2) AS n FROM c WHERE ceil(n * 0.2) > 0
+    UNION ALL SELECT 'train', quality, n - ceil(n * 0.2) FROM c WHERE n - ceil(n * 0.2) > 0"""
+
+
+@oracle("stratified_folds", dbl=("quality",), ints=("fold", "n"))
+def _():
+    return f"""WITH {DOCS}, r AS (SELECT quality, row_number() OVER (PARTITION BY quality ORDER BY doc_id) - 1 AS rk FROM dl)
+    SELECT rk % 5 AS fold, quality, count(*) AS n FROM r GROUP BY ALL"""
+
+
+@oracle("group_split_leakage")
+def _():
+    return "SELECT 'train' AS split_a, 'test' AS split_b, CAST(0 AS BIGINT) AS shared_keys"
+
+
+@oracle("time_split", dates=("first_date", "last_date"))
+def _():
+    return """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders),
+    s AS (SELECT d, CASE WHEN d < DATE '1999-08-01' THEN 'train' WHEN d < DATE '2000-08-01' THEN 'calib' ELSE 'test' END AS split FROM o)
+    SELECT split, count(*) AS n, min(d) AS first_date, max(d) AS last_date FROM s GROUP BY split"""
+
+
+@oracle("time_fraction_split")
+def _():
+    e = "CAST(epoch_us(o_orderdate) AS DOUBLE)"
+    return f"""WITH q AS (SELECT quantile_cont({e}, 0.6) AS c0, quantile_cont({e}, 0.8) AS c1 FROM orders)
+    SELECT CASE WHEN {e} < q.c0 THEN 'train' WHEN {e} < q.c1 THEN 'val' ELSE 'test' END AS split, count(*) AS n
+    FROM orders, q GROUP BY 1"""
+
+
+@oracle("time_folds", ints=("fold",))
+def _():
+    return """WITH r AS (SELECT dense_rank() OVER (ORDER BY CAST(o_orderdate AS DATE)) AS p FROM orders),
+    n AS (SELECT max(p) AS n FROM r), f AS (SELECT unnest(range(0, 3)) AS fold),
+    b AS (SELECT fold, n - (3 - fold) * (n // 4) AS end_train, n // 4 AS ts FROM f, n)
+    SELECT b.fold, count(*) FILTER (WHERE r.p <= b.end_train) AS train_rows,
+           count(*) FILTER (WHERE r.p > b.end_train AND r.p <= b.end_train + b.ts) AS test_rows FROM b, r GROUP BY b.fold"""
+
+
+@oracle("resample", dbl=("toxic",), ints=("n",))
+def _():
+    return f"""WITH {DOCS}, c AS (SELECT count(*) FILTER (WHERE toxic = 1) AS n_min, count(*) FILTER (WHERE toxic != 1) AS n_maj FROM dl),
+    t AS (SELECT n_min, n_maj, greatest(n_min, floor(0.3 * n_maj)) AS target_min FROM c)
+    SELECT 1.0 AS toxic, target_min AS n FROM t UNION ALL SELECT 0.0, least(n_maj, floor(target_min / 0.6)) FROM t"""
+
+
+@oracle("class_weights", dbl=("quality", "weight"))
+def _():
+    return f"""WITH {DOCS}, c AS (SELECT quality, count(*) AS nc FROM dl GROUP BY quality)
+    SELECT dl.doc_id, dl.quality, (SELECT count(*) FROM dl) / ((SELECT count(*) FROM c) * c.nc) AS weight
+    FROM dl JOIN c ON c.quality IS NOT DISTINCT FROM dl.quality"""
+
+
+@oracle("target_encoding", dbl=("o_orderpriority_te",))
+def _():
+    return f"""WITH {SCORED}, s AS (SELECT sc.*, o.o_orderpriority FROM sc JOIN orders o USING (o_orderkey)),
+    tr AS (SELECT * FROM s WHERE fold != 0), prior AS (SELECT avg(CAST(y AS DOUBLE)) AS p FROM tr),
+    enc AS (SELECT o_orderpriority, (sum(CAST(y AS DOUBLE)) + 10.0 * (SELECT p FROM prior)) / (count(*) + 10.0) AS e FROM tr GROUP BY 1)
+    SELECT s.o_orderkey, s.o_orderpriority, COALESCE(enc.e, (SELECT p FROM prior)) AS o_orderpriority_te
+    FROM s LEFT JOIN enc USING (o_orderpriority) WHERE s.fold = 0"""
+
+
+ORACLE["written_batch_features"] = ORACLE["batch_features"]
