@@ -292,15 +292,17 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], key: s
     unique rank, so it stays balanced at any scale."""
     base = metric(model.transform(assemble(df)))
     ranked = with_rank(df, [], [F.col(key)]).withColumnRenamed("_rank", "_r1").drop("_n")
-    rows = []
-    for c in features:
-        drops = []
-        for r in range(repeats):
-            perm = with_rank(df.select(F.col(c).alias("_v"), F.xxhash64(F.lit(seed + r), F.col(key)).alias("_h"), key),
-                             [], [F.col("_h"), F.col(key)]).select(F.col("_rank").alias("_r1"), "_v")
-            shuffled = ranked.join(perm, "_r1").withColumn(c, F.col("_v")).drop("_v", "_r1")
-            drops.append(base - metric(model.transform(assemble(shuffled))))
-        rows.append((c, float(np.mean(drops)), float(np.std(drops))))
+    drops: dict[str, list[float]] = {c: [] for c in features}
+    for r in range(repeats):
+        # one seeded permutation per repeat: row rank i takes the feature values of hash-rank i
+        perm = with_rank(df.select(key, *[F.col(c).alias(f"_v_{c}") for c in features],
+                                   F.xxhash64(F.lit(seed + r), F.col(key)).alias("_h")),
+                         [], [F.col("_h"), F.col(key)]).select(F.col("_rank").alias("_r1"), *[f"_v_{c}" for c in features])
+        joined = ranked.join(perm, "_r1").checkpoint()
+        for c in features:
+            shuffled = joined.withColumn(c, F.col(f"_v_{c}")).drop("_r1", *[f"_v_{x}" for x in features])
+            drops[c].append(base - metric(model.transform(assemble(shuffled))))
+    rows = [(c, float(np.mean(v)), float(np.std(v))) for c, v in drops.items()]
     return df.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
 
 

@@ -101,19 +101,16 @@ def credit_observations(t: D.Tables) -> DataFrame:
 
 def booking_table(t: D.Tables) -> DataFrame:
     """E5: bookings (orders) with the latest earlier review of the same
-    customer (J6, strict), season (P25), per-line value (P28), rescaled
-    outliers (P21) and a recoded status flag (P10)."""
+    customer (J6, strict; reviews repaired then averaged per customer and
+    day), season (P25), per-line value (P28), a recoded status flag (P10)
+    and a constant fill for bookings without an earlier review (P5)."""
     bookings = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus")
     lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_lines"))
-    reviews = (D.market_reviews(t).join(t.lineitem.select(F.col("l_orderkey").alias("order_id"), "l_shipdate").distinct(),
-                                        "order_id")
-               .join(t.orders.select(F.col("o_orderkey").alias("order_id"), "o_custkey"), "order_id")
-               .groupBy("o_custkey", "l_shipdate").agg(F.avg("review_score").alias("stay_rating")))
+    reviews = D.dated_reviews(t).groupBy("o_custkey", "l_shipdate").agg(F.avg("review_score").alias("stay_rating"))
     b = joins.asof_join(bookings, reviews, ["o_custkey"], "o_orderdate", "l_shipdate", ["stay_rating"], strict=True)
     b = b.join(lines, "o_orderkey", "left")
     b = (b.withColumn("season", season(F.month("o_orderdate")))
          .withColumn("value_per_line", ratio("o_totalprice", "n_lines"))
-         .withColumn("stay_rating", F.when(F.col("stay_rating") > 5, F.col("stay_rating") / 10).otherwise(F.col("stay_rating")))
          .withColumn("is_canceled", F.when(F.col("o_orderstatus") == "P", 1).otherwise(0)))
     return clean.fill_const(b, {"stay_rating": -1.0})
 

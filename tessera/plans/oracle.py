@@ -1184,3 +1184,65 @@ def _():
 
 
 ORACLE["written_batch_features"] = ORACLE["batch_features"]
+
+
+# ------------------------------------------------------------------ end-to-end jobs E4-E6
+@oracle("visitor_features", dbl=tuple(f"n_{v}_share" for v in TYPES) + ("sessions_per_day",))
+def _():
+    cnt = ", ".join(f"count(*) FILTER (WHERE event_type = '{v}') AS n_{v}" for v in TYPES)
+    tot = " + ".join(f"n_{v}" for v in TYPES)
+    shares = ", ".join(f"CAST(n_{v} AS DOUBLE) / NULLIF({tot}, 0) AS n_{v}_share" for v in TYPES)
+    return f"""WITH piv AS (SELECT user_id, {cnt} FROM events GROUP BY user_id),
+    sh AS (SELECT *, {shares} FROM piv),
+    fe AS (SELECT user_id, event_type AS first_event_type FROM (
+             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1),
+    spd AS (SELECT user_id, CAST(count(DISTINCT user_id * 100000 + (CAST(ts AS DATE) - DATE '1970-01-01')) AS DOUBLE)
+                   / count(DISTINCT CAST(ts AS DATE)) AS sessions_per_day FROM events GROUP BY user_id),
+    cu AS (SELECT c.c_custkey AS user_id, c.c_mktsegment, r.r_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+           JOIN region r ON n.n_regionkey = r.r_regionkey)
+    SELECT * FROM sh JOIN fe USING (user_id) JOIN spd USING (user_id) LEFT JOIN cu USING (user_id)"""
+
+
+@oracle("credit_observations", dates=("score_date",), ts=("l_shipdate",),
+        dbl=("l_extendedprice", "c_acctbal", "market_avg_price", "balance_to_last_shipment", "log_last_shipment"),
+        ints=("target", "overdue_days", "c_nationkey", "days_since_last_shipment"))
+def _():
+    return f"""WITH {SHIP},
+    firsts AS (SELECT o_custkey, min(CAST(l_shipdate AS DATE)) AS f FROM ship WHERE overdue_days >= 90 GROUP BY o_custkey),
+    last AS (SELECT max(CAST(l_shipdate AS DATE)) AS l FROM ship),
+    lab AS (SELECT c.o_orderkey, c.o_custkey, CAST(c.o_orderdate AS DATE) AS score_date,
+                   CASE WHEN f.f IS NOT NULL AND f.f < CAST(c.o_orderdate AS DATE) + 365 THEN 1 ELSE 0 END AS target
+            FROM orders c LEFT JOIN firsts f ON f.o_custkey = c.o_custkey
+            WHERE (f.f IS NULL OR f.f >= CAST(c.o_orderdate AS DATE)) AND CAST(c.o_orderdate AS DATE) <= (SELECT l FROM last) - 365),
+    pairs AS (SELECT lab.o_orderkey, s.l_shipdate, s.l_extendedprice, s.overdue_days,
+                     row_number() OVER (PARTITION BY lab.o_orderkey ORDER BY s.l_shipdate DESC, s.l_extendedprice DESC, s.overdue_days DESC) AS rn
+              FROM lab JOIN ship s ON s.o_custkey = lab.o_custkey AND s.l_shipdate < CAST(lab.score_date AS TIMESTAMP)),
+    a AS (SELECT lab.*, p.l_shipdate, p.l_extendedprice, p.overdue_days FROM lab LEFT JOIN pairs p ON p.o_orderkey = lab.o_orderkey AND p.rn = 1),
+    daily AS (SELECT CAST(o_orderdate AS DATE) AS score_date, avg(o_totalprice) AS market_avg_price FROM orders GROUP BY 1)
+    SELECT a.*, c.c_acctbal, c.c_mktsegment, c.c_nationkey, d.market_avg_price,
+           c.c_acctbal / NULLIF(a.l_extendedprice, 0) AS balance_to_last_shipment, ln(1 + a.l_extendedprice) AS log_last_shipment,
+           datediff('day', CAST(a.l_shipdate AS DATE), a.score_date) AS days_since_last_shipment
+    FROM a LEFT JOIN customer c ON c.c_custkey = a.o_custkey LEFT JOIN daily d ON d.score_date = a.score_date"""
+
+
+@oracle("booking_table", ts=("o_orderdate", "l_shipdate"), dbl=("o_totalprice", "stay_rating", "value_per_line"),
+        ints=("is_canceled",))
+def _():
+    return """WITH rv AS (SELECT o.o_custkey, l.l_shipdate,
+                   avg(CASE WHEN (CASE WHEN l.l_linestatus = 'O' THEN (CAST(floor(l.l_quantity) AS BIGINT) % 5 + 1) * 10
+                                       ELSE CAST(floor(l.l_quantity) AS BIGINT) % 5 + 1 END) > 5
+                            THEN (CASE WHEN l.l_linestatus = 'O' THEN (CAST(floor(l.l_quantity) AS BIGINT) % 5 + 1) * 10
+                                       ELSE CAST(floor(l.l_quantity) AS BIGINT) % 5 + 1 END) / 10.0
+                            ELSE CAST(CAST(floor(l.l_quantity) AS BIGINT) % 5 + 1 AS DOUBLE) END) AS stay_rating
+            FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2),
+    pairs AS (SELECT b.o_orderkey, r.l_shipdate, r.stay_rating,
+                     row_number() OVER (PARTITION BY b.o_orderkey ORDER BY r.l_shipdate DESC, r.stay_rating DESC) AS rn
+              FROM orders b JOIN rv r ON r.o_custkey = b.o_custkey AND r.l_shipdate < b.o_orderdate),
+    nl AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1)
+    SELECT b.o_orderkey, b.o_custkey, b.o_orderdate, b.o_totalprice, b.o_orderstatus, p.l_shipdate,
+           COALESCE(p.stay_rating, -1.0) AS stay_rating, nl.n_lines,
+           CASE WHEN month(b.o_orderdate) IN (12, 1, 2) THEN 'winter' WHEN month(b.o_orderdate) IN (3, 4, 5) THEN 'spring'
+                WHEN month(b.o_orderdate) IN (6, 7, 8) THEN 'summer' WHEN month(b.o_orderdate) IN (9, 10, 11) THEN 'autumn' END AS season,
+           b.o_totalprice / NULLIF(CAST(nl.n_lines AS DOUBLE), 0) AS value_per_line,
+           CASE WHEN b.o_orderstatus = 'P' THEN 1 ELSE 0 END AS is_canceled
+    FROM orders b LEFT JOIN pairs p ON p.o_orderkey = b.o_orderkey AND p.rn = 1 LEFT JOIN nl ON nl.l_orderkey = b.o_orderkey"""

@@ -700,8 +700,8 @@ def q_doc_quality_models(spark, base):
     train = M.balanced_weights(train, "quality")
     rows = {}
     for name, est in [("logistic", G.logistic(label="quality", reg=0.01, weight="weight", maxIter=30)),
-                      ("random_forest", G.random_forest(label="quality", trees=20, depth=5, weight="weight")),
-                      ("gbt", G.gbt_classifier(label="quality", iters=10, depth=3))]:
+                      ("random_forest", G.random_forest(label="quality", trees=10, depth=5, weight="weight")),
+                      ("gbt", G.gbt_classifier(label="quality", iters=5, depth=3))]:
         rows[name] = _clf_metrics(_p1(est.fit(train).transform(test)))
     svc = G.linear_svc(label="quality", weight="weight").setMaxIter(30).fit(train)
     rows["linear_svc"] = _clf_metrics(G.score(test, svc, out="p1"))
@@ -774,7 +774,7 @@ def q_multiclass_ovo(spark, base):
     d = M.hash_split(d, ["doc_id"], [0.75, 0.25], ["train", "test"]).checkpoint()
     classes = [r[0] for r in d.select("label").distinct().orderBy("label").collect()]
     from pyspark.ml.classification import LinearSVC
-    pred = G.one_vs_one(d.where("split = 'train'"), d.where("split = 'test'"), classes, make=lambda: LinearSVC(maxIter=20))
+    pred = G.one_vs_one(d.where("split = 'train'"), d.where("split = 'test'"), classes, make=lambda: LinearSVC(maxIter=10))
     return finish(K.classification_report(pred, "label", "prediction"))
 
 
@@ -794,7 +794,7 @@ def q_regression_models(spark, base):
                       ("lasso", G.LinearRegression(labelCol="l_extendedprice", regParam=1.0, elasticNetParam=1.0)),
                       ("huber", G.huber(label="l_extendedprice")),
                       ("tree", G.decision_tree(label="l_extendedprice", depth=6)),
-                      ("gbt", G.gbt_regressor(label="l_extendedprice", iters=20, depth=4))]:
+                      ("gbt", G.gbt_regressor(label="l_extendedprice", iters=8, depth=4))]:
         rows[name] = K.regression_metrics(est.fit(tr).transform(te), "l_extendedprice", "prediction")
     (bp,) = G.baseline(tr, [te], "l_extendedprice")[1:]
     rows["mean_baseline"] = K.regression_metrics(bp, "l_extendedprice", "prediction")
@@ -808,7 +808,7 @@ def q_feature_importance(spark, base):
     from pyspark.ml.feature import VectorAssembler
     feats = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
     li = VectorAssembler(inputCols=feats, outputCol="features").transform(li).checkpoint()
-    m = G.gbt_regressor(label="l_extendedprice", iters=15, depth=4).fit(li)
+    m = G.gbt_regressor(label="l_extendedprice", iters=8, depth=4).fit(li)
     return finish(G.importances(m, feats, spark))
 
 
@@ -820,6 +820,7 @@ def q_permutation_importance(spark, base):
     feats = ["l_quantity", "l_discount", "l_tax"]
     from pyspark.ml.feature import VectorAssembler
     asm = VectorAssembler(inputCols=feats, outputCol="features")
+    li = li.checkpoint()
     m = G.decision_tree(label="l_extendedprice", depth=5).fit(asm.transform(li))
     rmse = lambda d: d.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2)))).first()[0]
     return finish(G.permutation_importance(m, li, feats, "row_key", lambda d: -rmse(d), asm.transform, repeats=3))
