@@ -70,7 +70,8 @@ def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     merged by the optimizer into one aggregate)."""
     out = df
     for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), df.agg(F.avg(c)).scalar()))
+        mean = df.agg(ratio(F.sum(c), F.count(c))).scalar()     # exact sum / count, as a float mean
+        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), mean))
     return out
 
 

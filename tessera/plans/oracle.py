@@ -1246,3 +1246,53 @@ def _():
            b.o_totalprice / NULLIF(CAST(nl.n_lines AS DOUBLE), 0) AS value_per_line,
            CASE WHEN b.o_orderstatus = 'P' THEN 1 ELSE 0 END AS is_canceled
     FROM orders b LEFT JOIN pairs p ON p.o_orderkey = b.o_orderkey AND p.rn = 1 LEFT JOIN nl ON nl.l_orderkey = b.o_orderkey"""
+
+
+# ------------------------------------------------------------------ remaining profiling / cleaning / join operators
+@oracle("load_report", dates=("min_date", "max_date", "first_plan_date"))
+def _():
+    return f"""WITH {PANEL}, fp AS (SELECT max(date) - 7 * 7 AS first_plan FROM panel)
+    SELECT count(*) AS rows, min(date) AS min_date, max(date) AS max_date,
+           min(CASE WHEN date >= (SELECT first_plan FROM fp) THEN date END) AS first_plan_date FROM panel"""
+
+
+@oracle("anomaly_counts")
+def _():
+    return """SELECT l_returnflag, count(*) AS rows, 'quantity_over_45' AS "check" FROM lineitem WHERE l_quantity > 45 GROUP BY 1
+    UNION ALL SELECT l_returnflag, count(*), 'zero_discount' FROM lineitem WHERE l_discount = 0 GROUP BY 1"""
+
+
+@oracle("fills", ts=("first_event_ts",), dbl=("n_events", "value_sum"))
+def _():
+    return f"""WITH {ACTIVITY},
+    med AS (SELECT quantile_cont(CAST(n_events AS DOUBLE), 0.5) AS m FROM ca WHERE c_nationkey < 15),
+    mx AS (SELECT max(first_event_ts) AS m FROM ca),
+    mv AS (SELECT CAST(sum(CAST(value_sum AS DECIMAL(15,2))) AS DOUBLE) / count(value_sum) AS m FROM ca)
+    SELECT c_custkey, COALESCE(CAST(n_events AS DOUBLE), (SELECT m FROM med)) AS n_events,
+           COALESCE(first_event_ts, (SELECT m FROM mx)) AS first_event_ts,
+           COALESCE(CAST(CAST(value_sum AS DECIMAL(15,2)) AS DOUBLE), (SELECT m FROM mv)) AS value_sum FROM ca"""
+
+
+@oracle("suffixed_join", dbl=("total_orders", "total_lines"))
+def _():
+    return """WITH a AS (SELECT o_custkey AS cust, count(*) AS n_orders, sum(CAST(o_totalprice AS DECIMAL(15,2))) AS total_orders
+                    FROM orders GROUP BY 1),
+    b AS (SELECT o.o_custkey AS cust, count(*) AS n_lines, sum(CAST(l.l_extendedprice AS DECIMAL(15,2))) AS total_lines
+          FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1)
+    SELECT a.cust, a.n_orders, a.total_orders, b.n_lines, b.total_lines FROM a LEFT JOIN b USING (cust)"""
+
+
+@oracle("group_share", dbl=("price", "customer_total", "share_of_customer"))
+def _():
+    return """WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(15,2)) AS price FROM orders),
+    t AS (SELECT o_custkey, sum(price) AS customer_total FROM o GROUP BY 1)
+    SELECT o.*, t.customer_total, CAST(o.price AS DOUBLE) / CAST(t.customer_total AS DOUBLE) AS share_of_customer
+    FROM o LEFT JOIN t ON t.o_custkey IS NOT DISTINCT FROM o.o_custkey"""
+
+
+@oracle("weak_features", dbl=("cramers_v",))
+def _():
+    inner = ORACLE["cramers_v"]
+    return f"""WITH a AS ({inner})
+    SELECT col_b AS feature, cramers_v FROM a WHERE col_a = 'c_mktsegment' AND cramers_v <= 0.1
+    UNION ALL SELECT col_a, cramers_v FROM a WHERE col_b = 'c_mktsegment' AND cramers_v <= 0.1"""

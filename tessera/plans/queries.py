@@ -907,3 +907,94 @@ def q_text_flags(spark, base):
     d = D.Tables(spark, base).documents
     return finish(d.select("doc_id", "lang", C.word_pair_flag("text", "the", "and").alias("has_the_and"),
                            F.length(clean.normalize_text("text")).alias("norm_len")))
+
+
+# ------------------------------------------------------------------ remaining profiling / cleaning / join operators
+
+@query("load_report")
+def q_load_report(spark, base):
+    from tessera.plans.jobs import plan_panel
+    return finish(profile.load_report(plan_panel(D.Tables(spark, base)), "date", plan_flag="is_plan"))
+
+
+@query("anomaly_counts")
+def q_anomaly_counts(spark, base):
+    li = D.Tables(spark, base).lineitem
+    over = profile.over_limit_by(li, "l_quantity", 45, "l_returnflag").withColumn("check", F.lit("quantity_over_45"))
+    zero = profile.over_limit_by(li, "l_discount", None, "l_returnflag").withColumn("check", F.lit("zero_discount"))
+    return finish(over.unionByName(zero))
+
+
+@query("fills")
+def q_fills(spark, base):
+    ca = D.customer_activity(D.Tables(spark, base)).withColumn("n_events", F.col("n_events").cast("double"))
+    train, test = ca.where(F.col("c_nationkey") < 15), ca.where(F.col("c_nationkey") >= 15)
+    train, test = clean.fill_median_from(train, [test], ["n_events"])
+    both = clean.fill_max(train.unionByName(test), "first_event_ts")
+    both = clean.fill_mean(both.withColumn("value_sum", F.col("value_sum").cast("decimal(15,2)")), ["value_sum"])
+    return finish(both.select("c_custkey", "n_events", "first_event_ts", "value_sum"))
+
+
+@query("suffixed_join")
+def q_suffixed_join(spark, base):
+    t = D.Tables(spark, base)
+    a = t.orders.groupBy(F.col("o_custkey").alias("cust")).agg(F.count(F.lit(1)).alias("n"),
+                                                               F.sum(D.money(F.col("o_totalprice"))).alias("total"))
+    b = (t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+         .groupBy(F.col("o_custkey").alias("cust")).agg(F.count(F.lit(1)).alias("n"),
+                                                         F.sum(D.money(F.col("l_extendedprice"))).alias("total")))
+    return finish(joins.join_suffixed(a, b, ["cust"], "left", ("_orders", "_lines")))
+
+
+@query("group_share")
+def q_group_share(spark, base):
+    o = D.Tables(spark, base).orders.select("o_orderkey", "o_custkey", D.money(F.col("o_totalprice")).alias("price"))
+    out = windows.group_total(o, ["o_custkey"], "price", "customer_total")
+    return finish(out.withColumn("share_of_customer", F.col("price").cast("double") / F.col("customer_total").cast("double")))
+
+
+@query("weak_features")
+def q_weak_features(spark, base):
+    c = D.Tables(spark, base).customer
+    assoc = X.cramers_v(c, ["c_mktsegment", "c_nationkey", "c_acctbal"], numeric=["c_acctbal"])
+    return finish(X.weak_features(assoc, "c_mktsegment", 0.1))
+
+
+@query("ovr_multiclass")
+def q_ovr_multiclass(spark, base):
+    from pyspark.ml.functions import array_to_vector
+    e = D.Tables(spark, base).embeddings.select("vec_id", F.col("label").cast("double").alias("label"),
+                                                array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    e = M.hash_split(e, ["vec_id"], [0.8, 0.2], ["train", "test"]).checkpoint()
+    m = G.one_vs_rest(G.LogisticRegression(maxIter=20)).fit(e.where("split = 'train'"))
+    pred = m.transform(e.where("split = 'test'"))
+    mm = G.multinomial().setMaxIter(20).fit(e.where("split = 'train'")).transform(e.where("split = 'test'"))
+    rep = K.classification_report(pred, "label", "prediction").withColumn("model", F.lit("one_vs_rest"))
+    rep2 = K.classification_report(mm, "label", "prediction").withColumn("model", F.lit("multinomial"))
+    return finish(rep.unionByName(rep2))
+
+
+@query("random_search")
+def q_random_search(spark, base):
+    train, _ = _doc_split(spark, base)
+    train = M.stratified_kfold_column(train, "quality", ["doc_id"], 3)
+    lr = G.logistic(label="quality", maxIter=20)
+    maps = G.random_param_maps(lr, {"regParam": ("log", 1e-3, 1.0), "elasticNetParam": ("float", 0.0, 1.0)}, n_trials=3)
+    ev = G.BinaryClassificationEvaluator(labelCol="quality", metricName="areaUnderPR")
+    _, res = G.grid_search(lr, maps, ev, train, fold_col="fold", parallelism=3)
+    return finish(res)
+
+
+@query("scaled_features")
+def q_scaled_features(spark, base):
+    li = D.Tables(spark, base).lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_discount", "l_tax")
+    cut = F.lit("1998-01-01").cast("timestamp")
+    tr, te = li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut)
+    tr, te = prep.standardize(tr, [te], ["l_quantity", "l_discount"])
+    tr, te = prep.minmax(tr, [te], ["l_tax"])
+    from pyspark.ml.feature import VectorAssembler
+    asm = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features")
+    sel = prep.variance_filter("features", 0.0).fit(asm.transform(tr))
+    out = sel.transform(asm.transform(te))
+    from pyspark.ml.functions import vector_to_array
+    return finish(out.select("l_orderkey", "l_linenumber", vector_to_array("selected").alias("selected")))
