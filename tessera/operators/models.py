@@ -34,7 +34,7 @@ from tessera.operators.ordered import with_rank
 __all__ = ["baseline", "logistic", "multinomial", "one_vs_rest", "one_vs_one", "linear_svc", "linear_grid",
            "huber", "decision_tree", "knn_regress", "random_forest", "gbt_regressor", "gbt_classifier",
            "kmeans_elbow", "cluster_feature", "grid_search", "random_param_maps", "isotonic_calibrate",
-           "comparison_table", "importances", "permutation_importance", "score", "SparkMetricEvaluator", "backward_select"]
+           "comparison_table", "importances", "permutation_importance", "score", "SparkMetricEvaluator", "backward_select", "linear_formula"]
 
 
 def baseline(train: DataFrame, others: Sequence[DataFrame], label: str, kind: str = "mean",
@@ -324,6 +324,20 @@ def backward_select(df: DataFrame, features: Sequence[str], label: str, fit_scor
     return df.sparkSession.createDataFrame(steps, "step int, features string, score double")
 
 
+def linear_formula(df: DataFrame, coefs: dict, intercept: float, means: dict | None = None,
+                   stds: dict | None = None, out: str = "formula_prediction") -> DataFrame:
+    """F6 prediction from explicit coefficients: intercept + sum coef * x
+    (x standardised with the given means / stds when provided) as one
+    column expression."""
+    expr = F.lit(float(intercept))
+    for c, w in coefs.items():
+        x = F.col(c).cast("double")
+        if means is not None and stds is not None:
+            x = (x - F.lit(float(means[c]))) / F.lit(float(stds[c]))
+        expr = expr + F.lit(float(w)) * x
+    return df.withColumn(out, expr)
+
+
 def score(df: DataFrame, model, raw_col: str = "rawPrediction", out: str = "score") -> DataFrame:
     """G20 score with a fitted pipeline; probability of class 1 as the
     sigmoid of the raw margin (for margin-only models such as LinearSVC)."""

@@ -40,7 +40,7 @@ def drifting_columns(train: DataFrame, val: DataFrame, cols) -> list[str]:
     return [r["column_name"] for r in psi.where("drifting = 1").select("column_name").collect()]
 
 
-def forecast_scoring(t: D.Tables, plan_weeks: int = 8) -> DataFrame:
+def forecast_scoring(t: D.Tables, plan_weeks: int = 8, out_path: str | None = None) -> DataFrame:
     """Panel -> time-series features (one ordered scan) -> train boosted
     trees on history -> score plan rows (lags of unknown weeks -> 0) -> clip
     at 0 -> stamped predictions keyed by (store, dept, date)."""
@@ -58,9 +58,11 @@ def forecast_scoring(t: D.Tables, plan_weeks: int = 8) -> DataFrame:
     use = [c for c in feats if c not in drift]
     asm = VectorAssembler(inputCols=use, outputCol="features", handleInvalid="keep")
     model = models.gbt_regressor(label="weekly_sales", iters=30, depth=5).fit(asm.transform(hist))
-    pred = model.transform(asm.transform(plan))
-    return pred.select("date", "store", "dept", clip_low("prediction", 0.0).alias("predicted_weekly_sales"),
-                       F.current_timestamp().alias("prediction_timestamp"))
+    pred = model.transform(asm.transform(plan)).select(
+        "date", "store", "dept", clip_low("prediction", 0.0).alias("predicted_weekly_sales"))
+    out = out_path or f"{checkpoint_dir(t.spark).rstrip('/')}/predictions-{uuid.uuid4().hex[:8]}"
+    io.write_predictions(pred, out, ["store", "dept", "date"])        # S7: key check, stamp, replace
+    return t.spark.read.parquet(out)
 
 
 def batch_features_job(t: D.Tables, run_date: str = D.RUN_DATE, out_path: str | None = None) -> DataFrame:

@@ -1296,3 +1296,9 @@ def _():
     return f"""WITH a AS ({inner})
     SELECT col_b AS feature, cramers_v FROM a WHERE col_a = 'c_mktsegment' AND cramers_v <= 0.1
     UNION ALL SELECT col_a, cramers_v FROM a WHERE col_b = 'c_mktsegment' AND cramers_v <= 0.1"""
+
+
+@oracle("top_names_categories")
+def _():
+    return f"""WITH {PLACES}, t AS (SELECT name, count(*) AS n FROM pl GROUP BY name ORDER BY n DESC, name LIMIT 15)
+    SELECT DISTINCT pl.name, pl.category FROM pl WHERE pl.name IN (SELECT name FROM t)"""

@@ -998,3 +998,25 @@ def q_scaled_features(spark, base):
     out = sel.transform(asm.transform(te))
     from pyspark.ml.functions import vector_to_array
     return finish(out.select("l_orderkey", "l_linenumber", vector_to_array("selected").alias("selected")))
+
+
+
+@query("top_names_categories")
+def q_top_names_categories(spark, base):
+    pl = D.places(D.Tables(spark, base))
+    top = R.top_groups(pl, "name", 15).select("name")
+    return finish(joins.semi_top_k(pl, top, "name").select("name", "category").distinct())
+
+
+@query("linear_formula_check")
+def q_linear_formula_check(spark, base):
+    from pyspark.ml.feature import VectorAssembler
+    li = D.Tables(spark, base).lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_extendedprice")
+    feats = ["l_quantity", "l_discount", "l_tax"]
+    tr, = prep.standardize(li, [], feats)
+    tr = VectorAssembler(inputCols=feats, outputCol="features").transform(tr).checkpoint()
+    m = G.LinearRegression(labelCol="l_extendedprice").fit(tr)
+    coefs = dict(zip(feats, m.coefficients.toArray().tolist()))
+    out = G.linear_formula(m.transform(tr), coefs, m.intercept)
+    return finish(out.agg(F.max(F.abs(F.col("prediction") - F.col("formula_prediction"))).alias("max_abs_diff"),
+                          F.count(F.lit(1)).alias("rows")))
