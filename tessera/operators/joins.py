@@ -49,7 +49,7 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     ru = ru.where(F.col("_t").isNotNull())
     tiebreak = [F.col(f"_r.{f.name}") for f in r_type.fields
                 if not right_tiebreak or f.name in right_tiebreak or f.name.removesuffix(suffix) in right_tiebreak]
-    ranked = with_rank(lu.unionByName(ru), by, [F.col("_t"), F.col("_side"), *tiebreak], sums=["_isr"])
+    ranked = with_rank(lu.unionByName(ru), by, [F.col("_t"), F.col("_side"), *tiebreak], sums=["_isr"], materialize=True)
     lrows = ranked.where(F.col("_isr") == 0).select(
         *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], F.col("_cum__isr").alias("_m"), "_l")
     rrows = ranked.where(F.col("_isr") == 1).select(

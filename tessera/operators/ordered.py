@@ -43,9 +43,12 @@ def sorted_frame(df: DataFrame, keys: Sequence[str], order: Sequence, partitions
     cluster's checkpoint folder) so later branches see one fixed layout."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = _cols(keys) + _cols(order)
-    s = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    # Without an explicit count AQE may merge adjacent (still contiguous) ranges
+    # to the advisory partition size: no tiny tasks on small inputs, byte-sized
+    # partitions on large ones.
+    ranged = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
+    s = (ranged.sortWithinPartitions(*sort_cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
     return s.checkpoint(eager=True)
@@ -64,12 +67,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequence[str] = (),
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, materialize: bool = False) -> DataFrame:
     """Add ``_rank`` (0-based position in the group order), ``_n`` (group
     size) and, for each column ``c`` in ``sums``, ``_cum_<c>`` (inclusive
     running sum, nulls skipped) and ``_cnt_<c>`` (inclusive running count of
     non-null values). ``order`` must make the order total (add a unique
-    tiebreak) for results to be deterministic."""
+    tiebreak) for results to be deterministic. ``materialize`` checkpoints
+    the ranked result, for callers that join it with itself."""
     keys = list(keys)
     s = sorted_frame(df, keys, order, partitions)
     aggs = [F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0")]
@@ -93,7 +97,8 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
             out = (out.withColumn(f"_cum_{c}", F.coalesce(F.sum(c).over(local), F.lit(0)) + F.col(f"_cs_{c}"))
                    .withColumn(f"_cnt_{c}", F.count(c).over(local) + F.col(f"_ck_{c}")))
         out = out.drop(*[f"_cs_{c}" for c in sums], *[f"_ck_{c}" for c in sums])
-    return out.drop("_off", "_p0", "_pos", "_pid")
+    out = out.drop("_off", "_p0", "_pos", "_pid")
+    return out.checkpoint() if materialize else out
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (),

@@ -25,7 +25,7 @@ def lags(df: DataFrame, keys: Sequence[str], order: Sequence, col: str, ks: Sequ
     """``col`` from the row ``k`` places earlier in the group (NULL
     when there is none)."""
     names = list(names or [f"{col}_lag_{k}" for k in ks])
-    r = with_rank(df, keys, order)
+    r = with_rank(df, keys, order, materialize=True)
     out = r
     for k, name in zip(ks, names):
         right = r.select(*keys, (F.col("_rank") + F.lit(k)).alias("_rank"), F.col(col).alias(name))
@@ -53,7 +53,7 @@ def rolling_mean_before(df: DataFrame, keys: Sequence[str], order: Sequence, col
     are non-null. Two equi-joins on (key, rank) per window width fetch the
     running sums at ranks r-1 and r-n-1."""
     names = list(names or [f"{col}_rolling_{n}" for n in windows])
-    r = with_rank(df, keys, order, sums=[col])
+    r = with_rank(df, keys, order, sums=[col], materialize=True)
     cum = r.select(*keys, "_rank", F.col(f"_cum_{col}").alias("_cs"), F.col(f"_cnt_{col}").alias("_ck"))
     out = r
     for n, name in zip(windows, names):
@@ -103,7 +103,7 @@ def time_series_features(df: DataFrame, keys: Sequence[str], date_col: str, col:
     sums) is computed once and the lags / window sums are equi-joins on
     (key, rank) against a narrow projection of it."""
     keys = list(keys)
-    r = with_rank(df, keys, [F.col(date_col)], sums=[col])
+    r = with_rank(df, keys, [F.col(date_col)], sums=[col], materialize=True)
     own = F.when(F.col(col).isNotNull(), F.lit(1)).otherwise(F.lit(0))
     out = (r.withColumn("month", F.month(date_col)).withColumn("quarter", F.quarter(date_col))
            .withColumn("year", F.year(date_col))
