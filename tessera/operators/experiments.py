@@ -66,7 +66,8 @@ def avg_daily_users(sessions: DataFrame, date: str, user: str) -> DataFrame:
 
 def ab_plan(first: DataFrame, sessions: DataFrame, *, date: str, user: str, pages: str, min_pages: int = 4,
             alpha: float = 0.05, power: float = 0.8, rel_mde: float = 0.03, base: float | None = None) -> DataFrame:
-    """X1 sample size per arm (two proportions, Cohen's h) and test days.
+    """X1 sample size per arm (two proportions, Cohen's h, two-sided, equal
+    arms: n = 2 ((z_{1-a/2} + z_power) / h)^2, the normal-power solution) and test days.
     base share = mean daily success share of first sessions (A19) unless
     given; days = ceil(2 n / mean daily users) (A20)."""
     ds = daily_success(first, date, pages, min_pages).agg(F.avg("success_share").alias("base_share"))
@@ -76,7 +77,7 @@ def ab_plan(first: DataFrame, sessions: DataFrame, *, date: str, user: str, page
     p2 = p1 * (1 + rel_mde)
     h = F.abs(2 * F.asin(F.sqrt(p2)) - 2 * F.asin(F.sqrt(p1)))
     za, zb = z_quantile(1 - alpha / 2), z_quantile(power)
-    n = F.ceil(F.pow(F.lit(za + zb) / h, 2))
+    n = F.ceil(2 * F.pow(F.lit(za + zb) / h, 2))       # per group, two independent samples of equal size
     return (out.withColumn("effect_size_h", h).withColumn("sample_size_per_arm", n)
             .withColumn("test_days", F.ceil(2 * n / F.col("avg_daily_users"))))
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import band, epoch_seconds, flag, pct_text, ratio
 
 __all__ = [
-    "top_k_by_count", "customer_mart", "order_segments", "top_customers", "region_report",
+    "top_k_by_count", "customer_mart", "order_fact_aggregates", "order_segments", "top_customers", "region_report",
     "first_month_cohort", "payer_share", "payer_share_by", "global_stats", "zero_share",
     "item_popularity", "group_activity",
 ]
@@ -31,9 +31,23 @@ def top_k_by_count(df: DataFrame, key: str, k: int, count_col: str | None = None
 ORDER_SEGMENTS = [(None, 2, "1 order"), (2, 6, "2-5 orders"), (6, 11, "6-10 orders"), (11, None, "11 and more orders")]
 
 
-def customer_mart(orders: DataFrame, users: DataFrame, items: DataFrame, payments: DataFrame,
-                  reviews: DataFrame, *, delivered: str, cancelled: str, transfer: str, promo: str,
-                  top_regions: int = 3) -> DataFrame:
+def order_fact_aggregates(payment_type, payment_sequential, payment_installments, price, delivery_cost,
+                          review_score, *, transfer: str, promo: str) -> list:
+    """Per-order fact aggregates (A7-A10) as aggregate expressions, so a caller
+    whose facts live in one table can compute them in a single grouped pass."""
+    return [
+        F.min(F.when(payment_type == transfer, payment_sequential)).alias("first_transfer_seq"),
+        F.max(flag(payment_type == promo)).alias("binary_promo"),
+        F.max(flag(payment_installments > 1)).alias("installment"),
+        (F.sum(price) + F.sum(delivery_cost)).alias("order_cost"),
+        F.avg(F.when(review_score > 5, review_score.cast("double") / 10.0)
+              .otherwise(review_score.cast("double"))).alias("order_rating"),
+    ]
+
+
+def customer_mart(orders: DataFrame, users: DataFrame, items: DataFrame | None = None, payments: DataFrame | None = None,
+                  reviews: DataFrame | None = None, *, delivered: str, cancelled: str, transfer: str, promo: str,
+                  top_regions: int = 3, order_facts: DataFrame | None = None) -> DataFrame:
     """A11 customer mart (one row per user and region).
 
     orders(order_id, buyer_id, order_status, order_purchase_ts)
@@ -41,6 +55,9 @@ def customer_mart(orders: DataFrame, users: DataFrame, items: DataFrame, payment
     items(order_id, price, delivery_cost)
     payments(order_id, payment_type, payment_sequential, payment_installments)
     reviews(order_id, review_score)
+    order_facts (optional, replaces the three above): one row per order with
+    first_transfer_seq, binary_promo, installment, order_cost, order_rating
+    (see ``order_fact_aggregates``).
     """
     # Regions ranked by *all* orders (before the status filter), top k.
     ranked = top_k_by_count(orders.select("buyer_id").join(users.select("buyer_id", "region"), "buyer_id"),
@@ -49,20 +66,25 @@ def customer_mart(orders: DataFrame, users: DataFrame, items: DataFrame, payment
                 .join(users.select("buyer_id", "user_id", "region"), "buyer_id")
                 .join(F.broadcast(ranked), "region", "left_semi"))
 
-    # One pass over payments gives first transfer sequence, promo and installment flags.
-    pay = payments.groupBy("order_id").agg(
-        F.min(F.when(F.col("payment_type") == transfer, F.col("payment_sequential"))).alias("first_transfer_seq"),
-        F.max(flag(F.col("payment_type") == promo)).alias("binary_promo"),
-        F.max(flag(F.col("payment_installments") > 1)).alias("installment"))
-    # Delivered-order cost.
-    cost = items.groupBy("order_id").agg((F.sum("price") + F.sum("delivery_cost")).alias("order_cost"))
-    # A10: repaired review score, averaged per order.
-    rev = reviews.groupBy("order_id").agg(F.avg(
-        F.when(F.col("review_score") > 5, F.col("review_score").cast("double") / 10.0)
-        .otherwise(F.col("review_score").cast("double"))).alias("order_rating"))
-
-    per_order = (filtered.select("order_id", "user_id", "region", "order_status", "order_purchase_ts")
-                 .join(pay, "order_id", "left").join(cost, "order_id", "left").join(rev, "order_id", "left")
+    if order_facts is None:
+        # One pass over payments gives first transfer sequence, promo and installment flags.
+        pay = payments.groupBy("order_id").agg(
+            F.min(F.when(F.col("payment_type") == transfer, F.col("payment_sequential"))).alias("first_transfer_seq"),
+            F.max(flag(F.col("payment_type") == promo)).alias("binary_promo"),
+            F.max(flag(F.col("payment_installments") > 1)).alias("installment"))
+        # Delivered-order cost.
+        cost = items.groupBy("order_id").agg((F.sum("price") + F.sum("delivery_cost")).alias("order_cost"))
+        # A10: repaired review score, averaged per order.
+        rev = reviews.groupBy("order_id").agg(F.avg(
+            F.when(F.col("review_score") > 5, F.col("review_score").cast("double") / 10.0)
+            .otherwise(F.col("review_score").cast("double"))).alias("order_rating"))
+        facts_joined = (filtered.select("order_id", "user_id", "region", "order_status", "order_purchase_ts")
+                        .join(pay, "order_id", "left").join(cost, "order_id", "left").join(rev, "order_id", "left"))
+    else:
+        facts_joined = (filtered.select("order_id", "user_id", "region", "order_status", "order_purchase_ts")
+                        .join(order_facts, "order_id", "left"))
+
+    per_order = (facts_joined
                  .withColumn("is_cancel", F.col("order_status") == cancelled)
                  .withColumn("delivered_cost", F.when(F.col("order_status") == delivered, F.col("order_cost"))))
 

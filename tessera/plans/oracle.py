@@ -620,8 +620,8 @@ def _():
     du AS (SELECT avg(u) AS avg_daily_users FROM (SELECT count(DISTINCT user_id) AS u FROM abs_ GROUP BY session_date)),
     h AS (SELECT base_share, avg_daily_users,
                  abs(2 * asin(sqrt(base_share * (1 + 0.03))) - 2 * asin(sqrt(base_share))) AS effect_size_h FROM ds, du)
-    SELECT *, ceil(pow({zz!r} / effect_size_h, 2)) AS sample_size_per_arm,
-           ceil(2 * ceil(pow({zz!r} / effect_size_h, 2)) / avg_daily_users) AS test_days FROM h"""
+    SELECT *, ceil(2 * pow({zz!r} / effect_size_h, 2)) AS sample_size_per_arm,
+           ceil(2 * ceil(2 * pow({zz!r} / effect_size_h, 2)) / avg_daily_users) AS test_days FROM h"""
 
 
 @oracle("arm_sizes", dbl=("diff_pct",))
