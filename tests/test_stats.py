@@ -86,3 +86,12 @@ def test_sig_round_is_stable(spark):
     df = spark.createDataFrame([(0.1 + 0.2,), (0.3,), (123456.78901234567,), (0.0,), (None,)], "x double")
     got = [r[0] for r in df.select(sig_round("x")).collect()]
     assert got[0] == got[1] and got[3] == 0.0 and got[4] is None
+
+
+def test_ab_plan_matches_published_sample_size(spark):
+    """BASELINE: 82 082 users for p = 0.3, relative MDE 3 %, alpha .05, power .8."""
+    import datetime as dt
+    rows = [(u, dt.date(2024, 1, 1 + u % 3), 1 + u % 6) for u in range(60)]
+    s = spark.createDataFrame(rows, "user_id int, session_date date, page_counter int")
+    plan = X.ab_plan(s, s, date="session_date", user="user_id", pages="page_counter", base=0.3).first()
+    assert plan["sample_size_per_arm"] * 2 == 82082
