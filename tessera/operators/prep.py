@@ -27,6 +27,8 @@ def onehot_drop_first(train: DataFrame, cols: Sequence[str], out_suffix: str = "
     stages = []
     for c in cols:
         n = train.select(c).where(F.col(c).isNotNull()).distinct().count()   # category count: plan metadata
+        if n <= 1:          # a single category carries no information once the first is dropped
+            continue
         stages += [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetAsc", handleInvalid="keep"),
                    OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_oh_all", dropLast=False, handleInvalid="keep"),
                    VectorSlicer(inputCol=f"{c}_oh_all", outputCol=f"{c}{out_suffix}", indices=list(range(1, n)))]
@@ -139,6 +141,7 @@ def feature_pipeline(train: DataFrame, numeric: Sequence[str] = (), onehot: Sequ
         stages.append(impute(num, "median", "_imp"))
         num = [f"{c}_imp" for c in num]
     stages += onehot_drop_first(train, onehot)
-    inputs = num + [f"{c}_ohe" for c in onehot] + list(passthrough)
+    encoded = {st.getOutputCol().removesuffix("_ohe") for st in stages if isinstance(st, VectorSlicer)}
+    inputs = num + [f"{c}_ohe" for c in onehot if c in encoded] + list(passthrough)
     stages.append(VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep"))
     return Pipeline(stages=stages)
