@@ -1068,7 +1068,7 @@ def _():
 
 
 # ------------------------------------------------------------------ cleaning pipelines
-@oracle("clean_pipeline", dbl=("critic_score", "user_score"), ints=("year_of_release",))
+@oracle("games_cleaning", dbl=("critic_score", "user_score"), ints=("year_of_release",))
 def _():
     return """WITH raw AS (
       SELECT lower(trim(replace('  ' || upper(p_name) || ' ', '  ', ' '))) AS name0, '  ' || upper(p_name) || ' ' AS rawname,
@@ -1179,8 +1179,9 @@ def _():
     return f"""WITH {SCORED}, s AS (SELECT sc.*, o.o_orderpriority FROM sc JOIN orders o USING (o_orderkey)),
     tr AS (SELECT * FROM s WHERE fold != 0), prior AS (SELECT avg(CAST(y AS DOUBLE)) AS p FROM tr),
     enc AS (SELECT o_orderpriority, (sum(CAST(y AS DOUBLE)) + 10.0 * (SELECT p FROM prior)) / (count(*) + 10.0) AS e FROM tr GROUP BY 1)
-    SELECT s.o_orderkey, s.o_orderpriority, COALESCE(enc.e, (SELECT p FROM prior)) AS o_orderpriority_te
-    FROM s LEFT JOIN enc USING (o_orderpriority) WHERE s.fold = 0"""
+    SELECT s.o_orderkey, CASE WHEN s.fold = 0 THEN 'test' ELSE 'train' END AS split, s.o_orderpriority,
+           COALESCE(enc.e, (SELECT p FROM prior)) AS o_orderpriority_te
+    FROM s LEFT JOIN enc USING (o_orderpriority)"""
 
 
 ORACLE["written_batch_features"] = ORACLE["batch_features"]

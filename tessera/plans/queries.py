@@ -656,10 +656,10 @@ def q_class_weights(spark, base):
 @query("target_encoding")
 def q_target_encoding(spark, base):
     s = D.scored_orders(D.Tables(spark, base)).join(D.Tables(spark, base).orders.select("o_orderkey", "o_orderpriority"), "o_orderkey")
-    train = s.where(F.col("fold") != 0)
-    test = s.where(F.col("fold") == 0)
-    _, te = prep.target_encode(train, [test], ["o_orderpriority"], "y", smoothing=10.0)
-    return finish(te.select("o_orderkey", "o_orderpriority", "o_orderpriority_te"))
+    train = s.where(F.col("fold") != 0).withColumn("split", F.lit("train"))
+    test = s.where(F.col("fold") == 0).withColumn("split", F.lit("test"))
+    tr, te = prep.target_encode(train, [test], ["o_orderpriority"], "y", smoothing=10.0)
+    return finish(tr.unionByName(te).select("o_orderkey", "split", "o_orderpriority", "o_orderpriority_te"))
 
 
 @query("tfidf_terms")
@@ -858,8 +858,8 @@ def q_visitor_features(spark, base):
 
 # ------------------------------------------------------------------ cleaning pipelines (P*, T*)
 
-@query("clean_pipeline")
-def q_clean_pipeline(spark, base):
+@query("games_cleaning")
+def q_games_cleaning(spark, base):
     g = D.dirty_games(D.Tables(spark, base))
     g = clean.snake_case_columns(g)
     g = g.withColumn("name", clean.normalize_text("name", {"  ": " "}))
