@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 __all__ = ["onehot_drop_first", "target_encode", "standardize", "minmax", "variance_filter", "text_tokens",
-           "tfidf_top_terms", "impute", "feature_pipeline", "drop_columns"]
+           "tfidf_top_terms", "impute", "column_routing", "drop_columns"]
 
 
 def onehot_drop_first(train: DataFrame, cols: Sequence[str], out_suffix: str = "_ohe") -> list:
@@ -131,7 +131,7 @@ def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.drop(*cols)
 
 
-def feature_pipeline(train: DataFrame, numeric: Sequence[str] = (), onehot: Sequence[str] = (),
+def column_routing(train: DataFrame, numeric: Sequence[str] = (), onehot: Sequence[str] = (),
                      passthrough: Sequence[str] = (), impute_numeric: bool = True, out: str = "features") -> Pipeline:
     """M19 column routing: numeric (median-imputed) + one-hot (drop first)
     + passthrough columns assembled into one vector."""
