@@ -1303,3 +1303,6 @@ def _():
 def _():
     return f"""WITH {PLACES}, t AS (SELECT name, count(*) AS n FROM pl GROUP BY name ORDER BY n DESC, name LIMIT 15)
     SELECT DISTINCT pl.name, pl.category FROM pl WHERE pl.name IN (SELECT name FROM t)"""
+
+
+ORACLE["sql_region_report"] = ORACLE["region_report"]

@@ -1020,3 +1020,21 @@ def q_linear_formula_check(spark, base):
     out = G.linear_formula(m.transform(tr), coefs, m.intercept)
     return finish(out.agg(F.max(F.abs(F.col("prediction") - F.col("formula_prediction"))).alias("max_abs_diff"),
                           F.count(F.lit(1)).alias("rows")))
+
+
+
+@query("sql_region_report")
+def q_sql_region_report(spark, base):
+    """SQL string -> registered mart view -> ad-hoc report."""
+    from tessera.sources import io
+    mart = io.scratch_table(D.market_mart(D.Tables(spark, base)), "product_user_features")
+    io.register_mart(mart, "product_user_features")
+    sql = """
+        SELECT region, count(user_id) AS total_users,
+               try_divide(CAST(sum(total_order_costs) AS DOUBLE), CAST(sum(total_orders) AS DOUBLE)) AS avg_order_cost,
+               sum(total_orders) AS total_orders,
+               concat(CAST(CAST(round(try_divide(CAST(sum(num_installment_orders) AS DOUBLE), sum(total_orders)) * 100, 2) AS DECIMAL(20,2)) AS STRING), '%') AS installment_share,
+               concat(CAST(CAST(round(try_divide(CAST(sum(num_orders_with_promo) AS DOUBLE), sum(total_orders)) * 100, 2) AS DECIMAL(20,2)) AS STRING), '%') AS promo_use_share,
+               concat(CAST(CAST(round(try_divide(CAST(sum(used_cancel) AS DOUBLE), count(user_id)) * 100, 2) AS DECIMAL(20,2)) AS STRING), '%') AS canceled_share
+        FROM product_user_features GROUP BY region"""
+    return finish(io.read_query(spark, sql))
