@@ -678,6 +678,7 @@ def _doc_split(spark, base):
     pipe = prep.column_routing(s, numeric=D.DOC_NUMERIC, onehot=["lang"])
     model = pipe.fit(s.where("split = 'train'"))
     data = model.transform(s).checkpoint()       # cut the text-parsing lineage before iterative fits
+    d.unpersist()
     return data.where("split = 'train'"), data.where("split = 'test'")
 
 
