@@ -34,7 +34,7 @@ from tessera.operators.ordered import with_rank
 __all__ = ["baseline", "logistic", "multinomial", "one_vs_rest", "one_vs_one", "linear_svc", "linear_grid",
            "huber", "decision_tree", "knn_regress", "random_forest", "gbt_regressor", "gbt_classifier",
            "kmeans_elbow", "cluster_feature", "grid_search", "random_param_maps", "isotonic_calibrate",
-           "comparison_table", "importances", "permutation_importance", "score", "SparkMetricEvaluator", "backward_select", "linear_formula"]
+           "comparison_table", "importances", "permutation_importance", "score", "SparkMetricEvaluator", "backward_select", "linear_formula", "fixed_validation_search"]
 
 
 def baseline(train: DataFrame, others: Sequence[DataFrame], label: str, kind: str = "mean",
@@ -239,6 +239,20 @@ def grid_search(estimator, grid, evaluator, df: DataFrame, fold_col: str | None
     return model.bestModel, res.orderBy(order, F.col("params"))
 
 
+def fixed_validation_search(estimator, grid, evaluator, train: DataFrame, val: DataFrame):
+    """M9 grid search scored on one explicit validation set (fit on train,
+    evaluate on val for every ParamMap); returns (best model, ranked table)."""
+    rows, models = [], []
+    for pm in grid:
+        m = estimator.fit(train, pm)
+        models.append(m)
+        rows.append((", ".join(f"{p.name}={v}" for p, v in pm.items()), float(evaluator.evaluate(m.transform(val)))))
+    best = max(range(len(rows)), key=lambda i: rows[i][1] if evaluator.isLargerBetter() else -rows[i][1])
+    res = train.sparkSession.createDataFrame(rows, "params string, score double")
+    order = F.col("score").desc() if evaluator.isLargerBetter() else F.col("score").asc()
+    return models[best], res.orderBy(order, F.col("params"))
+
+
 def random_param_maps(estimator, space: dict, n_trials: int, seed: int = 42) -> list:
     """G15 seeded random search: sample ``n_trials`` ParamMaps from bounded
     ranges: ('log', lo, hi), ('int', lo, hi), ('float', lo, hi) or a list."""

@@ -1306,3 +1306,17 @@ def _():
 
 
 ORACLE["sql_region_report"] = ORACLE["region_report"]
+
+
+@oracle("lagged_label", dates=("score_date",), ints=("lag_1_target",))
+def _():
+    return f"""WITH {SHIP},
+    firsts AS (SELECT o_custkey, min(CAST(l_shipdate AS DATE)) AS f FROM ship WHERE overdue_days >= 90 GROUP BY o_custkey),
+    last AS (SELECT max(CAST(l_shipdate AS DATE)) AS l FROM ship),
+    lab AS (SELECT c.o_orderkey, c.o_custkey, CAST(c.o_orderdate AS DATE) AS score_date,
+                   CASE WHEN f.f IS NOT NULL AND f.f < CAST(c.o_orderdate AS DATE) + 365 THEN 1 ELSE 0 END AS target
+            FROM orders c LEFT JOIN firsts f ON f.o_custkey = c.o_custkey
+            WHERE (f.f IS NULL OR f.f >= CAST(c.o_orderdate AS DATE)) AND CAST(c.o_orderdate AS DATE) <= (SELECT l FROM last) - 365),
+    lg AS (SELECT o_orderkey, o_custkey, score_date,
+                  lag(target) OVER (PARTITION BY o_custkey ORDER BY score_date, o_orderkey) AS lag_1_target FROM lab)
+    SELECT * FROM lg WHERE lag_1_target IS NOT NULL"""

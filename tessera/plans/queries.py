@@ -1039,3 +1039,16 @@ def q_sql_region_report(spark, base):
                concat(CAST(CAST(round(try_divide(CAST(sum(used_cancel) AS DOUBLE), count(user_id)) * 100, 2) AS DECIMAL(20,2)) AS STRING), '%') AS canceled_share
         FROM product_user_features GROUP BY region"""
     return finish(io.read_query(spark, sql))
+
+
+
+@query("lagged_label")
+def q_lagged_label(spark, base):
+    """W7 / Q-5: the previous cohort row's target of the same customer as the
+    label (label_lag = 1); rows without a previous target are dropped."""
+    t = D.Tables(spark, base)
+    cohort = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("score_date"))
+    lab = joins.interval_label(cohort, D.shipments(t).select("o_custkey", "l_shipdate", "overdue_days"), "o_custkey",
+                               "score_date", "l_shipdate", "overdue_days")
+    out = windows.lags(lab, ["o_custkey"], [F.col("score_date"), F.col("o_orderkey")], "target", ks=(1,), names=["lag_1_target"])
+    return finish(out.where(F.col("lag_1_target").isNotNull()).drop("target"))
