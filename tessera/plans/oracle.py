@@ -1320,3 +1320,12 @@ def _():
     lg AS (SELECT o_orderkey, o_custkey, score_date,
                   lag(target) OVER (PARTITION BY o_custkey ORDER BY score_date, o_orderkey) AS lag_1_target FROM lab)
     SELECT * FROM lg WHERE lag_1_target IS NOT NULL"""
+
+
+@oracle("stream_daily_users", dates=("session_date",))
+def _():
+    return """WITH d AS (SELECT CAST(ts AS DATE) AS session_date, user_id,
+                            max(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS registered FROM events GROUP BY 1, 2),
+    wm AS (SELECT max(ts) - INTERVAL 1 DAY AS w FROM events)
+    SELECT session_date, count(*) AS users, CAST(sum(registered) AS BIGINT) AS registered_users FROM d
+    WHERE CAST(session_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT w FROM wm) GROUP BY 1"""

@@ -1052,3 +1052,13 @@ def q_lagged_label(spark, base):
                                "score_date", "l_shipdate", "overdue_days")
     out = windows.lags(lab, ["o_custkey"], [F.col("score_date"), F.col("o_orderkey")], "target", ks=(1,), names=["lag_1_target"])
     return finish(out.where(F.col("lag_1_target").isNotNull()).drop("target"))
+
+
+
+@query("stream_daily_users")
+def q_stream_daily_users(spark, base):
+    """R2: daily unique / registered users from the events file read as a
+    stream (watermark 1 day, 1-day windows, append mode)."""
+    from tessera.streaming.jobs import run_daily_users
+    path = f"{base.rstrip('/')}/events.parque[t]"      # the file source takes a directory or a glob
+    return finish(run_daily_users(spark, path))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-__all__ = ["event_stream", "daily_users_stream", "run_date_feature_stream"]
+__all__ = ["event_stream", "daily_users_stream", "run_date_feature_stream", "run_daily_users"]
 
 
 def event_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = 100) -> DataFrame:
@@ -50,3 +50,20 @@ def run_date_feature_stream(events: DataFrame, out_path: str, checkpoint: str, f
 
     return (events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def run_daily_users(spark: SparkSession, events_path: str, watermark: str = "1 day") -> DataFrame:
+    """Run R2 to completion over the files at ``events_path`` (availableNow,
+    stream checkpoint under the cluster checkpoint folder) and return the
+    finalized days: users and registered users per day."""
+    import uuid
+    from tessera.session import checkpoint_dir
+    schema = spark.read.parquet(events_path).schema
+    stream = event_stream(spark, events_path, schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    name = f"daily_users_{uuid.uuid4().hex[:8]}"
+    q = (daily_users_stream(stream, watermark=watermark).writeStream.outputMode("append").format("memory")
+         .queryName(name).option("checkpointLocation", f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return (spark.table(name).groupBy("session_date")
+            .agg(F.count(F.lit(1)).alias("users"), F.sum("registered").cast("bigint").alias("registered_users")))
