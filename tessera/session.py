@@ -30,6 +30,9 @@ def get_session(master: str | None = None, app: str = "tessera",
     (tests, bench) pass ``master='local[8]'``.
     """
     builder = SparkSession.builder.appName(app)
+    # Ordered scans checkpoint intermediate frames: delete those files once the
+    # frames are garbage-collected (static conf, only effective at start-up).
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
         builder = builder.config("spark.ui.enabled", "false")
