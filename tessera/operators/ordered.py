@@ -13,7 +13,9 @@ partition layout is fixed. Then:
   sums that precede each partition;
 * each row's group rank is ``offset + position within the partition``;
 * running sums are a window over ``(key, partition)`` (bounded by one
-  partition's size) plus the carried-in sums.
+  partition's size) plus the carried-in sums; the window and the join-back
+  of the carries use the same non-null surrogate key columns, so the big
+  side is hash-shuffled once.
 
 Ranks make lags, as-of matches and exact quantiles equi-joins on
 ``(key, rank)``, which are unique keys and therefore evenly partitioned.
@@ -76,31 +78,59 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
     the ranked result, for callers that join it with itself."""
     keys = list(keys)
     s = sorted_frame(df, keys, order, partitions)
+    # Non-null surrogate keys (value-or-default, is-null flag): plain equality on
+    # them equals null-safe equality on the keys, and the local window and the
+    # join-back can then share ONE hash partitioning of the big side.
+    nn = []
+    for i, k in enumerate(keys):
+        dtype = s.schema[k].dataType
+        s = (s.withColumn(f"_kv{i}", F.coalesce(F.col(k), _default(dtype)))
+             .withColumn(f"_kz{i}", F.col(k).isNull()))
+        nn += [f"_kv{i}", f"_kz{i}"]
     aggs = [F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0")]
     for c in sums:
         aggs += [F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_k_{c}")]
-    summ = s.groupBy(*keys, "_pid").agg(*aggs)
-    wk = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    summ = s.groupBy(*nn, "_pid").agg(*aggs)
+    wk = Window.partitionBy(*nn) if nn else Window.partitionBy(F.lit(0))
     prev = wk.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    cols = [*keys, "_pid", "_p0",
+    cols = [*nn, "_pid", "_p0",
             F.coalesce(F.sum("_c").over(prev), F.lit(0)).alias("_off"),
             F.sum("_c").over(wk).alias("_n")]
     for c in sums:
         cols += [F.coalesce(F.sum(f"_s_{c}").over(prev), F.lit(0)).alias(f"_cs_{c}"),
                  F.coalesce(F.sum(f"_k_{c}").over(prev), F.lit(0)).alias(f"_ck_{c}")]
     summ = summ.select(*cols)
-    out = null_safe_join(s, summ, keys, extra=["_pid"])
-    out = out.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
+    out = s
     if sums:
-        local = Window.partitionBy(*keys, "_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+        local = Window.partitionBy(*nn, "_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
         for c in sums:
-            out = (out.withColumn(f"_cum_{c}", F.coalesce(F.sum(c).over(local), F.lit(0)) + F.col(f"_cs_{c}"))
-                   .withColumn(f"_cnt_{c}", F.count(c).over(local) + F.col(f"_ck_{c}")))
-        out = out.drop(*[f"_cs_{c}" for c in sums], *[f"_ck_{c}" for c in sums])
-    out = out.drop("_off", "_p0", "_pos", "_pid")
+            out = (out.withColumn(f"_lcum_{c}", F.coalesce(F.sum(c).over(local), F.lit(0)))
+                   .withColumn(f"_lcnt_{c}", F.count(c).over(local)))
+    out = out.join(summ, [*nn, "_pid"])
+    out = out.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
+    for c in sums:
+        out = (out.withColumn(f"_cum_{c}", F.col(f"_lcum_{c}") + F.col(f"_cs_{c}"))
+               .withColumn(f"_cnt_{c}", F.col(f"_lcnt_{c}") + F.col(f"_ck_{c}")))
+    out = out.drop(*[f"_cs_{c}" for c in sums], *[f"_ck_{c}" for c in sums],
+                   *[f"_lcum_{c}" for c in sums], *[f"_lcnt_{c}" for c in sums])
+    out = out.drop("_off", "_p0", "_pos", "_pid", *nn)
     return out.checkpoint() if materialize else out
 
 
+def _default(dtype):
+    """A value of the key's type to stand in for NULL (paired with an is-null flag)."""
+    t = dtype.simpleString()
+    if t == "string":
+        return F.lit("")
+    if t == "boolean":
+        return F.lit(False)
+    if t == "date":
+        return F.lit("1970-01-01").cast("date")
+    if t.startswith("timestamp"):
+        return F.lit("1970-01-01 00:00:00").cast(t)
+    return F.lit(0).cast(dtype)
+
+
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (),
               names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL
