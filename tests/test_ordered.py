@@ -85,3 +85,14 @@ def test_interval_label_rules(spark):
     # (1, 2021-06-01) dropped: first episode 2020-12-30 precedes it; (2, 2020-01-01): default on day 366 -> 0;
     # (3, 2023-06-01) dropped: later than last event - 365 d.
     assert got == {(1, "2020-01-01"): 1, (2, "2020-01-01"): 0, (3, "2020-03-01"): 0}
+
+
+def test_null_keys_stay_distinct_from_defaults(spark):
+    """NULL keys and the surrogate's stand-in values ('' / 0 / 1970-01-01) are separate groups."""
+    import datetime as dt
+    rows = [(None, None, None, 1, 1.0), (None, None, None, 2, 2.0), ("", 0, dt.date(1970, 1, 1), 3, 4.0),
+            ("", 0, dt.date(1970, 1, 1), 4, 8.0), ("a", 1, dt.date(2020, 1, 1), 5, 16.0)]
+    df = spark.createDataFrame(rows, "s string, i int, d date, t int, v double")
+    for key in ["s", "i", "d"]:
+        got = {r["t"]: (r["_rank"], r["_n"], r["_cum_v"]) for r in with_rank(df, [key], [F.col("t")], sums=["v"]).collect()}
+        assert got == {1: (0, 2, 1.0), 2: (1, 2, 3.0), 3: (0, 2, 4.0), 4: (1, 2, 12.0), 5: (0, 1, 16.0)}, key
