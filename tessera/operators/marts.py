@@ -59,9 +59,13 @@ def customer_mart(orders: DataFrame, users: DataFrame, items: DataFrame | None =
     first_transfer_seq, binary_promo, installment, order_cost, order_rating
     (see ``order_fact_aggregates``).
     """
-    # Regions ranked by *all* orders (before the status filter), top k.
-    ranked = top_k_by_count(orders.select("buyer_id").join(users.select("buyer_id", "region"), "buyer_id"),
-                            "region", top_regions)
+    # Regions ranked by *all* orders (before the status filter), top k. Orders
+    # are counted per buyer first (map-side combined), so the join to users sees
+    # one row per buyer instead of one per order.
+    per_buyer = orders.groupBy("buyer_id").agg(F.count(F.lit(1)).alias("_orders"))
+    ranked = (per_buyer.join(users.select("buyer_id", "region"), "buyer_id")
+              .groupBy("region").agg(F.sum("_orders").alias("_n"))
+              .orderBy(F.col("_n").desc(), F.col("region").asc()).limit(top_regions).select("region"))
     filtered = (orders.where(F.col("order_status").isin(delivered, cancelled))
                 .join(users.select("buyer_id", "user_id", "region"), "buyer_id")
                 .join(F.broadcast(ranked), "region", "left_semi"))
