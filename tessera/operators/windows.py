@@ -20,17 +20,27 @@ __all__ = ["lags", "expanding_mean_before", "rolling_mean_before", "gap_days", "
            "group_total", "time_series_features"]
 
 
+def _offset_table(r: DataFrame, keys: Sequence[str], need: Sequence[tuple[str, int, str]]) -> DataFrame:
+    """Values of earlier rows, one row per (key, target rank): every ranked row
+    is copied to the target ranks ``rank + k`` it serves and the copies are
+    pivoted by offset. ``need`` lists (source column, offset k, output name).
+    One shuffle serves every lag / window edge, joined back once."""
+    offsets = sorted({k for _, k, _ in need})
+    srcs = sorted({c for c, _, _ in need})
+    ex = (r.select(*keys, "_rank", *srcs, F.explode(F.array(*[F.lit(k) for k in offsets])).alias("_k"))
+          .withColumn("_t", F.col("_rank") + F.col("_k")))
+    return ex.groupBy(*keys, F.col("_t").alias("_rank")).agg(
+        *[F.max(F.when(F.col("_k") == k, F.col(c))).alias(name) for c, k, name in need])
+
+
 def lags(df: DataFrame, keys: Sequence[str], order: Sequence, col: str, ks: Sequence[int] = (1,),
          names: Sequence[str] | None = None) -> DataFrame:
     """``col`` from the row ``k`` places earlier in the group (NULL
-    when there is none)."""
+    when there is none); all offsets through one offset table and one join."""
     names = list(names or [f"{col}_lag_{k}" for k in ks])
     r = with_rank(df, keys, order, materialize=True)
-    out = r
-    for k, name in zip(ks, names):
-        right = r.select(*keys, (F.col("_rank") + F.lit(k)).alias("_rank"), F.col(col).alias(name))
-        out = null_safe_join(out, right, keys, how="left", extra=["_rank"])
-    return out.drop("_rank", "_n")
+    piv = _offset_table(r.withColumn("_src", F.col(col)), keys, [("_src", k, n) for k, n in zip(ks, names)])
+    return null_safe_join(r, piv, keys, how="left", extra=["_rank"]).drop("_rank", "_n")
 
 
 def expanding_mean_before(df: DataFrame, keys: Sequence[str], order: Sequence, col: str,
@@ -50,23 +60,23 @@ def expanding_mean_before(df: DataFrame, keys: Sequence[str], order: Sequence, c
 def rolling_mean_before(df: DataFrame, keys: Sequence[str], order: Sequence, col: str,
                         windows: Sequence[int] = (2, 4), names: Sequence[str] | None = None) -> DataFrame:
     """Mean of the ``n`` rows just before, NULL unless all ``n`` exist and
-    are non-null. Two equi-joins on (key, rank) per window width fetch the
-    running sums at ranks r-1 and r-n-1."""
+    are non-null, from the running sums at ranks r-1 and r-n-1 (one offset
+    table, one equi-join on (key, rank))."""
     names = list(names or [f"{col}_rolling_{n}" for n in windows])
     r = with_rank(df, keys, order, sums=[col], materialize=True)
-    cum = r.select(*keys, "_rank", F.col(f"_cum_{col}").alias("_cs"), F.col(f"_cnt_{col}").alias("_ck"))
-    out = r
+    need = []
+    for n in windows:
+        need += [(f"_cum_{col}", 1, "_a_s"), (f"_cnt_{col}", 1, "_a_k"), (f"_cum_{col}", n + 1, f"_b_s{n}"),
+                 (f"_cnt_{col}", n + 1, f"_b_k{n}")]
+    need = list(dict.fromkeys(need))
+    out = null_safe_join(r, _offset_table(r, keys, need), keys, "left", extra=["_rank"])
     for n, name in zip(windows, names):
-        a = cum.select(*keys, (F.col("_rank") + 1).alias("_rank"), F.col("_cs").alias("_a_s"), F.col("_ck").alias("_a_k"))
-        b = cum.select(*keys, (F.col("_rank") + n + 1).alias("_rank"), F.col("_cs").alias("_b_s"), F.col("_ck").alias("_b_k"))
-        out = null_safe_join(out, a, keys, "left", extra=["_rank"])
-        out = null_safe_join(out, b, keys, "left", extra=["_rank"])
         first_full = F.col("_rank") == n            # window starts at the group's first row
-        b_s = F.when(first_full, F.lit(0)).otherwise(F.col("_b_s"))
-        b_k = F.when(first_full, F.lit(0)).otherwise(F.col("_b_k"))
+        b_s = F.when(first_full, F.lit(0)).otherwise(F.col(f"_b_s{n}"))
+        b_k = F.when(first_full, F.lit(0)).otherwise(F.col(f"_b_k{n}"))
         ok = (F.col("_rank") >= n) & ((F.col("_a_k") - b_k) == n)
-        out = (out.withColumn(name, F.when(ok, (F.col("_a_s") - b_s).cast("double") / F.lit(float(n))))
-               .drop("_a_s", "_a_k", "_b_s", "_b_k"))
+        out = out.withColumn(name, F.when(ok, (F.col("_a_s") - b_s).cast("double") / F.lit(float(n))))
+    out = out.drop("_a_s", "_a_k", *[f"_b_s{n}" for n in windows], *[f"_b_k{n}" for n in windows])
     return out.drop("_rank", "_n", f"_cum_{col}", f"_cnt_{col}")
 
 
@@ -109,16 +119,13 @@ def time_series_features(df: DataFrame, keys: Sequence[str], date_col: str, col:
            .withColumn("year", F.year(date_col))
            .withColumn("avg_sales_before", F.try_divide((F.col(f"_cum_{col}") - F.coalesce(F.col(col), F.lit(0))).cast("double"),
                                                         (F.col(f"_cnt_{col}") - own).cast("double"))))
-    narrow = r.select(*keys, "_rank", F.col(col).alias("_v"), F.col(f"_cum_{col}").alias("_cs"),
-                      F.col(f"_cnt_{col}").alias("_ck"))
-    for k, name in ((1, "sales_1week_ago"), (2, "sales_2week_ago"), (4, "sales_4week_ago")):
-        right = narrow.select(*keys, (F.col("_rank") + k).alias("_rank"), F.col("_v").alias(name))
-        out = null_safe_join(out, right, keys, "left", extra=["_rank"])
-    # running sums at rank r-1, r-3 and r-5 give both rolling windows (2 and 4 rows)
-    for k in (1, 3, 5):
-        right = narrow.select(*keys, (F.col("_rank") + k).alias("_rank"), F.col("_cs").alias(f"_s{k}"),
-                              F.col("_ck").alias(f"_k{k}"))
-        out = null_safe_join(out, right, keys, "left", extra=["_rank"])
+    # Every earlier-row value the block needs (lags 1, 2, 4; running sums at
+    # r-1, r-3, r-5) comes from ONE offset table, joined once.
+    need = [("_v", 1, "sales_1week_ago"), ("_v", 2, "sales_2week_ago"), ("_v", 4, "sales_4week_ago"),
+            ("_cs", 1, "_s1"), ("_ck", 1, "_k1"), ("_cs", 3, "_s3"), ("_ck", 3, "_k3"), ("_cs", 5, "_s5"), ("_ck", 5, "_k5")]
+    piv = _offset_table(r.select(*keys, "_rank", F.col(col).alias("_v"), F.col(f"_cum_{col}").alias("_cs"),
+                                 F.col(f"_cnt_{col}").alias("_ck")), keys, need)
+    out = null_safe_join(out, piv, keys, "left", extra=["_rank"])
     for n, name in ((2, "mean_sales_2week"), (4, "mean_sales_4week")):
         b = n + 1
         bs = F.when(F.col("_rank") == n, F.lit(0)).otherwise(F.col(f"_s{b}"))
