@@ -7,7 +7,6 @@ Phi is a closed-form column expression (no scipy, no collect).
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import DataFrame

@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (CountVectorizer, Imputer, Normalizer, OneHotEncoder, StopWordsRemover, StringIndexer,
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import (CountVectorizer, Imputer, Normalizer, OneHotEncoder, StringIndexer,
                                 VarianceThresholdSelector, VectorAssembler, VectorSlicer)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
