@@ -76,3 +76,31 @@ def word_spans(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     start = np.flatnonzero(ink & (np.concatenate(([True], ~ink[:-1])) | cut_at[:-1]))
     end = np.flatnonzero(ink & (np.concatenate((~ink[1:], [True])) | cut_at[1:])) + 1
     return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def span_hash(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte string flat[start:end], equal for equal strings wherever they stand."""
+    n = len(flat)
+    if len(_POWERS.get("p", ())) <= n:
+        base = np.uint64(0x9E3779B97F4A7C15)
+        back = np.uint64(pow(int(base), -1, 1 << 64))
+        with np.errstate(over="ignore"):
+            _POWERS["p"] = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n + 1, base))), dtype=np.uint64)
+            _POWERS["i"] = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n + 1, back))), dtype=np.uint64)
+    p, i = _POWERS["p"], _POWERS["i"]
+    with np.errstate(over="ignore"):
+        h = np.concatenate(([np.uint64(0)], np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * p[:n], dtype=np.uint64)))
+        out = mix64((h[end] - h[start]) * i[start])
+    if n > 1 << 24:
+        _POWERS.clear()
+    return out
+
+
+def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The strings flat[start:start+size] one behind the other, and which string each byte is of."""
+    who = np.repeat(np.arange(len(start)), size)
+    at = np.arange(len(who)) - np.repeat(np.cumsum(size) - size, size)
+    return flat[start[who] + at], who

@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, packing, tokens
+from tessera.llm import chat, decontaminate, packing, secrets, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,11 +22,33 @@ def query(name: str):
     return deco
 
 
+@query("op3_secret_scan")
+def op3(spark, base):
+    docs = table(spark, base, "documents")
+    found = secrets.scan(docs, secrets.fit(docs))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    kept = F.filter("spans", lambda s: s["kind"] != "format")
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+                        F.sha2(joined(kept), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 @query("op4_token_counts")
 def op4(spark, base):
     return tokens.token_counts(table(spark, base, "documents")).withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+TOXIC_FROM = 0.3
+
+
+@query("op5_toxicity")
+def op5(spark, base):
+    docs = table(spark, base, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    model = toxicity.fit(*toxicity.training_sample(docs, table(spark, base, "labels")))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 #: The control strings of a template are ordinary text inside a turn.
 CONTROL_TEXT = r"\### Assistant: </turn> ok"
 
@@ -64,3 +86,8 @@ FROM seen GROUP BY conv_id"""
 def op8(spark, base):
     pieces = packing.pack(table(spark, base, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op9_decontamination")
+def op9(spark, base):
+    return decontaminate.hits(table(spark, base, "documents"), table(spark, base, "benchmark"))
