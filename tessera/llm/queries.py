@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontaminate, packing, secrets, tokens, toxicity
+from tessera.llm import chat, decontaminate, lines, minhash, packing, secrets, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,28 @@ def query(name: str):
     return deco
 
 
+@query("op2_minhash")
+def op2(spark, base):
+    return minhash.classes(table(spark, base, "documents"), k=2)
+
+
+ORACLES["op2_minhash"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+common AS (
+  SELECT a.doc_id AS p, b.doc_id AS q, a.n AS n, b.n AS m, count(*) AS same FROM items a JOIN items b
+  ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+links AS (SELECT p, q FROM common WHERE 100 * same >= 80 * (n + m - same)),
+both AS (SELECT p, q FROM links UNION ALL SELECT q, p FROM links),
+reach(v, r) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.v, both.q FROM reach JOIN both ON reach.r = both.p),
+least_of AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_of ON doc_id = v"""
+
+
 @query("op3_secret_scan")
 def op3(spark, base):
     docs = table(spark, base, "documents")
@@ -82,6 +104,11 @@ SELECT conv_id, count(*) AS n_turns,
 FROM seen GROUP BY conv_id"""
 
 
+@query("op7_line_dedup")
+def op7(spark, base):
+    return lines.dedup_lines(table(spark, base, "documents")).select("doc_id", "n_removed", "text")
+
+
 @query("op8_packing")
 def op8(spark, base):
     pieces = packing.pack(table(spark, base, "documents"))

@@ -160,7 +160,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     flat = LOWER[flat]
     start, end, doc = words(flat, offsets)
     raw, bounds = flat.tobytes(), np.searchsorted(doc, np.arange(len(y) + 1))
-    bags = [sorted({raw[a:b] for a, b in zip(start[i:j].tolist(), end[i:j].tolist()) if b - a >= 3}) for i, j in zip(bounds, bounds[1:])]
+    pool: dict[bytes, bytes] = {}  # one object for equal words
+    bags = [sorted({pool.setdefault(raw[a:b], raw[a:b]) for a, b in zip(start[i:j].tolist(), end[i:j].tolist()) if b - a >= 3}) for i, j in zip(bounds, bounds[1:])]
     by_hash = lambda w: hashlib.md5(w).digest()
     # Copies of one text would lend its words a weight of their own: each group counts once.
     spread, taken, own = Counter(w for b in bags for w in b), set(), []
@@ -221,7 +222,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     return model
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, most: int = 6000) -> tuple[list[str], list[int]]:
+def training_sample(docs: DataFrame, labels: DataFrame, most: int = 5000) -> tuple[list[str], list[int]]:
     """Texts and toxic labels of at most ``most`` labelled documents (lowest hashes of
     doc_id first) whose crc32 of the id's text mod 4 is not 2."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
