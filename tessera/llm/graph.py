@@ -25,17 +25,21 @@ def components(edges: DataFrame) -> DataFrame:
         step = label.join(heard, "v").select("v", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         up = label.select(F.col("v").alias("comp"), F.col("comp").alias("top"))
         new = cut(step.join(up, "comp").select("v", F.least("comp", "top").alias("comp"), "old"))
-        if new.where("comp <> old").limit(1).count() == 0:
+        if new.where("comp <> old").isEmpty():
             return new.select("v", "comp")
         label = new.select("v", "comp")
 
 
 def attach(pairs: DataFrame, side: DataFrame, key: str, other: str, share: int = 256) -> DataFrame:
     """Joins ``side`` (one row per ``key``) to ``pairs`` on ``key``. A key with n
-    pairs is dealt over n / ``share`` salts, by a hash of ``other``, and only its
-    own row of ``side`` is repeated that often."""
-    salts = pairs.groupBy(key).agg((F.floor(F.count(F.lit(1)) / share) + 1).cast("int").alias("_salts"))
-    dealt = (pairs.join(salts, key)
-             .withColumn("_salt", F.pmod(F.xxhash64(other), F.col("_salts")).cast("int")).drop("_salts"))
-    copies = side.join(salts, key).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
-    return dealt.join(copies, [key, "_salt"]).drop("_salt")
+    pairs is dealt over n / ``share`` salts (at most the shuffle partitions), by a
+    hash of ``other``, and only its own row of ``side`` is repeated that often.
+    Counting is salted as well, so no step holds a hot key's pairs in one task."""
+    most = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(most)).cast("int"))
+    counted = pairs.groupBy(key, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    need = counted.groupBy(key).agg(F.least(F.lit(most), F.floor(F.sum("_n") / share) + 1).cast("int").alias("_need"))
+    known = counted.select(key, "_salt").join(need, key)
+    dealt = pairs.join(known, [key, "_salt"]).withColumn("_part", F.pmod("_salt", F.col("_need"))).drop("_salt", "_need")
+    copies = side.join(need, key).withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_need") - 1))).drop("_need")
+    return dealt.join(copies, [key, "_part"]).drop("_part")

@@ -8,8 +8,8 @@ most 2T rounds fill all of them, with Chernoff-type concentration. Bands of four
 bins are bucket keys: with 32 bands a pair at similarity 0.8 shares none with
 probability 5e-8.
 
-Documents with equal sets are one vertex. In every bucket the smallest vertex is
-paired with the others; these pairs are verified on whole sets and connected.
+Documents with equal sets are one vertex. In every bucket the vertex that
+shares most buckets is paired with the others; these pairs are verified on whole sets and connected.
 Where a bucket still holds several classes, members outside its largest class
 become centres in turn, until each of them has met the whole bucket: no bucket is
 capped, none emits all its pairs, and no pair that shares a bucket but could
@@ -37,6 +37,8 @@ from tessera.llm.graph import attach, components
 __all__ = ["shingle_sets", "sketches", "features", "classes"]
 
 T, ROWS, CHUNK = 128, 4, 1 << 22
+#: Members of a bucket outside its largest class that meet the whole bucket in one turn, at most; the others follow in the next.
+CENTRES = 256
 _SEEDS = mix64(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -162,31 +164,36 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     f = cut(features(docs, k))
     vertices = cut(f.where("n_shingles > 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")))
     rows = vertices.select("v", "n", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("v").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = cut(rows.join(shared.select("bucket", "centre"), "bucket").select("bucket", "v", "n", "centre"))
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cut(rows.join(shared, "bucket"))
+    # The text that others were copied from shares most buckets: as centre it reaches most of them.
+    weight = members.groupBy("v").agg(F.sum("size").alias("weight"))
+    members = members.join(weight, "v")
+    centre = members.groupBy("bucket").agg(F.max(F.struct("weight", "v"))["v"].alias("centre"))
+    members = cut(members.join(centre, "bucket").select("bucket", "v", "n", "centre"))
     near = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")  # sizes alone rule the others out
     sizes = vertices.select(F.col("v").alias("a"), F.col("n").alias("m"))
     pairs = cut(members.where("v <> centre").select(F.col("centre").alias("a"), F.col("v").alias("b"), "n").distinct()
                 .join(sizes, "a").where(near).select("a", "b"))
     edges = cut(_verified(pairs, docs, vertices, k, percent))
     used = members.select("bucket", F.col("centre").alias("v")).distinct()
-    label = components(edges)
+    label, tested, turn = components(edges), pairs, 0
     while True:
         named = members.select("bucket", "v", "n").join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
         by = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
         largest = by.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
         strays = named.join(largest.select("bucket", "main"), "bucket").where("comp <> main").join(used, ["bucket", "v"], "left_anti")
-        centres = cut(strays.groupBy("bucket", F.pmod("v", F.lit(8)).alias("s")).agg(F.min(F.struct("v", "n", "comp")).alias("x"))
+        centres = cut(strays.groupBy("bucket", F.pmod(F.xxhash64("v", F.lit(turn)), F.lit(CENTRES)).alias("s")).agg(F.min(F.struct("v", "n", "comp")).alias("x"))
                       .select("bucket", F.col("x.v").alias("a"), F.col("x.n").alias("m"), F.col("x.comp").alias("own")))
-        if centres.limit(1).count() == 0:
+        if centres.isEmpty():
             break
         met = (named.join(centres, "bucket").where((F.col("comp") != F.col("own")) & near)
                .select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct())
-        pairs = cut(met.join(pairs, ["a", "b"], "left_anti").join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-        used = cut(used.union(centres.select("bucket", F.col("a").alias("v"))))
+        pairs = cut(met.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+        used, tested, turn = used.union(centres.select("bucket", F.col("a").alias("v"))), tested.union(pairs), turn + 1
         more = cut(_verified(pairs, docs, vertices, k, percent))
-        if more.limit(1).count():
-            edges = cut(edges.union(more))
+        if not more.isEmpty():
+            edges = edges.union(more)
             label = components(edges)
     comp = vertices.select("v", "doc_id").join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
     least = comp.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontaminate, lines, minhash, packing, secrets, tokens, toxicity
+from tessera.llm import chat, decontaminate, lines, merkle, minhash, packing, secrets, suffixes, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,13 @@ def query(name: str):
     return deco
 
 
+@query("op1_suffix_dedup")
+def op1(spark, base):
+    out = suffixes.remove_repeats(table(spark, base, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_minhash")
 def op2(spark, base):
     return minhash.classes(table(spark, base, "documents"), k=2)
@@ -38,8 +45,8 @@ common AS (
   SELECT a.doc_id AS p, b.doc_id AS q, a.n AS n, b.n AS m, count(*) AS same FROM items a JOIN items b
   ON a.x = b.x AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
 links AS (SELECT p, q FROM common WHERE 100 * same >= 80 * (n + m - same)),
-both AS (SELECT p, q FROM links UNION ALL SELECT q, p FROM links),
-reach(v, r) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.v, both.q FROM reach JOIN both ON reach.r = both.p),
+either AS (SELECT p, q FROM links UNION ALL SELECT q, p FROM links),
+reach(v, r) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.v, either.q FROM reach JOIN either ON reach.r = either.p),
 least_of AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v)
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least_of ON doc_id = v"""
 
@@ -118,3 +125,11 @@ def op8(spark, base):
 @query("op9_decontamination")
 def op9(spark, base):
     return decontaminate.hits(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
+@query("op10_fingerprints")
+def op10(spark, base):
+    out = merkle.edited_by_next(table(spark, base, "documents"))
+    return out.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                      merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                      merkle.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
