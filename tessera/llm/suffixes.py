@@ -76,10 +76,9 @@ def anchors(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
                 size *= 2
             h = mix64(parts[16][:len(x) - K + 1] * np.uint64(pow(base, 8, 1 << 64)) + parts[8][16:][:len(x) - K + 1])
         least = _extreme(h, W, np.minimum)  # of the string at each position
-        start = np.arange(len(least))
-        doc = np.searchsorted(offsets[i:j + 1] - offsets[i], start, side="right") - 1
-        whole = start + L <= (offsets[i:j + 1] - offsets[i])[doc + 1]
-        least = np.where(whole, least, 0)
+        local = offsets[i:j + 1] - offsets[i]
+        for a, z in zip(np.maximum(local[1:] - L + 1, local[:-1]).tolist(), local[1:].tolist()):
+            least[a:z] = 0  # a string here would run into the next document
         pad = np.zeros(W - 1, np.uint64)
         top = _extreme(np.concatenate((pad, least, pad)), W, np.maximum)  # the strings that hold a gram
         p = np.flatnonzero((top >= h) & (h > 0))
@@ -95,17 +94,17 @@ class Group:
         self.flat, self.offsets, self.ids, self.buckets = flat, offsets, doc_ids, buckets
         self.at, h = anchors(flat, offsets)
         self.doc = np.searchsorted(offsets, self.at, side="right") - 1
-        self.bucket = (h % np.uint64(buckets)).astype(np.int64)
-        short = h >> np.uint64(16)
-        order = np.lexsort((doc_ids[self.doc], short, self.bucket))
-        self.order, b, s, d = order, self.bucket[order], short[order], doc_ids[self.doc[order]]
+        h = mix64(h ^ np.uint64(0x9E3779B97F4A7C15))  # least hashes are small ones: mixed again, they spread evenly
+        # The upper bits name the bucket, so that one order serves buckets and entries; the lower 48 are sent.
+        self.bucket = (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(h)
+        self.order, s, d = order, h[order], doc_ids[self.doc[order]]
         new = np.ones(len(order), bool)
-        new[1:] = (b[1:] != b[:-1]) | (s[1:] != s[:-1])
+        new[1:] = s[1:] != s[:-1]
         self.entry = np.cumsum(new) - 1  # of each anchor in this order
         self.head = np.flatnonzero(new)
-        tail = np.append(self.head[1:], len(order)) - 1
-        self.entry_bucket, self.entry_hash = b[self.head], s[self.head]
-        self.several = d[self.head] != d[tail] if len(order) else np.zeros(0, bool)
+        self.entry_bucket, self.entry_hash = self.bucket[order[self.head]], s[self.head] & np.uint64((1 << 48) - 1)
+        self.several = np.minimum.reduceat(d, self.head) != np.maximum.reduceat(d, self.head) if len(order) else np.zeros(0, bool)
 
     def by_bucket(self, bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
         names, first = np.unique(bucket, return_index=True)
@@ -127,17 +126,22 @@ class Group:
         pad = np.zeros(L, np.uint8)
         view = np.lib.stride_tricks.sliding_window_view(np.concatenate((pad, self.flat, pad)), SPAN)
         text = view[at + L - (L - K)] if len(at) else np.zeros((0, SPAN), np.uint8)
-        place = np.arange(SPAN)
-        text = np.where((place >= (L - K) - left[:, None]) & (place < L + right[:, None]), text, 0).astype(np.uint8)
+        place, edge = np.arange(SPAN), np.flatnonzero((left < L - K) | (right < L - K))
+        text[edge] *= (place >= (L - K) - left[edge, None]) & (place < L + right[edge, None])
         code = text_hash(text, left, right)
-        order = np.lexsort((self.ids[doc], code, self.bucket[which]))
-        b, c = self.bucket[which][order], code[order]
+        order = np.argsort(code)
+        c = code[order]
         new = np.ones(len(order), bool)
-        new[1:] = (b[1:] != b[:-1]) | (c[1:] != c[:-1])
-        head = order[new]
+        new[1:] = c[1:] != c[:-1]
+        head = np.flatnonzero(new)
+        least = np.minimum.reduceat(self.ids[doc][order], head) if len(head) else np.zeros(0, np.int64)
+        by = np.argsort(self.bucket[which][order[head]], kind="stable")
+        rank = np.empty(len(head), np.int64)
+        rank[by] = np.arange(len(head))
         own = np.empty(len(order), np.int64)
-        own[order] = np.cumsum(new) - 1
-        return self.bucket[which][head], text[head], left[head], right[head], self.ids[doc][head], own
+        own[order] = rank[np.cumsum(new) - 1]
+        head = order[head[by]]
+        return self.bucket[which][head], text[head], left[head], right[head], least[by], own
 
 
 def text_hash(text: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -154,9 +158,8 @@ def refine(pointer: np.ndarray, further: np.ndarray) -> np.ndarray:
     """Buckets of more than one suffix, sorted by the pointers ``further`` on. A pointer
     is the place of a bucket's head among all suffixes; buckets of one stay as they are."""
     flat, nxt = pointer.reshape(-1), further.reshape(-1)
-    size = np.bincount(flat, minlength=len(flat))
-    todo = np.flatnonzero(size[flat] > 1)
-    order = todo[np.lexsort((nxt[todo], flat[todo]))]
+    todo = np.flatnonzero(np.bincount(flat)[flat] > 1)
+    order = todo[np.argsort(flat[todo] * (int(nxt.max(initial=0)) + 1) + nxt[todo])]
     b, k = flat[order], nxt[order]
     start = np.ones(len(order), bool)
     start[1:] = b[1:] != b[:-1]
@@ -183,10 +186,8 @@ def equal_strings(text: np.ndarray) -> np.ndarray:
     depth = 8
     while depth < L:
         step = min(depth, L - depth)
-        width = p.shape[1] - step
-        further = p[:, step:]
-        # Suffixes too near the end to reach the depth are no longer needed: pointers are counted anew among the others.
-        p = refine(_heads(p[:, :width]), further[:, :width])
+        width = p.shape[1] - step  # suffixes nearer to the end do not reach the depth and are left behind
+        p = refine(np.ascontiguousarray(p[:, :width]), np.ascontiguousarray(p[:, step:]))
         depth += step
     return p[:, :W]
 
@@ -214,7 +215,7 @@ def _earlier(text: np.ndarray, left: np.ndarray, right: np.ndarray, doc: np.ndar
         rows = several[edge[i]:edge[j] if j < len(edge) else len(several)]
         p = equal_strings(text[first[rows]])
         ok = valid[rows]
-        low = np.full(p.size, np.iinfo(np.int64).max)
+        low = np.full(int(p.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(low, p[ok], np.broadcast_to(least[rows][:, None], p.shape)[ok])
         found[rows] = ok & (low[np.where(ok, p, 0)] < least[rows][:, None])
         i = j
@@ -253,7 +254,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     def ask(key, table):
         x = _group_of(table, n)
-        return _table(asked, [(b, key[0].as_py(), (h >> np.uint64(16)).astype(np.uint32).tobytes(), h.astype(np.uint16).tobytes(), np.packbits(x.several[i:j]).tobytes())
+        return _table(asked, [(b, key[0].as_py(), (h >> np.uint64(16)).astype(np.uint32).tobytes(), (h & np.uint64(0xFFFF)).astype(np.uint16).tobytes(), np.packbits(x.several[i:j]).tobytes())
                               for b, i, j in x.by_bucket(x.entry_bucket) for h in [x.entry_hash[i:j]]])
 
     def tell(key, table):
@@ -290,11 +291,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             for b, i, j in x.by_bucket(bucket):
                 bits[i:j] = np.frombuffer(found[b], np.uint32)
             later = x.ids[x.doc[which]] > first[own]
-            mask = np.where(later, np.uint32((1 << W) - 1), bits[own])
+            full = np.uint32((1 << W) - 1)
+            mask, at, left, right = np.where(later, full, bits[own]), x.at[which], left[own], right[own]
             step = np.zeros(len(x.flat) + 1, np.int32)
+            i = np.flatnonzero((mask == full) & (left + K + right >= L))  # all strings around the anchor
+            np.add.at(step, at[i] - left[i], 1)
+            np.add.at(step, at[i] + K + right[i], -1)
+            part = np.flatnonzero((mask != full) & (mask > 0))
             for k in range(W):
-                ok = ((mask >> np.uint32(k)) & np.uint32(1)).astype(bool) & (k >= (L - K) - left[own]) & (k <= right[own])
-                start = x.at[which[ok]] - (L - K) + k
+                i = part[((mask[part] >> np.uint32(k)) & np.uint32(1)).astype(bool)]
+                start = at[i] - (L - K) + k
                 np.add.at(step, start, 1)
                 np.add.at(step, start + L, -1)
             gone = np.cumsum(step[:-1]) > 0
