@@ -13,7 +13,9 @@ shares most buckets is paired with the others; these pairs are verified on whole
 Where a bucket still holds several classes, members outside its largest class
 become centres in turn, until each of them has met the whole bucket: no bucket is
 capped, none emits all its pairs, and no pair that shares a bucket but could
-still join two classes goes untested.
+still join two classes goes untested. Pairs are left out only where an exact
+upper bound, from what both have in common with the bucket's centre, rules a
+link out.
 
 Defined cases: null and empty texts have no shingles and are linked with
 nothing; a null doc_id is linked with nothing either (component null, kept);
@@ -39,6 +41,7 @@ __all__ = ["shingle_sets", "sketches", "features", "classes"]
 T, ROWS, CHUNK = 128, 4, 1 << 22
 #: Members of a bucket outside its largest class that meet the whole bucket in one turn, at most; the others follow in the next.
 CENTRES = 256
+BITS = 512
 _SEEDS = mix64(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -136,26 +139,41 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(run, "v bigint, shingles binary").dropDuplicates(["v"])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, vertices: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are alike enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, same, linked, bits) of the pairs: size of the intersection of whole sets, whether they are
+    alike enough, and a bitmap of the shingles that b has and a has not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = np.zeros(b.num_rows, bool)
-            for r, (x, y) in enumerate(zip(b.column(2), b.column(3))):
+        for batch in batches:
+            rows = []
+            for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
-                    both = np.concatenate((x, y))
-                    both.sort()
-                    same = int((both[1:] == both[:-1]).sum())
-                    keep[r] = 100 * same >= percent * (len(both) - same)
-            yield b.select(["a", "b"]).filter(pa.array(keep))
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(vertices.select("v", "doc_id"), "v")
-    sets = cut(_sets(docs, wanted, k))
+                own = y[np.isin(y, x, assume_unique=True, invert=True)]
+                same = len(y) - len(own)
+                bits = np.zeros(BITS // 64, np.uint64)
+                np.bitwise_or.at(bits, ((own >> np.uint64(6)) % np.uint64(BITS // 64)).astype(np.int64), np.uint64(1) << (own & np.uint64(63)))
+                rows.append((same, 100 * same >= percent * (len(x) + len(y) - same), bits.view(np.int64).tolist()))
+            same, linked, bits = zip(*rows) if rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.int64()), pa.array(linked, pa.bool_()), pa.array(bits, pa.list_(pa.int64()))],
+                                             names=["a", "b", "same", "linked", "bits"])
+
+    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct())
+    if wanted.count() <= 200_000:  # numbers of 8 bytes: then only these sets are shuffled
+        wanted = F.broadcast(wanted)
+    sets = sets.join(wanted, "v", "left_semi")
     rows = pairs.join(sets.select(F.col("v").alias("b"), F.col("shingles").alias("y")), "b")
     rows = attach(rows, sets.select(F.col("v").alias("a"), F.col("shingles").alias("x")), "a", "b")
-    return rows.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    return rows.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, same bigint, linked boolean, bits array<bigint>")
+
+
+def _may_link(percent: int):
+    """Condition on two members of a bucket (v, n, same, bits and a, m, its_same, its_bits), compared with its
+    centre before: an upper bound of their intersection. What both have of the centre's set is at most the
+    smaller of the two parts; of what else they have, shingles whose bit the other lacks are not shared."""
+    lacks = lambda p, q: sum((F.bit_count(F.get(p, F.lit(k)).bitwiseAND(F.bitwise_not(F.get(q, F.lit(k))))) for k in range(BITS // 64)), F.lit(0))
+    more = F.least(F.col("n") - F.col("same") - lacks(F.col("bits"), F.col("its_bits")), F.col("m") - F.col("its_same") - lacks(F.col("its_bits"), F.col("bits")))
+    most = F.least("same", "its_same") + more
+    return F.coalesce(100 * most >= percent * (F.col("n") + F.col("m") - most), F.lit(True))
 
 
 def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -175,23 +193,28 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     sizes = vertices.select(F.col("v").alias("a"), F.col("n").alias("m"))
     pairs = cut(members.where("v <> centre").select(F.col("centre").alias("a"), F.col("v").alias("b"), "n").distinct()
                 .join(sizes, "a").where(near).select("a", "b"))
-    edges = cut(_verified(pairs, docs, vertices, k, percent))
+    wanted = members.select("v").distinct().join(vertices.select("v", "doc_id"), "v")
+    sets = cut(_sets(docs, wanted, k))  # whole texts are shuffled this once
+    first = cut(_compared(pairs, sets, percent))
+    edges = first.where("linked").select("a", "b")
     used = members.select("bucket", F.col("centre").alias("v")).distinct()
+    members = cut(members.join(first.select(F.col("a").alias("centre"), F.col("b").alias("v"), "same", "bits"), ["centre", "v"], "left").select("bucket", "v", "n", "same", "bits"))
     label, tested, turn = components(edges), pairs, 0
     while True:
-        named = members.select("bucket", "v", "n").join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
+        named = members.join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
         by = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
         largest = by.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        strays = named.join(largest.select("bucket", "main"), "bucket").where("comp <> main").join(used, ["bucket", "v"], "left_anti")
-        centres = cut(strays.groupBy("bucket", F.pmod(F.xxhash64("v", F.lit(turn)), F.lit(CENTRES)).alias("s")).agg(F.min(F.struct("v", "n", "comp")).alias("x"))
-                      .select("bucket", F.col("x.v").alias("a"), F.col("x.n").alias("m"), F.col("x.comp").alias("own")))
+        strays = named.select("bucket", "v", "comp").join(largest.select("bucket", "main"), "bucket").where("comp <> main").join(used, ["bucket", "v"], "left_anti")
+        picked = strays.groupBy("bucket", F.pmod(F.xxhash64("v", F.lit(turn)), F.lit(CENTRES)).alias("s")).agg(F.min("v").alias("v")).select("bucket", "v")
+        centres = cut(named.join(picked, ["bucket", "v"]).select("bucket", F.col("v").alias("a"), F.col("n").alias("m"), F.col("comp").alias("own"),
+                                                                F.col("same").alias("its_same"), F.col("bits").alias("its_bits")))
         if centres.isEmpty():
             break
-        met = (named.join(centres, "bucket").where((F.col("comp") != F.col("own")) & near)
+        met = (named.withColumnRenamed("bucket", "at").join(centres, (F.col("at") == F.col("bucket")) & (F.col("comp") != F.col("own")) & near & _may_link(percent))
                .select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct())
         pairs = cut(met.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         used, tested, turn = used.union(centres.select("bucket", F.col("a").alias("v"))), tested.union(pairs), turn + 1
-        more = cut(_verified(pairs, docs, vertices, k, percent))
+        more = cut(_compared(pairs, sets, percent).where("linked").select("a", "b"))
         if not more.isEmpty():
             edges = edges.union(more)
             label = components(edges)
