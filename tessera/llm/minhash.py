@@ -41,7 +41,8 @@ __all__ = ["shingle_sets", "sketches", "features", "classes"]
 T, ROWS, CHUNK = 128, 4, 1 << 22
 #: Members of a bucket outside its largest class that meet the whole bucket in one turn, at most; the others follow in the next.
 CENTRES = 256
-BITS = 512
+#: Longs of each of a pair's two bitmaps.
+WORDS = 4
 _SEEDS = mix64(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -141,23 +142,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, same, linked, bits) of the pairs: size of the intersection of whole sets, whether they are
-    alike enough, and a bitmap of the shingles that b has and a has not."""
+    alike enough, and two bitmaps: of the shingles that b has and a has not, and of those that only a has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                own = y[np.isin(y, x, assume_unique=True, invert=True)]
+                own, lost = (p[np.isin(p, q, assume_unique=True, invert=True)] for p, q in ((y, x), (x, y)))
                 same = len(y) - len(own)
-                bits = np.zeros(BITS // 64, np.uint64)
-                np.bitwise_or.at(bits, ((own >> np.uint64(6)) % np.uint64(BITS // 64)).astype(np.int64), np.uint64(1) << (own & np.uint64(63)))
+                bits = np.zeros(2 * WORDS, np.uint64)
+                for at, only in ((0, own), (WORDS, lost)):
+                    np.bitwise_or.at(bits, ((only >> np.uint64(6)) % np.uint64(WORDS)).astype(np.int64) + at, np.uint64(1) << (only & np.uint64(63)))
                 rows.append((same, 100 * same >= percent * (len(x) + len(y) - same), bits.view(np.int64).tolist()))
             same, linked, bits = zip(*rows) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(same, pa.int64()), pa.array(linked, pa.bool_()), pa.array(bits, pa.list_(pa.int64()))],
                                              names=["a", "b", "same", "linked", "bits"])
 
-    wanted = cut(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct())
+    wanted = cut(pairs.select(F.col("a").alias("v")).distinct().union(pairs.select(F.col("b").alias("v")).distinct()).distinct())
     if wanted.count() <= 200_000:  # numbers of 8 bytes: then only these sets are shuffled
         wanted = F.broadcast(wanted)
     sets = sets.join(wanted, "v", "left_semi")
@@ -168,11 +170,13 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _may_link(percent: int):
     """Condition on two members of a bucket (v, n, same, bits and a, m, its_same, its_bits), compared with its
-    centre before: an upper bound of their intersection. What both have of the centre's set is at most the
-    smaller of the two parts; of what else they have, shingles whose bit the other lacks are not shared."""
-    lacks = lambda p, q: sum((F.bit_count(F.get(p, F.lit(k)).bitwiseAND(F.bitwise_not(F.get(q, F.lit(k))))) for k in range(BITS // 64)), F.lit(0))
-    more = F.least(F.col("n") - F.col("same") - lacks(F.col("bits"), F.col("its_bits")), F.col("m") - F.col("its_same") - lacks(F.col("its_bits"), F.col("bits")))
-    most = F.least("same", "its_same") + more
+    centre before: an upper bound of their intersection. A shingle of the centre that one of them lacks is in no
+    intersection, nor is one outside the centre's set that the other lacks; a bit that only one bitmap has
+    stands for at least one such shingle."""
+    alone = lambda p, q, at: sum((F.bit_count(F.get(p, F.lit(at + k)).bitwiseAND(F.bitwise_not(F.get(q, F.lit(at + k))))) for k in range(WORDS)), F.lit(0))
+    mine, its = F.col("bits"), F.col("its_bits")
+    inside = F.least(F.col("same") - alone(its, mine, WORDS), F.col("its_same") - alone(mine, its, WORDS))
+    most = inside + F.least(F.col("n") - F.col("same") - alone(mine, its, 0), F.col("m") - F.col("its_same") - alone(its, mine, 0))
     return F.coalesce(100 * most >= percent * (F.col("n") + F.col("m") - most), F.lit(True))
 
 
@@ -190,15 +194,15 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     centre = members.groupBy("bucket").agg(F.max(F.struct("weight", "v"))["v"].alias("centre"))
     members = cut(members.join(centre, "bucket").select("bucket", "v", "n", "centre"))
     near = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")  # sizes alone rule the others out
-    sizes = vertices.select(F.col("v").alias("a"), F.col("n").alias("m"))
-    pairs = cut(members.where("v <> centre").select(F.col("centre").alias("a"), F.col("v").alias("b"), "n").distinct()
-                .join(sizes, "a").where(near).select("a", "b"))
+    # All members meet the centre, also those of other sizes: what they have in common with it bounds the rest.
+    pairs = cut(members.where("v <> centre").select(F.col("centre").alias("a"), F.col("v").alias("b")).distinct())
     wanted = members.select("v").distinct().join(vertices.select("v", "doc_id"), "v")
     sets = cut(_sets(docs, wanted, k))  # whole texts are shuffled this once
     first = cut(_compared(pairs, sets, percent))
     edges = first.where("linked").select("a", "b")
     used = members.select("bucket", F.col("centre").alias("v")).distinct()
     members = cut(members.join(first.select(F.col("a").alias("centre"), F.col("b").alias("v"), "same", "bits"), ["centre", "v"], "left").select("bucket", "v", "n", "same", "bits"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     label, tested, turn = components(edges), pairs, 0
     while True:
         named = members.join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
@@ -210,7 +214,8 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
                                                                 F.col("same").alias("its_same"), F.col("bits").alias("its_bits")))
         if centres.isEmpty():
             break
-        met = (named.withColumnRenamed("bucket", "at").join(centres, (F.col("at") == F.col("bucket")) & (F.col("comp") != F.col("own")) & near & _may_link(percent))
+        # Comparing is work, not bytes: a stated count of partitions keeps it from being drawn together.
+        met = (named.withColumnRenamed("bucket", "at").repartition(parts, "at").join(centres.repartition(parts, "bucket"), (F.col("at") == F.col("bucket")) & (F.col("comp") != F.col("own")) & near & _may_link(percent))
                .select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct())
         pairs = cut(met.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         used, tested, turn = used.union(centres.select("bucket", F.col("a").alias("v"))), tested.union(pairs), turn + 1
