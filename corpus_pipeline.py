@@ -18,7 +18,7 @@ from tessera.llm.queries import TOXIC_FROM
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that score as toxic; the model learns from the labelled documents of ``sf_dir``."""
-    model = toxicity.fit(*toxicity.training_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, "_toxic").where(F.col("_toxic") < TOXIC_FROM).select(*docs.columns)
 
 

@@ -40,7 +40,7 @@ __all__ = ["shingle_sets", "sketches", "features", "classes"]
 
 T, ROWS, CHUNK = 128, 4, 1 << 22
 #: Members of a bucket outside its largest class that meet the whole bucket in one turn, at most; the others follow in the next.
-CENTRES = 256
+CENTRES = 4096
 #: Longs of each of a pair's two bitmaps.
 WORDS = 4
 _SEEDS = mix64(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))

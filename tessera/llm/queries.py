@@ -73,7 +73,7 @@ TOXIC_FROM = 0.3
 @query("op5_toxicity")
 def op5(spark, base):
     docs = table(spark, base, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    model = toxicity.fit(*toxicity.training_sample(docs, table(spark, base, "labels")))
+    model = toxicity.train(docs, table(spark, base, "labels"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 

@@ -23,6 +23,7 @@ toxic ones (0 without any).
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections import Counter
 from dataclasses import dataclass
 from typing import Iterator
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.common import LOWER, byte_chunks, doc_bytes, gather, span_hash, word_spans
 
-__all__ = ["Model", "fit", "training_sample", "score", "triples"]
+__all__ = ["Model", "fit", "train", "training_sample", "score", "triples"]
 
 DECAY, REACH, CHUNK = 0.6, 5, 1 << 21
 #: Letters 1-26, digits that stand for letters, bytes of other letters in 27-31; all else is a gap.
@@ -179,7 +180,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     marks = [w for w in good + plain[:landmarks - len(good)] if triples(w)]
     if not marks:
         return Model(np.zeros(1 << 15, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
-    base = np.zeros((1 << 15, len(marks)))
+    base = np.zeros((1 << 15, len(marks)), np.float32)
     for k, m in enumerate(marks):
         places, weights = unit(m)
         base[places, k] = weights
@@ -222,15 +223,29 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     return model
 
 
+def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    return (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most ``most`` rows of two numbers
+            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, most: int = 5000) -> tuple[list[str], list[int]]:
     """Texts and toxic labels of at most ``most`` labelled documents (lowest hashes of
     doc_id first) whose crc32 of the id's text mod 4 is not 2."""
-    known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2))
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most ``most`` rows of two numbers
-            .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").collect())
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    return [r.text for r in rows], [int(r.toxic > 0) for r in rows]
+    rows = sorted(map(tuple, _sample(docs, labels, most).collect()))
+    return [r[1] for r in rows], [r[2] for r in rows]
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = 5000) -> Model:
+    """``fit`` on the ``training_sample``, in one task: the sample is bounded by ``most``, and only the model comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit([r[1] for r in rows], [r[2] for r in rows]))], pa.binary())], names=["model"])
+
+    models = _sample(docs, labels, most).repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(models[0].model) if models else fit([], [])
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:

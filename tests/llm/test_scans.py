@@ -77,6 +77,7 @@ def test_toxicity_held_out_and_edge_rows(spark):
     held = [(got[i] >= 0.3, t) for i, t in labels if zlib.crc32(str(i).encode()) % 4 == 2]
     assert sum(p != bool(t) for p, t in held) <= 0.05 * len(held)
     assert got[9002] >= 0.3 and got[None] >= 0.3 and got[9003] >= 0.3 and got[9000] < 0.3 and got[9001] == got[9000]
+    assert toxicity.train(docs.limit(0), lab.limit(0)).slope == 0
     assert toxicity.score(docs.limit(0), toxicity.fit([], [])).count() == 0
 
 
@@ -84,7 +85,7 @@ def test_toxicity_on_given_labels(spark):
     base = "/root/testdata/sf0.1"
     docs, lab = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    rows = toxicity.score(docs, toxicity.fit(*toxicity.training_sample(docs, lab))).join(lab, "doc_id").where(held).select("score", "toxic").collect()
+    rows = toxicity.score(docs, toxicity.train(docs, lab)).join(lab, "doc_id").where(held).select("score", "toxic").collect()
     p, y = np.array([r.score >= 0.3 for r in rows]), np.array([r.toxic for r in rows]) == 1
     assert (p & y).sum() >= 0.75 * y.sum() and (p & y).sum() >= 0.75 * p.sum()
 
