@@ -94,7 +94,7 @@ def span_hash(flat: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     with np.errstate(over="ignore"):
         h = np.concatenate(([np.uint64(0)], np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * p[:n], dtype=np.uint64)))
         out = mix64((h[end] - h[start]) * i[start])
-    if n > 1 << 24:
+    if n > 1 << 21:
         _POWERS.clear()
     return out
 

@@ -36,7 +36,7 @@ from tessera.llm.common import LOWER, byte_chunks, doc_bytes, mix64
 
 __all__ = ["Index", "edit_match", "hits", "clean"]
 
-STRIDE, STEPS, PLACES, REPEATS, SHORT, CHUNK = 8, 36, 24, 2, 48, 1 << 21
+STRIDE, STEPS, PLACES, REPEATS, SHORT, CHUNK = 8, 36, 24, 2, 48, 1 << 20
 _FOLD = LOWER.copy()
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _BITS = 22

@@ -38,7 +38,7 @@ from tessera.llm.graph import attach, components
 
 __all__ = ["shingle_sets", "sketches", "features", "classes"]
 
-T, ROWS, CHUNK = 128, 4, 1 << 22
+T, ROWS, CHUNK = 128, 4, 1 << 20
 #: Members of a bucket outside its largest class that meet the whole bucket in one turn, at most; the others follow in the next.
 CENTRES = 4096
 #: Longs of each of a pair's two bitmaps.

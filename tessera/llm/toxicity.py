@@ -38,7 +38,7 @@ from tessera.llm.common import LOWER, byte_chunks, doc_bytes, gather, span_hash,
 
 __all__ = ["Model", "fit", "train", "training_sample", "score", "triples"]
 
-DECAY, REACH, CHUNK = 0.6, 5, 1 << 21
+DECAY, REACH, CHUNK = 0.6, 5, 1 << 20
 #: Letters 1-26, digits that stand for letters, bytes of other letters in 27-31; all else is a gap.
 SYMBOL = np.zeros(256, np.int32)
 SYMBOL[97:123] = np.arange(1, 27)
@@ -237,7 +237,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = 5000) -> tup
     return [r[1] for r in rows], [r[2] for r in rows]
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = 5000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, most: int = 4000) -> Model:
     """``fit`` on the ``training_sample``, in one task: the sample is bounded by ``most``, and only the model comes to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
