@@ -16,6 +16,8 @@ from pyspark.ml.feature import (CountVectorizer, Imputer, Normalizer, OneHotEnco
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.ordered import null_safe_join
+
 __all__ = ["onehot_drop_first", "target_encode", "standardize", "minmax", "variance_filter", "text_tokens",
            "tfidf_top_terms", "impute", "column_routing", "drop_columns"]
 
@@ -44,7 +46,7 @@ def target_encode(train: DataFrame, others: Sequence[DataFrame], cols: Sequence[
     for c in cols:
         stats = train.groupBy(c).agg(F.sum(F.col(label).cast("double")).alias("_s"), F.count(F.lit(1)).alias("_n"))
         enc = stats.select(c, ((F.col("_s") + smoothing * prior) / (F.col("_n") + smoothing)).alias(f"{c}_te"))
-        out = [d.join(enc, c, "left").withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), prior)) for d in out]
+        out = [null_safe_join(d, enc, [c], "left").withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), prior)) for d in out]
     return out
 
 
@@ -84,11 +86,11 @@ STOP_WORDS = ["a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if
 
 
 def text_tokens(df: DataFrame, text: str, out: str = "tokens", stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
-    """M17 lower-case, drop everything that is not a Unicode letter, digit,
-    underscore or space (Python's \\w semantics, D17), split on spaces and
-    remove stop words."""
-    clean = F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}_\s]", "")
-    toks = F.filter(F.split(clean, r"\s+"), lambda t: t != "")
+    """M17 lower-case, put a space for everything that is not a Unicode letter, digit,
+    underscore or space (Python's \\w semantics, D17), split on spaces,
+    remove stop words and tokens of one character."""
+    clean = F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}_\s]", " ")
+    toks = F.filter(F.split(clean, r"\s+"), lambda t: F.length(t) >= 2)
     stop = set(stop_words)
     return df.withColumn(out, F.filter(toks, lambda t: ~t.isin(*stop)))
 
