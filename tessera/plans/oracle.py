@@ -1,7 +1,7 @@
 """DuckDB SQL equivalents of the registered queries (same parquet tables).
 
 ``final`` applies the normalisation of ``queries.finish``: doubles rounded
-to 6 digits, integers as BIGINT, dates/timestamps as text.
+to 12 significant digits, integers as BIGINT, dates/timestamps as text.
 """
 
 from __future__ import annotations
@@ -1325,7 +1325,11 @@ def _():
 @oracle("stream_daily_users", dates=("session_date",))
 def _():
     return """WITH d AS (SELECT CAST(ts AS DATE) AS session_date, user_id,
-                            max(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS registered FROM events GROUP BY 1, 2),
-    wm AS (SELECT max(ts) - INTERVAL 1 DAY AS w FROM events)
-    SELECT session_date, count(*) AS users, CAST(sum(registered) AS BIGINT) AS registered_users FROM d
-    WHERE CAST(session_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT w FROM wm) GROUP BY 1"""
+                            max(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS registered FROM events GROUP BY 1, 2)
+    SELECT session_date, count(*) AS users, CAST(sum(registered) AS BIGINT) AS registered_users FROM d GROUP BY 1"""
+
+
+@oracle("stream_run_date_features", dates=("run_date",), dbl=("max_value",))
+def _():
+    return """SELECT CAST(ts AS DATE) AS run_date, user_id, count(*) AS n_events, count(DISTINCT event_type) AS n_types,
+                     max(value) AS max_value, count(*) FILTER (event_type = 'signup') AS n_signups FROM events GROUP BY 1, 2"""

@@ -1057,8 +1057,27 @@ def q_lagged_label(spark, base):
 
 @query("stream_daily_users")
 def q_stream_daily_users(spark, base):
-    """R2: daily unique / registered users from the events file read as a
-    stream (watermark 1 day, 1-day windows, append mode)."""
+    """R2: daily unique / registered users from the events file read as a stream."""
     from tessera.streaming.jobs import run_daily_users
     path = f"{base.rstrip('/')}/events.parque[t]"      # the file source takes a directory or a glob
     return finish(run_daily_users(spark, path))
+
+
+@query("stream_run_date_features")
+def q_stream_run_date_features(spark, base):
+    """Features of every (run date, user), kept up to date by a stream over
+    the events written as many files, so that a run date arrives in several batches."""
+    from tessera.streaming.jobs import event_stream, run_date_feature_stream, scratch
+    events = D.Tables(spark, base).events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    arriving, out = scratch(spark, "arriving"), scratch(spark, "run-dates")
+    events.repartition(8, "event_id").write.parquet(arriving)
+    stream = event_stream(spark, arriving, events.schema, max_files=3)
+
+    def per_user(rows):
+        return (rows.groupBy("run_date", "user_id")
+                .agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_type").alias("n_types"),
+                     F.max("value").alias("max_value"), F.count(F.when(F.col("event_type") == "signup", 1)).alias("n_signups")))
+
+    run_date_feature_stream(stream, lambda: spark.read.schema(events.schema).parquet(arriving), out, scratch(spark, "stream"),
+                            per_user, F.col("ts").cast("date")).awaitTermination()
+    return finish(spark.read.parquet(out).withColumn("run_date", F.col("run_date").cast("date")))

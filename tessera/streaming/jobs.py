@@ -1,23 +1,31 @@
 """Structured Streaming re-aims of two batch jobs.
 
 R1 - the run-date feature job as an ``availableNow`` stream over arriving
-     event files: each micro-batch recomputes the affected run dates and
-     overwrites only those partitions (``foreachBatch``, dynamic partition
-     overwrite, idempotent on replay thanks to the checkpointed offsets).
-R2 - daily unique and registered users with a watermark and a 1-day
-     tumbling window. Exact distinct counts are not supported on streams,
-     so the users are reduced per (window, user) first - a state of one row
-     per user and day - and counted in each micro-batch's output.
+     event files: each micro-batch names the run dates it touches; their
+     features are computed anew from all source events of those dates, and
+     only their partitions are overwritten (``foreachBatch``, dynamic
+     partition overwrite; a replayed batch writes the same rows).
+R2 - daily unique and registered users. Exact distinct counts are not
+     supported on streams, so each micro-batch is reduced to one row per
+     (day, user) and written to a store under its own batch number, which a
+     replay overwrites; the report aggregates the store. There is no
+     watermark, so neither late events nor the last days are lost, whatever
+     the number of files and batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from typing import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-__all__ = ["event_stream", "daily_users_stream", "run_date_feature_stream", "run_daily_users"]
+from tessera.session import checkpoint_dir
+
+__all__ = ["event_stream", "user_days", "daily_users_stream", "run_date_feature_stream", "run_daily_users"]
 
 
 def event_stream(spark: SparkSession, path: str, schema: StructType, max_files: int = 100) -> DataFrame:
@@ -25,45 +33,55 @@ def event_stream(spark: SparkSession, path: str, schema: StructType, max_files:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def daily_users_stream(events: DataFrame, ts: str = "ts", user: str = "user_id", event_type: str = "event_type",
-                       signup: str = "signup", watermark: str = "1 day") -> DataFrame:
-    """R2 per day: distinct users and distinct users with a signup event.
-    Stage 1 keeps one row per (day window, user) with a registered flag
-    (bounded state, evicted by the watermark); append mode emits each day
-    once it is final."""
-    per_user = (events.withWatermark(ts, watermark)
-                .groupBy(F.window(ts, "1 day").alias("w"), F.col(user))
-                .agg(F.max(F.when(F.col(event_type) == signup, 1).otherwise(0)).alias("registered")))
-    return per_user.select(F.col("w.start").cast("date").alias("session_date"), user, "registered")
-
-
-def run_date_feature_stream(events: DataFrame, out_path: str, checkpoint: str, feature_fn, *,
-                            ts: str = "ts") -> StreamingQuery:
-    """R1 incremental run-date job: for every micro-batch, recompute the
-    features of the run dates the batch touches (``feature_fn(batch_df)``
-    returns rows with a ``run_date`` column) and overwrite exactly those
-    partitions. ``availableNow`` processes the backlog then stops."""
+def user_days(events: DataFrame, ts: str = "ts", user: str = "user_id", event_type: str = "event_type",
+              signup: str = "signup") -> DataFrame:
+    """One row per (session_date, user) with a registered flag."""
+    return (events.groupBy(F.col(ts).cast("date").alias("session_date"), F.col(user))
+            .agg(F.max(F.when(F.col(event_type) == signup, 1).otherwise(0)).alias("registered")))
+
+
+def daily_users_stream(events: DataFrame, store: str, checkpoint: str, **cols: str) -> StreamingQuery:
+    """R2 ingest: merges the user-days of every micro-batch into ``store``
+    (``cols`` as for ``user_days``)."""
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        user_days(batch, **cols).write.mode("overwrite").parquet(f"{store}/batch={epoch_id}")
+
+    return (events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def run_date_feature_stream(events: DataFrame, history: Callable[[], DataFrame], out_path: str, checkpoint: str,
+                            feature_fn: Callable[[DataFrame], DataFrame], run_date: Column) -> StreamingQuery:
+    """R1 incremental run-date job: for every micro-batch, the features of the
+    run dates it touches (``run_date`` is an expression over an event) are
+    computed from *all* source events of those dates, which ``history`` reads
+    afresh, and exactly those partitions are overwritten. ``feature_fn`` gets
+    the events with their ``run_date`` and returns rows with that column.
+    ``availableNow`` processes the backlog then stops."""
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        feats = feature_fn(batch)
-        (feats.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        touched = batch.select(run_date.alias("run_date")).distinct()
+        rows = history().withColumn("run_date", run_date).join(touched, "run_date", "left_semi")
+        (feature_fn(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("run_date").parquet(out_path))
 
     return (events.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def run_daily_users(spark: SparkSession, events_path: str, watermark: str = "1 day") -> DataFrame:
-    """Run R2 to completion over the files at ``events_path`` (availableNow,
-    stream checkpoint under the cluster checkpoint folder) and return the
-    finalized days: users and registered users per day."""
-    import uuid
-    from tessera.session import checkpoint_dir
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the cluster's shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def run_daily_users(spark: SparkSession, events_path: str, max_files: int = 100) -> DataFrame:
+    """Run R2 to completion over the files at ``events_path`` (availableNow;
+    store and stream checkpoint under the cluster checkpoint folder) and
+    return users and registered users of every day."""
     schema = spark.read.parquet(events_path).schema
-    stream = event_stream(spark, events_path, schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    name = f"daily_users_{uuid.uuid4().hex[:8]}"
-    q = (daily_users_stream(stream, watermark=watermark).writeStream.outputMode("append").format("memory")
-         .queryName(name).option("checkpointLocation", f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return (spark.table(name).groupBy("session_date")
+    stream = event_stream(spark, events_path, schema, max_files).withColumn("ts", F.col("ts").cast("timestamp"))
+    store = scratch(spark, "user-days")
+    daily_users_stream(stream, store, scratch(spark, "stream")).awaitTermination()
+    merged = (spark.read.schema("session_date date, user_id bigint, registered int").parquet(f"{store}/batch=*")
+              .groupBy("session_date", "user_id").agg(F.max("registered").alias("registered")))
+    return (merged.groupBy("session_date")
             .agg(F.count(F.lit(1)).alias("users"), F.sum("registered").cast("bigint").alias("registered_users")))

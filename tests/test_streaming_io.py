@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -15,36 +16,34 @@ from tessera.streaming import jobs as S
 BASE = "/root/testdata/sf0.001"
 
 
-def test_daily_users_stream_matches_batch(spark):
+def _as_files(spark, n):
+    """The events in ``n`` files, and the frame itself."""
     ev = spark.read.parquet(f"{BASE}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     src = tempfile.mkdtemp(prefix="tessera-stream-src-")
-    ev.repartition(4).write.mode("overwrite").parquet(src)
-    stream = S.event_stream(spark, src, ev.schema)
-    q = (S.daily_users_stream(stream).writeStream.outputMode("append").format("memory")
-         .queryName("daily_users_t").trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    got = spark.sql("SELECT session_date, count(*) AS users, sum(registered) AS reg FROM daily_users_t GROUP BY 1").toPandas()
-    exp = (ev.groupBy(F.col("ts").cast("date").alias("session_date"))
-           .agg(F.count_distinct("user_id").alias("users"),
-                F.count_distinct(F.when(F.col("event_type") == "signup", F.col("user_id"))).alias("reg")).toPandas())
-    m = got.merge(exp, on="session_date", suffixes=("_s", "_b"))
-    # append mode emits a day once the watermark passes it: every emitted day must be exact
-    assert len(m) >= 1 and (m["users_s"] == m["users_b"]).all() and (m["reg_s"] == m["reg_b"]).all()
-
-
-def test_run_date_stream_overwrites_partitions(spark):
-    ev = spark.read.parquet(f"{BASE}/events.parquet")
-    src = tempfile.mkdtemp(prefix="tessera-stream-ev-")
-    ev.write.mode("overwrite").parquet(src)
+    ev.repartition(n).write.mode("overwrite").parquet(src)
+    return ev, src
+
+
+@pytest.mark.parametrize("files,per_batch", [(1, 100), (15, 100), (45, 10)])
+def test_daily_users_stream_matches_batch(spark, files, per_batch):
+    ev, src = _as_files(spark, files)
+    got = {tuple(r) for r in S.run_daily_users(spark, src, per_batch).collect()}
+    exp = {tuple(r) for r in ev.groupBy(F.col("ts").cast("date").alias("session_date"))
+           .agg(F.count_distinct("user_id"), F.count_distinct(F.when(F.col("event_type") == "signup", F.col("user_id")))).collect()}
+    assert got == exp
+
+
+def test_run_date_stream_recomputes_dates_of_several_batches(spark):
+    ev, src = _as_files(spark, 6)
     out, ck = tempfile.mkdtemp(prefix="tessera-out-"), tempfile.mkdtemp(prefix="tessera-ck-")
 
-    def feats(batch):
-        return (batch.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-                .withColumn("run_date", F.lit("2024-01-25").cast("date")))
-    q = S.run_date_feature_stream(S.event_stream(spark, src, ev.schema), out, ck, feats)
+    def feats(rows):
+        return rows.groupBy("run_date", "user_id").agg(F.count(F.lit(1)).alias("n"))
+    day = F.col("ts").cast("date")
+    q = S.run_date_feature_stream(S.event_stream(spark, src, ev.schema, 2), lambda: spark.read.parquet(src), out, ck, feats, day)
     q.awaitTermination(120)
-    got = spark.read.parquet(out)
-    assert got.count() == ev.select("user_id").distinct().count()
+    got = {(str(r["run_date"]), r["user_id"], r["n"]) for r in spark.read.parquet(out).collect()}
+    assert got == {(str(r["run_date"]), r["user_id"], r["n"]) for r in feats(ev.withColumn("run_date", day)).collect()}
 
 
 def test_csv_and_decimal_comma_readers(spark):
