@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import band, epoch_seconds, flag, pct_text, ratio
+from tessera.operators.ordered import quantiles
 
 __all__ = [
     "top_k_by_count", "customer_mart", "order_fact_aggregates", "order_segments", "top_customers", "region_report",
@@ -199,10 +200,11 @@ def payer_share_by(users: DataFrame, dim: DataFrame, key: str, name_col: str, pa
 def global_stats(df: DataFrame, col: str) -> DataFrame:
     """A1 count, sum, max, min, mean, exact median, sample std of a measure."""
     x = F.col(col)
+    median = quantiles(df, col, [0.5], names=["median"]).scalar()  # one row
     xd = x.cast("double")
     return df.agg(F.count(F.lit(1)).alias("cnt"), F.sum(x).alias("sum_value"), F.max(x).alias("max_value"),
                   F.min(x).alias("min_value"), ratio(F.sum(x), F.count(x)).alias("avg_value"),
-                  F.percentile(xd, 0.5).alias("median_value"), F.stddev_samp(xd).alias("std_value"))
+                  median.alias("median_value"), F.stddev_samp(xd).alias("std_value"))
 
 
 def zero_share(df: DataFrame, col: str) -> DataFrame:

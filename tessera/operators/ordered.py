@@ -69,13 +69,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequence[str] = (),
-              partitions: int | None = None, materialize: bool = False) -> DataFrame:
+              partitions: int | None = None, materialize: bool = False, totals: bool = False) -> DataFrame:
     """Add ``_rank`` (0-based position in the group order), ``_n`` (group
     size) and, for each column ``c`` in ``sums``, ``_cum_<c>`` (inclusive
     running sum, nulls skipped) and ``_cnt_<c>`` (inclusive running count of
     non-null values). ``order`` must make the order total (add a unique
     tiebreak) for results to be deterministic. ``materialize`` checkpoints
-    the ranked result, for callers that join it with itself."""
+    the ranked result, for callers that join it with itself; ``totals`` adds
+    the group's sum ``_tot_<c>``."""
     keys = list(keys)
     s = sorted_frame(df, keys, order, partitions)
     # Non-null surrogate keys (value-or-default, is-null flag): plain equality on
@@ -99,6 +100,8 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
     for c in sums:
         cols += [F.coalesce(F.sum(f"_s_{c}").over(prev), F.lit(0)).alias(f"_cs_{c}"),
                  F.coalesce(F.sum(f"_k_{c}").over(prev), F.lit(0)).alias(f"_ck_{c}")]
+        if totals:
+            cols.append(F.sum(f"_s_{c}").over(wk).alias(f"_tot_{c}"))
     summ = summ.select(*cols)
     out = s
     if sums:
@@ -134,25 +137,23 @@ def _default(dtype):
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], keys: Sequence[str] = (),
               names: Sequence[str] | None = None, partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas ``quantile`` / SQL
-    ``percentile_cont``) per group, with no group held in one task: rank the
-    non-null values, keep only the rows at positions floor/ceil of
-    ``p*(n-1)``, interpolate. One row per group with one column per p."""
+    ``percentile_cont``) per group, with no group held in one task: the
+    non-null values are counted (map-side combined, so a value that holds
+    most rows is one row afterwards), the distinct values are ranked with
+    running counts, and those whose run of places covers floor/ceil of
+    ``p*(n-1)`` are kept and interpolated. One row per group with one column
+    per p."""
     keys = list(keys)
     names = list(names or [f"q{int(round(p * 100))}" for p in probs])
     x = df.select(*keys, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    r = with_rank(x, keys, [F.col("_x")], partitions=partitions)
-    pos = []
-    for p in probs:
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        pos.append((F.floor(h), F.ceil(h), h))
-    want = F.lit(False)
-    for lo, hi, _ in pos:
-        want = want | (F.col("_rank") == lo) | (F.col("_rank") == hi)
-    picked = r.where(want)
-    aggs = []
-    for (lo, hi, h), name in zip(pos, names):
-        vlo = F.max(F.when(F.col("_rank") == lo, F.col("_x")))
-        vhi = F.max(F.when(F.col("_rank") == hi, F.col("_x")))
-        frac = F.first(h - F.floor(h))
-        aggs.append((vlo + (vhi - vlo) * frac).alias(name))
-    return picked.groupBy(*keys).agg(*aggs)
+    x = x.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_w"))
+    r = with_rank(x, keys, [F.col("_x")], sums=["_w"], partitions=partitions, totals=True)
+    covers = lambda at: (F.col("_cum__w") - F.col("_w") <= at) & (at < F.col("_cum__w"))
+    want, aggs = F.lit(False), []
+    for p, name in zip(probs, names):
+        h = (F.col("_tot__w") - 1) * F.lit(float(p))
+        lo, hi = covers(F.floor(h)), covers(F.ceil(h))
+        want = want | lo | hi
+        vlo, vhi = F.max(F.when(lo, F.col("_x"))), F.max(F.when(hi, F.col("_x")))
+        aggs.append((vlo + (vhi - vlo) * F.first(h - F.floor(h))).alias(name))
+    return r.where(want).groupBy(*keys).agg(*aggs)

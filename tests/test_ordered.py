@@ -76,6 +76,15 @@ def test_quantiles_match_numpy(spark, skewed):
     assert np.isclose(glob, np.percentile(pdf["v"].dropna(), 25))
 
 
+def test_quantiles_with_ties(spark):
+    """Nine rows of ten hold one value: it is a single row of the ranked frame."""
+    v = [7.0] * 900 + list(range(100)) + [None] * 5
+    df = spark.createDataFrame([(x if x is None else float(x),) for x in v], "v double").repartition(8)
+    probs = [0.0, 0.04, 0.5, 0.95, 0.997, 1.0]
+    got = list(quantiles(df, "v", probs, names=list("abcdef"), partitions=8).collect()[0])
+    assert np.allclose(got, np.percentile([x for x in v if x is not None], [100 * p for p in probs]))
+
+
 def test_interval_label_rules(spark):
     cohort = spark.createDataFrame([(1, "2020-01-01"), (1, "2021-06-01"), (2, "2020-01-01"), (3, "2020-03-01"), (3, "2023-06-01")],
                                    "id long, t string").withColumn("t", F.to_date("t"))
