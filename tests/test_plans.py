@@ -9,7 +9,8 @@ import __spark_entry__ as E
 
 BASE = "/root/testdata/sf0.001"
 SUBSET = ["customer_mart", "item_popularity", "asof_join", "ts_features", "interval_label", "batch_features",
-          "prop_ztest", "psi", "threshold_sweep", "user_profile", "dedup_first", "fill_group_mean", "box_stats"]
+          "prop_ztest", "psi", "threshold_sweep", "user_profile", "dedup_first", "fill_group_mean", "box_stats",
+          "regression_metrics", "global_stats", "describe_numeric"]
 
 
 def _plan(df) -> str:
