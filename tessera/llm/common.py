@@ -26,9 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names (``spark.checkpoint.dir``):
     ends the lineage in files every executor can read, so a lost executor costs
-    no recomputation of what came before."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    no recomputation of what came before. Shuffle files are only removed when the
+    driver's JVM collects the frames they belong to; that is asked for here, or
+    a loop's earlier rounds would stay on the executors' disks."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    del df
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def doc_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
