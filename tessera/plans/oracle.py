@@ -36,66 +36,40 @@ def oracle(name: str, **kw):
 
 
 # ------------------------------------------------------------------ marketplace mart
+# Review scores of open lines are stored times ten; corrected, every line's is its quantity mod 5, plus 1.
 MARKET = """
-m_orders AS (SELECT o_orderkey AS order_id, o_custkey AS buyer_id, o_orderstatus AS order_status,
-                    o_orderdate AS order_purchase_ts FROM orders),
-m_users AS (SELECT c.c_custkey AS buyer_id, c.c_custkey AS user_id, r.r_name AS region
-            FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-            JOIN region r ON n.n_regionkey = r.r_regionkey),
-m_items AS (SELECT l_orderkey AS order_id, CAST(l_extendedprice AS DECIMAL(15,2)) AS price,
-                   CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_tax AS DECIMAL(4,2)) AS delivery_cost FROM lineitem),
-m_payments AS (SELECT l_orderkey AS order_id,
-                      CASE l_returnflag WHEN 'A' THEN 'transfer' WHEN 'R' THEN 'promo' ELSE 'card' END AS payment_type,
-                      CAST(l_linenumber AS BIGINT) AS payment_sequential,
-                      CAST(floor(l_quantity) AS BIGINT) % 4 AS payment_installments FROM lineitem),
-m_reviews AS (SELECT l_orderkey AS order_id,
-                     CASE WHEN l_linestatus = 'O' THEN (CAST(floor(l_quantity) AS BIGINT) % 5 + 1) * 10
-                          ELSE CAST(floor(l_quantity) AS BIGINT) % 5 + 1 END AS review_score FROM lineitem),
-top_regions AS (SELECT u.region FROM m_users u JOIN m_orders o USING (buyer_id)
-                GROUP BY u.region ORDER BY count(*) DESC, u.region LIMIT 3),
-filtered AS (SELECT o.*, u.user_id, u.region FROM m_orders o JOIN m_users u USING (buyer_id)
-             WHERE o.order_status IN ('F', 'P') AND u.region IN (SELECT region FROM top_regions)),
-first_payment AS (SELECT order_id, min(payment_sequential) AS payment_sequential
-                  FROM m_payments JOIN filtered USING (order_id) WHERE payment_type = 'transfer' GROUP BY order_id),
-promo_payment AS (SELECT order_id, CASE WHEN sum(CASE WHEN payment_type = 'promo' THEN 1 ELSE 0 END) > 0 THEN 1 ELSE 0 END AS binary_promo
-                  FROM m_payments JOIN filtered USING (order_id) GROUP BY order_id),
-installments AS (SELECT order_id FROM m_payments GROUP BY order_id
-                 HAVING sum(CASE WHEN payment_installments > 1 THEN 1 ELSE 0 END) > 0),
-orders_cost AS (SELECT order_id, sum(price) + sum(delivery_cost) AS total_order_costs
-                FROM filtered JOIN m_items USING (order_id) WHERE order_status = 'F' GROUP BY order_id),
-reviews AS (SELECT order_id, avg(CASE WHEN review_score > 5 THEN CAST(review_score AS DOUBLE) / 10.0
-                                      ELSE CAST(review_score AS DOUBLE) END) AS corrected_review_score
-            FROM m_reviews JOIN filtered USING (order_id) GROUP BY order_id),
-cancelled_orders AS (SELECT order_id FROM filtered WHERE order_status = 'P'),
+line_facts AS (
+  SELECT l_orderkey AS order_id,
+         sum(CAST(l_extendedprice AS DECIMAL(15,2))) + sum(CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(l_tax AS DECIMAL(4,2))) AS cost,
+         bool_or(l_returnflag = 'A') AS by_transfer, bool_or(l_returnflag = 'R') AS by_promo,
+         bool_or(CAST(floor(l_quantity) AS BIGINT) % 4 > 1) AS in_parts,
+         avg(CAST(CAST(floor(l_quantity) AS BIGINT) % 5 + 1 AS DOUBLE)) AS rating
+  FROM lineitem GROUP BY l_orderkey),
+placed AS (
+  SELECT c.c_custkey AS user_id, r.r_name AS region, o.o_orderstatus AS status, o.o_orderdate AS ts, x.*,
+         count(*) OVER (PARTITION BY r.r_name) AS region_size
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+  JOIN region r ON r.r_regionkey = n.n_regionkey LEFT JOIN line_facts x ON x.order_id = o.o_orderkey),
+wanted AS (
+  SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY region_size DESC, region) AS place FROM placed)
+  WHERE place <= 3 AND status IN ('F', 'P')),
 mart AS (
-  SELECT f.user_id, f.region,
-         min(f.order_purchase_ts) AS first_order_ts, max(f.order_purchase_ts) AS last_order_ts,
-         epoch(max(f.order_purchase_ts)) - epoch(min(f.order_purchase_ts)) AS lifetime_sec,
-         count(f.order_id) AS total_orders,
-         avg(r.corrected_review_score) AS avg_order_rating,
-         count(r.corrected_review_score) AS num_orders_with_rating,
-         count(co.order_id) AS num_canceled_orders,
-         CAST(count(co.order_id) AS DOUBLE) / NULLIF(count(f.order_id), 0) AS canceled_orders_ratio,
-         sum(oc.total_order_costs) AS total_order_costs,
-         CAST(sum(oc.total_order_costs) AS DOUBLE) / NULLIF(count(f.order_id) - count(co.order_id), 0) AS avg_order_cost,
-         count(i.order_id) AS num_installment_orders,
-         CAST(COALESCE(sum(pp.binary_promo), 0) AS BIGINT) AS num_orders_with_promo,
-         CASE WHEN sum(fp.payment_sequential) > 0 THEN 1 ELSE 0 END AS used_money_transfer,
-         CASE WHEN count(i.order_id) > 0 THEN 1 ELSE 0 END AS used_installments,
-         CASE WHEN count(co.order_id) > 0 THEN 1 ELSE 0 END AS used_cancel
-  FROM filtered f
-  LEFT JOIN reviews r USING (order_id) LEFT JOIN cancelled_orders co USING (order_id)
-  LEFT JOIN orders_cost oc USING (order_id) LEFT JOIN installments i USING (order_id)
-  LEFT JOIN promo_payment pp USING (order_id) LEFT JOIN first_payment fp USING (order_id)
-  GROUP BY f.user_id, f.region),
-unique_users AS (
-  SELECT user_id, min(first_order_ts) AS first_order_ts, max(last_order_ts) AS last_order_ts,
-         sum(total_orders) AS total_orders, sum(total_order_costs) AS total_order_costs,
-         avg(avg_order_rating) AS avg_order_rating,
-         CASE WHEN sum(used_money_transfer) > 0 THEN 1 ELSE 0 END AS used_money_transfer,
-         epoch(max(last_order_ts)) - epoch(min(first_order_ts)) AS lifetime_sec,
-         sum(num_orders_with_rating) AS num_orders_with_rating
-  FROM mart GROUP BY user_id)
+  SELECT user_id, region, min(ts) AS first_order_ts, max(ts) AS last_order_ts, epoch(max(ts)) - epoch(min(ts)) AS lifetime_sec,
+         count(*) AS total_orders, avg(rating) AS avg_order_rating, count(rating) AS num_orders_with_rating,
+         count(*) FILTER (status = 'P') AS num_canceled_orders,
+         CAST(count(*) FILTER (status = 'P') AS DOUBLE) / count(*) AS canceled_orders_ratio,
+         sum(cost) FILTER (status = 'F') AS total_order_costs,
+         CAST(sum(cost) FILTER (status = 'F') AS DOUBLE) / NULLIF(count(*) FILTER (status = 'F'), 0) AS avg_order_cost,
+         count(*) FILTER (in_parts) AS num_installment_orders, count(*) FILTER (by_promo) AS num_orders_with_promo,
+         CAST(coalesce(bool_or(by_transfer), false) AS INT) AS used_money_transfer,
+         CAST(coalesce(bool_or(in_parts), false) AS INT) AS used_installments,
+         CAST(bool_or(status = 'P') AS INT) AS used_cancel
+  FROM wanted GROUP BY user_id, region),
+buyers AS (
+  SELECT user_id, min(ts) AS first_order_ts, epoch(max(ts)) - epoch(min(ts)) AS lifetime_sec, count(*) AS total_orders,
+         sum(cost) FILTER (status = 'F') AS total_order_costs, avg(rating) AS avg_order_rating,
+         CAST(coalesce(bool_or(by_transfer), false) AS INT) AS used_money_transfer
+  FROM wanted GROUP BY user_id)
 """
 
 PCT = "CAST(CAST(round(CAST({n} AS DOUBLE) / NULLIF({d}, 0) * 100, 2) AS DECIMAL(20,2)) AS VARCHAR) || '%'"
@@ -116,7 +90,7 @@ def _():
                 ELSE 'unknown' END AS segmentation,
            count(user_id) AS total_users, round(avg(total_orders), 1) AS avg_total_orders,
            round(CAST(sum(total_order_costs) AS DOUBLE) / NULLIF(sum(total_orders), 0), 1) AS avg_total_order_costs
-    FROM unique_users GROUP BY segmentation"""
+    FROM buyers GROUP BY segmentation"""
 
 
 @oracle("top_customers", ts=("first_order_ts", "last_order_ts"),
@@ -152,7 +126,7 @@ def _():
            {PCT.format(n='sum(used_money_transfer)', d='count(user_id)')} AS used_money_transfer_share,
            floor(avg(lifetime_sec) / 60) * 60 AS avg_lifetime_sec,
            floor(avg(NULLIF(lifetime_sec, 0)) / 60) * 60 AS avg_lifetime_nonzero_sec
-    FROM unique_users WHERE year(first_order_ts) = 1995
+    FROM buyers WHERE year(first_order_ts) = 1995
     GROUP BY date_trunc('month', first_order_ts)"""
 
 
@@ -171,18 +145,14 @@ g_events AS (SELECT o.o_custkey AS id, l.l_partkey AS item_code,
 @oracle("payer_share", dbl=("share_paying_players",))
 def _():
     return f"""WITH {GAME}
-    SELECT count(*) AS total_players, (SELECT count(*) FROM g_users WHERE payer = 1) AS total_paying_players,
-           CAST((SELECT count(*) FROM g_users WHERE payer = 1) AS DOUBLE) / count(*) AS share_paying_players
-    FROM g_users"""
+    SELECT count(*) AS total_players, count_if(payer = 1) AS total_paying_players, avg(payer) AS share_paying_players FROM g_users"""
 
 
 @oracle("payer_share_by_race", dbl=("share_paying_players",), ints=("race_id", "total_paying_players"))
 def _():
-    return f"""WITH {GAME}, rp AS (SELECT race_id, count(*) AS total_players, sum(payer) AS total_paying_players
-                                   FROM g_users GROUP BY race_id)
-    SELECT rp.race_id, rp.total_players, rp.total_paying_players, r.race,
-           CAST(rp.total_paying_players AS DOUBLE) / rp.total_players AS share_paying_players
-    FROM rp JOIN g_race r ON r.race_id = rp.race_id"""
+    return f"""WITH {GAME}
+    SELECT race_id, race, count(*) AS total_players, sum(payer) AS total_paying_players, avg(payer) AS share_paying_players
+    FROM g_users JOIN g_race USING (race_id) GROUP BY ALL"""
 
 
 @oracle("global_stats", dbl=("sum_value", "max_value", "min_value", "avg_value", "median_value", "std_value"))
@@ -197,21 +167,17 @@ def _():
 @oracle("zero_share", dbl=("zero_share",))
 def _():
     return f"""WITH {GAME}
-    SELECT count(amount) AS total_events, (SELECT count(*) FROM g_events WHERE amount = 0) AS zero_events,
-           CAST((SELECT count(*) FROM g_events WHERE amount = 0) AS DOUBLE) / count(*) AS zero_share
-    FROM g_events"""
+    SELECT count(amount) AS total_events, count_if(amount = 0) AS zero_events, avg(CAST(amount = 0 AS INT)) AS zero_share FROM g_events"""
 
 
-@oracle("item_popularity", dbl=("item_share", "popularity_share"))
+@oracle("item_popularity", dbl=("item_share", "popularity_share"), ints=("total_item_transactions",))
 def _():
-    return f"""WITH {GAME}, ewn AS (SELECT * FROM g_events WHERE amount != 0),
-    us AS (SELECT item_code, count(DISTINCT id) AS unique_buyers,
-                  CAST(count(DISTINCT id) AS DOUBLE) / (SELECT count(DISTINCT id) FROM ewn) AS popularity_share
-           FROM ewn GROUP BY item_code)
-    SELECT ewn.item_code, i.game_items, count(*) AS total_item_transactions, us.unique_buyers,
-           CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM ewn) AS item_share, us.popularity_share
-    FROM ewn JOIN us ON us.item_code = ewn.item_code JOIN g_items i ON i.item_code = ewn.item_code
-    GROUP BY ewn.item_code, us.unique_buyers, us.popularity_share, i.game_items"""
+    # One row per buyer and item: rows are its buyers, their counts its transactions.
+    return f"""WITH {GAME}, bought AS (SELECT item_code, id, count(*) AS times FROM g_events WHERE amount <> 0 GROUP BY ALL)
+    SELECT item_code, game_items, sum(times) AS total_item_transactions, count(*) AS unique_buyers,
+           CAST(sum(times) AS DOUBLE) / CAST(sum(sum(times)) OVER () AS DOUBLE) AS item_share,
+           CAST(count(*) AS DOUBLE) / (SELECT count(DISTINCT id) FROM bought) AS popularity_share
+    FROM bought JOIN g_items USING (item_code) GROUP BY ALL"""
 
 
 @oracle("group_activity", dbl=("share_with_transaction_players", "share_paying_among_buyers",
@@ -1060,7 +1026,8 @@ def _():
 
 @oracle("error_profile", dbl=("mean_rel_error", "share_under", "share_over"))
 def _():
-    return f"""WITH {SCORED}, {MARKET.split('m_items')[0].rstrip().rstrip(',')},
+    return f"""WITH {SCORED}, m_users AS (
+      SELECT c_custkey AS buyer_id, r_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
     e AS (SELECT u.region AS r_name, (CAST(pr.pred AS DOUBLE) - CAST(pr.y AS DOUBLE)) / NULLIF(CAST(pr.y AS DOUBLE), 0) AS rel
           FROM pr JOIN orders o USING (o_orderkey) JOIN m_users u ON u.buyer_id = o.o_custkey)
     SELECT r_name, count(*) AS n, avg(rel) AS mean_rel_error, avg(CASE WHEN rel < 0 THEN 1.0 ELSE 0.0 END) AS share_under,
@@ -1305,7 +1272,12 @@ def _():
     SELECT DISTINCT pl.name, pl.category FROM pl WHERE pl.name IN (SELECT name FROM t)"""
 
 
-ORACLE["sql_region_report"] = ORACLE["region_report"]
+@oracle("sql_region_report", dbl=("mean_rating",), ints=("used_installments", "buyers", "orders", "most_orders", "rated"))
+def _():
+    return f"""WITH {MARKET}
+    SELECT region, used_installments, count(*) AS buyers, sum(total_orders) AS orders, max(total_orders) AS most_orders,
+           sum(num_orders_with_rating) AS rated, sum(avg_order_rating * num_orders_with_rating) / sum(num_orders_with_rating) AS mean_rating
+    FROM mart GROUP BY ALL"""
 
 
 @oracle("lagged_label", dates=("score_date",), ints=("lag_1_target",))

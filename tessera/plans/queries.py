@@ -1031,13 +1031,10 @@ def q_sql_region_report(spark, base):
     mart = io.scratch_table(D.market_mart(D.Tables(spark, base)), "product_user_features")
     io.register_mart(mart, "product_user_features")
     sql = """
-        SELECT region, count(user_id) AS total_users,
-               try_divide(CAST(sum(total_order_costs) AS DOUBLE), CAST(sum(total_orders) AS DOUBLE)) AS avg_order_cost,
-               sum(total_orders) AS total_orders,
-               concat(CAST(CAST(round(try_divide(CAST(sum(num_installment_orders) AS DOUBLE), sum(total_orders)) * 100, 2) AS DECIMAL(20,2)) AS STRING), '%') AS installment_share,
-               concat(CAST(CAST(round(try_divide(CAST(sum(num_orders_with_promo) AS DOUBLE), sum(total_orders)) * 100, 2) AS DECIMAL(20,2)) AS STRING), '%') AS promo_use_share,
-               concat(CAST(CAST(round(try_divide(CAST(sum(used_cancel) AS DOUBLE), count(user_id)) * 100, 2) AS DECIMAL(20,2)) AS STRING), '%') AS canceled_share
-        FROM product_user_features GROUP BY region"""
+        SELECT region, used_installments, count(*) AS buyers, sum(total_orders) AS orders, max(total_orders) AS most_orders,
+               sum(num_orders_with_rating) AS rated,
+               try_divide(sum(avg_order_rating * num_orders_with_rating), sum(num_orders_with_rating)) AS mean_rating
+        FROM product_user_features GROUP BY region, used_installments"""
     return finish(io.read_query(spark, sql))
 
 
