@@ -1,14 +1,16 @@
-"""Line deduplication by pairwise alignment.
+"""Line deduplication by pairwise comparison.
 
-A line's holder is the smallest document that has it. A document is aligned with
+A line's holder is the smallest document that has it. A document is compared with
 the holders of the lines it shares, rare ones and frequent ones alike: each line
 names one partner, so copies in their thousands or a line in a third of all
 documents give one pair a document, never all pairs of a group, and no line is
-too frequent to count. Holder and document are aligned by patience diff on line
-hashes: lines unique in both and in order are anchors, the stretches between them
-follow recursively, equal neighbours extend a match. Aligned common blocks of at
-least ``min_words`` words are deleted from the later document, the one with the
-larger doc_id.
+too frequent to count. Of holder and document all common runs of lines count, not
+only those one increasing alignment (``align``, patience diff) can keep: passages
+that stand more than once in either, or in another order, are common wherever they
+are. A run of ``min_words`` words or more is made up of windows, the shortest runs
+that begin or end with one of its lines and reach ``min_words`` words, so windows
+compared by hash give all of them in time linear in the lines. They are deleted
+from the later document, the one with the larger doc_id, in every place it has them.
 
 Defined cases: null and empty texts stay as they are; a document without doc_id
 neither loses nor takes lines; rows equal in id and text are one document and are
@@ -24,13 +26,17 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut
+from tessera.llm.common import byte_chunks, cut, mix64
 from tessera.llm.graph import attach
 
-__all__ = ["align", "deletions", "dedup_lines"]
+__all__ = ["align", "windows", "common_lines", "deletions", "dedup_lines"]
+
+#: lines of a batch that are matched at a time
+CHUNK = 1 << 19
 
 
 def align(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -94,6 +100,51 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return runs
 
 
+def windows(hs: np.ndarray, ws: np.ndarray, offsets: np.ndarray, min_words: int, back: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, hash) of the shortest runs of lines that reach ``min_words`` words and
+    begin at a line, or with ``back`` end with it; runs stay inside their document
+    (``offsets``). Equal runs of lines have equal hashes wherever they stand."""
+    n = len(hs)
+    first = np.repeat(offsets[:-1], np.diff(offsets))
+    last = np.repeat(offsets[1:], np.diff(offsets))
+    total = np.concatenate(([0], np.cumsum(ws, dtype=np.int64)))
+    at = np.arange(n)
+    if back:
+        start, end = np.minimum(np.searchsorted(total, total[1:] - min_words, side="right") - 1, at), at + 1
+        inside = start >= first
+    else:
+        start, end = at, np.maximum(np.searchsorted(total, total[:-1] + min_words, side="left"), at + 1)
+        inside = end <= last
+    start, end = start[inside], end[inside]
+    base = 0x9E3779B97F4A7C15
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, base, np.uint64))), dtype=np.uint64)
+        under = np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, pow(base, -1, 1 << 64), np.uint64))), dtype=np.uint64)
+        h = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix64(hs.astype(np.uint64)) * power[:n], dtype=np.uint64)))
+        return start, end, mix64((h[end] - h[start]) * under[start])
+
+
+def common_lines(hs: np.ndarray, ws: np.ndarray, offsets: np.ndarray, held: np.ndarray, held_offsets: np.ndarray, min_words: int) -> np.ndarray:
+    """For each line of documents beside their partners: does it lie in a run of lines of
+    ``min_words`` words or more that the partner has as well, wherever it has it?"""
+    known, where = np.unique(hs, return_index=True)
+    k = np.minimum(np.searchsorted(known, held), len(known) - 1)
+    held_ws = np.where(known[k] == held, ws[where[k]], 1) if len(known) else np.ones(len(held), np.int64)
+    edge = np.zeros(len(hs) + 1, np.int64)
+    for back in (False, True):
+        keys = []
+        for x, w, o in ((hs, ws, offsets), (held, held_ws, held_offsets)):
+            start, end, h = windows(x, w, o, min_words, back)
+            pair = (np.searchsorted(o, start, side="right") - 1).astype(np.uint64)
+            with np.errstate(over="ignore"):
+                keys.append((start, end, h + mix64(pair + np.uint64(1))))
+        start, end, h = keys[0]
+        same = np.isin(h, keys[1][2])
+        np.add.at(edge, start[same], 1)
+        np.add.at(edge, end[same], -1)
+    return np.cumsum(edge)[:-1] > 0
+
+
 def _words(line):
     return F.size(F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
 
@@ -103,14 +154,15 @@ def deletions(docs: DataFrame, min_words: int = 6) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            keys, gone = [], []
-            for k, hs, ws, held in zip(*cols):
-                cut_ = [x for i, _, n in align(hs, held) if sum(ws[i:i + n]) >= min_words for x in range(i, i + n)]
-                if cut_:
-                    keys.append(k)
-                    gone.append(cut_)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=["doc", "gone"])
+            size = [np.concatenate(([0], np.cumsum(pc.list_value_length(b.column(c)).to_numpy(zero_copy_only=False), dtype=np.int64))) for c in (1, 3)]
+            for p, q in byte_chunks(size[0] + size[1], CHUNK):
+                hs, ws, held = (c.slice(p, q - p).flatten().to_numpy(zero_copy_only=False) for c in b.columns[1:])
+                at, to = (x[p:q + 1] - x[p] for x in size)
+                common = common_lines(hs, ws, at, held, to, min_words)
+                gone = [np.flatnonzero(common[i:j]) for i, j in zip(at, at[1:])]
+                keep = [r for r, x in enumerate(gone) if len(x)]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([p + r for r in keep], pa.int64())),
+                                                  pa.array([gone[r] for r in keep], pa.list_(pa.int32()))], names=["doc", "gone"])
 
     lines = F.split("text", "\n")
     own = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text <> ''")

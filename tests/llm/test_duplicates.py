@@ -125,6 +125,35 @@ def test_lines_against_plain_version(spark):
     assert lines.dedup_lines(docs_of(spark, [])).count() == 0
 
 
+def brute_lines(rows, min_words=6):
+    """Every document against all earlier ones: the lines in runs of ``min_words`` words that one of them has."""
+    docs = sorted({(i, t) for i, t in rows if i is not None and t}, key=lambda x: x[0])
+    out = {}
+    for d, (i, t) in enumerate(docs):
+        mine, gone = t.split("\n"), set()
+        size = [len(x.split()) for x in mine]
+        runs = {tuple(o.split("\n")[a:b]) for _, o in docs[:d] for a in range(o.count("\n") + 1) for b in range(a + 1, o.count("\n") + 2)}
+        for a in range(len(mine)):
+            for b in range(a + 1, len(mine) + 1):
+                if sum(size[a:b]) >= min_words and tuple(mine[a:b]) in runs:
+                    gone.update(range(a, b))
+        out[i] = "\n".join(x for k, x in enumerate(mine) if k not in gone), len(gone)
+    return out
+
+
+def test_lines_repeated_and_in_another_order(spark):
+    r = random.Random(5)
+    line = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(8))
+    p, q, z = ([line() for _ in range(3)] for _ in range(3))
+    own = lambda: [line()]
+    rows = [own() + p + own() + p + own(), own() + p + own(), own() + p + p + own() + p, own() + q + own() + z, z + own() + q + own(), own() + q + z + p + q]
+    rows += [own() + r.choice([p, q, z]) + own() + r.choice([p, q, z])[:2] + own() for _ in range(20)]
+    rows = [(k, "\n".join(x)) for k, x in enumerate(rows)]
+    got = {x.doc_id: (x.text, x.n_removed) for x in lines.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == brute_lines(rows)
+    assert [got[k][1] for k in range(6)] == [0, 3, 9, 0, 6, 12]
+
+
 def test_patience_alignment():
     r = random.Random(8)
     for _ in range(300):
