@@ -1,22 +1,24 @@
 """Line deduplication by pairwise comparison.
 
-A line's holder is the smallest document that has it. A document is compared with
-the holders of the lines it shares, rare ones and frequent ones alike: each line
-names one partner, so copies in their thousands or a line in a third of all
-documents give one pair a document, never all pairs of a group, and no line is
-too frequent to count. Of holder and document all common runs of lines count, not
-only those one increasing alignment (``align``, patience diff) can keep: passages
-that stand more than once in either, or in another order, are common wherever they
-are. A run of ``min_words`` words or more is made up of windows, the shortest runs
-that begin or end with one of its lines and reach ``min_words`` words, so windows
-compared by hash give all of them in time linear in the lines. They are deleted
-from the later document, the one with the larger doc_id, in every place it has them.
+A window is the shortest run of lines from one line on that reaches ``min_words``
+words: a long line alone, or several short ones. Its holder is the smallest document
+that has it. A document is compared with the holders of the windows it shares, rare
+ones and frequent ones alike: each window names one partner, so copies in their
+thousands or a passage in a third of all documents give one pair a document, never
+all pairs of a group, and no line is too frequent to count. Of holder and document
+all common runs of lines count, not only those one increasing alignment (``align``,
+patience diff) can keep: passages that stand more than once in either, or in another
+order, are common wherever they are. A run of ``min_words`` words or more is made up
+of windows from its lines on and back from them, so windows compared by hash give
+all of them in time linear in the lines. They are deleted from the later document,
+the one with the larger doc_id, in every place it has them.
 
 Defined cases: null and empty texts stay as they are; a document without doc_id
 neither loses nor takes lines; rows equal in id and text are one document and are
 cut alike; of rows that share an id, the one with the smaller text hash is the
-earlier; blank lines and lines of fewer than ``min_words`` words find no partner
-but go with a block that is deleted; other columns stay; no rows give no rows.
+earlier; fewer than ``min_words`` words in a row find no partner, also at the end of
+a shared block, but go with a block that is deleted if its holder has them there too;
+other columns stay; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -169,8 +171,22 @@ def deletions(docs: DataFrame, min_words: int = 6) -> DataFrame:
            .select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform(lines, lambda x: F.xxhash64(x)).alias("hs"), F.transform(lines, _words).alias("ws")))
     # One narrow row per document; ``doc`` names it in the tables that follow.
     own = cut(own.withColumn("doc", F.xxhash64("doc_id", "text_hash")))
-    one = F.array_distinct(F.transform(F.filter(F.arrays_zip("hs", "ws"), lambda x: x["ws"] >= min_words), lambda x: x["hs"]))
-    held = own.select("doc", "doc_id", "text_hash", F.explode(one).alias("h"))
+
+    def begun(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            size = np.concatenate(([0], np.cumsum(pc.list_value_length(b.column(3)).to_numpy(zero_copy_only=False), dtype=np.int64)))
+            for p, q in byte_chunks(size, CHUNK):
+                hs, ws = (c.slice(p, q - p).flatten().to_numpy(zero_copy_only=False) for c in b.columns[3:])
+                at = size[p:q + 1] - size[p]
+                start, _, h = windows(hs, ws, at, min_words)
+                start, h = start[ws[start] > 0], h[ws[start] > 0].view(np.int64)
+                doc = np.searchsorted(at, start, side="right") - 1
+                order = np.lexsort((h, doc))
+                doc, h = doc[order], h[order]
+                new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])))[:len(doc)]
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(doc[new] + p)) for c in b.columns[:3]), pa.array(h[new])], names=["doc", "doc_id", "text_hash", "h"])
+
+    held = own.select("doc", "doc_id", "text_hash", "hs", "ws").mapInArrow(begun, "doc bigint, doc_id bigint, text_hash bigint, h bigint")
     me = F.struct("doc_id", "text_hash", "doc")
     holder = held.groupBy("h").agg(F.min(me).alias("first"), F.max(me).alias("last")).where("first <> last").select("h", "first")
     pairs = cut(held.join(holder, "h").where(F.struct("doc_id", "text_hash") > F.struct("first.doc_id", "first.text_hash"))

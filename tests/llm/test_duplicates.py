@@ -154,6 +154,18 @@ def test_lines_repeated_and_in_another_order(spark):
     assert [got[k][1] for k in range(6)] == [0, 3, 9, 0, 6, 12]
 
 
+def test_lines_shorter_than_a_block(spark):
+    r = random.Random(6)
+    line = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    verse, code = [line(5) for _ in range(20)], [x for _ in range(12) for x in (line(1), "", line(2))]
+    few = [line(2), line(3)]
+    rows = [verse, [line(9)] + verse[3:] + [line(9)], code, [line(9)] + code + [line(9)] + verse + [line(9)], few + [line(9)], [line(9)] + few, verse]
+    rows = [(k, "\n".join(x)) for k, x in enumerate(rows)]
+    got = {x.doc_id: (x.text, x.n_removed) for x in lines.dedup_lines(docs_of(spark, rows)).collect()}
+    assert got == brute_lines(rows)
+    assert [got[k][1] for k in range(7)] == [0, 17, 0, 56, 0, 0, 20]
+
+
 def test_patience_alignment():
     r = random.Random(8)
     for _ in range(300):
