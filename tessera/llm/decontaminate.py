@@ -1,22 +1,19 @@
-"""Benchmark decontamination by an edit-tolerant embedding and bit-sampling LSH.
-
-The random walk of Chakraborty, Goldenberg and Koucky reads a string through a
-pointer that moves on by a random bit of each character read; two strings at a
-small edit distance fall into step again and agree in most places of the walk,
-so edit distance becomes Hamming distance. Every item is embedded at each of its
-offsets, the texts at every ``STRIDE``-th byte; a repetition of its own walk
-samples some places of it as the key of a bucket. A text position and an item
-offset in one bucket set an item-sized window in the text. Windows whose whole
-walks agree with the item's no better than chance are dropped, and the rest is
-verified by exact edit distance. Several strides fall into each item and each
-has ``REPEATS`` chances: measured recall is 1.0 with a tenth of an item's characters
-edited, 0.96 with 15 % and 0.85 with a fifth, the limit; verbatim items are always found.
+"""Benchmark decontamination by edit-tolerant seeds and exact edit distance.
+
+A seed is a pair of four-byte strings next to each other or one byte apart, of the
+items at each offset and of the texts at each byte; so the pair outlives an edit
+between its halves. Edits at the limit, a fifth of an item, leave four bytes between
+two of them when they are spread evenly and longer stretches when they are not.
+Seeds that text and item share are counted by item and diagonal (place in the text
+less place in the item) in overlapping bands; a band with a seed for each
+``PER_SEED`` bytes of the item is a window and is verified by exact edit distance.
+Items shorter than ``PIECED`` bytes are cut into one piece more than edits allowed:
+one of them stands verbatim in any match, so every match is found.
 
 Texts are compared as UTF-8 bytes with A-Z lowered and white space as spaces; an
 item of L bytes counts with at most ``edits * L`` edits.
 
-Defined cases: null and empty texts and items match nothing; items shorter than
-``SHORT`` bytes match verbatim only; a null doc_id or item_id is carried; repeated
+Defined cases: null and empty texts and items match nothing; a null doc_id or item_id is carried; repeated
 rows each have their own hits; other columns are ignored; empty tables give no
 rows. Items reach the tasks in blocks of at most ``block_bytes``, one pass over
 the texts for each block, so what is sent is bounded however many items there are.
@@ -32,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, byte_chunks, doc_bytes, mix64
+from tessera.llm.common import LOWER, byte_chunks, doc_bytes
 
 __all__ = ["Index", "edit_match", "hits", "clean"]
 
-STRIDE, STEPS, PLACES, REPEATS, SHORT, CHUNK = 8, 36, 24, 2, 48, 1 << 20
+#: the shortest item that a fifth of its length allows an edit; shorter ones match verbatim
+SHORT = 5
+PIECED, BAND, PER_SEED, GAPS, CHUNK = 48, 32, 16, (4, 5), 1 << 20
 _FOLD = LOWER.copy()
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _BITS = 22
@@ -72,73 +71,101 @@ def edit_match(item: bytes, text: bytes) -> tuple[int, int]:
 class Index:
     """The items of one block, embedded."""
 
-    def __init__(self, ids: list, texts: list[bytes], edits: float = 0.2, seed: int = 7):
-        rng = np.random.default_rng(seed)
+    def __init__(self, ids: list, texts: list[bytes], edits: float = 0.2):
         self.edits, self.ids, self.items = edits, ids, [normal(np.frombuffer(t, np.uint8)).tobytes() for t in texts]
-        self.short = [k for k, t in enumerate(self.items) if 0 < len(t) < SHORT]
-        long = [k for k, t in enumerate(self.items) if len(t) >= SHORT]
-        self.moves = rng.integers(0, 2, (REPEATS, STEPS, 256)).astype(np.int32)
-        self.places = [np.sort(rng.choice(STEPS, PLACES, replace=False)) for _ in range(REPEATS)]
-        self.long_moves = rng.integers(0, 2, (3 * max([1, *map(len, self.items)]), 256)).astype(np.int32)
+        self.pieces: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        for k, t in enumerate(self.items):
+            n = min(int(edits * len(t)) + 1, len(t)) if len(t) < PIECED else 0
+            for j in range(n):
+                a, b = len(t) * j // n, len(t) * (j + 1) // n
+                self.pieces[t[a:b]].append((k, a))
+        long = [k for k, t in enumerate(self.items) if len(t) >= PIECED]
+        self.least = np.array([max(len(t) // PER_SEED, 1) for t in self.items], np.int64)
         flat = np.frombuffer(b"".join(self.items[k] for k in long), np.uint8)
-        size = np.array([len(self.items[k]) for k in long], np.int64)
-        item = np.repeat(np.array(long, np.int64), size)
-        offset = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-        reach = np.repeat(size, size)
-        self.maps = []
-        for r in range(REPEATS):
-            key, at = self.keys(flat, np.arange(len(flat), dtype=np.int32), r)
-            inside = at <= np.cumsum(np.bincount(item, minlength=len(self.items)))[item] if len(flat) else np.zeros(0, bool)
-            inside &= offset + STEPS // 4 < reach
-            order = np.argsort(key[inside], kind="stable")
-            key, who, off = key[inside][order], item[inside][order], offset[inside][order]
-            table = np.zeros(1 << _BITS, bool)
-            table[key >> np.uint64(64 - _BITS)] = True
-            self.maps.append((table, key, who, off))
-        self.any_long = len(long) > 0
-
-    def keys(self, flat: np.ndarray, start: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
-        """Bucket keys of the walks that begin at ``start``, and where the walks end."""
-        at, sampled = start.copy(), set(self.places[r].tolist())
-        flat = np.concatenate((flat, np.zeros(STEPS, np.uint8)))
-        key = np.zeros(len(at), np.uint64)
-        last = max(sampled)
-        for j in range(last + 1):
-            c = flat[at]
-            if j in sampled:
-                key *= np.uint64(0x100000001B3)
-                key += c
-            if j < last:
-                at += self.moves[r, j][c]
-        return mix64(key), at + 1
-
-    def windows(self, flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Distinct (document, item, start in the document) that share a bucket."""
-        start = np.concatenate([np.arange(a, b, STRIDE, dtype=np.int32) for a, b in zip(offsets, offsets[1:]) if b > a] or [np.zeros(0, np.int32)])
-        out = []
-        for r, (table, key, who, off) in enumerate(self.maps if self.any_long and len(start) else []):
-            k, _ = self.keys(flat, start, r)
-            near = np.flatnonzero(table[k >> np.uint64(64 - _BITS)])
+        ends = np.cumsum([len(self.items[k]) for k in long], dtype=np.int64)
+        keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for gap in GAPS:
+            key = self.seeds(flat, gap)
+            at = np.arange(len(key))
+            at = at[at + gap + 4 <= ends[np.searchsorted(ends, at, side="right")]] if len(at) else at
+            keys.append(key[at])
+            places.append(at)
+        key, place = np.concatenate(keys), np.concatenate(places)
+        order = np.argsort(key, kind="stable")
+        self.key, place = key[order], place[order]
+        which = np.searchsorted(ends, place, side="right")
+        self.who, self.off = np.array(long, np.int64)[which], place - np.concatenate(([0], ends))[which]
+        self.table = np.zeros(1 << _BITS, bool)
+        self.table[self.slot(self.key)] = True
+
+    @staticmethod
+    def seeds(flat: np.ndarray, gap: int) -> np.ndarray:
+        """The pair of four-byte strings ``gap`` bytes apart from each byte on."""
+        if len(flat) < gap + 4:
+            return np.zeros(0, np.uint64)
+        x = flat.astype(np.uint32)
+        four = ((x[:-3] << 24) | (x[1:-2] << 16) | (x[2:-1] << 8) | x[3:]).astype(np.uint64)
+        return (four[:-gap] << np.uint64(32)) | four[gap:]
+
+    @staticmethod
+    def slot(key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key ^ (key >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)
+
+    def windows(self, flat: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(document, item, first, last place in the document where the item may begin) of bands with enough seeds."""
+        if not len(self.key):
+            return []
+        bands = int(np.diff(offsets).max(initial=0)) // BAND + int(max(map(len, self.items))) // BAND + 4
+        below = int(max(map(len, self.items))) // BAND + 2  # bands of places before the document's first byte
+        codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for gap in GAPS:
+            k = self.seeds(flat, gap)
+            near = np.flatnonzero(self.table[self.slot(k)])
+            doc = np.searchsorted(offsets, near, side="right") - 1
+            inside = near + gap + 4 <= offsets[doc + 1]
+            near, doc = near[inside], doc[inside]
             k = k[near]
-            lo, hi = np.searchsorted(key, k, "left"), np.searchsorted(key, k, "right")
-            n = hi - lo
-            pick = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            pos = np.repeat(start[near], n).astype(np.int64)
-            doc = np.searchsorted(offsets, pos, side="right") - 1
-            out.append(np.stack([doc, who[pick], pos - offsets[doc] - off[pick]], 1))
-        return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
-
-    def walk(self, texts: list[bytes], steps: int) -> np.ndarray:
-        """Whole walks of equally treated strings, one row each."""
-        size = np.array([len(t) for t in texts])
-        grid = np.zeros((len(texts), size.max() + 1), np.uint8)
-        for k, t in enumerate(texts):
-            grid[k, :len(t)] = np.frombuffer(t, np.uint8)
-        at, rows, out = np.zeros(len(texts), np.int64), np.arange(len(texts)), np.zeros((len(texts), steps), np.uint8)
-        for j in range(steps):
-            c = grid[rows, np.minimum(at, size)]
-            out[:, j] = c
-            at += self.long_moves[j][c]
+            lo, n = np.searchsorted(self.key, k, "left"), np.searchsorted(self.key, k, "right")
+            n -= lo
+            for i, j in byte_chunks(np.concatenate(([0], np.cumsum(n))), 1 << 21):
+                m = n[i:j]
+                pick = np.repeat(lo[i:j] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                d = np.repeat(doc[i:j], m)
+                band = (np.repeat(near[i:j], m) - offsets[d] - self.off[pick]) // BAND + below
+                code, count = np.unique((d * len(self.items) + self.who[pick]) * bands + band, return_counts=True)
+                codes.append(code)
+                counts.append(count)
+        code, where = np.unique(np.concatenate(codes), return_inverse=True)
+        count = np.bincount(where, np.concatenate(counts)).astype(np.int64)
+        after = np.minimum(np.searchsorted(code, code + 1), len(code) - 1) if len(code) else code
+        both = count + np.where(code[after] == code + 1, count[after], 0)  # a band and the next
+        code = code[both >= self.least[code // bands % len(self.items)]]
+        out: list[tuple[int, int, int, int]] = []
+        for c in code.tolist():
+            d, k, first = c // bands // len(self.items), c // bands % len(self.items), (c % bands - below) * BAND
+            if out and out[-1][:2] == (d, k) and first <= out[-1][3] + 1:
+                out[-1] = (d, k, out[-1][2], first + 2 * BAND)
+            else:
+                out.append((d, k, first, first + 2 * BAND))
+        return out
+
+    def pieced(self, raw: bytes, local: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The same for short items, from each place of each of their pieces."""
+        places = []
+        for piece, of in self.pieces.items():
+            p = raw.find(piece)
+            while p >= 0:
+                d = int(np.searchsorted(local, p, side="right")) - 1
+                if p + len(piece) <= local[d + 1]:
+                    places += [(d, k, p - int(local[d]) - a) for k, a in of]
+                p = raw.find(piece, p + 1)
+        out: list[tuple[int, int, int, int]] = []
+        for d, k, first in sorted(places):
+            if out and out[-1][:2] == (d, k) and first <= out[-1][3] + len(self.items[k]):
+                out[-1] = (d, k, out[-1][2], first)
+            else:
+                out.append((d, k, first, first))
         return out
 
     def find(self, flat: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -147,43 +174,22 @@ class Index:
         for i, j in byte_chunks(offsets, CHUNK):
             part, local = normal(flat[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i]
             raw = part.tobytes()
-            for k in self.short:
-                p = raw.find(self.items[k])
-                while p >= 0:
-                    d = int(np.searchsorted(local, p, side="right")) - 1
-                    if p + len(self.items[k]) <= local[d + 1]:
-                        best.setdefault((d + i, k), (0, p - int(local[d]), p - int(local[d]) + len(self.items[k])))
-                    p = raw.find(self.items[k], p + 1)
-            w = self.windows(part, local)
-            for a in range(0, len(w), 512):
-                self._verify(raw, local, w[a:a + 512], i, best)
+            for d, k, first, last in self.windows(part, local) + self.pieced(raw, local):
+                self._verify(raw, int(local[d]), int(local[d + 1]), k, first, last, (d + i, k), best)
         return [(d, k, s, e, n) for (d, k), (n, s, e) in sorted(best.items())]
 
-    def _verify(self, raw: bytes, local: np.ndarray, w: np.ndarray, i: int, best: dict) -> None:
-        w = [x for x in w.tolist() if best.get((x[0] + i, x[1]), (1,))[0]]
-        cuts, items = [], []
-        for d, k, s in w:
-            a, b = int(local[d]), int(local[d + 1])
-            cuts.append(raw[max(a, a + s):min(b, a + s + len(self.items[k]))])
-            items.append(self.items[k])
-        if not w:
+    def _verify(self, raw: bytes, a: int, b: int, k: int, first: int, last: int, pair: tuple[int, int], best: dict) -> None:
+        item = self.items[k]
+        most = int(self.edits * len(item))
+        held = best.get(pair, (most + 1,))[0]
+        if not held:
             return
-        # Walks of unrelated strings agree at about a letter's own frequency; of similar ones in runs.
-        steps = min(len(self.long_moves), 96)
-        agree = (self.walk(cuts, steps) == self.walk(items, steps)).mean(1)
-        tails = (self.walk([c[::-1] for c in cuts], steps) == self.walk([t[::-1] for t in items], steps)).mean(1)
-        half = (self.walk([c[len(c) // 2:] for c in cuts], steps) == self.walk([t[len(c) // 2:] for t, c in zip(items, cuts)], steps)).mean(1)
-        for (d, k, s), ok in zip(w, np.maximum(np.maximum(agree, tails), half) > 0.2):
-            if not ok or not best.get((d + i, k), (1,))[0]:
-                continue
-            item, a, b = self.items[k], int(local[d]), int(local[d + 1])
-            most = int(self.edits * len(item))
-            lo = max(a, a + s - most)
-            n, end = edit_match(item, raw[lo:min(b, a + s + len(item) + most)])
-            if n <= most and n < best.get((d + i, k), (most + 1,))[0]:
-                head = raw[lo:lo + end][::-1]
-                _, size = edit_match(item[::-1], head[:len(item) + n])
-                best[d + i, k] = n, lo + end - size - a, lo + end - a
+        lo = max(a, a + first - most)
+        n, end = edit_match(item, raw[lo:min(b, a + last + len(item) + most)])
+        if n < held:
+            head = raw[lo:lo + end][::-1]
+            _, size = edit_match(item[::-1], head[:len(item) + n])
+            best[pair] = n, lo + end - size - a, lo + end - a
 
 
 def _blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[bytes]]]:

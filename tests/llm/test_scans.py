@@ -136,6 +136,24 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.clean(d, b.limit(0)).count() == len(docs)
 
 
+def test_decontamination_at_the_limit():
+    from tessera.llm.common import doc_bytes
+    r = random.Random(11)
+    text = lambda n: " ".join("".join(r.choice("aeioustrnl") for _ in range(r.randint(2, 9))) for _ in range(n))
+
+    def edited(t, way):
+        s = list(t)
+        for p in range(len(s) - 1 - r.randrange(5), -1, -5) if way != "random" else sorted(r.sample(range(len(s)), len(s) // 5), reverse=True):
+            s[p:p + 1] = {"other": ["#"], "gone": [], "more": [s[p], "#"], "random": r.choice([["#"], [], [s[p], "x"]])}[way]
+        return "".join(s)
+
+    items = [text(80)[:n] for n in (5, 9, 14, 21, 30, 47, 48, 60, 90, 100, 200, 300) for _ in range(2)]
+    docs = [text(9) + " " + edited(t, way) + " " + text(9) for t in items for way in ("other", "gone", "more", "random")]
+    docs += [t.replace(" ", "  ") for t in items]
+    got = {(d, k) for d, k, *_ in decontaminate.Index(list(range(len(items))), [t.encode() for t in items]).find(*doc_bytes(pa.array(docs)))}
+    assert got == {(d, k) for d, t in enumerate(docs) for k, x in enumerate(items) if slow_edits(x, t) <= int(0.2 * len(x))}
+
+
 def test_bit_parallel_distance():
     r = random.Random(4)
     for _ in range(200):
