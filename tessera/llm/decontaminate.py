@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import LOWER, byte_chunks, doc_bytes
 
-__all__ = ["Index", "edit_match", "hits", "clean"]
+__all__ = ["Index", "edit_match", "item_blocks", "hits", "clean"]
 
 #: the shortest item that a fifth of its length allows an edit; shorter ones match verbatim
 SHORT = 5
@@ -192,7 +192,7 @@ class Index:
             best[pair] = n, lo + end - size - a, lo + end - a
 
 
-def _blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[bytes]]]:
+def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[bytes]]]:
     """The items in blocks that are each small enough to send around."""
     items = items.where(F.octet_length("text") > 0).select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
@@ -209,7 +209,7 @@ def hits(docs: DataFrame, items: DataFrame, edits: float = 0.2, block_bytes: int
     schema = "doc_id bigint, item_id bigint, start bigint, end bigint, edits bigint"
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     out = docs.sparkSession.createDataFrame([], schema)
-    for k, (ids, texts) in enumerate(_blocks(items, block_bytes)):
+    for k, (ids, texts) in enumerate(item_blocks(items, block_bytes)):
         index = docs.sparkSession.sparkContext.broadcast(Index(ids, texts, edits))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
@@ -226,7 +226,7 @@ def hits(docs: DataFrame, items: DataFrame, edits: float = 0.2, block_bytes: int
 def clean(docs: DataFrame, items: DataFrame, edits: float = 0.2, block_bytes: int = 4 << 20) -> DataFrame:
     """The rows of ``docs``, all their columns, that no item matches."""
     at = docs.columns.index("text")
-    for ids, texts in _blocks(items, block_bytes):
+    for ids, texts in item_blocks(items, block_bytes):
         index = docs.sparkSession.sparkContext.broadcast(Index(ids, texts, edits))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontaminate, lines, merkle, minhash, packing, secrets, suffixes, tokens, toxicity
+from tessera.llm import chat, decontaminate, lines, manifest, merkle, minhash, packing, ranked, secrets, sharding, suffixes, tokens, toxicity
 from tessera.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,127 @@ def op10(spark, base):
     return out.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
                       merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                       merkle.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
+@query("op11_manifest")
+def op11(spark, base):
+    docs = table(spark, base, "documents")
+    columns = lambda text: [*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), text]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, manifest.leaf_digest(*columns(lowered)))
+    leaves = docs.select("doc_id", "lang", manifest.leaf_digest(*columns(F.col("text"))).alias("leaf"), altered.alias("altered"))
+    out = manifest.manifest(leaves).withColumn("folded_root", manifest.fold(F.coalesce("altered", "leaf"), F.col("proof")))
+    return out.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+                      (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+ORACLES["op11_manifest"] = """
+WITH RECURSIVE
+field AS (
+  SELECT doc_id, lang, text, row_number() OVER () AS row_id,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head FROM documents),
+leaves AS (
+  SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered FROM field),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, row_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+up AS (
+  SELECT lang, 0 AS level, i, leaf AS h, n AS width FROM ranked
+  UNION ALL
+  SELECT lang, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (width + 7) // 8 FROM up WHERE width > 1 GROUP BY lang, level, i // 8, width),
+subroots AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE width = 1),
+top AS (
+  SELECT 0 AS level, i, subroot AS h, n AS width FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (width + 7) // 8 FROM top WHERE width > 1 GROUP BY level, i // 8, width),
+levels AS (
+  SELECT 'lang' AS tree, lang, level, i, h, width FROM up UNION ALL SELECT 'top', NULL, level, i, h, width FROM top),
+crcs AS (SELECT range AS b, CAST(range AS UINTEGER) AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UINTEGER) ELSE c >> 1 END, k + 1 FROM crcs WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS t FROM crcs WHERE k = 8),
+tampered AS (
+  SELECT ranked.*, xor(list_reduce(list_prepend(4294967295::UINTEGER, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS UINTEGER))),
+    lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295::UINTEGER) % 3 = 0 AS hit FROM ranked, crc_table),
+path AS (
+  SELECT row_id, 'lang' AS tree, lang, 0 AS level, i, CASE WHEN coalesce(hit, false) THEN lowered ELSE leaf END AS folded, '' AS proof FROM tampered
+  UNION ALL
+  SELECT * FROM (
+    SELECT p.row_id, p.tree, p.lang, p.level + 1, p.i // 8, sha256(string_agg(CASE WHEN v.i = p.i THEN p.folded ELSE v.h END, '' ORDER BY v.i)),
+      p.proof || coalesce(string_agg(v.h, '' ORDER BY v.i) FILTER (v.i <> p.i), '')
+    FROM path p JOIN levels v ON v.tree = p.tree AND v.lang IS NOT DISTINCT FROM (CASE WHEN p.tree = 'lang' THEN p.lang END) AND v.level = p.level AND v.i // 8 = p.i // 8
+    WHERE v.width > 1 GROUP BY p.row_id, p.tree, p.lang, p.level, p.i, p.folded, p.proof
+    UNION ALL
+    SELECT p.row_id, 'top', p.lang, 0, s.i, p.folded, p.proof
+    FROM path p JOIN levels v ON v.tree = 'lang' AND v.lang IS NOT DISTINCT FROM p.lang AND v.level = p.level AND v.i = p.i AND v.width = 1
+    JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang WHERE p.tree = 'lang')),
+root AS (SELECT level, h AS root FROM top WHERE width = 1)
+SELECT r.doc_id, r.leaf, s.subroot, root.root, sha256(p.proof) AS proof_sha256, p.folded AS folded_root, p.folded = root.root AS verified
+FROM ranked r JOIN subroots s ON r.lang IS NOT DISTINCT FROM s.lang CROSS JOIN root JOIN path p ON p.row_id = r.row_id AND p.tree = 'top' AND p.level = root.level"""
+
+
+@query("op12_ranked_search")
+def op12(spark, base):
+    return ranked.search(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
+ORACLES["op12_ranked_search"] = r"""
+WITH cut AS (
+  SELECT 'd' AS side, row_number() OVER () AS id, doc_id AS name, text FROM documents UNION ALL SELECT 'i', row_number() OVER (), item_id, text FROM benchmark),
+terms AS (
+  SELECT side, id, name, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM cut),
+tfs AS (SELECT id, name, term, count(*) AS tf FROM terms WHERE side = 'd' GROUP BY ALL),
+lengths AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM lengths),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, totals GROUP BY term, docs),
+asked AS (SELECT DISTINCT id AS item, name AS item_id, term FROM terms WHERE side = 'i'),
+scores AS (
+  SELECT item, item_id, t.id, t.name AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) AS BIGINT) AS score
+  FROM asked JOIN tfs t USING (term) JOIN weights USING (term) JOIN lengths l ON l.id = t.id, totals GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10"""
+
+
+@query("op13_sharding")
+def op13(spark, base):
+    placed = sharding.assign(table(spark, base, "documents"), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+ORACLES["op13_sharding"] = """
+WITH RECURSIVE
+whole AS (SELECT doc_id, coalesce(text, '') AS t, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, sha256(coalesce(text, '')) AS key FROM documents),
+texts AS (SELECT key, any_value(t) AS t, CAST(sum(size) AS BIGINT) AS bytes FROM whole GROUP BY key),
+sized AS (
+  SELECT key, bytes, row_number() OVER w AS r, CAST(sum(bytes) OVER () AS BIGINT) AS total, CAST(sum(bytes) OVER w AS BIGINT) - bytes AS before
+  FROM texts WINDOW w AS (ORDER BY bytes DESC, key ROWS UNBOUNDED PRECEDING)),
+judged AS (SELECT *, r < 16 AND bool_and(bytes * (17 - r) >= total - before) OVER (ORDER BY r) AS alone FROM sized),
+light AS (SELECT key, bytes, CAST(sum(bytes) OVER (ORDER BY key) AS BIGINT) AS upto FROM judged WHERE NOT alone),
+asked AS (SELECT CAST(16 - (SELECT count(*) FROM judged WHERE alone) AS BIGINT) AS shards, max(upto) AS total, max(bytes) AS largest FROM light),
+hunt(lo, hi, mid, base, used) AS (
+  SELECT greatest(largest, (total + shards - 1) // shards), total, (greatest(largest, (total + shards - 1) // shards) + total) // 2, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM asked
+  UNION ALL
+  SELECT CASE WHEN fails THEN mid + 1 ELSE lo END, CASE WHEN holds THEN mid ELSE hi END,
+    CASE WHEN holds THEN (lo + mid) // 2 WHEN fails THEN (mid + 1 + hi) // 2 ELSE mid END, CASE WHEN holds OR fails THEN 0 ELSE next END, CASE WHEN holds OR fails THEN 0 ELSE used + 1 END
+  FROM (
+    SELECT lo, hi, mid, base, used, greatest(coalesce(max(upto) FILTER (upto <= base + mid), 0), base) AS next, base + mid >= total AS holds, base + mid < total AND used + 1 = shards AS fails
+    FROM hunt, asked, light WHERE lo < hi GROUP BY lo, hi, mid, base, used, total, shards)),
+capacity AS (SELECT min(lo) AS c FROM hunt WHERE lo = hi),
+walk(shard, base) AS (
+  SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT shard + 1, max(upto) FROM walk, capacity, light WHERE base < (SELECT total FROM asked) AND upto <= base + c GROUP BY shard),
+placed AS (
+  SELECT key, CAST(r - 1 AS BIGINT) AS shard FROM judged WHERE alone
+  UNION ALL
+  SELECT key, 16 - (SELECT shards FROM asked) + (SELECT count(*) FROM walk WHERE walk.shard > 0 AND walk.base < light.upto) FROM light),
+bits AS (SELECT range AS b, CAST(range AS UINTEGER) AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UINTEGER) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS crcs FROM bits WHERE k = 8),
+sums AS (
+  SELECT key, xor(list_reduce(list_prepend(4294967295::UINTEGER, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS UINTEGER))),
+    lambda c, x: xor(crcs[(xor(c, x) & 255) + 1], c >> 8)), 4294967295::UINTEGER) AS crc FROM texts, crc_table)
+SELECT doc_id, size, CAST(crc AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY whole.key, doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM whole JOIN placed ON whole.key = placed.key JOIN sums ON whole.key = sums.key"""
