@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
 
-__all__ = ["table", "cut", "doc_bytes", "byte_chunks", "mix64", "word_spans", "LOWER"]
+__all__ = ["table", "cut", "doc_bytes", "byte_chunks", "mix64", "word_spans", "free_name", "LOWER"]
 
 #: byte -> byte, A-Z to a-z
 LOWER = np.arange(256, dtype=np.uint8)
@@ -23,6 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names (``spark.checkpoint.dir``):
     ends the lineage in files every executor can read, so a lost executor costs

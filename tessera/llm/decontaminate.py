@@ -1,27 +1,35 @@
-"""Benchmark decontamination by edit-tolerant seeds and exact edit distance.
-
-A seed is a pair of four-byte strings next to each other or one byte apart, of the
-items at each offset and of the texts at each byte; so the pair outlives an edit
-between its halves. Edits at the limit, a fifth of an item, leave four bytes between
-two of them when they are spread evenly and longer stretches when they are not.
-Seeds that text and item share are counted by item and diagonal (place in the text
-less place in the item) in overlapping bands; a band with a seed for each
-``PER_SEED`` bytes of the item is a window and is verified by exact edit distance.
-Items shorter than ``PIECED`` bytes are cut into one piece more than edits allowed:
-one of them stands verbatim in any match, so every match is found.
+"""Benchmark decontamination by a random-walk embedding, bit sampling and exact edit distance.
+
+From each byte a walk of ``STEPS`` steps reads the byte it stands on and then stays
+or goes on, as a random bit fixed for the step and the byte says (the CGK embedding).
+Two walks that meet an edit fall in with each other again with a fair chance, so
+strings a few edits apart become words of equal length with few differing places. A
+sample of ``PLACES`` of the places is a bucket key; ``SAMPLES`` samples make the repeats. Walks
+begin at every byte of items and texts, so that an item of L bytes has about L / 5 chances
+even if the edits, a fifth of its length, are spread evenly. Walks that share a
+bucket are counted by item and diagonal (place in the text less place in the
+item) in overlapping bands, as wide as a stretch of the item drifts by insertions; a band with ``least`` of them
+is a window, and is verified by exact edit distance, many windows at a time. Recall at
+the limit is measured in the tests, by length and kind of edit.
+
+Items shorter than ``SHORT`` bytes have too few walks. For them the keys are
+their strings of q bytes; k edits of L bytes leave L + 1 - q (k + 1) of these, and a band with so
+many is a window, so every match is found.
 
 Texts are compared as UTF-8 bytes with A-Z lowered and white space as spaces; an
 item of L bytes counts with at most ``edits * L`` edits.
 
-Defined cases: null and empty texts and items match nothing; a null doc_id or item_id is carried; repeated
+Defined cases: null and empty texts and items match nothing; a null doc_id or item_id is carried; of several places
+with the fewest edits the first found is reported; repeated
 rows each have their own hits; other columns are ignored; empty tables give no
-rows. Items reach the tasks in blocks of at most ``block_bytes``, one pass over
+rows. A text is searched as a whole, in memory that grows with the longest one. Items reach the tasks in blocks of at most ``block_bytes``, one pass over
 the texts for each block, so what is sent is bounded however many items there are.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import partial
 from typing import Iterator
 
 import numpy as np
@@ -29,16 +37,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, byte_chunks, doc_bytes
+from tessera.llm.common import LOWER, byte_chunks, doc_bytes, mix64
 
-__all__ = ["Index", "edit_match", "item_blocks", "hits", "clean"]
+__all__ = ["Index", "edit_match", "edit_matches", "item_blocks", "hits", "clean"]
 
-#: the shortest item that a fifth of its length allows an edit; shorter ones match verbatim
-SHORT = 5
-PIECED, BAND, PER_SEED, GAPS, CHUNK = 48, 32, 16, (4, 5), 1 << 20
+#: bytes from which on items are found by walks; steps of a walk, places in a sample, samples; bytes of an item counted once; diagonals of a band
+SHORT, STEPS, PLACES, SAMPLES, CELL, BAND = 80, 20, 12, 6, 16, 32
+#: bytes searched at a time, walks begun at a time (they stay in a core's cache), chunks of items and whole items verified at a time
+CHUNK, PIECE, BATCH, WHOLE = 1 << 20, 1 << 15, 1 << 12, 512
 _FOLD = LOWER.copy()
 _FOLD[[9, 10, 11, 12, 13]] = 32
 _BITS = 22
+_random = mix64(np.arange(1, STEPS * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_GO_ON = (_random >> np.uint64(63)).astype(np.int64).reshape(STEPS, 256)
+_SAMPLED = [set(np.argsort(mix64(np.arange(STEPS, dtype=np.uint64) + np.uint64(1000 * (s + 1))))[:PLACES].tolist()) for s in range(SAMPLES)]
 
 
 def normal(flat: np.ndarray) -> np.ndarray:
@@ -68,128 +80,233 @@ def edit_match(item: bytes, text: bytes) -> tuple[int, int]:
     return best
 
 
-class Index:
-    """The items of one block, embedded."""
+def edit_matches(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``edit_match`` of many strings with flat[lo:hi] at once. ``peq[word, string * 256 + byte]``
+    are the places of a byte in a string, 64 to a word; ``which`` and ``sizes``: the strings and their lengths."""
+    words, n = peq.shape[0], len(which)
+    pv, mv = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), np.uint64)
+    at, bit, pairs, one = (sizes - 1) // 64, ((sizes - 1) % 64).astype(np.uint64), np.arange(n), np.uint64(1)
+    row, last = which * 256, len(flat) - 1
+    dist = sizes.astype(np.int64)
+    best, end = dist.copy(), np.zeros(n, np.int64)
+    for j in range(int((hi - lo).max(initial=0))):
+        eq = peq.take(row + flat.take(np.minimum(lo + j, last)), axis=1)
+        both = eq & pv
+        total = both + pv
+        if words > 1:
+            over = total < both
+            for w in range(1, words):
+                more = over[w - 1].view(np.uint8).astype(np.uint64)
+                total[w] += more
+                over[w] |= total[w] < more
+        d0 = (total ^ pv) | eq | mv
+        ph, mh = mv | ~(d0 | pv), pv & d0
+        dist += ((ph[at, pairs] >> bit) & one).view(np.int64) - ((mh[at, pairs] >> bit) & one).view(np.int64)
+        up, down = ph[:-1] >> np.uint64(63), mh[:-1] >> np.uint64(63)
+        ph, mh = ph << one, mh << one
+        ph[1:] |= up
+        mh[1:] |= down
+        pv, mv = mh | ~(d0 | ph), ph & d0
+        better = np.flatnonzero((dist < best) & (lo + j < hi))
+        best[better], end[better] = dist[better], j + 1
+    return best, end
+
+
+def edits_at_most(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: np.ndarray, lo: np.ndarray, steps: int) -> np.ndarray:
+    """The least edits of ``edit_matches`` for strings of up to 64 bytes, each against ``steps`` bytes from ``lo`` on."""
+    n, bit, one = len(which), (sizes - 1).astype(np.uint64), np.uint64(1)
+    pv, mv, row, place = np.full(n, ~np.uint64(0)), np.zeros(n, np.uint64), which * 256, lo.copy()
+    dist = sizes.astype(np.int64)
+    best = dist.copy()
+    for _ in range(steps):
+        eq = peq.take(row + flat.take(place, mode="clip"))
+        d0 = (((eq & pv) + pv) ^ pv) | eq | mv
+        ph, mh = mv | ~(d0 | pv), pv & d0
+        dist += ((ph >> bit) & one).view(np.int64)
+        dist -= ((mh >> bit) & one).view(np.int64)
+        np.minimum(best, dist, out=best)
+        ph <<= one
+        mh <<= one
+        pv, mv = mh | ~(d0 | ph), ph & d0
+        place += 1
+    return best
 
-    def __init__(self, ids: list, texts: list[bytes], edits: float = 0.2):
-        self.edits, self.ids, self.items = edits, ids, [normal(np.frombuffer(t, np.uint8)).tobytes() for t in texts]
-        self.pieces: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for k, t in enumerate(self.items):
-            n = min(int(edits * len(t)) + 1, len(t)) if len(t) < PIECED else 0
-            for j in range(n):
-                a, b = len(t) * j // n, len(t) * (j + 1) // n
-                self.pieces[t[a:b]].append((k, a))
-        long = [k for k, t in enumerate(self.items) if len(t) >= PIECED]
-        self.least = np.array([max(len(t) // PER_SEED, 1) for t in self.items], np.int64)
-        flat = np.frombuffer(b"".join(self.items[k] for k in long), np.uint8)
-        ends = np.cumsum([len(self.items[k]) for k in long], dtype=np.int64)
-        keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for gap in GAPS:
-            key = self.seeds(flat, gap)
-            at = np.arange(len(key))
-            at = at[at + gap + 4 <= ends[np.searchsorted(ends, at, side="right")]] if len(at) else at
-            keys.append(key[at])
-            places.append(at)
-        key, place = np.concatenate(keys), np.concatenate(places)
-        order = np.argsort(key, kind="stable")
-        self.key, place = key[order], place[order]
-        which = np.searchsorted(ends, place, side="right")
-        self.who, self.off = np.array(long, np.int64)[which], place - np.concatenate(([0], ends))[which]
-        self.table = np.zeros(1 << _BITS, bool)
-        self.table[self.slot(self.key)] = True
 
-    @staticmethod
-    def seeds(flat: np.ndarray, gap: int) -> np.ndarray:
-        """The pair of four-byte strings ``gap`` bytes apart from each byte on."""
-        if len(flat) < gap + 4:
-            return np.zeros(0, np.uint64)
-        x = flat.astype(np.uint32)
-        four = ((x[:-3] << 24) | (x[1:-2] << 16) | (x[2:-1] << 8) | x[3:]).astype(np.uint64)
-        return (four[:-gap] << np.uint64(32)) | four[gap:]
+def places_of(strings: list[bytes]) -> np.ndarray:
+    """The ``peq`` of ``edit_matches``."""
+    out = np.zeros((max(-(-max(map(len, strings), default=1) // 64), 1), max(len(strings), 1), 256), np.uint64)
+    for k, s in enumerate(strings):
+        i = np.arange(len(s))
+        np.bitwise_or.at(out[:, k], (i // 64, np.frombuffer(s, np.uint8)), np.uint64(1) << (i % 64).astype(np.uint64))
+    return out.reshape(len(out), -1)
+
+
+def walks(flat: np.ndarray) -> list[np.ndarray]:
+    """For each sample, the key of the walk from each byte on; walks that leave the bytes are left out."""
+    n = max(len(flat) - STEPS + 1, 0)
+    out = [np.empty(n, np.uint32) for _ in range(SAMPLES)]
+    for a in range(0, n, PIECE):
+        size = min(PIECE, n - a)
+        part, place, keys = flat[a:a + size + STEPS], np.arange(size), [np.full(size, s + 1, np.uint32) for s in range(SAMPLES)]
+        for j in range(STEPS):
+            c = part.take(place)
+            wide = c.astype(np.uint32)
+            for key, sampled in zip(keys, _SAMPLED):
+                if j in sampled:
+                    key *= np.uint32(0x9E3779B1)
+                    key += wide
+            place += _GO_ON[j].take(c)
+        for o, key in zip(out, keys):
+            key ^= key >> np.uint32(15)
+            o[a:a + size] = key * np.uint32(0x85EBCA6B)
+    return out
+
+
+def grams(q: int, flat: np.ndarray) -> list[np.ndarray]:
+    """The strings of q bytes from each byte on."""
+    n = len(flat) - q + 1
+    out = np.zeros(max(n, 0), np.uint32)  # four bytes at most
+    for k in range(q if n > 0 else 0):
+        out = (out << np.uint32(8)) | flat[k:n + k]
+    return [out]
+
+
+class _Keys:
+    """Keys of one kind of a block's items, and where they are from."""
+
+    def __init__(self, of, items: list[bytes], which: list[int], reach: int):
+        self.of, found = of, []
+        for k in which:
+            for s, x in enumerate(of(np.concatenate((np.frombuffer(items[k], np.uint8), np.zeros(reach, np.uint8))))):
+                n = min(len(x), len(items[k]))
+                found.append((s, x[:n], np.full(n, k), np.arange(n)))
+        self.tables = []
+        for s in sorted({f[0] for f in found}):
+            key, who, off = (np.concatenate([f[c] for f in found if f[0] == s]) for c in (1, 2, 3))
+            order = np.argsort(key, kind="stable")
+            table = np.zeros(1 << _BITS, bool)
+            table[self._slot(key)] = True
+            key, begin = np.unique(key[order], return_index=True)
+            self.tables.append((key, np.append(begin, len(order)), who[order], off[order], table))
 
     @staticmethod
-    def slot(key: np.ndarray) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((key ^ (key >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)
-
-    def windows(self, flat: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(document, item, first, last place in the document where the item may begin) of bands with enough seeds."""
-        if not len(self.key):
-            return []
-        bands = int(np.diff(offsets).max(initial=0)) // BAND + int(max(map(len, self.items))) // BAND + 4
-        below = int(max(map(len, self.items))) // BAND + 2  # bands of places before the document's first byte
-        codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for gap in GAPS:
-            k = self.seeds(flat, gap)
-            near = np.flatnonzero(self.table[self.slot(k)])
-            doc = np.searchsorted(offsets, near, side="right") - 1
-            inside = near + gap + 4 <= offsets[doc + 1]
-            near, doc = near[inside], doc[inside]
-            k = k[near]
-            lo, n = np.searchsorted(self.key, k, "left"), np.searchsorted(self.key, k, "right")
-            n -= lo
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BITS)
+
+    def shared(self, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in ``flat``, item, place in the item) of equal keys, some millions at a time."""
+        for (key, begin, who, off, table), x in zip(self.tables, self.of(flat)):
+            near = np.flatnonzero(table.take(self._slot(x)))
+            mine = x.take(near)
+            at = np.searchsorted(key, mine)
+            here = np.flatnonzero(key.take(at, mode="clip") == mine)
+            near, at = near[here], at[here]
+            lo = begin[at]
+            n = begin[at + 1] - lo
             for i, j in byte_chunks(np.concatenate(([0], np.cumsum(n))), 1 << 21):
                 m = n[i:j]
                 pick = np.repeat(lo[i:j] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-                d = np.repeat(doc[i:j], m)
-                band = (np.repeat(near[i:j], m) - offsets[d] - self.off[pick]) // BAND + below
-                code, count = np.unique((d * len(self.items) + self.who[pick]) * bands + band, return_counts=True)
-                codes.append(code)
-                counts.append(count)
-        code, where = np.unique(np.concatenate(codes), return_inverse=True)
-        count = np.bincount(where, np.concatenate(counts)).astype(np.int64)
-        after = np.minimum(np.searchsorted(code, code + 1), len(code) - 1) if len(code) else code
+                yield np.repeat(near[i:j], m), who[pick], off[pick]
+
+
+class Index:
+    """The items of one block, embedded."""
+
+    def __init__(self, ids: list, texts: list[bytes], edits: float = 0.2):
+        self.ids, self.items = ids, [normal(np.frombuffer(t, np.uint8)).tobytes() for t in texts]
+        self.size = np.array([len(t) for t in self.items], np.int64)
+        self.most = (edits * self.size + 1e-9).astype(np.int64)
+        kinds: dict[int, list[int]] = defaultdict(list)
+        self.least = np.ones(len(self.items), np.int64)
+        for k, t in enumerate(self.items):
+            if len(t) >= SHORT:
+                kinds[0].append(k)
+                self.least[k] = least_cells(len(t))
+            elif t:
+                q = min(len(t) // (int(self.most[k]) + 1), 4)
+                kinds[q].append(k)
+                self.least[k] = len(t) + 1 - q * (int(self.most[k]) + 1)
+        self.keys = [(_Keys(partial(grams, q) if q else walks, self.items, which, 0 if q else STEPS - 1), CELL if not q else 1) for q, which in kinds.items()]
+        # Of an item cut into chunks, one has no more than its share of the edits.
+        chunks = [(k, len(t) * c // n, len(t) * (c + 1) // n) for k, t in enumerate(self.items) if t for n in [-(-len(t) // 64)] for c in range(n)]
+        self.chunk_at = np.searchsorted([c[0] for c in chunks], np.arange(len(self.items) + 1))
+        self.chunk_off, self.chunk_size = (np.array([f(c) for c in chunks], np.int64) for f in (lambda c: c[1], lambda c: c[2] - c[1]))
+        self.chunk_most = (edits * self.chunk_size + 1e-9).astype(np.int64)
+        self.peq = places_of([self.items[k][a:b] for k, a, b in chunks])[0]
+
+    def windows(self, flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Rows (document, item, place in the document where the item begins, up to 2 * ``BAND`` later) of bands with enough keys."""
+        below = int(self.size.max(initial=0)) // BAND + 2  # bands of places before the document's first byte
+        bands = int(np.diff(offsets).max(initial=0)) // BAND + below + 2
+        cells = int(self.size.max(initial=0)) + 1
+        seen, of = [np.zeros(0, np.int64)], np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        of = np.append(of, np.full(STEPS, len(offsets) - 2))
+        for keys, cell in self.keys:
+            # A walk may read on behind its document; that can only add a window to be verified.
+            for near, who, off in keys.shared(np.concatenate((flat, np.zeros(STEPS - 1, np.uint8)))):
+                d = of[near]
+                seen.append(((d * len(self.items) + who) * bands + (near - offsets[d] - off) // BAND + below) * cells + off // cell)
+        seen = np.sort(np.concatenate(seen))
+        if not len(seen):
+            return np.zeros((0, 3), np.int64)
+        code = seen[np.concatenate(([True], seen[1:] != seen[:-1]))] // cells
+        start = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+        code, count = code[start], np.diff(np.append(start, len(code)))
+        after = np.minimum(np.searchsorted(code, code + 1), len(code) - 1)
         both = count + np.where(code[after] == code + 1, count[after], 0)  # a band and the next
         code = code[both >= self.least[code // bands % len(self.items)]]
-        out: list[tuple[int, int, int, int]] = []
-        for c in code.tolist():
-            d, k, first = c // bands // len(self.items), c // bands % len(self.items), (c % bands - below) * BAND
-            if out and out[-1][:2] == (d, k) and first <= out[-1][3] + 1:
-                out[-1] = (d, k, out[-1][2], first + 2 * BAND)
-            else:
-                out.append((d, k, first, first + 2 * BAND))
-        return out
-
-    def pieced(self, raw: bytes, local: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """The same for short items, from each place of each of their pieces."""
-        places = []
-        for piece, of in self.pieces.items():
-            p = raw.find(piece)
-            while p >= 0:
-                d = int(np.searchsorted(local, p, side="right")) - 1
-                if p + len(piece) <= local[d + 1]:
-                    places += [(d, k, p - int(local[d]) - a) for k, a in of]
-                p = raw.find(piece, p + 1)
-        out: list[tuple[int, int, int, int]] = []
-        for d, k, first in sorted(places):
-            if out and out[-1][:2] == (d, k) and first <= out[-1][3] + len(self.items[k]):
-                out[-1] = (d, k, out[-1][2], first)
-            else:
-                out.append((d, k, first, first))
-        return out
+        return np.stack([code // bands // len(self.items), code // bands % len(self.items), (code % bands - below) * BAND], 1)
 
     def find(self, flat: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(document, item, start, end, edits) of each document and item that match, the fewest edits first found."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for i, j in byte_chunks(offsets, CHUNK):
             part, local = normal(flat[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i]
-            raw = part.tobytes()
-            for d, k, first, last in self.windows(part, local) + self.pieced(raw, local):
-                self._verify(raw, int(local[d]), int(local[d + 1]), k, first, last, (d + i, k), best)
+            for d, k, n, s, e in self._verified(part, local, self.windows(part, local)):
+                best[(d + i, k)] = min(best.get((d + i, k), (n, s, e)), (n, s, e))
         return [(d, k, s, e, n) for (d, k), (n, s, e) in sorted(best.items())]
 
-    def _verify(self, raw: bytes, a: int, b: int, k: int, first: int, last: int, pair: tuple[int, int], best: dict) -> None:
-        item = self.items[k]
-        most = int(self.edits * len(item))
-        held = best.get(pair, (most + 1,))[0]
-        if not held:
-            return
-        lo = max(a, a + first - most)
-        n, end = edit_match(item, raw[lo:min(b, a + last + len(item) + most)])
-        if n < held:
-            head = raw[lo:lo + end][::-1]
-            _, size = edit_match(item[::-1], head[:len(item) + n])
-            best[pair] = n, lo + end - size - a, lo + end - a
+    def _verified(self, part: np.ndarray, local: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(document, item, edits, start, end) of the windows that match."""
+        d, k, first = found.T
+        n = self.chunk_at[k + 1] - self.chunk_at[k]
+        near = np.zeros(len(found), bool)
+        row = np.repeat(np.arange(len(found)), n)
+        chunk = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.chunk_at[k], n)
+        lo, hi = self._between(local, d[row], self.most[k[row]], first[row] + self.chunk_off[chunk], self.chunk_size[chunk])
+        order = np.argsort(hi - lo, kind="stable")
+        for a in range(0, len(order), BATCH):
+            x = order[a:a + BATCH]
+            least = edits_at_most(self.peq, chunk[x], self.chunk_size[chunk[x]], part, lo[x], int((hi - lo)[x[-1]]))
+            near[row[x[least <= self.chunk_most[chunk[x]]]]] = True
+        d, k, first = found[near].T
+        lo, hi = self._between(local, d, self.most[k], first, self.size[k])
+        order = np.lexsort((hi - lo, self.size[k]))
+        for a in range(0, len(order), WHOLE):
+            x = order[a:a + WHOLE]
+            if len(x) < 32 or self.size[k[x[-1]]] > 1024:  # few, or many words a step: one by one
+                got = np.array([edit_match(self.items[k[i]], part[lo[i]:hi[i]].tobytes()) for i in x], np.int64).reshape(-1, 2).T
+            else:
+                own, which = np.unique(k[x], return_inverse=True)
+                got = edit_matches(places_of([self.items[i] for i in own]), which, self.size[k[x]], part, lo[x], hi[x])
+            for i, dist, end in zip(x.tolist(), *(g.tolist() for g in got)):
+                if dist <= self.most[k[i]]:
+                    item, at = self.items[k[i]], int(lo[i])
+                    _, size = edit_match(item[::-1], part[at:at + end][::-1].tobytes()[:len(item) + dist])
+                    begin = int(local[d[i]])
+                    yield int(d[i]), int(k[i]), dist, at + end - size - begin, at + end - begin
+
+    @staticmethod
+    def _between(local: np.ndarray, d: np.ndarray, most: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes in which strings of ``size`` lie that begin within two bands from ``first`` on, or ``most`` beside."""
+        a, b = local[d], local[d + 1]
+        lo = np.clip(a + first - most, a, b)
+        return lo, np.clip(a + first + 2 * BAND + size + most, lo, b)
+
+
+def least_cells(size: int) -> int:
+    """How many ``CELL`` bytes long stretches of an item must have a walk in common with a text, in a pair of bands."""
+    return 1 if size < 110 else 2 if size < 170 else 3 if size < 230 else 4
 
 
 def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[tuple[list, list[bytes]]]:

@@ -1,24 +1,28 @@
-"""Line deduplication by pairwise comparison.
+"""Line deduplication by pairwise alignment.
 
-A window is the shortest run of lines from one line on that reaches ``min_words``
+A window is the shortest run of lines from one line on, or up to one, that reaches ``min_words``
 words: a long line alone, or several short ones. Its holder is the smallest document
-that has it. A document is compared with the holders of the windows it shares, rare
+that has it. A document is aligned with the holders of the windows it shares, rare
 ones and frequent ones alike: each window names one partner, so copies in their
 thousands or a passage in a third of all documents give one pair a document, never
-all pairs of a group, and no line is too frequent to count. Of holder and document
-all common runs of lines count, not only those one increasing alignment (``align``,
-patience diff) can keep: passages that stand more than once in either, or in another
-order, are common wherever they are. A run of ``min_words`` words or more is made up
-of windows from its lines on and back from them, so windows compared by hash give
-all of them in time linear in the lines. They are deleted from the later document,
-the one with the larger doc_id, in every place it has them.
+all pairs of a group, and no line is too frequent to count.
+
+Holder and document are aligned by patience diff (``align``), and each aligned
+block of ``min_words`` words or more, followed on both sides as far as the lines are equal, is
+deleted from the later document, the one with the larger doc_id. One alignment keeps
+one increasing chain and needs lines that stand once. So what is left, each stretch
+by itself, is aligned again with the whole holder until nothing more goes, which
+finds passages in another order; and what has no line that stands once is anchored at its
+windows (``common_lines``), which finds passages that either document repeats. At the
+end no run of lines of ``min_words`` words that the holder has is left.
 
 Defined cases: null and empty texts stay as they are; a document without doc_id
 neither loses nor takes lines; rows equal in id and text are one document and are
 cut alike; of rows that share an id, the one with the smaller text hash is the
-earlier; fewer than ``min_words`` words in a row find no partner, also at the end of
-a shared block, but go with a block that is deleted if its holder has them there too;
-other columns stay; no rows give no rows.
+earlier; fewer than ``min_words`` words in a row find no partner, but go with a
+block that is deleted if an earlier document has them there too;
+other columns stay, whatever their names, but for one named like the count, which the
+count replaces; a text is split and aligned as a whole, in memory that grows with its lines; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -32,13 +36,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import byte_chunks, cut, mix64
+from tessera.llm.common import byte_chunks, cut, free_name, mix64
 from tessera.llm.graph import attach
 
-__all__ = ["align", "windows", "common_lines", "deletions", "dedup_lines"]
+__all__ = ["align", "aligned", "windows", "common_lines", "deletions", "dedup_lines"]
 
 #: lines of a batch that are matched at a time
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 
 
 def align(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
@@ -102,6 +106,38 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     return runs
 
 
+def aligned(held: list[int], own: list[int], words: list[int], common: np.ndarray, min_words: int) -> np.ndarray:
+    """Lines of ``own`` in blocks of ``min_words`` words or more aligned with ``held``.
+    ``common`` marks the lines that some such block has: a stretch without one is not
+    aligned again, and those that no alignment reaches are anchored there."""
+    gone, n, m = np.zeros(len(own), bool), len(own), len(held)
+    todo = [(0, n)]
+    while todo:
+        left: list[int] = []
+        for p, q in todo:  # a line of its own parts the stretches
+            left += own[p:q]
+            left.append(-1)
+        place = np.concatenate([np.append(np.arange(p, q), -1) for p, q in todo]).tolist()
+        before = int(gone.sum())
+        for x, y, size in align(held, left):
+            j = place[y]
+            if j < 0 or gone[j]:
+                continue
+            a, b, i, k = j, j + size, x, x + size
+            while a and i and own[a - 1] == held[i - 1]:
+                a, i = a - 1, i - 1
+            while b < n and k < m and own[b] == held[k]:
+                b, k = b + 1, k + 1
+            if sum(words[a:b]) >= min_words:
+                gone[a:b] = True
+        rest = common & ~gone
+        if int(gone.sum()) == before:
+            return gone | rest
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], rest, [False])).astype(np.int8)))
+        todo = list(zip(edge[::2].tolist(), edge[1::2].tolist()))
+    return gone
+
+
 def windows(hs: np.ndarray, ws: np.ndarray, offsets: np.ndarray, min_words: int, back: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, hash) of the shortest runs of lines that reach ``min_words`` words and
     begin at a line, or with ``back`` end with it; runs stay inside their document
@@ -161,7 +197,9 @@ def deletions(docs: DataFrame, min_words: int = 6) -> DataFrame:
                 hs, ws, held = (c.slice(p, q - p).flatten().to_numpy(zero_copy_only=False) for c in b.columns[1:])
                 at, to = (x[p:q + 1] - x[p] for x in size)
                 common = common_lines(hs, ws, at, held, to, min_words)
-                gone = [np.flatnonzero(common[i:j]) for i, j in zip(at, at[1:])]
+                hs, ws, held = (np.where(hs == -1, 0, hs)).tolist(), ws.tolist(), np.where(held == -1, 0, held).tolist()
+                gone = [np.flatnonzero(aligned(held[k:m], hs[i:j], ws[i:j], common[i:j], min_words))
+                        for i, j, k, m in zip(at.tolist(), at[1:].tolist(), to.tolist(), to[1:].tolist())]
                 keep = [r for r, x in enumerate(gone) if len(x)]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([p + r for r in keep], pa.int64())),
                                                   pa.array([gone[r] for r in keep], pa.list_(pa.int32()))], names=["doc", "gone"])
@@ -178,8 +216,10 @@ def deletions(docs: DataFrame, min_words: int = 6) -> DataFrame:
             for p, q in byte_chunks(size, CHUNK):
                 hs, ws = (c.slice(p, q - p).flatten().to_numpy(zero_copy_only=False) for c in b.columns[3:])
                 at = size[p:q + 1] - size[p]
-                start, _, h = windows(hs, ws, at, min_words)
-                start, h = start[ws[start] > 0], h[ws[start] > 0].view(np.int64)
+                # Runs that begin with a line and runs that end with one: mostly the same, so few more rows.
+                start, end, h = (np.concatenate(x) for x in zip(windows(hs, ws, at, min_words), windows(hs, ws, at, min_words, back=True)))
+                inked = (ws[start] > 0) | (ws[end - 1] > 0)
+                start, h = start[inked], h[inked].view(np.int64)
                 doc = np.searchsorted(at, start, side="right") - 1
                 order = np.lexsort((h, doc))
                 doc, h = doc[order], h[order]
@@ -188,7 +228,8 @@ def deletions(docs: DataFrame, min_words: int = 6) -> DataFrame:
 
     held = own.select("doc", "doc_id", "text_hash", "hs", "ws").mapInArrow(begun, "doc bigint, doc_id bigint, text_hash bigint, h bigint")
     me = F.struct("doc_id", "text_hash", "doc")
-    holder = held.groupBy("h").agg(F.min(me).alias("first"), F.max(me).alias("last")).where("first <> last").select("h", "first")
+    # Written, so that the join has shuffles of its own, which are split where one window has very many rows.
+    holder = cut(held.groupBy("h").agg(F.min(me).alias("first"), F.max(me).alias("last")).where("first <> last").select("h", "first"))
     pairs = cut(held.join(holder, "h").where(F.struct("doc_id", "text_hash") > F.struct("first.doc_id", "first.text_hash"))
                 .select("doc", F.col("first.doc").alias("other")).distinct())
     side = own.select("doc", "hs", "ws").dropDuplicates(["doc"])
@@ -199,13 +240,14 @@ def deletions(docs: DataFrame, min_words: int = 6) -> DataFrame:
     return own.select("doc", "doc_id", "text_hash").dropDuplicates(["doc"]).join(found, "doc").select("doc_id", "text_hash", "gone")
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 6) -> DataFrame:
-    """All columns of ``docs``, ``text`` without its deleted lines, and ``n_removed`` (lines)."""
-    gone = deletions(docs, min_words).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("gone").alias("_gone"))
-    docs = docs.drop("n_removed")
-    out = docs.join(gone, (F.col("doc_id").cast("bigint") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left")
+def dedup_lines(docs: DataFrame, min_words: int = 6, count: str = "n_removed") -> DataFrame:
+    """All columns of ``docs``, ``text`` without its deleted lines, and the number of these in ``count``."""
+    docs = docs.drop(count)
+    own_id, own_hash, own_gone = (free_name(docs, x) for x in ("id", "hash", "gone"))
+    gone = deletions(docs, min_words).select(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash), F.col("gone").alias(own_gone))
+    out = docs.join(gone, (F.col("doc_id").cast("bigint") == F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash)), "left")
     lines = F.split("text", "\n")
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: lines[i])
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(own_gone)), lambda i: lines[i])
+    text = F.when(F.col(own_gone).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-                      F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"))
+                      F.coalesce(F.size(own_gone), F.lit(0)).cast("bigint").alias(count))

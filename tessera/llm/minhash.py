@@ -33,14 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, byte_chunks, cut, doc_bytes, mix64, span_hash, word_spans
+from tessera.llm.common import LOWER, byte_chunks, cut, doc_bytes, free_name, mix64, span_hash, word_spans
 from tessera.llm.graph import attach, components
 
-__all__ = ["shingle_sets", "sketches", "features", "classes"]
+__all__ = ["shingle_sets", "sketches", "features", "members", "classes", "first_of_each"]
 
 T, ROWS, CHUNK = 128, 4, 1 << 20
 #: Members of a bucket outside its largest class that meet the whole bucket in one turn, at most; the others follow in the next.
 CENTRES = 4096
+#: Members of a bucket that meet its centres in one task, about.
+DEALT = 512
 #: Longs of each of a pair's two bitmaps.
 WORDS = 4
 _SEEDS = mix64(np.arange(1, 2 * T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -91,8 +93,8 @@ def sketches(h: np.ndarray, at: np.ndarray, docs: int) -> np.ndarray:
 
 
 def features(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, v (hash of the set), bands (bucket keys); null ids are left out."""
-    schema = "doc_id bigint, n_shingles bigint, v bigint, bands array<bigint>"
+    """doc_id, text_hash, n_shingles, v (hash of the set), bands (bucket keys); null ids are left out."""
+    schema = "doc_id bigint, text_hash bigint, n_shingles bigint, v bigint, bands array<bigint>"
     bands = T // ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,12 +109,12 @@ def features(docs: DataFrame, k: int) -> DataFrame:
                 for r in range(ROWS):
                     key = mix64(key * np.uint64(0x9E3779B97F4A7C15) + s[:, :, r])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(v.view(np.int64)),
+                    [b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(n, pa.int64()), pa.array(v.view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i) * bands + 1, bands, dtype=np.int32)), pa.array(key.reshape(-1).view(np.int64)))],
-                    names=["doc_id", "n_shingles", "v", "bands"])
+                    names=["doc_id", "text_hash", "n_shingles", "v", "bands"])
 
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
-    return docs.select(ids, "text").where("doc_id IS NOT NULL").mapInArrow(run, schema)
+    return docs.select(ids, "text", F.xxhash64("text").alias("text_hash")).where("doc_id IS NOT NULL").mapInArrow(run, schema)
 
 
 def _sums(x: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -180,9 +182,9 @@ def _may_link(percent: int):
     return F.coalesce(100 * most >= percent * (F.col("n") + F.col("m") - most), F.lit(True))
 
 
-def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs(doc_id, text)`` -> doc_id, n_shingles, component_id (smallest doc_id
-    reachable over links of at least ``percent`` % Jaccard similarity), kept."""
+def members(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs(doc_id, text)`` -> doc_id, text_hash, n_shingles, comp (names the class; null
+    without shingles), component_id, one row for each row with a doc_id."""
     f = cut(features(docs, k))
     vertices = cut(f.where("n_shingles > 0").groupBy("v").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("bands").alias("bands")))
     rows = vertices.select("v", "n", F.explode("bands").alias("bucket"))
@@ -215,7 +217,12 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
         if centres.isEmpty():
             break
         # Comparing is work, not bytes: a stated count of partitions keeps it from being drawn together.
-        met = (named.withColumnRenamed("bucket", "at").repartition(parts, "at").join(centres.repartition(parts, "bucket"), (F.col("at") == F.col("bucket")) & (F.col("comp") != F.col("own")) & near & _may_link(percent))
+        # A large bucket's members are dealt over salts, with its centres repeated for each.
+        salts = (named.join(centres.select("bucket").distinct(), "bucket", "left_semi").groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+                 .select("bucket", F.least(F.lit(parts), F.floor(F.col("size") / DEALT) + 1).cast("int").alias("salts")))
+        dealt = named.join(F.broadcast(salts) if salts.count() <= 100_000 else salts, "bucket").select(F.col("bucket").alias("at"), F.pmod(F.xxhash64("v"), F.col("salts")).cast("int").alias("part"), *named.drop("bucket").columns)
+        spread = centres.join(salts, "bucket").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+        met = (dealt.repartition(parts, "at", "part").join(spread.repartition(parts, "bucket", "salt"), (F.col("at") == F.col("bucket")) & (F.col("part") == F.col("salt")) & (F.col("comp") != F.col("own")) & near & _may_link(percent))
                .select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct())
         pairs = cut(met.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
         used, tested, turn = used.union(centres.select("bucket", F.col("a").alias("v"))), tested.union(pairs), turn + 1
@@ -225,13 +232,39 @@ def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             label = components(edges)
     comp = vertices.select("v", "doc_id").join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
     least = comp.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    comp = comp.join(least, "comp").select("v", "component_id")
-    out = f.select("doc_id", "n_shingles", "v").join(comp, "v", "left")
+    comp = comp.join(least, "comp").select("v", "comp", "component_id")
+    return f.select("doc_id", "text_hash", "n_shingles", "v").join(comp, "v", "left").select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).alias("comp"), "component_id")
+
+
+def classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """``docs(doc_id, text)`` -> doc_id, n_shingles, component_id (smallest doc_id
+    reachable over links of at least ``percent`` % Jaccard similarity), kept."""
+    out = members(docs, k, percent)
     out = out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     lost = _without_id(docs, k)
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id")).unionByName(lost)
 
 
+def first_of_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all their columns, without near duplicates: of each class
+    the one with the smallest doc_id stays (null last), of that id the smallest hash of
+    the text, of equal rows one. Texts without words are in no class and stay."""
+    ident, hashed = (free_name(docs, x) for x in ("ident", "hashed"))
+    last = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)  # behind all ids, and apart by text
+    rows = docs.withColumn(ident, F.coalesce(F.col("doc_id").cast("bigint"), last)).withColumn(hashed, F.xxhash64("text"))
+    found = members(rows.select(F.col(ident).alias("doc_id"), "text"), k, percent).where("comp IS NOT NULL")
+    first = found.groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
+    first = cut(first.select(F.col("f.doc_id").alias(ident), F.col("f.text_hash").alias(hashed)))
+    again = found.groupBy(F.col("doc_id").alias(ident), F.col("text_hash").alias(hashed)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    again = cut(again.join(first, [ident, hashed], "left_semi"))
+    stay = rows.join(first.join(again, [ident, hashed], "left_anti"), [ident, hashed], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = rows.join(again, [ident, hashed], "left_semi")
+    key = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    copies = copies.groupBy(ident, hashed).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), key).alias("row")).select("row.*")
+    wordless = docs.where(~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return stay.unionByName(copies).unionByName(wordless)
+
+
 def _without_id(docs: DataFrame, k: int) -> DataFrame:
     """Rows whose doc_id is null, each alone."""
     rows = docs.where("doc_id IS NULL").select(F.lit(0).alias("doc_id"), "text")

@@ -13,7 +13,8 @@ prefix sums stay in Spark: the driver holds at most ``BLOCKS`` blocks of them
 (first, last, count). With a block for what it hides, a walk is known from below
 and from above, which bounds the capacity and each cut; only those ranges are asked
 for again in finer blocks, until every cut is exact. A round makes the ranges narrower
-by about ``BLOCKS`` over the square of the shards, so rounds grow with the logarithm of the table.
+by about ``BLOCKS`` over the square of the shards (where it does not halve them, four times the
+blocks are asked for), so rounds grow with the logarithm of the table.
 
 A shard follows from a text's hash and at most two bounds a shard, so whole texts are dealt out
 without a join (``Plan.shard``). Slots come from the ordered scan, in which a group
@@ -90,9 +91,11 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int) -> tupl
     last of them, ``largest`` the largest size. -> (smallest capacity with which
     ``shards`` runs hold all, prefix sums at which the greedy runs of that capacity end)."""
     blocks: list[tuple[int, int, int]] = []  # first and last prefix sum, count; in order
-    ranges = [(1, total)]
+    ranges, most, before = [(1, total)], BLOCKS, 0
     while True:
-        share = max(BLOCKS // len(ranges), 1)
+        wide = sum(b - a for a, b in ranges)
+        most, before = (most * 4 if 2 * wide > before > 0 else most), wide  # too coarse for so many shards
+        share = max(most // len(ranges), 4)
         where, block = F.lit(False), F.lit(None).cast("bigint")
         for r, (a, b) in enumerate(ranges):
             inside, width = F.col("at").between(a, b), -(-(b - a + 1) // share)
@@ -124,7 +127,8 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int) -> tupl
             if over:
                 a, b = over[0][0], over[-1][1]
                 if ranges and a <= ranges[-1][1]:
-                    a, b = ranges.pop()[0], max(b, ranges[-1][1] if ranges else b)
+                    x = ranges.pop()
+                    a, b = min(a, x[0]), max(b, x[1])
                 ranges.append((a, b))
 
 

@@ -80,22 +80,22 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 130)}, 200: 200, 201: 200}
 
 
-def plain_lines(rows, min_words=6):
-    """Each document against the first holder of every line it shares, one after the other."""
+def brute_lines(rows, min_words=6):
+    """Every document against all earlier ones: the lines in runs of ``min_words`` words that one of them has."""
     docs = sorted({(i, t) for i, t in rows if i is not None and t}, key=lambda x: x[0])
-    first = {}
-    for d, (i, t) in enumerate(docs):
-        for line in t.split("\n"):
-            if len(line.split()) >= min_words:
-                first.setdefault(line, d)
+    split = [t.split("\n") for _, t in docs]
     out = {}
-    for d, (i, t) in enumerate(docs):
-        mine = t.split("\n")
-        gone = set()
-        for o in {first[x] for x in mine if x in first} - {d}:
-            for x, _, n in lines.align(mine, docs[o][1].split("\n")):
-                if sum(len(z.split()) for z in mine[x:x + n]) >= min_words:
-                    gone.update(range(x, x + n))
+    for d, (i, _) in enumerate(docs):
+        mine, gone = split[d], set()
+        size = [len(x.split()) for x in mine]
+        for other in split[:d]:
+            # lengths of the equal runs that end at each pair of lines
+            run = [0] * (len(other) + 1)
+            for a, x in enumerate(mine):
+                run = [0] + [run[b] + 1 if x == y else 0 for b, y in enumerate(other)]
+                for n in {n for n in run if n}:
+                    if sum(size[a + 1 - n:a + 1]) >= min_words:
+                        gone.update(range(a + 1 - n, a + 1))
         out[i] = "\n".join(x for k, x in enumerate(mine) if k not in gone), len(gone)
     return out
 
@@ -109,13 +109,15 @@ def test_lines_against_plain_version(spark):
         body = [line(r.randint(1, 12)) for _ in range(6)]
         at = r.randrange(6)
         rows.append((10 + i, "\n".join(body[:at] + shared[i % 5:i % 5 + 3] + ["tiny"] + body[at:] + [shared[7]])))
-    rows.append((99, "\n".join(line() for _ in range(3000)) + "\n" + shared[2]))
-    df = docs_of(spark, rows, gone="x", hs=1)
+    rows.append((99, "\n".join(line() for _ in range(300)) + "\n" + shared[2]))
+    df = docs_of(spark, rows, gone="x", hs=1, id=5, hash="y", _id=6, _hash="z", _gone=7, n_removed=5)
     out = lines.dedup_lines(df)
-    assert out.columns == df.columns + ["n_removed"]
+    assert out.columns == df.columns  # the count takes the place of the column of its name
+    assert lines.dedup_lines(df, count="n_gone").columns == [*df.columns, "n_gone"]
+    assert {r.n_removed for r in lines.dedup_lines(df, count="n_gone").collect()} == {5}
     got = out.collect()
     assert len(got) == len(rows)
-    want = plain_lines(rows)
+    want = brute_lines(rows)
     for x in got:
         if x.doc_id in want and x.text is not None:
             assert (x.text, x.n_removed) == want[x.doc_id]
@@ -125,22 +127,6 @@ def test_lines_against_plain_version(spark):
     assert lines.dedup_lines(docs_of(spark, [])).count() == 0
 
 
-def brute_lines(rows, min_words=6):
-    """Every document against all earlier ones: the lines in runs of ``min_words`` words that one of them has."""
-    docs = sorted({(i, t) for i, t in rows if i is not None and t}, key=lambda x: x[0])
-    out = {}
-    for d, (i, t) in enumerate(docs):
-        mine, gone = t.split("\n"), set()
-        size = [len(x.split()) for x in mine]
-        runs = {tuple(o.split("\n")[a:b]) for _, o in docs[:d] for a in range(o.count("\n") + 1) for b in range(a + 1, o.count("\n") + 2)}
-        for a in range(len(mine)):
-            for b in range(a + 1, len(mine) + 1):
-                if sum(size[a:b]) >= min_words and tuple(mine[a:b]) in runs:
-                    gone.update(range(a, b))
-        out[i] = "\n".join(x for k, x in enumerate(mine) if k not in gone), len(gone)
-    return out
-
-
 def test_lines_repeated_and_in_another_order(spark):
     r = random.Random(5)
     line = lambda: " ".join("".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(8))
@@ -177,3 +163,41 @@ def test_patience_alignment():
     a, b = list(range(50)), list(range(20)) + [99] * 3 + list(range(20, 50))
     best = difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()[:-1]
     assert lines.align(a, b) == [tuple(x) for x in best]
+
+
+def test_alignment_deletes_every_common_block():
+    r = random.Random(21)
+    for _ in range(400):
+        kinds = r.choice([4, 12, 40])
+        held, own = ([r.randint(1, kinds) for _ in range(r.randint(1, 30))] for _ in range(2))
+        words = {k: r.choice([0, 1, 2, 7]) for k in range(1, kinds + 1)}
+        text = lambda x: "\n".join(f"{k} " + "w " * words[k] if words[k] else "" for k in x)
+        # a line of no words is empty, so lines without words are one line
+        name = {k: (k if words[k] else -7) for k in words}
+        a, b = [name[k] for k in held], [name[k] for k in own]
+        ws = [words[k] + 1 if words[k] else 0 for k in own]
+        o = np.array([0, len(b)])
+        common = lines.common_lines(np.array(b), np.array(ws), o, np.array(a), np.array([0, len(a)]), 6)
+        gone = lines.aligned(a, b, ws, common, 6)
+        want = brute_lines([(1, text(held)), (2, text(own))])
+        assert int(gone.sum()) == want[2][1] if want.get(2) else not gone.any()
+
+
+def test_first_of_each_class(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    near, other = text + " more", " ".join(f"x{k}" for k in range(50))
+    rows = [(1, text), (1, text), (2, text), (2, other), (3, other), (4, near), (None, near), (None, "own words that no other text has here"),
+            (None, "own words that no other text has here"), (5, None), (6, ""), (6, ""), (7, "\t "), (8, "short"), (9, "SHORT")]
+    df = docs_of(spark, rows, ident=3, hashed="q", comp=4, text_hash=1)
+    out = minhash.first_of_each(df)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, text), (2, other), (None, "own words that no other text has here"), (5, None), (6, ""), (6, ""), (7, "\t "), (8, "short")], key=str)
+    assert minhash.first_of_each(docs_of(spark, [])).count() == 0
+
+
+def test_a_bucket_dealt_over_tasks_links_the_same(spark, monkeypatch):
+    rows = near_rows()
+    monkeypatch.setattr(minhash, "DEALT", 2)
+    got = minhash.classes(docs_of(spark, rows), k=2).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_classes(rows, 2)

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tessera.llm import toxicity
 from tessera.llm.common import doc_bytes
-from tests.llm.test_duplicates import brute_classes, plain_lines
+from tests.llm.test_duplicates import brute_classes, brute_lines
 from tests.llm.test_scans import slow_edits
 
 BASE = "/root/testdata/sf0.001"
@@ -26,11 +26,11 @@ def test_run_against_plain_version(spark):
     docs = spark.read.parquet(f"{BASE}/documents.parquet")
     items = [r.text for r in spark.read.parquet(f"{BASE}/benchmark.parquet").collect()]
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
-    model = toxicity.fit(*toxicity.training_sample(docs, spark.read.parquet(f"{BASE}/labels.parquet")))
+    model = toxicity.train(docs, spark.read.parquet(f"{BASE}/labels.parquet"))
     import pyarrow as pa
     p = model.probability(model.decide(*doc_bytes(pa.array([t for _, t in rows]))))
     rows = [r for r, x in zip(rows, p) if x < 0.3]
-    cleaned = plain_lines(rows)
+    cleaned = brute_lines(rows)
     rows = [(i, cleaned[i][0] if i in cleaned else t) for i, t in rows if i not in cleaned or cleaned[i][0] or not cleaned[i][1]]
     rows = [r for r, (i, _, c) in zip(sorted(rows, key=lambda r: str(r[0])), brute_classes(rows, 5)) if i == c]
     rows = [(i, t) for i, t in rows if not any(slow_edits(x, t) <= int(0.2 * len(x.encode())) for x in items)]
