@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,9 +29,10 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     (default: the carried columns); the last one wins.
 
     Both sides are unioned and scanned in (by, time) order with the skew-safe
-    ordered scan: a left row's match index is the number of right rows before
-    it, so the match itself is an equi-join on (by, index) - unique on the
-    right, so no key ever lands in a single task."""
+    ordered scan, and each left row takes the last right row at or before it:
+    a native window inside each range partition, into which the last right
+    row before the partition is carried. No row is joined with another, and
+    no key lands in a single task. Left rows without a key stay outside the scan."""
     by = list(by)
     right_cols = [c for c in right_cols if c not in by]
     carried = [right_on] + [c for c in right_cols if c != right_on]
@@ -40,23 +41,24 @@ def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str
     l_type: StructType = left.select(l_struct.alias("s")).schema["s"].dataType
     r_type: StructType = right.select(r_struct.alias("s")).schema["s"].dataType
     left_side, right_side = (0, 1) if strict else (1, 0)
-    lu = left.select(*[F.col(k) for k in by], F.col(left_on).cast("timestamp").alias("_t"),
-                     F.lit(left_side).alias("_side"), F.lit(0).alias("_isr"),
-                     l_struct.alias("_l"), F.lit(None).cast(r_type).alias("_r"))
-    ru = right.select(*[F.col(k) for k in by], F.col(right_on).cast("timestamp").alias("_t"),
-                      F.lit(right_side).alias("_side"), F.lit(1).alias("_isr"),
-                      F.lit(None).cast(l_type).alias("_l"), r_struct.alias("_r"))
+    known = F.lit(True)
+    for k in by:
+        known = known & F.col(k).isNotNull()
+    lu = left.where(known).select(*[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], F.col(left_on).cast("timestamp").alias("_t"),
+                                  F.lit(left_side).alias("_side"), F.lit(False).alias("_isr"),
+                                  l_struct.alias("_l"), F.lit(None).cast(r_type).alias("_r"))
+    ru = right.where(known).select(*[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], F.col(right_on).cast("timestamp").alias("_t"),
+                                   F.lit(right_side).alias("_side"), F.lit(True).alias("_isr"),
+                                   F.lit(None).cast(l_type).alias("_l"), r_struct.alias("_r"))
     ru = ru.where(F.col("_t").isNotNull())
     tiebreak = [F.col(f"_r.{f.name}") for f in r_type.fields
                 if not right_tiebreak or f.name in right_tiebreak or f.name.removesuffix(suffix) in right_tiebreak]
-    ranked = with_rank(lu.unionByName(ru), by, [F.col("_t"), F.col("_side"), *tiebreak], sums=["_isr"], materialize=True)
-    lrows = ranked.where(F.col("_isr") == 0).select(
-        *[F.col(k).alias(f"_by{i}") for i, k in enumerate(by)], F.col("_cum__isr").alias("_m"), "_l")
-    rrows = ranked.where(F.col("_isr") == 1).select(
-        *[F.col(k).alias(f"_rb{i}") for i, k in enumerate(by)], F.col("_cum__isr").alias("_m2"), "_r")
-    cond = [F.col(f"_by{i}") == F.col(f"_rb{i}") for i in range(len(by))] + [F.col("_m") == F.col("_m2")]
-    out = lrows.join(rrows, cond, "left")
-    return out.select("_l.*", "_r.*")
+    local = {"_m": lambda w: F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))}
+    out = with_rank(lu.unionByName(ru), [f"_by{i}" for i in range(len(by))], [F.col("_t"), F.col("_side"), *tiebreak],
+                    rank=False, local=local, halo=1, halo_of="_isr")
+    out = out.where(~F.col("_isr")).select("_l.*", "_m.*")
+    keyless = left.where(~known).select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in r_type.fields])
+    return out.unionByName(keyless)
 
 
 def interval_label(cohort: DataFrame, events: DataFrame, key: str, t_col: str, event_ts: str, value_col: str,

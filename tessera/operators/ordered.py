@@ -15,17 +15,20 @@ partition layout is fixed. Then:
 * running sums are a window over ``(key, partition)`` (bounded by one
   partition's size) plus the carried-in sums; the window and the join-back
   of the carries use the same non-null surrogate key columns, so the big
-  side is hash-shuffled once.
-
-Ranks make lags, as-of matches and exact quantiles equi-joins on
-``(key, rank)``, which are unique keys and therefore evenly partitioned.
+  side is hash-shuffled once;
+* what looks back a bounded number of rows (lags, rolling means) or to the
+  last row of a kind (as-of matches) is a native window function over
+  ``(key, partition)``: the rows just before a partition are carried into it
+  as *ghosts*, copies that the window sees and that are dropped afterwards.
+  A partition takes ``halo`` ghosts at most, so nothing but a few rows a
+  partition is moved beside the window's own shuffle.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
@@ -68,15 +71,49 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*ren.values())
 
 
+def _with_ghosts(s: DataFrame, halo: int, of: str | None) -> DataFrame:
+    """``s`` (a sorted frame) and, flagged ``_ghost``, the ``halo`` rows before
+    each partition (with ``of``, the last row before it in which that column
+    is true), placed ahead of its first row. Which rows these are follows
+    from one number a partition, which is all the driver sees."""
+    wanted = F.max(F.when(F.col(of), F.col("_pos"))) if of else F.max("_pos")
+    last = {r["_pid"]: r["p"] for r in s.groupBy("_pid").agg(wanted.alias("p")).collect()}
+    carried, tail = [], []                       # tail: (partition, first position, rows) that hold the last ``halo`` rows so far
+    for pid in sorted(last):
+        carried += [(src, start, pid) for src, start, _ in tail]
+        if last[pid] is None:
+            continue
+        n = 1 if of else last[pid] + 1
+        tail = [(pid, max(last[pid] + 1 - halo, 0), min(n, halo))] if n >= halo else tail + [(pid, 0, n)]
+        while sum(x[2] for x in tail) > halo:
+            src, start, rows = tail[0]
+            drop = min(sum(x[2] for x in tail) - halo, rows)
+            tail = ([(src, start + drop, rows - drop)] if rows > drop else []) + tail[1:]
+    spark = s.sparkSession
+    to = spark.createDataFrame(carried, "_src int, _start bigint, _to int")       # at most ``halo`` rows a partition
+    ghosts = s.join(F.broadcast(to), (F.col("_pid") == F.col("_src")) & (F.col("_pos") >= F.col("_start")))
+    if of:
+        ghosts = ghosts.where(F.col("_pos") == F.col("_start"))
+    place = F.col("_pos") - (F.col("_to") - F.col("_src")).cast("bigint") * F.lit(_POS_MASK + 1)
+    ghosts = ghosts.select(*[F.col("_to").alias("_pid") if c == "_pid" else place.alias("_pos") if c == "_pos" else F.col(f"`{c}`") for c in s.columns])
+    return s.withColumn("_ghost", F.lit(False)).unionByName(ghosts.withColumn("_ghost", F.lit(True)))
+
+
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequence[str] = (),
-              partitions: int | None = None, materialize: bool = False, totals: bool = False) -> DataFrame:
+              partitions: int | None = None, materialize: bool = False, totals: bool = False, rank: bool = True,
+              local: Mapping[str, Callable[[WindowSpec], Column]] | None = None, halo: int = 0, halo_of: str | None = None) -> DataFrame:
     """Add ``_rank`` (0-based position in the group order), ``_n`` (group
     size) and, for each column ``c`` in ``sums``, ``_cum_<c>`` (inclusive
     running sum, nulls skipped) and ``_cnt_<c>`` (inclusive running count of
     non-null values). ``order`` must make the order total (add a unique
     tiebreak) for results to be deterministic. ``materialize`` checkpoints
     the ranked result, for callers that join it with itself; ``totals`` adds
-    the group's sum ``_tot_<c>``."""
+    the group's sum ``_tot_<c>``.
+
+    ``local`` adds native window functions of the group order that look back
+    at most ``halo`` rows, or with ``halo_of`` to the last row in which that
+    boolean column is true; ``rank=False`` leaves ``_rank`` and ``_n`` out
+    (only without ``sums``)."""
     keys = list(keys)
     s = sorted_frame(df, keys, order, partitions)
     # Non-null surrogate keys (value-or-default, is-null flag): plain equality on
@@ -88,6 +125,20 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
         s = (s.withColumn(f"_kv{i}", F.coalesce(F.col(k), _default(dtype)))
              .withColumn(f"_kz{i}", F.col(k).isNull()))
         nn += [f"_kv{i}", f"_kz{i}"]
+    out = _with_ghosts(s, halo, halo_of) if halo else s
+    w = Window.partitionBy(*nn, "_pid").orderBy("_pos")
+    if sums:
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        for c in sums:
+            own = F.when(~F.col("_ghost"), F.col(c)) if halo else F.col(c)
+            out = (out.withColumn(f"_lcum_{c}", F.coalesce(F.sum(own).over(upto), F.lit(0)))
+                   .withColumn(f"_lcnt_{c}", F.count(own).over(upto)))
+    for name, make in (local or {}).items():
+        out = out.withColumn(name, make(w))
+    if halo:
+        out = out.where(~F.col("_ghost")).drop("_ghost")
+    if not rank and not sums:
+        return out.drop("_pos", "_pid", *nn)
     aggs = [F.count(F.lit(1)).alias("_c"), F.min("_pos").alias("_p0")]
     for c in sums:
         aggs += [F.sum(c).alias(f"_s_{c}"), F.count(c).alias(f"_k_{c}")]
@@ -102,14 +153,7 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
                  F.coalesce(F.sum(f"_k_{c}").over(prev), F.lit(0)).alias(f"_ck_{c}")]
         if totals:
             cols.append(F.sum(f"_s_{c}").over(wk).alias(f"_tot_{c}"))
-    summ = summ.select(*cols)
-    out = s
-    if sums:
-        local = Window.partitionBy(*nn, "_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-        for c in sums:
-            out = (out.withColumn(f"_lcum_{c}", F.coalesce(F.sum(c).over(local), F.lit(0)))
-                   .withColumn(f"_lcnt_{c}", F.count(c).over(local)))
-    out = out.join(summ, [*nn, "_pid"])
+    out = out.join(summ.select(*cols), [*nn, "_pid"])
     out = out.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
     for c in sums:
         out = (out.withColumn(f"_cum_{c}", F.col(f"_lcum_{c}") + F.col(f"_cs_{c}"))

@@ -1,10 +1,11 @@
 """Window features over ordered groups (W1-W9), skew-safe.
 
-Per-entity lags and running means are built on ``ordered.with_rank``: every
-row knows its exact position in its group, so "the row k places earlier" is
-an equi-join on (key, rank) - a unique key, evenly partitioned however hot a
-group is - and running sums come from the partition-carried prefix sums.
-Whole-partition aggregates (W9) are plain grouped aggregates joined back.
+Per-entity lags, rolling and expanding means run on ``ordered.with_rank``:
+native window functions over (key, range partition), with the few rows
+before a partition carried into it, and prefix sums carried the same way.
+However hot a group is, its rows stay spread over many tasks, and no row is
+joined with another. Whole-partition aggregates (W9) are plain grouped
+aggregates joined back.
 """
 
 from __future__ import annotations
@@ -20,27 +21,13 @@ __all__ = ["lags", "expanding_mean_before", "rolling_mean_before", "gap_days", "
            "group_total", "time_series_features"]
 
 
-def _offset_table(r: DataFrame, keys: Sequence[str], need: Sequence[tuple[str, int, str]]) -> DataFrame:
-    """Values of earlier rows, one row per (key, target rank): every ranked row
-    is copied to the target ranks ``rank + k`` it serves and the copies are
-    pivoted by offset. ``need`` lists (source column, offset k, output name).
-    One shuffle serves every lag / window edge, joined back once."""
-    offsets = sorted({k for _, k, _ in need})
-    srcs = sorted({c for c, _, _ in need})
-    ex = (r.select(*keys, "_rank", *srcs, F.explode(F.array(*[F.lit(k) for k in offsets])).alias("_k"))
-          .withColumn("_t", F.col("_rank") + F.col("_k")))
-    return ex.groupBy(*keys, F.col("_t").alias("_rank")).agg(
-        *[F.max(F.when(F.col("_k") == k, F.col(c))).alias(name) for c, k, name in need])
-
-
 def lags(df: DataFrame, keys: Sequence[str], order: Sequence, col: str, ks: Sequence[int] = (1,),
          names: Sequence[str] | None = None) -> DataFrame:
     """``col`` from the row ``k`` places earlier in the group (NULL
-    when there is none); all offsets through one offset table and one join."""
+    when there is none), all offsets in one window."""
     names = list(names or [f"{col}_lag_{k}" for k in ks])
-    r = with_rank(df, keys, order, materialize=True)
-    piv = _offset_table(r.withColumn("_src", F.col(col)), keys, [("_src", k, n) for k, n in zip(ks, names)])
-    return null_safe_join(r, piv, keys, how="left", extra=["_rank"]).drop("_rank", "_n")
+    local = {n: (lambda w, k=k: F.lag(col, k).over(w)) for n, k in zip(names, ks)}
+    return with_rank(df, keys, order, rank=False, local=local, halo=max(ks))
 
 
 def expanding_mean_before(df: DataFrame, keys: Sequence[str], order: Sequence, col: str,
@@ -57,27 +44,20 @@ def expanding_mean_before(df: DataFrame, keys: Sequence[str], order: Sequence, c
             .drop("_rank", "_n", f"_cum_{col}", f"_cnt_{col}"))
 
 
+def _rolling(col: str, n: int):
+    """Mean of the ``n`` rows just before, NULL unless all ``n`` exist and are non-null."""
+    def over(w):
+        before = w.rowsBetween(-n, -1)
+        return F.when(F.count(col).over(before) == n, F.sum(col).over(before).cast("double") / F.lit(float(n)))
+    return over
+
+
 def rolling_mean_before(df: DataFrame, keys: Sequence[str], order: Sequence, col: str,
                         windows: Sequence[int] = (2, 4), names: Sequence[str] | None = None) -> DataFrame:
-    """Mean of the ``n`` rows just before, NULL unless all ``n`` exist and
-    are non-null, from the running sums at ranks r-1 and r-n-1 (one offset
-    table, one equi-join on (key, rank))."""
+    """Mean of the ``n`` rows just before, NULL unless all ``n`` exist
+    and are non-null."""
     names = list(names or [f"{col}_rolling_{n}" for n in windows])
-    r = with_rank(df, keys, order, sums=[col], materialize=True)
-    need = []
-    for n in windows:
-        need += [(f"_cum_{col}", 1, "_a_s"), (f"_cnt_{col}", 1, "_a_k"), (f"_cum_{col}", n + 1, f"_b_s{n}"),
-                 (f"_cnt_{col}", n + 1, f"_b_k{n}")]
-    need = list(dict.fromkeys(need))
-    out = null_safe_join(r, _offset_table(r, keys, need), keys, "left", extra=["_rank"])
-    for n, name in zip(windows, names):
-        first_full = F.col("_rank") == n            # window starts at the group's first row
-        b_s = F.when(first_full, F.lit(0)).otherwise(F.col(f"_b_s{n}"))
-        b_k = F.when(first_full, F.lit(0)).otherwise(F.col(f"_b_k{n}"))
-        ok = (F.col("_rank") >= n) & ((F.col("_a_k") - b_k) == n)
-        out = out.withColumn(name, F.when(ok, (F.col("_a_s") - b_s).cast("double") / F.lit(float(n))))
-    out = out.drop("_a_s", "_a_k", *[f"_b_s{n}" for n in windows], *[f"_b_k{n}" for n in windows])
-    return out.drop("_rank", "_n", f"_cum_{col}", f"_cnt_{col}")
+    return with_rank(df, keys, order, rank=False, local={name: _rolling(col, n) for n, name in zip(windows, names)}, halo=max(windows))
 
 
 def gap_days(df: DataFrame, keys: Sequence[str], order: Sequence, date_col: str, name: str = "days_since_prev") -> DataFrame:
@@ -109,28 +89,13 @@ def time_series_features(df: DataFrame, keys: Sequence[str], date_col: str, col:
     lags 1/2/4, rolling means of 2 and 4 earlier rows. Lags count rows, not
     weeks (a missing week is skipped), as in the reference.
 
-    One ordered scan serves every feature: the ranked frame (with running
-    sums) is computed once and the lags / window sums are equi-joins on
-    (key, rank) against a narrow projection of it."""
-    keys = list(keys)
-    r = with_rank(df, keys, [F.col(date_col)], sums=[col], materialize=True)
+    One ordered scan and one window serve every feature."""
+    local = {f"sales_{k}week_ago": (lambda w, k=k: F.lag(col, k).over(w)) for k in (1, 2, 4)}
+    local |= {f"mean_sales_{n}week": _rolling(col, n) for n in (2, 4)}
+    r = with_rank(df, list(keys), [F.col(date_col)], sums=[col], local=local, halo=4)
     own = F.when(F.col(col).isNotNull(), F.lit(1)).otherwise(F.lit(0))
     out = (r.withColumn("month", F.month(date_col)).withColumn("quarter", F.quarter(date_col))
            .withColumn("year", F.year(date_col))
            .withColumn("avg_sales_before", F.try_divide((F.col(f"_cum_{col}") - F.coalesce(F.col(col), F.lit(0))).cast("double"),
                                                         (F.col(f"_cnt_{col}") - own).cast("double"))))
-    # Every earlier-row value the block needs (lags 1, 2, 4; running sums at
-    # r-1, r-3, r-5) comes from ONE offset table, joined once.
-    need = [("_v", 1, "sales_1week_ago"), ("_v", 2, "sales_2week_ago"), ("_v", 4, "sales_4week_ago"),
-            ("_cs", 1, "_s1"), ("_ck", 1, "_k1"), ("_cs", 3, "_s3"), ("_ck", 3, "_k3"), ("_cs", 5, "_s5"), ("_ck", 5, "_k5")]
-    piv = _offset_table(r.select(*keys, "_rank", F.col(col).alias("_v"), F.col(f"_cum_{col}").alias("_cs"),
-                                 F.col(f"_cnt_{col}").alias("_ck")), keys, need)
-    out = null_safe_join(out, piv, keys, "left", extra=["_rank"])
-    for n, name in ((2, "mean_sales_2week"), (4, "mean_sales_4week")):
-        b = n + 1
-        bs = F.when(F.col("_rank") == n, F.lit(0)).otherwise(F.col(f"_s{b}"))
-        bk = F.when(F.col("_rank") == n, F.lit(0)).otherwise(F.col(f"_k{b}"))
-        ok = (F.col("_rank") >= n) & ((F.col("_k1") - bk) == n)
-        out = out.withColumn(name, F.when(ok, (F.col("_s1") - bs).cast("double") / F.lit(float(n))))
-    return out.drop("_rank", "_n", f"_cum_{col}", f"_cnt_{col}", *[f"_s{k}" for k in (1, 3, 5)],
-                    *[f"_k{k}" for k in (1, 3, 5)])
+    return out.drop("_rank", "_n", f"_cum_{col}", f"_cnt_{col}")
