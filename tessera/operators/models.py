@@ -2,9 +2,7 @@
 
 Every fit is a distributed Spark job; model selection runs fits in
 parallel through ``CrossValidator(parallelism=..., foldCol=...)``.
-k-NN (G9) has no ``pyspark.ml`` estimator: it is exact, with the training
-vectors shipped to tasks in size-checked broadcast chunks and per-row
-top-k merged by a bounded aggregate - never a cross join.
+k-NN (G9) has no ``pyspark.ml`` estimator; it is in ``neighbors``.
 """
 
 from __future__ import annotations
@@ -13,7 +11,6 @@ import random
 from typing import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
@@ -26,13 +23,12 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, IsotonicR
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.columns import sigmoid
 from tessera.operators.ordered import with_rank
 
 __all__ = ["baseline", "logistic", "multinomial", "one_vs_rest", "one_vs_one", "linear_svc", "linear_grid",
-           "huber", "decision_tree", "knn_regress", "random_forest", "gbt_regressor", "gbt_classifier",
+           "huber", "decision_tree", "random_forest", "gbt_regressor", "gbt_classifier",
            "kmeans_elbow", "cluster_feature", "grid_search", "random_param_maps", "isotonic_calibrate",
            "comparison_table", "importances", "permutation_importance", "score", "SparkMetricEvaluator", "backward_select", "linear_formula", "fixed_validation_search"]
 
@@ -134,59 +130,6 @@ def gbt_classifier(features="features", label="label", iters=50, depth=5, lr=0.1
     return GBTClassifier(featuresCol=features, labelCol=label, maxIter=iters, maxDepth=depth, stepSize=lr, seed=seed)
 
 
-def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, key: str, k: int = 5,
-                weights: str = "uniform", chunk_rows: int = 50_000, max_broadcast_mb: float = 128.0) -> DataFrame:
-    """G9 exact k-NN regression (Euclidean). The training set is cut into
-    chunks of at most ``chunk_rows`` rows whose size is checked before each
-    is broadcast; every test partition computes distances to a chunk with
-    numpy (Arrow batches) and keeps its k nearest; the per-chunk candidate
-    lists (k per chunk per row) are merged by a bounded aggregate."""
-    d = len(features)
-    if chunk_rows * (d + 1) * 8 / 1e6 > max_broadcast_mb:
-        chunk_rows = max(1, int(max_broadcast_mb * 1e6 / ((d + 1) * 8)))
-    n = train.count()
-    n_chunks = max(1, -(-n // chunk_rows))
-    ranked = with_rank(train.select(*[F.col(c).cast("double") for c in features], F.col(label).cast("double")),
-                       [], [F.xxhash64(*[F.col(c) for c in features], F.col(label))])
-    spark = train.sparkSession
-    schema = T.StructType([T.StructField(key, test.schema[key].dataType), T.StructField("d", T.DoubleType()),
-                           T.StructField("y", T.DoubleType())])
-    parts = []
-    for ci in range(n_chunks):
-        chunk = ranked.where(F.floor(F.col("_rank") / chunk_rows) == ci).select(*features, label).toPandas()
-        xs = chunk[list(features)].to_numpy(dtype=np.float64)
-        ys = chunk[label].to_numpy(dtype=np.float64)
-        bx, by = spark.sparkContext.broadcast(xs), spark.sparkContext.broadcast(ys)
-        kk = min(k, len(ys))
-
-        def near(batches, bx=bx, by=by, kk=kk, step=256):
-            X, Y = bx.value, by.value
-            x2 = (X * X).sum(1)
-            for pdf in batches:
-                q_all = pdf[list(features)].to_numpy(dtype=np.float64)
-                keys = pdf[key].to_numpy()
-                for s0 in range(0, len(q_all), step):          # bounded memory: step x chunk distances
-                    q = q_all[s0:s0 + step]
-                    d2 = np.maximum((q * q).sum(1)[:, None] + x2[None, :] - 2.0 * q @ X.T, 0.0)
-                    idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-                    rows = np.repeat(np.arange(len(q)), kk)
-                    yield pd.DataFrame({key: np.repeat(keys[s0:s0 + step], kk), "d": np.sqrt(d2[rows, idx.ravel()]),
-                                        "y": Y[idx.ravel()]})
-        parts.append(test.select(key, *features).mapInPandas(near, schema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    best = cand.groupBy(key).agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "y"))), 1, k).alias("nn"))
-    if weights == "distance":
-        w = F.aggregate(F.col("nn"), F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")),
-                        lambda acc, x: F.struct((acc["s"] + x["y"] / F.greatest(x["d"], F.lit(1e-12))).alias("s"),
-                                                (acc["w"] + 1 / F.greatest(x["d"], F.lit(1e-12))).alias("w")))
-        pred = w["s"] / w["w"]
-    else:
-        pred = F.aggregate(F.col("nn"), F.lit(0.0), lambda a, x: a + x["y"]) / F.size("nn")
-    return best.select(key, pred.alias("prediction"))
-
-
 def kmeans_elbow(df: DataFrame, features: str, ks: Sequence[int], seed: int = 42) -> tuple[DataFrame, dict]:
     """G12 standardise, fit k-means (k-means||) for each k; returns the
     (k, cost) table and the fitted models."""

@@ -1,7 +1,7 @@
 """Splits, folds and resampling.
 
-Random assignment uses a seeded ``xxhash64`` of a key, so it is stable
-across partitionings and re-runs (unlike ``randomSplit``). Stratified
+Random assignment uses a seeded MD5 of a key, so it is stable across
+partitionings, re-runs and engines (unlike ``randomSplit``). Stratified
 splits and folds need exact class shares: rows are ranked by hash inside
 their class with the skew-safe ordered scan (a class *is* a hot key - a
 window partitioned by the label would put half the data in one task).
@@ -17,14 +17,20 @@ from pyspark.sql import functions as F
 from tessera.operators.ordered import null_safe_join, quantiles, with_rank
 from tessera.operators.windows import dense_rank_values
 
-__all__ = ["hash_unit", "hash_split", "stratified_split", "time_split", "time_fraction_split", "group_split",
+__all__ = ["hash_rank", "hash_unit", "hash_split", "stratified_split", "time_split", "time_fraction_split", "group_split",
            "kfold_column", "stratified_kfold_column", "expanding_time_folds", "grouped_time_folds",
            "resample_ratio", "balanced_weights"]
 
 
+def hash_rank(cols: Sequence[str], seed: int = 42) -> Column:
+    """Deterministic number below 2^60 from the key columns, the same in every engine: the first
+    15 digits of the MD5 of seed and values, joined by ``|`` (nulls are skipped)."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c) for c in cols])), 1, 15), 16, 10).cast("bigint")
+
+
 def hash_unit(cols: Sequence[str], seed: int = 42) -> Column:
     """Deterministic pseudo-uniform value in [0, 1) from the key columns."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    return hash_rank(cols, seed) / F.lit(float(1 << 60))
 
 
 def hash_split(df: DataFrame, key: Sequence[str], fractions: Sequence[float], names: Sequence[str],
@@ -49,7 +55,7 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str], test_frac: f
                      col: str = "split") -> DataFrame:
     """M2 exact stratified split: within each class, the first
     ceil(test_frac * n_class) rows in hash order are 'test'."""
-    r = with_rank(df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in key])), [label],
+    r = with_rank(df.withColumn("_h", hash_rank(key, seed)), [label],
                   [F.col("_h"), *[F.col(c) for c in key]])
     return r.withColumn(col, F.when(F.col("_rank") < F.ceil(F.col("_n") * test_frac), F.lit("test"))
                         .otherwise(F.lit("train"))).drop("_rank", "_n", "_h")
@@ -84,13 +90,13 @@ def time_fraction_split(df: DataFrame, ts: str, fractions: Sequence[float], name
 
 def kfold_column(df: DataFrame, key: Sequence[str], k: int, seed: int = 42, col: str = "fold") -> DataFrame:
     """M6 fold id 0..k-1 from a seeded hash of the key."""
-    return df.withColumn(col, F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key]), F.lit(k)).cast("int"))
+    return df.withColumn(col, F.pmod(hash_rank(key, seed), F.lit(k)).cast("int"))
 
 
 def stratified_kfold_column(df: DataFrame, label: str, key: Sequence[str], k: int, seed: int = 42,
                             col: str = "fold") -> DataFrame:
     """M6 stratified folds: rank in hash order within the class, fold = rank mod k."""
-    r = with_rank(df.withColumn("_h", F.xxhash64(F.lit(seed), *[F.col(c) for c in key])), [label],
+    r = with_rank(df.withColumn("_h", hash_rank(key, seed)), [label],
                   [F.col("_h"), *[F.col(c) for c in key]])
     return r.withColumn(col, (F.col("_rank") % k).cast("int")).drop("_rank", "_n", "_h")
 
@@ -131,18 +137,19 @@ def resample_ratio(df: DataFrame, label: str, key: Sequence[str], over_ratio: fl
     minority / majority = ``under_ratio`` (imblearn semantics). Replicas
     come from ``explode(sequence)`` and the majority rows kept are the
     first ones in hash order (skew-safe rank): no row is sampled by
-    chance, the output size is exact."""
+    chance, the output size is exact. Without minority rows there is nothing
+    to replicate: every other row stays."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     n_min = counts.where(F.col(label) == minority).select("n").scalar()
     n_maj = counts.where(F.col(label) != minority).select("n").scalar()
     target_min = F.greatest(n_min, F.floor(F.lit(over_ratio) * n_maj))
     keep_maj = F.least(n_maj, F.floor(target_min / F.lit(under_ratio)))
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key])
+    h = hash_rank(key, seed)
     mino = with_rank(df.where(F.col(label) == minority).withColumn("_h", h), [], [F.col("_h"), *[F.col(c) for c in key]])
-    reps = F.floor(target_min / n_min) + F.when(F.col("_rank") < F.pmod(target_min, n_min), 1).otherwise(0)
+    reps = F.floor(target_min / n_min) + F.when(F.col("_rank") < F.try_mod(target_min.cast("bigint"), n_min), 1).otherwise(0)
     mino = mino.withColumn("_copy", F.explode(F.sequence(F.lit(1), reps.cast("int")))).drop("_copy", "_rank", "_n", "_h")
     maj = with_rank(df.where(F.col(label) != minority).withColumn("_h", h), [], [F.col("_h"), *[F.col(c) for c in key]])
-    maj = maj.where(F.col("_rank") < keep_maj).drop("_rank", "_n", "_h")
+    maj = maj.where((F.col("_rank") < keep_maj) | n_min.isNull()).drop("_rank", "_n", "_h")
     return mino.unionByName(maj)
 
 

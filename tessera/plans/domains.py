@@ -307,6 +307,11 @@ def doc_features(t: Tables) -> DataFrame:
                     F.col("quality").cast("double").alias("quality"), F.col("toxic").cast("double").alias("toxic")))
 
 
+def labelled(t: Tables) -> DataFrame:
+    """Ids and labels of the labelled documents."""
+    return t.documents.select("doc_id").join(t.labels, "doc_id").select("doc_id", F.col("quality").cast("double").alias("quality"), F.col("toxic").cast("double").alias("toxic"))
+
+
 DOC_NUMERIC = ["log_chars", "log_words", "n_lines", "digit_share", "upper_share"]
 
 

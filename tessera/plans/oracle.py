@@ -1103,6 +1103,66 @@ def _():
     return "SELECT 'train' AS split_a, 'test' AS split_b, CAST(0 AS BIGINT) AS shared_keys"
 
 
+def ranked_hash(key: str) -> str:
+    """``splits.hash_rank`` of one column."""
+    return f"CAST('0x' || substr(md5('42|' || {key}), 1, 15) AS BIGINT)"
+
+
+@oracle("hash_split_rows")
+def _():
+    u = f"({ranked_hash('o_orderkey')} / pow(2.0, 60))"
+    return f"SELECT o_orderkey, CASE WHEN {u} < 0.6 THEN 'train' WHEN {u} < 0.8 THEN 'val' ELSE 'test' END AS split FROM orders"
+
+
+@oracle("stratified_split_rows", dbl=("quality",))
+def _():
+    return f"""WITH {DOCS}, r AS (
+      SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {ranked_hash('doc_id')}, doc_id) AS place, count(*) OVER (PARTITION BY quality) AS n FROM dl)
+    SELECT doc_id, quality, CASE WHEN place <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+
+@oracle("stratified_fold_rows", dbl=("quality",), ints=("fold",))
+def _():
+    return f"""WITH {DOCS}
+    SELECT doc_id, quality, (row_number() OVER (PARTITION BY quality ORDER BY {ranked_hash('doc_id')}, doc_id) - 1) % 5 AS fold FROM dl"""
+
+
+@oracle("resample_rows", dbl=("toxic",), ints=("copies",))
+def _():
+    return f"""WITH {DOCS}, r AS (
+      SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic = 1 ORDER BY {ranked_hash('doc_id')}, doc_id) - 1 AS place,
+             count(*) FILTER (toxic = 1) OVER () AS few, count(*) FILTER (toxic <> 1) OVER () AS many FROM dl),
+    aim AS (SELECT *, CAST(greatest(few, floor(0.3 * many)) AS BIGINT) AS target FROM r)
+    SELECT doc_id, toxic, CASE WHEN toxic = 1 THEN target // few + (CASE WHEN place < target % few THEN 1 ELSE 0 END) ELSE 1 END AS copies
+    FROM aim WHERE toxic = 1 OR place < least(many, floor(target / 0.6))"""
+
+
+@oracle("row_split_leakage", ints=("shared_keys",))
+def _():
+    u = f"({ranked_hash('o_orderkey')} / pow(2.0, 60))"
+    return f"""WITH s AS (SELECT DISTINCT o_custkey, CASE WHEN {u} < 0.8 THEN 'train' WHEN {u} < 0.8 + 0.1 THEN 'val' ELSE 'test' END AS split FROM orders),
+    pairs(split_a, split_b) AS (VALUES ('train', 'val'), ('train', 'test'), ('val', 'test'))
+    SELECT split_a, split_b, (SELECT count(*) FROM s a JOIN s b ON a.o_custkey = b.o_custkey WHERE a.split = split_a AND b.split = split_b) AS shared_keys FROM pairs"""
+
+
+def neighbours(distance: str, weight: str) -> str:
+    u = f"({ranked_hash('vec_id')} / pow(2.0, 60))"
+    return f"""WITH e AS (SELECT vec_id, CAST(label AS DOUBLE) AS y, CAST(embedding AS DOUBLE[]) AS x, {u} < 0.8 AS train FROM embeddings),
+    near AS (SELECT t.vec_id, t.y AS own, r.y, {distance} AS d, row_number() OVER (PARTITION BY t.vec_id ORDER BY {distance}, r.vec_id) AS place
+             FROM e t JOIN e r ON r.train AND NOT t.train)
+    SELECT vec_id, own AS y, sum(y * {weight}) / sum({weight}) AS prediction FROM near WHERE place <= 5 GROUP BY vec_id, own"""
+
+
+@oracle("knn_regression", dbl=("y", "prediction"), digits=9)
+def _():
+    return neighbours("list_distance(t.x, r.x)", "1 / greatest(d, 1e-12)")
+
+
+@oracle("knn_manhattan", dbl=("y", "prediction"), digits=9)
+def _():
+    return neighbours("list_sum(list_transform(list_zip(t.x, r.x), lambda z: abs(z[1] - z[2])))", "1.0")
+
+
 @oracle("time_split", dates=("first_date", "last_date"))
 def _():
     return """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders),

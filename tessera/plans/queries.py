@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, models as G, prep, profile, reports as R, splits as M, windows
+from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, models as G, neighbors, prep, profile, reports as R, splits as M, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -615,6 +615,34 @@ def q_group_split_leakage(spark, base):
     return finish(profile.split_leakage({"train": o.where("split = 'train'"), "test": o.where("split = 'test'")}, "o_custkey"))
 
 
+@query("hash_split_rows")
+def q_hash_split_rows(spark, base):
+    return finish(M.hash_split(D.Tables(spark, base).orders, ["o_orderkey"], [0.6, 0.2, 0.2], ["train", "val", "test"]).select("o_orderkey", "split"))
+
+
+@query("stratified_split_rows")
+def q_stratified_split_rows(spark, base):
+    return finish(M.stratified_split(D.labelled(D.Tables(spark, base)), "quality", ["doc_id"], 0.2).select("doc_id", "quality", "split"))
+
+
+@query("stratified_fold_rows")
+def q_stratified_fold_rows(spark, base):
+    return finish(M.stratified_kfold_column(D.labelled(D.Tables(spark, base)), "quality", ["doc_id"], 5).select("doc_id", "quality", "fold"))
+
+
+@query("resample_rows")
+def q_resample_rows(spark, base):
+    r = M.resample_ratio(D.labelled(D.Tables(spark, base)), "toxic", ["doc_id"], over_ratio=0.3, under_ratio=0.6, minority=1)
+    return finish(r.groupBy("doc_id", "toxic").agg(F.count(F.lit(1)).alias("copies")))
+
+
+@query("row_split_leakage")
+def q_row_split_leakage(spark, base):
+    """A split by order, which parts a customer's orders: the leakage that a split by customer avoids."""
+    o = M.hash_split(D.Tables(spark, base).orders, ["o_orderkey"], [0.8, 0.1, 0.1], ["train", "val", "test"])
+    return finish(profile.split_leakage({n: o.where(F.col("split") == n) for n in ("train", "val", "test")}, "o_custkey"))
+
+
 @query("time_split")
 def q_time_split(spark, base):
     o = D.Tables(spark, base).orders.withColumn("d", F.col("o_orderdate").cast("date"))
@@ -754,13 +782,20 @@ def q_cluster_feature(spark, base):
     return finish(R.cluster_profile(both.withColumn("label_d", F.col("label").cast("double")), "cluster", ["label_d"]))
 
 
+def _neighbours(spark, base, weights, metric):
+    e = M.hash_split(D.Tables(spark, base).embeddings, ["vec_id"], [0.8, 0.2], ["train", "test"])
+    pred = neighbors.knn_regress(e.where("split = 'train'"), e.where("split = 'test'"), "embedding", "label", "vec_id", k=5, weights=weights, metric=metric)
+    return finish(pred.join(e.select("vec_id", F.col("label").cast("double").alias("y")), "vec_id"), digits=9)
+
+
 @query("knn_regression")
 def q_knn_regression(spark, base):
-    e = D.Tables(spark, base).embeddings.select("vec_id", "label", *[F.col("embedding").getItem(i).cast("double").alias(f"e{i}") for i in range(16)])
-    e = M.hash_split(e, ["vec_id"], [0.8, 0.2], ["train", "test"])
-    feats = [f"e{i}" for i in range(16)]
-    pred = G.knn_regress(e.where("split = 'train'"), e.where("split = 'test'"), feats, "label", "vec_id", k=5, weights="distance")
-    return finish(pred.join(e.select("vec_id", F.col("label").cast("double").alias("y")), "vec_id"))
+    return _neighbours(spark, base, "distance", "euclidean")
+
+
+@query("knn_manhattan")
+def q_knn_manhattan(spark, base):
+    return _neighbours(spark, base, "uniform", "manhattan")
 
 
 @query("multiclass_ovo")

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tessera.operators import metrics as K, models as G, prep, splits as M
+from tessera.operators import metrics as K, models as G, neighbors, prep, splits as M
 
 
 def _frame(spark, n=600, seed=1):
@@ -87,8 +87,8 @@ def test_knn_matches_numpy(spark):
     rng = np.random.default_rng(4)
     tr = pd.DataFrame(rng.normal(size=(300, 3)), columns=["a", "b", "c"]).assign(y=rng.normal(size=300), id=np.arange(300))
     te = pd.DataFrame(rng.normal(size=(40, 3)), columns=["a", "b", "c"]).assign(id=np.arange(1000, 1040))
-    got = G.knn_regress(spark.createDataFrame(tr), spark.createDataFrame(te), ["a", "b", "c"], "y", "id", k=4,
-                        chunk_rows=70).toPandas().set_index("id")["prediction"]
+    got = neighbors.knn_regress(spark.createDataFrame(tr), spark.createDataFrame(te), ["a", "b", "c"], "y", "id", k=4,
+                        block_rows=70).toPandas().set_index("id")["prediction"]
     X, Q = tr[["a", "b", "c"]].to_numpy(), te[["a", "b", "c"]].to_numpy()
     for i, q in enumerate(Q):
         d = np.sqrt(((X - q) ** 2).sum(1))
@@ -116,3 +116,31 @@ def test_one_vs_one_separable(spark):
     pred = G.one_vs_one(df, df, [0.0, 1.0, 2.0], make=lambda: G.LogisticRegression(maxIter=50))
     acc = pred.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
     assert acc > 0.95
+
+
+def test_knn_blocks_bounds_and_metrics(spark):
+    """A third of the training rows in one place, ties, cells and blocks of a few rows: the same as brute force."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(240, 6)), 1)
+    x[:80] = x[0]
+    q = np.vstack((x[:5], np.round(rng.normal(size=(40, 6)), 1), np.full((1, 6), 50.0)))
+    y = rng.normal(size=len(x))
+    train = spark.createDataFrame([(i, v.tolist(), float(t)) for i, (v, t) in enumerate(zip(x, y))] + [(999, None, 1.0)], "id long, x array<double>, y double")
+    test = spark.createDataFrame([(f"t{i}", v.tolist()) for i, v in enumerate(q)] + [("none", None)], "id string, x array<double>")
+    for metric in ("euclidean", "manhattan"):
+        got = {}
+        for r in neighbors.nearest(train, test, k=7, metric=metric, block_rows=16, pivots=9).collect():
+            got.setdefault(r.id, []).append((r.rank, r.near, round(r.d, 9)))
+        d = neighbors.distances(q, x, metric)
+        assert set(got) == {f"t{i}" for i in range(len(q))}
+        for i in range(len(q)):
+            want = sorted(range(len(x)), key=lambda j: (d[i, j], j))[:7]
+            assert sorted(got[f"t{i}"]) == [(n + 1, j, round(d[i, j], 9)) for n, j in enumerate(want)]
+    few = neighbors.nearest(train.limit(3), test, k=7).groupBy("id").count().select("count").distinct().collect()
+    assert [r[0] for r in few] == [3]
+    assert neighbors.nearest(train.limit(0), test).count() == 0 and neighbors.nearest(train, test.limit(0)).count() == 0
+
+
+def test_resample_without_minority(spark):
+    df = spark.range(20).withColumn("y", F.lit(0))
+    assert M.resample_ratio(df, "y", ["id"]).count() == 20
