@@ -1163,6 +1163,72 @@ def _():
     return neighbours("list_sum(list_transform(list_zip(t.x, r.x), lambda z: abs(z[1] - z[2])))", "1.0")
 
 
+@oracle("alpha_grid", dbl=("alpha", "intercept", "w_quantity", "w_discount", "mae", "mse", "r2"), digits=7)
+def _():
+    u = f"({ranked_hash('l_orderkey')} / pow(2.0, 60))"
+    return f"""WITH RECURSIVE d AS (SELECT l_quantity AS a, l_discount AS b, l_extendedprice AS y, {u} < 0.8 AS train FROM lineitem),
+    m AS (SELECT count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, covar_pop(a, a) AS aa, covar_pop(a, b) AS ab, covar_pop(b, b) AS bb,
+                 covar_pop(a, y) AS ay, covar_pop(b, y) AS yb FROM d WHERE train),
+    alphas(alpha) AS (SELECT unnest([0.1, 10, 1000, 100000]::DOUBLE[])),
+    penalty AS (SELECT 'ols' AS model, CAST(0 AS DOUBLE) AS alpha, CAST(0 AS DOUBLE) AS p UNION ALL SELECT 'ridge', alpha, alpha / n FROM alphas, m),
+    solved AS (SELECT model, alpha, (ay * (bb + p) - yb * ab) / ((aa + p) * (bb + p) - ab * ab) AS w1, (yb * (aa + p) - ay * ab) / ((aa + p) * (bb + p) - ab * ab) AS w2 FROM penalty, m),
+    descent(k, alpha, w1, w2) AS (
+      SELECT 0, CAST(alpha AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM alphas
+      UNION ALL
+      SELECT k + 1, alpha, v1, sign(yb - ab * v1) * greatest(abs(yb - ab * v1) - alpha, 0) / bb
+      FROM (SELECT k, alpha, ab, bb, yb, sign(ay - ab * w2) * greatest(abs(ay - ab * w2) - alpha, 0) / aa AS v1 FROM descent, m) WHERE k < 100),
+    fits AS (SELECT model, CAST(alpha AS DOUBLE) AS alpha, w1, w2 FROM solved UNION ALL SELECT 'lasso', alpha, w1, w2 FROM descent WHERE k = 100)
+    SELECT model, alpha, my - w1 * ma - w2 * mb AS intercept, w1 AS w_quantity, w2 AS w_discount, avg(abs(y - (my - w1 * ma - w2 * mb) - w1 * a - w2 * b)) AS mae,
+           avg(pow(y - (my - w1 * ma - w2 * mb) - w1 * a - w2 * b, 2)) AS mse, 1 - avg(pow(y - (my - w1 * ma - w2 * mb) - w1 * a - w2 * b, 2)) / var_pop(y) AS r2
+    FROM fits, m, d WHERE NOT train GROUP BY model, alpha, w1, w2, my, ma, mb"""
+
+
+LOGISTIC = "round(1.0 / (1.0 + exp(-(o_totalprice - 150000.0) / 50000.0)), 3)"
+TIME_FOLDS = """dated AS (SELECT o_orderkey, o_totalprice, o_orderstatus, dense_rank() OVER (ORDER BY CAST(o_orderdate AS DATE)) AS p FROM orders),
+    folded AS (SELECT *, (SELECT max(p) FROM dated) - (3 - fold) * 100 AS train_end FROM dated, (SELECT unnest(range(0, 3)) AS fold))"""
+
+
+@oracle("grouped_time_folds", ints=("fold",))
+def _():
+    return f"""WITH {TIME_FOLDS}
+    SELECT o_orderkey, fold, CASE WHEN p <= train_end THEN 'train' ELSE 'validation' END AS role FROM folded WHERE p <= train_end + 100"""
+
+
+def stacked() -> str:
+    return f"""{TIME_FOLDS},
+    stacked AS (SELECT fold, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS y, 'logistic' AS candidate, {LOGISTIC} AS score FROM folded WHERE p > train_end AND p <= train_end + 100
+      UNION ALL SELECT fold, CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END, 'price_digits', floor(o_totalprice) % 100 / 100 FROM folded WHERE p > train_end AND p <= train_end + 100)"""
+
+
+@oracle("fold_ranking_scores", dbl=("average_precision", "roc_auc"), ints=("fold",), digits=10)
+def _():
+    return f"""WITH {stacked()}, t AS (
+      SELECT candidate, fold, score, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg FROM stacked GROUP BY ALL),
+    c AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER g AS p, sum(neg) OVER g AS n
+          FROM t WINDOW g AS (PARTITION BY candidate, fold), w AS (PARTITION BY candidate, fold ORDER BY score DESC))
+    SELECT candidate, fold, sum(pos / p * (tp / (tp + fp))) AS average_precision, sum(neg * (tp - 0.5 * pos)) / any_value(p * n) AS roc_auc FROM c GROUP BY candidate, fold"""
+
+
+def threshold_counts() -> str:
+    return f"""{stacked()}, counts AS (
+      SELECT candidate, fold, count(*) FILTER (y = 0 AND score <= 0.4) AS tn, count(*) FILTER (y = 0 AND score > 0.4) AS fp,
+             count(*) FILTER (y = 1 AND score <= 0.4) AS fn, count(*) FILTER (y = 1 AND score > 0.4) AS tp FROM stacked GROUP BY candidate, fold)"""
+
+
+@oracle("fold_threshold_scores", dbl=("missed_rate", "revenue", "revenue_percent"), ints=("fold",), digits=10)
+def _():
+    return f"""WITH {threshold_counts()}, money AS (
+      SELECT *, (tn + fp) * 64500 - (tp + fn) * 64500 AS base, tp * 45000 + tn * 64500 - fp * 7000 - fn * 64500 AS gained FROM counts)
+    SELECT candidate, fold, fn / (fn + tp) AS missed_rate, gained - base AS revenue, (gained - base) / base * 100 AS revenue_percent FROM money"""
+
+
+@oracle("scorer_ranking", dbl=("mean_score", "std_score"), ints=("place",), digits=10)
+def _():
+    return f"""WITH {threshold_counts()}, s AS (
+      SELECT candidate, avg(fn / (fn + tp)) AS mean_score, stddev_pop(fn / (fn + tp)) AS std_score FROM counts GROUP BY candidate)
+    SELECT *, row_number() OVER (ORDER BY mean_score, candidate) AS place FROM s"""
+
+
 @oracle("time_split", dates=("first_date", "last_date"))
 def _():
     return """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders),

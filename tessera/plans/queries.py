@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import round_doubles
 from tessera.plans import domains as D
-from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, models as G, neighbors, prep, profile, reports as R, splits as M, windows
+from tessera.operators import clean, experiments as X, features, joins, marts, metrics as K, linear, models as G, neighbors, prep, profile, reports as R, selection, splits as M, windows
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -837,6 +837,63 @@ def q_regression_models(spark, base):
     return finish(G.comparison_table(rows))
 
 
+@query("alpha_grid")
+def q_alpha_grid(spark, base):
+    li = D.Tables(spark, base).lineitem.select("l_orderkey", "l_quantity", "l_discount", "l_extendedprice")
+    li = M.hash_split(li, ["l_orderkey"], [0.8, 0.2], ["train", "test"])
+    feats = ["l_quantity", "l_discount"]
+    fits = linear.alpha_grid(li.where("split = 'train'"), feats, "l_extendedprice", (0.1, 10.0, 1000.0, 100000.0))
+    out = linear.alpha_grid_scores(fits, li.where("split = 'test'"), feats, "l_extendedprice")
+    return finish(out.select("model", "alpha", "intercept", F.col("weights")[0].alias("w_quantity"), F.col("weights")[1].alias("w_discount"), "mae", "mse", "r2"), digits=7)
+
+
+def _stacked(spark, base):
+    """Two candidate scores of the cancelled orders, over grouped time folds."""
+    t = D.Tables(spark, base)
+    o = D.scored_orders(t).drop("fold").join(t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"), "o_totalprice"), "o_orderkey")
+    o = selection.grouped_time_folds(o, "d", test_periods=100, n_splits=3).where("role = 'validation'")
+    both = F.array(F.struct(F.lit("logistic").alias("candidate"), F.col("p").alias("score")),
+                   F.struct(F.lit("price_digits").alias("candidate"), (F.pmod(F.floor("o_totalprice"), F.lit(100)) / 100).alias("score")))
+    return o.select("fold", "y", F.inline(both))
+
+
+@query("fold_ranking_scores")
+def q_fold_ranking_scores(spark, base):
+    return finish(selection.ranking_scores(_stacked(spark, base)), digits=10)
+
+
+@query("fold_threshold_scores")
+def q_fold_threshold_scores(spark, base):
+    return finish(selection.threshold_scores(_stacked(spark, base), 0.4), digits=10)
+
+
+@query("scorer_ranking")
+def q_scorer_ranking(spark, base):
+    return finish(selection.summarise(selection.threshold_scores(_stacked(spark, base), 0.4), "missed_rate", larger_better=False), digits=10)
+
+
+@query("grouped_time_folds")
+def q_grouped_time_folds(spark, base):
+    o = D.Tables(spark, base).orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    return finish(selection.grouped_time_folds(o, "d", test_periods=100, n_splits=3).select("o_orderkey", "fold", "role"))
+
+
+@query("fixed_validation_search")
+def q_fixed_validation_search(spark, base):
+    pair = _doc_split(spark, base)
+    grid = {f"reg={r}, l1={e}": G.logistic(label="quality", reg=r, elastic=e, maxIter=30) for r in (0.01, 0.1) for e in (0.0, 1.0)}
+    return finish(selection.search(grid, [pair], "quality", "average_precision"))
+
+
+@query("backward_selection")
+def q_backward_selection(spark, base):
+    d = D.doc_features(D.Tables(spark, base))
+    noise = [f"noise_{i}" for i in range(4)]
+    d = d.select("*", *[M.hash_unit(["doc_id"], seed=100 + i).alias(c) for i, c in enumerate(noise)])
+    d = M.stratified_kfold_column(d, "quality", ["doc_id"], 2)
+    return finish(selection.backward_select(d, [*D.DOC_NUMERIC, *noise], "quality", "fold", keep=4))
+
+
 @query("feature_importance")
 def q_feature_importance(spark, base):
     t = D.Tables(spark, base)
