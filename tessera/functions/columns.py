@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
-    "col_of", "ratio", "pct_text", "flag", "band", "season", "weekday0", "weekday_name",
+    "col_of", "ratio", "pct_text", "flag", "band", "season", "weekday_name",
     "snake_case", "normal_cdf", "z_quantile", "word_pair_flag", "clip_low", "rescale_over",
     "out_of_domain_null", "sigmoid", "epoch_seconds", "round_doubles", "presence_flag", "sig_round",
 ]
@@ -70,11 +70,6 @@ def season(month_col) -> Column:
     return expr
 
 
-def weekday0(c) -> Column:
-    """Monday = 0 ... Sunday = 6 (pandas ``dayofweek``)."""
-    return F.weekday(col_of(c))
-
-
 def weekday_name(c) -> Column:
     return F.date_format(col_of(c), "EEEE")
 

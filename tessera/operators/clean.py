@@ -19,7 +19,7 @@ from tessera.operators.ordered import null_safe_join, quantiles
 __all__ = [
     "snake_case_columns", "to_numeric", "sentinel_to_null", "cast_columns", "fill_const", "fill_max",
     "fill_group_mean", "fill_mean", "fill_median_from", "recode", "normalize_text", "dedup_first", "drop_null",
-    "trim_percentile", "above_percentile", "iqr_bounds", "iqr_outliers", "row_share", "currency_convert",
+    "trim_percentile", "iqr_bounds", "iqr_outliers", "row_share", "currency_convert",
     "calendar_parts", "parse_packed_hour", "localize", "relative_window", "grade",
 ]
 
@@ -123,12 +123,6 @@ def trim_percentile(df: DataFrame, col: str, p: float) -> DataFrame:
     return df.where(F.col(col) <= cut)
 
 
-def above_percentile(df: DataFrame, col: str, p: float) -> DataFrame:
-    """P19 rows strictly above the exact p-quantile."""
-    cut = quantiles(df, col, [p], names=["q"]).select("q").scalar()
-    return df.where(F.col(col) > cut)
-
-
 def iqr_bounds(df: DataFrame, col: str, keys: Sequence[str] = ()) -> DataFrame:
     """Quartiles and Tukey fences (Q1 - 1.5 IQR, Q3 + 1.5 IQR) per group."""
     q = quantiles(df, col, [0.25, 0.5, 0.75], keys=keys, names=["q1", "median", "q3"])

@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import epoch_seconds, ratio
+from tessera.operators.windows import lags
 
 __all__ = ["event_features", "order_features", "session_features", "recency", "batch_features",
-           "pivot_counts", "sessions_per_active_day"]
+           "pivot_counts", "sessions_per_active_day", "daypart", "DAYPARTS"]
 
 
 def _in_window(ts: str, run_date: Column, days: int) -> Column:
@@ -105,6 +106,21 @@ def pivot_counts(df: DataFrame, key: str, pivot_col: str, values: Sequence[str],
     return out.select(key, *[F.col(f"`{v}`").alias(f"{prefix}{v}") for v in values])
 
 
-def sessions_per_active_day(df: DataFrame, key: str, session_col: str, date_col: str) -> DataFrame:
-    """A41 sessions per active day per key (distinct sessions / distinct days)."""
-    return df.groupBy(key).agg(ratio(F.count_distinct(session_col), F.count_distinct(date_col)).alias("sessions_per_day"))
+def sessions_per_active_day(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str] = (), idle_minutes: int = 30) -> DataFrame:
+    """A41 mean number of sessions on the days a key is active. A session ends
+    after ``idle_minutes`` without an event and counts on every day it
+    touches. A row begins a session on its day when the key's row before it
+    is that long ago or on another day, so one lag over the ordered scan is
+    all that is needed: a hot key stays spread over many tasks."""
+    out = lags(df.select(key, F.col(ts).cast("timestamp").alias("_ts"), *tiebreak), [key], [F.col("_ts"), *tiebreak], "_ts", names=["_before"])
+    new = F.col("_before").isNull() | (F.unix_micros("_ts") - F.unix_micros("_before") >= idle_minutes * 60_000_000) | (F.to_date("_ts") != F.to_date("_before"))
+    return out.groupBy(key).agg(ratio(F.count_if(new), F.count_distinct(F.to_date("_ts"))).alias("sessions_per_day"))
+
+
+def daypart(ts: Column) -> Column:
+    """night (0-5), morning (6-11), day (12-17) or evening (18-23 h)."""
+    h = F.hour(ts)
+    return F.when(h < 6, "night").when(h < 12, "morning").when(h < 18, "day").when(h < 24, "evening")
+
+
+DAYPARTS = ("night", "morning", "day", "evening")

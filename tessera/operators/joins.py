@@ -15,8 +15,8 @@ from pyspark.sql.types import StructType
 
 from tessera.operators.ordered import with_rank
 
-__all__ = ["asof_join", "interval_label", "first_event_attrs", "share_within", "semi_top_k",
-           "join_suffixed", "with_scalars", "key_overlap_join"]
+__all__ = ["asof_join", "interval_label", "first_event_attrs", "semi_top_k",
+           "join_suffixed", "key_overlap_join"]
 
 
 def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], left_on: str, right_on: str,
@@ -92,20 +92,6 @@ def first_event_attrs(df: DataFrame, key: str, order: Sequence[str], attrs: Sequ
     return df.groupBy(key).agg(best.alias("_f")).select(key, *[F.col(f"_f.{a}").alias(f"{prefix}{a}") for a in attrs])
 
 
-def share_within(df: DataFrame, dims: Sequence[str], within: Sequence[str], count_name: str = "cnt",
-                 share_name: str = "share") -> DataFrame:
-    """J9/A26 count per ``dims`` and its share of the total of ``within``
-    (a sub-list of dims; empty = grand total). The totals are an aggregate
-    of the (small) counted table, joined back."""
-    counted = df.groupBy(*dims).agg(F.count(F.lit(1)).alias(count_name))
-    if within:
-        tot = counted.groupBy(*within).agg(F.sum(count_name).alias("_tot"))
-        out = counted.join(tot, list(within))
-    else:
-        out = counted.withColumn("_tot", counted.agg(F.sum(count_name)).scalar())
-    return out.withColumn(share_name, F.col(count_name) / F.col("_tot")).drop("_tot")
-
-
 def semi_top_k(df: DataFrame, ranked_keys: DataFrame, key: str) -> DataFrame:
     """J5 keep rows whose key is in a top-k list (at most k rows -> broadcast)."""
     return df.join(F.broadcast(ranked_keys.select(key)), key, "left_semi")
@@ -121,14 +107,6 @@ def join_suffixed(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     return l.join(r, on, how)
 
 
-def with_scalars(df: DataFrame, **aggregates: DataFrame) -> DataFrame:
-    """J11 attach one-value aggregates as columns via scalar subqueries
-    (evaluated once; no join)."""
-    for name, one in aggregates.items():
-        df = df.withColumn(name, one.scalar())
-    return df
-
-
 def key_overlap_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Q9/U3 one row: distinct keys in a, in b, and in both."""
     ka = a.select(key).distinct()

@@ -15,19 +15,12 @@ from tessera.functions.columns import band, epoch_seconds, flag, pct_text, ratio
 from tessera.operators.ordered import quantiles
 
 __all__ = [
-    "top_k_by_count", "customer_mart", "order_fact_aggregates", "order_segments", "top_customers", "region_report",
+    "customer_mart", "order_fact_aggregates", "order_segments", "top_customers", "region_report",
     "first_month_cohort", "payer_share", "payer_share_by", "global_stats", "zero_share",
     "item_popularity", "group_activity",
 ]
 
 
-def top_k_by_count(df: DataFrame, key: str, k: int, count_col: str | None = None) -> DataFrame:
-    """Keys ranked by row count (ties broken by key), first ``k``. The result
-    has at most ``k`` rows, so it is safe to broadcast."""
-    counted = df.groupBy(key).agg(F.count(F.col(count_col) if count_col else F.lit(1)).alias("_n"))
-    return counted.orderBy(F.col("_n").desc(), F.col(key).asc()).limit(k).select(key)
-
-
 # Order-count segments of the marketplace report (label, lower bound inclusive, upper exclusive).
 ORDER_SEGMENTS = [(None, 2, "1 order"), (2, 6, "2-5 orders"), (6, 11, "6-10 orders"), (11, None, "11 and more orders")]
 

@@ -15,22 +15,22 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import (BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator,
+from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, IsotonicRegression, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import sigmoid
 from tessera.operators.ordered import with_rank
 
-__all__ = ["baseline", "logistic", "multinomial", "one_vs_rest", "one_vs_one", "linear_svc", "linear_grid",
+__all__ = ["baseline", "logistic", "multinomial", "one_vs_rest", "one_vs_one", "linear_svc",
            "huber", "decision_tree", "random_forest", "gbt_regressor", "gbt_classifier",
            "kmeans_elbow", "cluster_feature", "grid_search", "random_param_maps", "isotonic_calibrate",
-           "comparison_table", "importances", "permutation_importance", "score", "SparkMetricEvaluator", "backward_select", "linear_formula", "fixed_validation_search"]
+           "comparison_table", "importances", "permutation_importance", "shuffled_rank", "score", "linear_formula"]
 
 
 def baseline(train: DataFrame, others: Sequence[DataFrame], label: str, kind: str = "mean",
@@ -97,13 +97,6 @@ def linear_svc(features="features", label="label", weight=None, reg=0.0) -> Line
     return m.setWeightCol(weight) if weight else m
 
 
-def linear_grid(features="features", label="label", alphas=(0.001, 0.01, 0.1, 1.0)) -> tuple[LinearRegression, list]:
-    """G6 OLS, Lasso (L1) and Ridge (L2) over an alpha grid."""
-    lr = LinearRegression(featuresCol=features, labelCol=label)
-    grid = (ParamGridBuilder().addGrid(lr.regParam, [0.0, *alphas]).addGrid(lr.elasticNetParam, [0.0, 1.0]).build())
-    return lr, grid
-
-
 def huber(features="features", label="label", epsilon=1.35, reg=0.0) -> LinearRegression:
     """G7 robust linear regression with Huber loss."""
     return LinearRegression(featuresCol=features, labelCol=label, loss="huber", epsilon=epsilon, regParam=reg)
@@ -152,20 +145,6 @@ def cluster_feature(train: DataFrame, others: Sequence[DataFrame], features: str
     return [pipe.transform(d).drop("_sc") for d in [train, *others]]
 
 
-class SparkMetricEvaluator(Evaluator):
-    """F4 custom scorer: any one-aggregate metric over (label, prediction)."""
-
-    def __init__(self, fn: Callable[[DataFrame], float], larger_better: bool = True):
-        super().__init__()
-        self.fn, self.larger = fn, larger_better
-
-    def _evaluate(self, dataset):
-        return float(self.fn(dataset))
-
-    def isLargerBetter(self):
-        return self.larger
-
-
 def grid_search(estimator, grid, evaluator, df: DataFrame, fold_col: str | None = None, folds: int = 3,
                 parallelism: int = 4, seed: int = 42):
     """G14 cross-validated grid search; returns (best model, ranked results)."""
@@ -182,20 +161,6 @@ def grid_search(estimator, grid, evaluator, df: DataFrame, fold_col: str | None
     return model.bestModel, res.orderBy(order, F.col("params"))
 
 
-def fixed_validation_search(estimator, grid, evaluator, train: DataFrame, val: DataFrame):
-    """M9 grid search scored on one explicit validation set (fit on train,
-    evaluate on val for every ParamMap); returns (best model, ranked table)."""
-    rows, models = [], []
-    for pm in grid:
-        m = estimator.fit(train, pm)
-        models.append(m)
-        rows.append((", ".join(f"{p.name}={v}" for p, v in pm.items()), float(evaluator.evaluate(m.transform(val)))))
-    best = max(range(len(rows)), key=lambda i: rows[i][1] if evaluator.isLargerBetter() else -rows[i][1])
-    res = train.sparkSession.createDataFrame(rows, "params string, score double")
-    order = F.col("score").desc() if evaluator.isLargerBetter() else F.col("score").asc()
-    return models[best], res.orderBy(order, F.col("params"))
-
-
 def random_param_maps(estimator, space: dict, n_trials: int, seed: int = 42) -> list:
     """G15 seeded random search: sample ``n_trials`` ParamMaps from bounded
     ranges: ('log', lo, hi), ('int', lo, hi), ('float', lo, hi) or a list."""
@@ -242,43 +207,37 @@ def importances(model, names: Sequence[str], spark) -> DataFrame:
     return spark.createDataFrame([(n, float(v)) for n, v in zip(names, vals)], "feature string, importance double")
 
 
-def permutation_importance(model, df: DataFrame, features: Sequence[str], key: str, metric: Callable[[DataFrame], float],
-                           assemble: Callable[[DataFrame], DataFrame], repeats: int = 10, seed: int = 42) -> DataFrame:
-    """G19 drop in score when one column is permuted. The permutation pairs
-    row ranks (by key) with ranks of a seeded hash - an equi-join on a
-    unique rank, so it stays balanced at any scale."""
-    base = metric(model.transform(assemble(df)))
-    ranked = with_rank(df, [], [F.col(key)]).withColumnRenamed("_rank", "_r1").drop("_n")
-    drops: dict[str, list[float]] = {c: [] for c in features}
-    for r in range(repeats):
-        # one seeded permutation per repeat: row rank i takes the feature values of hash-rank i
-        perm = with_rank(df.select(key, *[F.col(c).alias(f"_v_{c}") for c in features],
-                                   F.xxhash64(F.lit(seed + r), F.col(key)).alias("_h")),
-                         [], [F.col("_h"), F.col(key)]).select(F.col("_rank").alias("_r1"), *[f"_v_{c}" for c in features])
-        joined = ranked.join(perm, "_r1").checkpoint()
-        for c in features:
-            shuffled = joined.withColumn(c, F.col(f"_v_{c}")).drop("_r1", *[f"_v_{x}" for x in features])
-            drops[c].append(base - metric(model.transform(assemble(shuffled))))
-    rows = [(c, float(np.mean(v)), float(np.std(v))) for c, v in drops.items()]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
+def shuffled_rank(rank: Column, n: Column, seed: Column, rounds: int = 24) -> Column:
+    """A keyed bijection of 0 .. n-1: swap-or-not rounds, in each of which a place and
+    its mirror image about a keyed point change over or not, as a hash of the pair says."""
+    keys = F.array(*[F.struct(F.lit(r).alias("r"), F.pmod(F.xxhash64(seed, F.lit(r)), n).alias("k")) for r in range(rounds)])
+
+    def step(x: Column, e: Column) -> Column:
+        other = F.pmod(e["k"] - x, n)
+        return F.when(F.pmod(F.xxhash64(seed, e["r"], F.greatest(x, other)), F.lit(2)) == 1, other).otherwise(x)
 
+    return F.aggregate(keys, rank.cast("bigint"), step)
 
-def backward_select(df: DataFrame, features: Sequence[str], label: str, fit_score: Callable[[DataFrame, list], float],
-                    min_features: int = 1) -> DataFrame:
-    """M16 backward elimination: repeatedly drop the feature whose removal
-    gives the best score (each candidate scored by a Spark fit), stop when
-    no removal improves the score. Returns the step table."""
-    current = list(features)
-    best = fit_score(df, current)
-    steps = [(0, ",".join(current), float(best))]
-    while len(current) > min_features:
-        trials = [(fit_score(df, [c for c in current if c != f]), f) for f in current]
-        sc, drop = max(trials)
-        if sc < best:
-            break
-        best, current = sc, [c for c in current if c != drop]
-        steps.append((len(steps), ",".join(current), float(best)))
-    return df.sparkSession.createDataFrame(steps, "step int, features string, score double")
+
+def permutation_importance(model, df: DataFrame, features: Sequence[str], key: str, metric: Column,
+                           assemble: Callable[[DataFrame], DataFrame], repeats: int = 10, seed: int = 42) -> DataFrame:
+    """G19 drop in ``metric`` (an aggregate of the prediction, larger is better)
+    when one column is permuted. Rows are ranked once, and a row's shuffled
+    values are those of the rank a keyed bijection gives it, one for each
+    repeat: all repeats are one equi-join with the narrow (rank, values) table,
+    whose key is unique, and each column is scored for all repeats at once."""
+    base = model.transform(assemble(df)).agg(metric).first()[0]
+    ranked = with_rank(df, [], [F.col(key)], materialize=True)
+    values = ranked.select(F.col("_rank").alias("_from"), *[F.col(c).alias(f"_v_{c}") for c in features])
+    turns = ranked.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    turns = turns.withColumn("_from", shuffled_rank(F.col("_rank"), F.col("_n"), F.lit(seed) + F.col("_repeat")))
+    joined = turns.join(values, "_from").drop("_from", "_rank", "_n").checkpoint()
+    rows = []
+    for c in features:
+        swapped = joined.withColumn(c, F.col(f"_v_{c}")).drop(*[f"_v_{x}" for x in features])
+        drops = [base - r.m for r in model.transform(assemble(swapped)).groupBy("_repeat").agg(metric.alias("m")).collect()]  # a row a repeat
+        rows.append((c, float(np.mean(drops)), float(np.std(drops))))
+    return df.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
 
 
 def linear_formula(df: DataFrame, coefs: dict, intercept: float, means: dict | None = None,

@@ -18,7 +18,7 @@ from tessera.operators.ordered import null_safe_join, quantiles, with_rank
 from tessera.operators.windows import dense_rank_values
 
 __all__ = ["hash_rank", "hash_unit", "hash_split", "stratified_split", "time_split", "time_fraction_split", "group_split",
-           "kfold_column", "stratified_kfold_column", "expanding_time_folds", "grouped_time_folds",
+           "stratified_kfold_column", "expanding_time_folds",
            "resample_ratio", "balanced_weights"]
 
 
@@ -88,11 +88,6 @@ def time_fraction_split(df: DataFrame, ts: str, fractions: Sequence[float], name
     return df.withColumn(col, expr.otherwise(F.lit(names[-1])))
 
 
-def kfold_column(df: DataFrame, key: Sequence[str], k: int, seed: int = 42, col: str = "fold") -> DataFrame:
-    """M6 fold id 0..k-1 from a seeded hash of the key."""
-    return df.withColumn(col, F.pmod(hash_rank(key, seed), F.lit(k)).cast("int"))
-
-
 def stratified_kfold_column(df: DataFrame, label: str, key: Sequence[str], k: int, seed: int = 42,
                             col: str = "fold") -> DataFrame:
     """M6 stratified folds: rank in hash order within the class, fold = rank mod k."""
@@ -117,19 +112,6 @@ def expanding_time_folds(df: DataFrame, date: str, n_splits: int) -> list[tuple[
     return folds
 
 
-def grouped_time_folds(df: DataFrame, date: str, test_periods: int = 3, n_splits: int = 3) -> list[tuple[DataFrame, DataFrame]]:
-    """M8 expanding folds whose test block is ``test_periods`` distinct dates."""
-    ranked = dense_rank_values(df, date, "_period")
-    n = ranked.agg(F.max("_period")).first()[0]
-    folds = []
-    for i in range(n_splits):
-        end_train = n - (n_splits - i) * test_periods
-        tr = ranked.where(F.col("_period") <= end_train).drop("_period")
-        te = ranked.where((F.col("_period") > end_train) & (F.col("_period") <= end_train + test_periods)).drop("_period")
-        folds.append((tr, te))
-    return folds
-
-
 def resample_ratio(df: DataFrame, label: str, key: Sequence[str], over_ratio: float = 0.3, under_ratio: float = 0.6,
                    seed: int = 42, minority: int = 1) -> DataFrame:
     """M10 random over-sampling of the minority class to ``over_ratio`` of

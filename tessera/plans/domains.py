@@ -63,11 +63,6 @@ def market_users(t: Tables) -> DataFrame:
                                      F.col("r_name").alias("region"))
 
 
-def market_items(t: Tables) -> DataFrame:
-    return t.lineitem.select(F.col("l_orderkey").alias("order_id"), money(F.col("l_extendedprice")).alias("price"),
-                             (money(F.col("l_extendedprice")) * rate(F.col("l_tax"))).alias("delivery_cost"))
-
-
 def market_payments(t: Tables) -> DataFrame:
     """One payment per line: sequence = line number, kind from the return flag,
     installments from the quantity."""

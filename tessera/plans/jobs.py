@@ -53,8 +53,7 @@ def forecast_scoring(t: D.Tables, plan_weeks: int = 8, out_path: str | None = No
     hist = panel.where(~F.col("is_plan")).dropna()
     plan = panel.where(F.col("is_plan")).fillna(0.0, subset=[c for c in feats if c not in ("store", "dept")])
     val_start = hist.agg(F.date_sub(F.max("date"), 7 * 26)).scalar()
-    drift = drifting_columns(hist.where(F.col("date") < val_start), hist.where(F.col("date") >= val_start),
-                             ["avg_sales_before", "sales_1week_ago", "mean_sales_4week"])
+    drift = drifting_columns(hist.where(F.col("date") < val_start), hist.where(F.col("date") >= val_start), feats[5:])
     use = [c for c in feats if c not in drift]
     asm = VectorAssembler(inputCols=use, outputCol="features", handleInvalid="keep")
     model = models.gbt_regressor(label="weekly_sales", iters=30, depth=5).fit(asm.transform(hist))
@@ -66,9 +65,9 @@ def forecast_scoring(t: D.Tables, plan_weeks: int = 8, out_path: str | None = No
 
 
 def batch_features_job(t: D.Tables, run_date: str = D.RUN_DATE, out_path: str | None = None) -> DataFrame:
-    """Point-in-time customer features -> pre-write checks (non-empty,
-    unique key) -> run-date partition overwrite -> read back and check.
-    Returns the stored partition."""
+    """Point-in-time customer features -> staging write -> checks (not
+    empty, unique key) -> published as the run-date partition -> read back
+    and check. The features are computed once. Returns the stored partition."""
     spark = t.spark
     out = out_path or f"{checkpoint_dir(spark).rstrip('/')}/batch_features-{uuid.uuid4().hex[:8]}"
     cust = t.customer.select(F.col("c_custkey").alias("customer_id"))
@@ -76,8 +75,7 @@ def batch_features_job(t: D.Tables, run_date: str = D.RUN_DATE, out_path: str |
                                     run_date=run_date, ev_ts="timestamp", ev_type="event_type", ev_product="product_id",
                                     session_key="session_id", s_start="start_time", s_end="end_time",
                                     o_ts="order_time", o_amount="total_usd").drop("run_date")
-    io.check_batch(feats, ["customer_id"])
-    io.write_partitioned(feats, out, run_date)
+    io.publish(feats, out, ["customer_id"], partition=f"run_date={run_date}")
     io.check_written(spark, out, run_date)
     return spark.read.parquet(out).where(F.col("run_date") == F.lit(run_date).cast("date"))
 
@@ -119,13 +117,14 @@ def booking_table(t: D.Tables) -> DataFrame:
 
 def visitor_features(t: D.Tables) -> DataFrame:
     """First event per user (P14), user x event-type counts (A40),
-    row shares (P30), sessions per active day (A41), customer attributes (J3)."""
+    row shares (P30), user x daypart counts (A40), sessions per active day
+    (A41, 30 idle minutes), customer attributes (J3)."""
     ev = t.events
     types = ["view", "click", "purchase", "signup", "error"]
     first = clean.dedup_first(ev.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"]) \
         .select("user_id", F.col("event_type").alias("first_event_type"))
     piv = clean.row_share(features.pivot_counts(ev, "user_id", "event_type", types, prefix="n_"), [f"n_{v}" for v in types])
-    spd = features.sessions_per_active_day(ev.withColumn("d", F.col("ts").cast("date"))
-                                           .withColumn("sid", F.col("user_id") * 100000 + F.unix_date("d")), "user_id", "sid", "d")
+    parts = features.pivot_counts(ev.withColumn("daypart", features.daypart(F.col("ts"))), "user_id", "daypart", features.DAYPARTS, prefix="at_")
+    spd = features.sessions_per_active_day(ev, "user_id", "ts", ["event_id"])
     cust = D.customer_region(t).select(F.col("c_custkey").alias("user_id"), "c_mktsegment", "r_name")
-    return piv.join(first, "user_id").join(spd, "user_id").join(cust, "user_id", "left")
+    return piv.join(first, "user_id").join(parts, "user_id").join(spd, "user_id").join(cust, "user_id", "left")

@@ -1018,10 +1018,10 @@ def _():
     WHERE CAST(weekly_sales AS DOUBLE) > (SELECT quantile_cont(CAST(weekly_sales AS DOUBLE), 0.99) FROM panel) GROUP BY store"""
 
 
-@oracle("cluster_profile", dbl=("mean_e0", "mean_e1", "mean_e2"), ints=("label",))
+@oracle("cluster_profile", dbl=tuple(f"mean_e{i}" for i in range(64)), ints=("label",))
 def _():
-    return """SELECT label, count(*) AS n, avg(CAST(embedding[1] AS DOUBLE)) AS mean_e0, avg(CAST(embedding[2] AS DOUBLE)) AS mean_e1,
-           avg(CAST(embedding[3] AS DOUBLE)) AS mean_e2 FROM embeddings GROUP BY label"""
+    means = ", ".join(f"avg(CAST(embedding[{i + 1}] AS DOUBLE)) AS mean_e{i}" for i in range(64))
+    return f"SELECT label, count(*) AS n, {means} FROM embeddings GROUP BY label"
 
 
 @oracle("error_profile", dbl=("mean_rel_error", "share_under", "share_over"))
@@ -1290,11 +1290,16 @@ def _():
     sh AS (SELECT *, {shares} FROM piv),
     fe AS (SELECT user_id, event_type AS first_event_type FROM (
              SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1),
-    spd AS (SELECT user_id, CAST(count(DISTINCT user_id * 100000 + (CAST(ts AS DATE) - DATE '1970-01-01')) AS DOUBLE)
-                   / count(DISTINCT CAST(ts AS DATE)) AS sessions_per_day FROM events GROUP BY user_id),
+    marked AS (SELECT *, CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS opens FROM events
+               WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM marked),
+    daily AS (SELECT user_id, CAST(ts AS DATE) AS day, count(DISTINCT session) AS sessions FROM numbered GROUP BY ALL),
+    spd AS (SELECT user_id, avg(sessions) AS sessions_per_day FROM daily GROUP BY user_id),
+    parts AS (SELECT user_id, count(*) FILTER (hour(ts) < 6) AS at_night, count(*) FILTER (hour(ts) BETWEEN 6 AND 11) AS at_morning,
+                     count(*) FILTER (hour(ts) BETWEEN 12 AND 17) AS at_day, count(*) FILTER (hour(ts) >= 18) AS at_evening FROM events GROUP BY user_id),
     cu AS (SELECT c.c_custkey AS user_id, c.c_mktsegment, r.r_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
            JOIN region r ON n.n_regionkey = r.r_regionkey)
-    SELECT * FROM sh JOIN fe USING (user_id) JOIN spd USING (user_id) LEFT JOIN cu USING (user_id)"""
+    SELECT * FROM sh JOIN fe USING (user_id) JOIN parts USING (user_id) JOIN spd USING (user_id) LEFT JOIN cu USING (user_id)"""
 
 
 @oracle("credit_observations", dates=("score_date",), ts=("l_shipdate",),

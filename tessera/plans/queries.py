@@ -574,8 +574,8 @@ def q_top_sales_mean(spark, base):
 
 @query("cluster_profile")
 def q_cluster_profile(spark, base):
-    e = D.Tables(spark, base).embeddings.select("label", *[F.col("embedding").getItem(i).alias(f"e{i}") for i in range(3)])
-    return finish(R.cluster_profile(e, "label", ["e0", "e1", "e2"]))
+    e = D.Tables(spark, base).embeddings.select("label", *[F.col("embedding").getItem(i).alias(f"e{i}") for i in range(64)])
+    return finish(R.cluster_profile(e, "label", [f"e{i}" for i in range(64)]))
 
 
 @query("error_profile")
@@ -915,8 +915,8 @@ def q_permutation_importance(spark, base):
     asm = VectorAssembler(inputCols=feats, outputCol="features")
     li = li.checkpoint()
     m = G.decision_tree(label="l_extendedprice", depth=5).fit(asm.transform(li))
-    rmse = lambda d: d.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2)))).first()[0]
-    return finish(G.permutation_importance(m, li, feats, "row_key", lambda d: -rmse(d), asm.transform, repeats=3))
+    rmse = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2)))
+    return finish(G.permutation_importance(m, li, feats, "row_key", -rmse, asm.transform, repeats=10))
 
 
 @query("forecast_scoring")

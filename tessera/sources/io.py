@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+import uuid
+from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 __all__ = [
-    "TABLES", "read_table", "read_tables", "read_csv", "read_tsv_decimal_comma", "read_query",
+    "TABLES", "read_table", "read_csv", "read_tsv_decimal_comma", "read_query",
     "register_mart", "scratch_table", "write_partitioned", "write_predictions", "check_batch",
-    "check_written", "save_model", "load_model", "same_predictions",
+    "check_written", "publish", "save_model", "load_model", "same_predictions",
 ]
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -24,10 +25,6 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def read_tables(spark: SparkSession, base: str, names: Iterable[str] = TABLES) -> dict[str, DataFrame]:
-    return {n: read_table(spark, base, n) for n in names}
-
-
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",",
              header: bool = True, null_value: str | None = None) -> DataFrame:
     """Delimited text with an explicit schema (never inferSchema in jobs)."""
@@ -104,13 +101,49 @@ def check_batch(df: DataFrame, key: Sequence[str] | str) -> dict:
     return result
 
 
-def write_predictions(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """Replace a prediction table, stamped with the write time, after a
-    key-uniqueness check."""
-    check_batch(df, keys)
-    stamped = df.withColumn("prediction_timestamp", F.current_timestamp())
-    stamped.write.mode("overwrite").format(fmt).save(path)
-    return stamped
+def publish(df: DataFrame, path: str, key: Sequence[str] | str, partition: str | None = None, fmt: str = "parquet") -> dict:
+    """S6-S8 write, check, publish. ``df`` is computed once, into a staging
+    folder under ``path``, and counted on the way (rows, rows with a null in
+    the key); duplicated keys are counted on the staged key columns. Only if
+    the rows pass does the staged folder take the place of ``path``'s
+    ``partition`` (``run_date=...``) or, without one, of the whole table. A
+    failing check raises and leaves what was published as it was."""
+    key = [key] if isinstance(key, str) else list(key)
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    missing = F.lit(False)
+    for k in key:
+        missing = missing | F.col(k).isNull()
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("null_keys"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        counted.write.format(fmt).save(staged)
+        result = {"rows": int(seen.get["rows"]), "null_keys": int(seen.get["null_keys"])}
+        if result["rows"] == 0:
+            raise ValueError("batch is empty")
+        if result["null_keys"]:
+            raise ValueError(f"{result['null_keys']} rows without key {key}")
+        check_batch(spark.read.format(fmt).load(staged).select(*key), key)
+        target = f"{path.rstrip('/')}/{partition}" if partition else path.rstrip("/")
+        old = [folder(target)] if partition else [f.getPath() for f in fs.listStatus(folder(path)) if not f.getPath().getName().startswith("_staging-")]
+        for p in old:
+            fs.delete(p, True)
+        if partition:
+            fs.rename(folder(staged), folder(target))
+        else:
+            for f in fs.listStatus(folder(staged)):
+                fs.rename(f.getPath(), folder(f"{target}/{f.getPath().getName()}"))
+        spark.catalog.refreshByPath(path)
+        return result
+    finally:
+        fs.delete(folder(staged), True)
+
+
+def write_predictions(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "parquet") -> dict:
+    """Replace a prediction table, stamped with the write time, if its keys are unique."""
+    return publish(df.withColumn("prediction_timestamp", F.current_timestamp()), path, keys, fmt=fmt)
 
 
 def check_written(spark: SparkSession, path: str, run_date: str | None = None, fmt: str = "parquet") -> int:

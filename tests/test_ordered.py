@@ -105,3 +105,46 @@ def test_null_keys_stay_distinct_from_defaults(spark):
     for key in ["s", "i", "d"]:
         got = {r["t"]: (r["_rank"], r["_n"], r["_cum_v"]) for r in with_rank(df, [key], [F.col("t")], sums=["v"]).collect()}
         assert got == {1: (0, 2, 1.0), 2: (1, 2, 3.0), 3: (0, 2, 4.0), 4: (1, 2, 12.0), 5: (0, 1, 16.0)}, key
+
+
+def test_lags_over_partitions_shorter_than_the_lag(spark, skewed):
+    """Range partitions of a few rows: what a row looks back to lies several partitions before it."""
+    pdf, df = skewed
+    small, part = pdf.head(60), df.limit(60)
+    for partitions in (3, 40):
+        local = {"l9": lambda w: F.lag("v", 9).over(w), "r9": lambda w: F.count(F.lit(1)).over(w.rowsBetween(-9, -1))}
+        got = with_rank(part.withColumn("one", F.lit(1)), ["one"], [F.col("t")], sums=["v"], partitions=partitions, local=local, halo=9).toPandas().sort_values("t")
+        e = part.toPandas().sort_values("t")
+        want = e["v"].astype(float).shift(9).to_numpy()
+        have = got["l9"].astype(float).to_numpy()
+        assert np.array_equal(np.isnan(have), np.isnan(want)) and np.allclose(have[~np.isnan(have)], want[~np.isnan(want)])
+        assert list(got["r9"]) == [min(i, 9) for i in range(60)] and list(got["_rank"]) == list(range(60))
+        assert np.allclose(got["_cum_v"].astype(float), e["v"].astype(float).fillna(0).cumsum())
+    assert len(small) == 60
+
+
+def test_asof_with_a_hot_key_over_many_partitions(spark):
+    """One key with a third of the rows, whose last right row lies many partitions before most left rows."""
+    rng = np.random.default_rng(8)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        left = pd.DataFrame({"id": np.arange(400), "k": np.where(np.arange(400) < 250, 1, rng.integers(2, 9, 400)), "t": rng.integers(0, 1000, 400)})
+        right = pd.DataFrame({"k": [1, 1, 1, *rng.integers(2, 12, 40)], "rt": [2, 300, 301, *rng.integers(0, 1000, 40)], "val": np.arange(43)})
+        l, r = (spark.createDataFrame(x).withColumn(c, F.timestamp_seconds(c)) for x, c in ((left, "t"), (right, "rt")))
+        got = {x["id"]: x["val"] for x in joins.asof_join(l, r, ["k"], "t", "rt", ["val"], strict=True).collect()}
+        for x in left.itertuples():
+            before = right[(right["k"] == x.k) & (right["rt"] < x.t)].sort_values(["rt", "val"])
+            assert got[x.id] == (before["val"].iloc[-1] if len(before) else None)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_sessions_touching_two_days(spark):
+    from tessera.operators.features import sessions_per_active_day
+    ev = [(1, "2024-01-01 10:00:00"), (1, "2024-01-01 10:29:59"), (1, "2024-01-01 10:59:59"), (1, "2024-01-01 23:50:00"), (1, "2024-01-02 00:10:00"),
+          (1, "2024-01-02 00:39:00"), (2, "2024-01-05 00:00:00")]
+    df = spark.createDataFrame(ev, "u long, ts string").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {r["u"]: r["sessions_per_day"] for r in sessions_per_active_day(df, "u", "ts").collect()}
+    assert got == {1: (3 + 1) / 2, 2: 1.0}   # the second gap is exactly 30 minutes; one session lasts over midnight

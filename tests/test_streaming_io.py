@@ -85,3 +85,36 @@ def test_model_save_load_same_predictions(spark):
     a = pipe.transform(df).select("rk", "prediction").dropDuplicates(["rk"])
     b = again.transform(df).select("rk", "prediction").dropDuplicates(["rk"])
     assert io.same_predictions(a, b, ["rk"])
+
+
+def test_publish_computes_once_and_only_replaces_what_passes(spark):
+    from pyspark.accumulators import AccumulatorParam  # noqa: F401 - the counter below is one
+    made = spark.sparkContext.accumulator(0)
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-pub-"), "t")
+
+    def rows(ids):
+        def run(batches):
+            for b in batches:
+                made.add(len(b))
+                yield b
+        return spark.createDataFrame([(i, "a") for i in ids], "id long, v string").mapInPandas(run, "id long, v string")
+
+    assert io.publish(rows([1, 2, 3]), path, "id", partition="run_date=2024-01-01") == {"rows": 3, "null_keys": 0}
+    assert made.value == 3
+    io.publish(rows([7]), path, "id", partition="run_date=2024-01-02")
+    stored = lambda: sorted((r.id, str(r.run_date)) for r in spark.read.parquet(path).collect())
+    first = [(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-01"), (7, "2024-01-02")]
+    assert stored() == first
+    for bad in ([4, 4], [5, None], []):
+        try:
+            io.publish(rows(bad), path, "id", partition="run_date=2024-01-01")
+            raise AssertionError(bad)
+        except ValueError:
+            pass
+        assert stored() == first and not [x for x in os.listdir(path) if x.startswith("_staging")]
+    io.publish(rows([9]), path, "id", partition="run_date=2024-01-01")
+    assert stored() == [(7, "2024-01-02"), (9, "2024-01-01")]
+    whole = path + "-whole"
+    for ids in ([1, 2], [3]):
+        io.publish(rows(ids), whole, "id")
+        assert sorted(r.id for r in spark.read.parquet(whole).collect()) == ids
