@@ -11,15 +11,15 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (CountVectorizer, Imputer, Normalizer, OneHotEncoder, StringIndexer,
-                                VarianceThresholdSelector, VectorAssembler, VectorSlicer)
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VarianceThresholdSelector, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.ordered import null_safe_join
 
 __all__ = ["onehot_drop_first", "target_encode", "standardize", "minmax", "variance_filter", "text_tokens",
-           "tfidf_top_terms", "impute", "column_routing", "drop_columns"]
+           "tfidf_vocabulary", "tfidf", "tfidf_top_terms", "route_text", "impute", "column_routing", "drop_columns"]
 
 
 def onehot_drop_first(train: DataFrame, cols: Sequence[str], out_suffix: str = "_ohe") -> list:
@@ -95,31 +95,37 @@ def text_tokens(df: DataFrame, text: str, out: str = "tokens", stop_words: Seque
     return df.withColumn(out, F.filter(toks, lambda t: ~t.isin(*stop)))
 
 
+def tfidf_vocabulary(train: DataFrame, tokens: str, vocab: int = 5) -> DataFrame:
+    """M17 (place, term, idf) of the ``vocab`` terms that occur most often in
+    ``train``, of equally frequent ones the first by name; places in order of the
+    terms, idf = ln((1 + n) / (1 + df)) + 1. One pass: a row gives each token as
+    an occurrence and each distinct one as a document, added up before the shuffle."""
+    one = lambda tf: lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(1 - tf).alias("df"))
+    seen = train.select(F.inline(F.concat(F.transform(tokens, one(1)), F.transform(F.array_distinct(tokens), one(0)))))
+    terms = seen.groupBy("term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df")).orderBy(F.col("tf").desc(), F.col("term")).limit(vocab)
+    n = train.agg(F.count(F.lit(1))).scalar()
+    terms = terms.select("term", (F.log((1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+    return terms.withColumn("place", F.row_number().over(Window.orderBy("term")) - 1)      # over ``vocab`` rows
+
+
+def tfidf(df: DataFrame, tokens: str, vocabulary: DataFrame, out: str = "tfidf") -> DataFrame:
+    """Adds an array with the L2-normalised tf * idf of each term of a
+    ``tfidf_vocabulary``; rows without any of them have zeros. The vocabulary
+    is one scalar subquery: no row of ``df`` is shuffled and nothing collected."""
+    terms = vocabulary.agg(F.sort_array(F.collect_list(F.struct("place", "term", "idf")))).scalar()
+    x = df.withColumn("_terms", terms)
+    x = x.withColumn("_w", F.transform("_terms", lambda t: F.size(F.filter(F.coalesce(F.col(tokens), F.array()), lambda w: w == t["term"])) * t["idf"]))
+    norm = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda a, w: a + w * w))
+    x = x.withColumn("_norm", norm)
+    return x.withColumn(out, F.transform("_w", lambda w: F.when(F.col("_norm") > 0, w / F.col("_norm")).otherwise(0.0))).drop("_terms", "_w", "_norm")
+
+
 def tfidf_top_terms(train: DataFrame, others: Sequence[DataFrame], tokens: str, vocab: int = 5,
                     out: str = "tfidf") -> list[DataFrame]:
-    """M17 TF-IDF on the ``vocab`` most frequent terms (fitted on train):
-    tf = raw counts, idf = ln((1+n)/(1+df)) + 1, rows L2-normalised."""
-    cv = CountVectorizer(inputCol=tokens, outputCol="_tf", vocabSize=vocab).fit(train)
-    n = train.count()
-    tf_train = cv.transform(train)
-    from pyspark.ml.functions import vector_to_array, array_to_vector
-    arr = vector_to_array(F.col("_tf"))
-    df_counts = tf_train.select(F.posexplode(arr).alias("i", "c")).where(F.col("c") > 0).groupBy("i").agg(F.count(F.lit(1)).alias("df"))
-    idf = [row for row in df_counts.collect()]          # at most ``vocab`` rows: plan parameters
-    idf_vec = [0.0] * len(cv.vocabulary)
-    import math
-    for r in idf:
-        idf_vec[r["i"]] = math.log((1 + n) / (1 + r["df"])) + 1
-    for i in range(len(idf_vec)):
-        if idf_vec[i] == 0.0:
-            idf_vec[i] = math.log(1 + n) + 1
-    res = []
-    for d in [train, *others]:
-        t = cv.transform(d)
-        weighted = F.transform(vector_to_array(F.col("_tf")), lambda x, i: x * F.element_at(F.array(*[F.lit(v) for v in idf_vec]), i + 1))
-        t = t.withColumn("_w", array_to_vector(weighted))
-        res.append(Normalizer(inputCol="_w", outputCol=out, p=2.0).transform(t).drop("_tf", "_w"))
-    return res
+    """M17 TF-IDF vectors on the ``vocab`` most frequent terms of ``train``,
+    for ``train`` and the other frames."""
+    terms = tfidf_vocabulary(train, tokens, vocab)
+    return [tfidf(d, tokens, terms, out).withColumn(out, array_to_vector(out)) for d in [train, *others]]
 
 
 def impute(cols: Sequence[str], strategy: str = "median", suffix: str = "") -> Imputer:
@@ -133,10 +139,22 @@ def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.drop(*cols)
 
 
+def route_text(train: DataFrame, others: Sequence[DataFrame], text: Sequence[str], vocab: int = 5) -> list[DataFrame]:
+    """The text branch of ``column_routing``: ``<c>_tfidf`` for each text column,
+    vocabulary and weights fitted on ``train``."""
+    frames = [train, *others]
+    for c in text:
+        frames = [text_tokens(d, c, "_tokens") for d in frames]
+        frames = [d.drop("_tokens") for d in tfidf_top_terms(frames[0], frames[1:], "_tokens", vocab, f"{c}_tfidf")]
+    return frames
+
+
 def column_routing(train: DataFrame, numeric: Sequence[str] = (), onehot: Sequence[str] = (),
-                     passthrough: Sequence[str] = (), impute_numeric: bool = True, out: str = "features") -> Pipeline:
-    """M19 column routing: numeric (median-imputed) + one-hot (drop first)
-    + passthrough columns assembled into one vector."""
+                     passthrough: Sequence[str] = (), impute_numeric: bool = True, out: str = "features",
+                     text: Sequence[str] = (), target: Sequence[str] = ()) -> Pipeline:
+    """M19 column routing: numeric (median-imputed), one-hot (drop first),
+    passthrough, text (the vectors of ``route_text``) and target-encoded
+    columns (``<c>_te`` of ``target_encode``) assembled into one vector."""
     stages = []
     num = list(numeric)
     if impute_numeric and num:
@@ -144,6 +162,7 @@ def column_routing(train: DataFrame, numeric: Sequence[str] = (), onehot: Sequen
         num = [f"{c}_imp" for c in num]
     stages += onehot_drop_first(train, onehot)
     encoded = {st.getOutputCol().removesuffix("_ohe") for st in stages if isinstance(st, VectorSlicer)}
-    inputs = num + [f"{c}_ohe" for c in onehot if c in encoded] + list(passthrough)
+    inputs = num + [f"{c}_ohe" for c in onehot if c in encoded] + list(passthrough) \
+        + [f"{c}_tfidf" for c in text] + [f"{c}_te" for c in target]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep"))
     return Pipeline(stages=stages)

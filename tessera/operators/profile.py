@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import ratio
 from tessera.operators.ordered import quantiles
 
-__all__ = ["profile", "describe", "null_share", "null_share_by", "dup_count", "cardinality", "date_span",
+__all__ = ["profile", "profile_ranges", "describe", "null_share", "null_share_by", "dup_count", "cardinality", "date_span",
            "value_counts", "split_leakage", "load_report", "removal_report", "over_limit_by"]
 
 
@@ -47,6 +47,17 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return _unpivot(df.agg(*aggs), cols, cols, ["rows", "non_null", "nulls"])
 
 
+def profile_ranges(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Q1 type, smallest and largest value (as text) of each column, with its counts (one pass)."""
+    cols = list(cols or df.columns)
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`")
+        aggs += [F.lit(df.schema[c].dataType.simpleString()).alias(f"type__{i}"), F.count(x).alias(f"non_null__{i}"),
+                 F.min(x).cast("string").alias(f"min_value__{i}"), F.max(x).cast("string").alias(f"max_value__{i}")]
+    return _unpivot(df.agg(*aggs), cols, cols, ["type", "non_null", "min_value", "max_value"])
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Q2 count, mean, sample std, min, quartiles (exact, interpolated), max
     per numeric column. The columns are stacked into (column, value) so one

@@ -10,18 +10,18 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import band, ratio
 from tessera.operators.joins import first_event_attrs
-from tessera.operators.ordered import null_safe_join, quantiles
+from tessera.operators.ordered import null_safe_join, quantiles, with_rank
 from tessera.operators.windows import gap_days
 
 __all__ = ["monthly_total", "mean_median_by", "user_profile", "kpi_sheet", "return_split", "return_share_by",
            "return_by_segment", "return_by_weekday", "histogram", "box_stats", "counts_by", "flag_share_by",
            "top_groups", "grade_counts", "grades_side_by_side", "monthly_mean_min_count", "top_share_mean",
-           "cluster_profile", "error_profile", "yearly_mean"]
+           "cluster_profile", "error_profile", "yearly_mean", "yearly_totals", "period_totals", "median_by", "positioned"]
 
 
 def monthly_total(df: DataFrame, date: str, value: str) -> DataFrame:
@@ -180,6 +180,29 @@ def yearly_mean(df: DataFrame, date: str, value: str) -> DataFrame:
                                                       F.count(value).alias("n"))
 
 
+def yearly_totals(df: DataFrame, date: str, cols: Sequence[str], total: str = "total") -> DataFrame:
+    """A43 per calendar year: the sum of each column and of all of them together."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols]
+    out = df.groupBy(F.year(date).alias("year")).agg(*sums)
+    return out.withColumn(total, sum((F.col(c) for c in cols[1:]), F.col(cols[0])))
+
+
+def period_totals(df: DataFrame, date: str, value: str) -> DataFrame:
+    """A44 total per date."""
+    return df.groupBy(date).agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("n"))
+
+
+def median_by(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """A44 exact median per group."""
+    return quantiles(df, value, [0.5], keys=by, names=["median"])
+
+
+def positioned(report: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """L1 a report in its order: rows numbered from 1 by ``order``, which the sink
+    may sort by. The numbers come from the ordered scan, not from one task."""
+    return with_rank(report, [], list(order)).withColumn(name, F.col("_rank") + 1).drop("_rank", "_n")
+
+
 def top_share_mean(df: DataFrame, value: str, by: Sequence[str], p: float = 0.99) -> DataFrame:
     """A44/P19 rows above the exact global p-quantile, mean per group."""
     cut = quantiles(df, value, [p], names=["q"]).select("q").scalar()

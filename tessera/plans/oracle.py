@@ -1436,3 +1436,98 @@ def _():
 def _():
     return """SELECT CAST(ts AS DATE) AS run_date, user_id, count(*) AS n_events, count(DISTINCT event_type) AS n_types,
                      max(value) AS max_value, count(*) FILTER (event_type = 'signup') AS n_signups FROM events GROUP BY 1, 2"""
+
+
+# ------------------------------------------------------------------ round trips, text branch and reports in order
+
+@oracle("csv_round_trip", dbl=("p_retailprice",))
+def _():
+    return "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part"
+
+
+@oracle("tsv_decimal_comma", dbl=("c_acctbal",))
+def _():
+    return "SELECT c_custkey, c_name, c_acctbal FROM customer"
+
+
+@oracle("model_round_trip")
+def _():
+    return "SELECT count(*) AS rows, count(*) FILTER (l_quantity IS NULL) AS different FROM lineitem"
+
+
+@oracle("dropped_columns")
+def _():
+    return "SELECT s_suppkey, s_nationkey FROM supplier"
+
+
+@oracle("column_ranges")
+def _():
+    kinds = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "int"}
+    return " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{k}' AS type, count({c}) AS non_null, CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM part"
+                              for c, k in kinds.items())
+
+
+@oracle("users_in_both_arms")
+def _():
+    return f"WITH {AB} SELECT user_id, 2 AS arms FROM abs_ GROUP BY user_id HAVING min(page_counter) < 3 AND max(page_counter) >= 3"
+
+
+@oracle("yearly_spend", dbl=("spend_A", "spend_N", "spend_R", "total"), ints=("year",))
+def _():
+    each = {f: f"coalesce(sum(CAST(l_extendedprice AS DECIMAL(15,2))) FILTER (l_returnflag = '{f}'), 0)" for f in "ANR"}
+    return f"SELECT year(l_shipdate) AS year, {', '.join(f'{x} AS spend_{f}' for f, x in each.items())}, {' + '.join(each.values())} AS total FROM lineitem GROUP BY 1"
+
+
+@oracle("weekly_totals", dbl=("total",), dates=("date",))
+def _():
+    return f"WITH {PANEL} SELECT date, sum(weekly_sales) AS total, count(*) AS n FROM panel GROUP BY date"
+
+
+@oracle("median_by_holiday", dbl=("median",))
+def _():
+    return f"WITH {PANEL} SELECT month(date + 6) = 12 AS is_holiday, quantile_cont(CAST(weekly_sales AS DOUBLE), 0.5) AS median FROM panel GROUP BY 1"
+
+
+@oracle("region_report_in_order", ints=("total_orders", "position"))
+def _():
+    return f"""WITH {MARKET} SELECT region, count(user_id) AS total_users, sum(total_orders) AS total_orders,
+           row_number() OVER (ORDER BY sum(total_orders) DESC, region) AS position FROM mart GROUP BY region"""
+
+
+STOPPED = ("a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with").split()
+
+
+def weighed(rows: str, fitted: str) -> str:
+    """Columns of ``rows(id, text)`` with TF-IDF weights of the five most frequent terms of those where ``fitted`` holds."""
+    stop = ", ".join(f"'{w}'" for w in STOPPED)
+    return f"""rows_ AS ({rows}),
+    words AS (SELECT id, unnest(string_split_regex(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}_\\x09-\\x0D ]', ' ', 'g'), '[\\x09-\\x0D ]+')) AS term FROM rows_),
+    kept AS (SELECT id, term, count(*) AS tf FROM words WHERE length(term) >= 2 AND term NOT IN ({stop}) GROUP BY id, term),
+    terms AS (SELECT term, ln((1 + (SELECT count(*) FROM rows_ WHERE {fitted})) / (1 + count(*))) + 1 AS idf
+              FROM kept WHERE {fitted} GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 5),
+    placed AS (SELECT *, row_number() OVER (ORDER BY term) - 1 AS place FROM terms),
+    weights AS (SELECT id, place, tf * idf AS w FROM kept JOIN placed USING (term)),
+    norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM weights GROUP BY id)"""
+
+
+FIVE = ", ".join(f"coalesce(max(w / norm) FILTER (place = {i}), 0.0) AS w{i}" for i in range(5))
+
+
+@oracle("tfidf_features", dbl=tuple(f"w{i}" for i in range(5)), digits=9)
+def _():
+    return f"""WITH {weighed("SELECT doc_id AS id, text FROM documents", "id % 4 <> 0")}
+    SELECT rows_.id AS doc_id, {FIVE} FROM rows_ LEFT JOIN weights USING (id) LEFT JOIN norms USING (id) GROUP BY rows_.id"""
+
+
+@oracle("booking_text_features", dbl=tuple(f"w{i}" for i in range(5)), digits=9)
+def _():
+    early = "id IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')"
+    return f"""WITH {weighed("SELECT o_orderkey AS id, text FROM orders LEFT JOIN documents ON doc_id = o_orderkey", early)}
+    SELECT rows_.id AS o_orderkey, {FIVE} FROM rows_ LEFT JOIN weights USING (id) LEFT JOIN norms USING (id) GROUP BY rows_.id"""
+
+
+@oracle("scaled_features")
+def _():
+    return """WITH t AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'),
+    s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS md, stddev_pop(l_discount) AS sd, min(l_tax) AS lo, max(l_tax) AS hi FROM t)
+    SELECT l_orderkey, l_linenumber, [(l_quantity - mq) / sq, (l_discount - md) / sd, (l_tax - lo) / (hi - lo)] AS selected FROM lineitem, s WHERE l_shipdate >= TIMESTAMP '1998-01-01'"""

@@ -1170,3 +1170,103 @@ def q_stream_run_date_features(spark, base):
     run_date_feature_stream(stream, lambda: spark.read.schema(events.schema).parquet(arriving), out, scratch(spark, "stream"),
                             per_user, F.col("ts").cast("date")).awaitTermination()
     return finish(spark.read.parquet(out).withColumn("run_date", F.col("run_date").cast("date")))
+
+
+# ------------------------------------------------------------------ round trips, text branch and reports in order
+
+def _folder(spark, name):
+    import uuid
+    from tessera.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+@query("csv_round_trip")
+def q_csv_round_trip(spark, base):
+    from tessera.sources import io
+    p = D.Tables(spark, base).part.select("p_partkey", "p_name", "p_brand", "p_size", "p_retailprice")
+    path = _folder(spark, "part-csv")
+    p.write.option("header", True).option("quoteAll", True).csv(path)
+    return finish(io.read_csv(spark, path, p.schema))
+
+
+@query("tsv_decimal_comma")
+def q_tsv_decimal_comma(spark, base):
+    from tessera.sources import io
+    c = D.Tables(spark, base).customer.select("c_custkey", "c_name", "c_acctbal")
+    path = _folder(spark, "customer-tsv")
+    c.withColumn("c_acctbal", F.regexp_replace(F.col("c_acctbal").cast("string"), r"\.", ",")).write.option("header", True).option("sep", "\t").csv(path)
+    return finish(io.read_tsv_decimal_comma(spark, path, c.schema, ["c_acctbal"]))
+
+
+@query("model_round_trip")
+def q_model_round_trip(spark, base):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from tessera.sources import io
+    li = D.Tables(spark, base).lineitem.select("l_quantity", "l_discount", "l_extendedprice")
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features"), G.LinearRegression(labelCol="l_extendedprice")]).fit(li)
+    path = _folder(spark, "model")
+    io.save_model(pipe, path)
+    both = io.load_model(path).transform(pipe.transform(li).withColumnRenamed("prediction", "before").drop("features"))
+    return finish(both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") != F.col("prediction")).alias("different")))
+
+
+@query("dropped_columns")
+def q_dropped_columns(spark, base):
+    return finish(prep.drop_columns(D.Tables(spark, base).supplier, ["s_name", "s_acctbal"]))
+
+
+@query("column_ranges")
+def q_column_ranges(spark, base):
+    return finish(profile.profile_ranges(D.Tables(spark, base).part, ["p_partkey", "p_name", "p_brand", "p_type", "p_size"]))
+
+
+@query("users_in_both_arms")
+def q_users_in_both_arms(spark, base):
+    s = D.ab_sessions(D.Tables(spark, base)).withColumn("test_group", F.when(F.col("page_counter") >= 3, "A").otherwise("B"))
+    return finish(X.users_in_both_arms(s, "user_id", "test_group"))
+
+
+@query("yearly_spend")
+def q_yearly_spend(spark, base):
+    li = D.Tables(spark, base).lineitem
+    flags = ["A", "N", "R"]
+    li = li.select("l_shipdate", *[F.when(F.col("l_returnflag") == f, D.money(F.col("l_extendedprice"))).alias(f"spend_{f}") for f in flags])
+    return finish(R.yearly_totals(li, "l_shipdate", [f"spend_{f}" for f in flags]))
+
+
+@query("weekly_totals")
+def q_weekly_totals(spark, base):
+    return finish(R.period_totals(D.weekly_panel(D.Tables(spark, base)), "date", "weekly_sales"))
+
+
+@query("median_by_holiday")
+def q_median_by_holiday(spark, base):
+    p = D.weekly_panel(D.Tables(spark, base)).withColumn("is_holiday", F.month(F.date_add("date", 6)) == 12)
+    return finish(R.median_by(p, ["is_holiday"], "weekly_sales"))
+
+
+@query("region_report_in_order")
+def q_region_report_in_order(spark, base):
+    r = marts.region_report(D.market_mart(D.Tables(spark, base)))
+    return finish(R.positioned(r.select("region", "total_users", "total_orders"), [F.col("total_orders").desc(), F.col("region")]))
+
+
+@query("tfidf_features")
+def q_tfidf_features(spark, base):
+    d = prep.text_tokens(D.Tables(spark, base).documents.select("doc_id", "text"), "text")
+    train = d.where(F.col("doc_id") % 4 != 0)
+    terms = prep.tfidf_vocabulary(train, "tokens", vocab=5)
+    return finish(prep.tfidf(d, "tokens", terms).select("doc_id", *[F.col("tfidf")[i].alias(f"w{i}") for i in range(5)]), digits=9)
+
+
+@query("booking_text_features")
+def q_booking_text_features(spark, base):
+    """Bookings with the review text of their number, TF-IDF fitted on the bookings before 2000; without a text all weights are 0."""
+    from pyspark.ml.functions import vector_to_array
+    t = D.Tables(spark, base)
+    b = t.orders.select("o_orderkey", "o_orderdate").join(t.documents.select(F.col("doc_id").alias("o_orderkey"), F.col("text").alias("review_text")), "o_orderkey", "left")
+    cut = F.lit("2000-01-01").cast("timestamp")
+    train, test = prep.route_text(b.where(F.col("o_orderdate") < cut), [b.where(F.col("o_orderdate") >= cut)], ["review_text"], vocab=5)
+    w = vector_to_array("review_text_tfidf")
+    return finish(train.unionByName(test).select("o_orderkey", *[w[i].alias(f"w{i}") for i in range(5)]), digits=9)
