@@ -8,9 +8,10 @@ sample of ``PLACES`` of the places is a bucket key; ``SAMPLES`` samples make the
 begin at every byte of items and texts, so that an item of L bytes has about L / 5 chances
 even if the edits, a fifth of its length, are spread evenly. Walks that share a
 bucket are counted by item and diagonal (place in the text less place in the
-item) in overlapping bands, as wide as a stretch of the item drifts by insertions; a band with ``least`` of them
-is a window, and is verified by exact edit distance, many windows at a time. Recall at
-the limit is measured in the tests, by length and kind of edit.
+item) in overlapping bands; a band with walks in ``least_cells`` stretches of the item
+is a window. Of an item cut into chunks one has no more than its share of the edits, so a window is
+verified by the exact edit distance of its chunks first and of the whole item where one of
+them is near, many windows at a time. Recall at the limit is measured in the tests, by length and kind of edit.
 
 Items shorter than ``SHORT`` bytes have too few walks. For them the keys are
 their strings of q bytes; k edits of L bytes leave L + 1 - q (k + 1) of these, and a band with so
@@ -148,14 +149,14 @@ def walks(flat: np.ndarray) -> list[np.ndarray]:
     for a in range(0, n, PIECE):
         size = min(PIECE, n - a)
         part, place, keys = flat[a:a + size + STEPS], np.arange(size), [np.full(size, s + 1, np.uint32) for s in range(SAMPLES)]
+        wide, at = part.astype(np.uint32), part.astype(np.int64)
         for j in range(STEPS):
-            c = part.take(place)
-            wide = c.astype(np.uint32)
+            c = wide.take(place)
             for key, sampled in zip(keys, _SAMPLED):
                 if j in sampled:
                     key *= np.uint32(0x9E3779B1)
-                    key += wide
-            place += _GO_ON[j].take(c)
+                    key += c
+            place += _GO_ON[j].take(at).take(place)
         for o, key in zip(out, keys):
             key ^= key >> np.uint32(15)
             o[a:a + size] = key * np.uint32(0x85EBCA6B)
@@ -168,7 +169,7 @@ def grams(q: int, flat: np.ndarray) -> list[np.ndarray]:
     out = np.zeros(max(n, 0), np.uint32)  # four bytes at most
     for k in range(q if n > 0 else 0):
         out = (out << np.uint32(8)) | flat[k:n + k]
-    return [out]
+    return [out * np.uint32(0x9E3779B1)]  # one key a string, its upper bits mixed
 
 
 class _Keys:
@@ -191,7 +192,7 @@ class _Keys:
 
     @staticmethod
     def _slot(key: np.ndarray) -> np.ndarray:
-        return (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BITS)
+        return key >> np.uint32(32 - _BITS)
 
     def shared(self, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(place in ``flat``, item, place in the item) of equal keys, some millions at a time."""
@@ -235,52 +236,69 @@ class Index:
         self.peq = places_of([self.items[k][a:b] for k, a, b in chunks])[0]
 
     def windows(self, flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Rows (document, item, place in the document where the item begins, up to 2 * ``BAND`` later) of bands with enough keys."""
-        below = int(self.size.max(initial=0)) // BAND + 2  # bands of places before the document's first byte
-        bands = int(np.diff(offsets).max(initial=0)) // BAND + below + 2
-        cells = int(self.size.max(initial=0)) + 1
+        """Rows (document, item, first and last place in the document where the item seems to begin) of bands with enough keys."""
+        below, bands, cells = self._spread(offsets)
         seen, of = [np.zeros(0, np.int64)], np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         of = np.append(of, np.full(STEPS, len(offsets) - 2))
         for keys, cell in self.keys:
             # A walk may read on behind its document; that can only add a window to be verified.
             for near, who, off in keys.shared(np.concatenate((flat, np.zeros(STEPS - 1, np.uint8)))):
                 d = of[near]
-                seen.append(((d * len(self.items) + who) * bands + (near - offsets[d] - off) // BAND + below) * cells + off // cell)
+                shift = near - offsets[d] - off + below * BAND
+                seen.append((((d * len(self.items) + who) * bands + shift // BAND) * cells + off // cell) * BAND + shift % BAND)
         seen = np.sort(np.concatenate(seen))
         if not len(seen):
-            return np.zeros((0, 3), np.int64)
-        code = seen[np.concatenate(([True], seen[1:] != seen[:-1]))] // cells
+            return np.zeros((0, 4), np.int64)
+        cell = seen // BAND
+        code = cell // cells
         start = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-        code, count = code[start], np.diff(np.append(start, len(code)))
-        after = np.minimum(np.searchsorted(code, code + 1), len(code) - 1)
-        both = count + np.where(code[after] == code + 1, count[after], 0)  # a band and the next
-        code = code[both >= self.least[code // bands % len(self.items)]]
-        return np.stack([code // bands // len(self.items), code // bands % len(self.items), (code % bands - below) * BAND], 1)
+        low, high = (f.reduceat(seen % BAND, start) for f in (np.minimum, np.maximum))
+        count = np.add.reduceat(np.concatenate(([True], cell[1:] != cell[:-1])).astype(np.int64), start)
+        code = code[start]
+        least = self.least[code // bands % len(self.items)]
+        # A band by itself, or with the next one.
+        after = np.minimum(np.arange(len(code)) + 1, len(code) - 1)
+        joined = (code[after] == code + 1) & (count + count[after] >= least) & ((count < least) | (count[after] < least))
+        keep = (count >= least) | joined
+        last = np.where(joined, high[after] + BAND, high)
+        pair, first = code // bands, (code % bands - below) * BAND
+        return np.stack([pair // len(self.items), pair % len(self.items), first + low, first + last], 1)[keep]
+
+    def _spread(self, offsets: np.ndarray) -> tuple[int, int, int]:
+        """Bands of places before a document's first byte, bands in all, and cells of an item."""
+        most = int(self.size.max(initial=0))
+        below = most // BAND + 2
+        return below, int(np.diff(offsets).max(initial=0)) // BAND + below + 2, max(most // CELL, SHORT) + 2
 
     def find(self, flat: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(document, item, start, end, edits) of each document and item that match, the fewest edits first found."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         for i, j in byte_chunks(offsets, CHUNK):
             part, local = normal(flat[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i]
-            for d, k, n, s, e in self._verified(part, local, self.windows(part, local)):
-                best[(d + i, k)] = min(best.get((d + i, k), (n, s, e)), (n, s, e))
+            _, bands, cells = self._spread(local)
+            docs = max((1 << 62) // max(len(self.items) * bands * cells * BAND, 1), 1)  # whose places are numbered in 64 bits
+            for a in range(0, j - i, docs):
+                some = local[a:a + docs + 1]
+                text = part[some[0]:some[-1]]
+                for d, k, n, s, e in self._verified(text, some - some[0], self.windows(text, some - some[0])):
+                    best[(d + a + i, k)] = min(best.get((d + a + i, k), (n, s, e)), (n, s, e))
         return [(d, k, s, e, n) for (d, k), (n, s, e) in sorted(best.items())]
 
     def _verified(self, part: np.ndarray, local: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, item, edits, start, end) of the windows that match."""
-        d, k, first = found.T
+        d, k, first, last = found.T
         n = self.chunk_at[k + 1] - self.chunk_at[k]
         near = np.zeros(len(found), bool)
         row = np.repeat(np.arange(len(found)), n)
         chunk = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.chunk_at[k], n)
-        lo, hi = self._between(local, d[row], self.most[k[row]], first[row] + self.chunk_off[chunk], self.chunk_size[chunk])
+        lo, hi = self._between(local, d[row], self.most[k[row]], first[row] + self.chunk_off[chunk], last[row] - first[row] + self.chunk_size[chunk])
         order = np.argsort(hi - lo, kind="stable")
         for a in range(0, len(order), BATCH):
             x = order[a:a + BATCH]
             least = edits_at_most(self.peq, chunk[x], self.chunk_size[chunk[x]], part, lo[x], int((hi - lo)[x[-1]]))
             near[row[x[least <= self.chunk_most[chunk[x]]]]] = True
-        d, k, first = found[near].T
-        lo, hi = self._between(local, d, self.most[k], first, self.size[k])
+        d, k, first, last = found[near].T
+        lo, hi = self._between(local, d, self.most[k], first, last - first + self.size[k])
         order = np.lexsort((hi - lo, self.size[k]))
         for a in range(0, len(order), WHOLE):
             x = order[a:a + WHOLE]
@@ -298,10 +316,10 @@ class Index:
 
     @staticmethod
     def _between(local: np.ndarray, d: np.ndarray, most: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes in which strings of ``size`` lie that begin within two bands from ``first`` on, or ``most`` beside."""
+        """The ``size`` bytes from ``first`` on, and ``most`` on both sides, inside the document."""
         a, b = local[d], local[d + 1]
         lo = np.clip(a + first - most, a, b)
-        return lo, np.clip(a + first + 2 * BAND + size + most, lo, b)
+        return lo, np.clip(a + first + size + most, lo, b)
 
 
 def least_cells(size: int) -> int:
