@@ -1,19 +1,19 @@
 """Secret scans by grammar inference.
 
-Fixed patterns give the labelled credentials of a bounded sample of documents.
+Fixed patterns give the labelled credentials of all documents, of which a bounded sample is learned.
 For each kind a prefix tree is grown over them and its states are merged where a
 Hoeffding test finds their statistics compatible, recursively, into a
 probabilistic automaton; ordinary long tokens give a background automaton in the
 same way. Every token of every text is then scored: format likelihood against
-background, in nats a symbol. Tokens above the margin are added to what the
+background, in nats a symbol, from the length of the shortest learned credential on. Tokens above the margin are added to what the
 patterns find; nothing the patterns find is ever taken away.
 
 Symbols are classes of characters (hex letters, other lower case, upper case,
 digits, each sign), a class spreading its probability evenly.
 
 Defined cases: a null text is empty and has no spans; repeated rows and null ids
-stay; other columns are ignored; no rows give no rows; without any credential in
-the sample nothing is added.
+stay; other columns are ignored; no rows give no rows; without any credential
+nothing is added; a text is searched as a whole, in memory that grows with the longest one.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ from collections import defaultdict
 from typing import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 __all__ = ["base_spans", "Automaton", "fit", "Model", "scan", "KINDS"]
@@ -34,7 +35,8 @@ KINDS = ("assign", "access", "hex", "format")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+_TOKEN = r"[A-Za-z0-9+/_.=-]{%d,}"
+_PLAIN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _WORD = re.compile(r"(?:passw|secre|token|api_?k)", re.ASCII | re.IGNORECASE)
 
 
@@ -94,7 +96,7 @@ class Automaton:
             for a in {*self.next[p], *self.next[q]}:
                 if self._differs(self.through[p].get(a, 0), m, self.through[q].get(a, 0), n):
                     return False
-                if a in self.next[p] and a in self.next[q] and len(todo) < 4000:
+                if a in self.next[p] and a in self.next[q]:
                     todo.append((self.next[p][a], self.next[q][a]))
         return True
 
@@ -145,47 +147,74 @@ def background(strings: list[str]) -> Automaton:
 
 
 class Model:
-    """One automaton for each kind against the background."""
+    """One automaton for each kind against the background; every token from the shortest learned credential on is a candidate."""
 
-    def __init__(self, kinds: list[Automaton], background: Automaton, margin: float):
-        self.kinds, self.background, self.margin = kinds, background, margin
+    def __init__(self, kinds: list[Automaton], background: Automaton, margin: float, shortest: int):
+        self.kinds, self.background, self.margin, self.shortest = kinds, background, margin, shortest
+        self.known: dict[str, bool] = {}
+
+    def __getstate__(self):
+        return {**self.__dict__, "known": {}}
 
     def likely(self, s: str) -> bool:
         """Whether a token follows a credential's format clearly better than ordinary ones do."""
-        back = self.background.likelihood(s)
-        return any(k.likelihood(s) - back > self.margin * len(s) for k in self.kinds)
+        if s not in self.known:
+            if len(self.known) >= 1 << 16:  # what has been worked out, not what counts
+                self.known.clear()
+            back = self.background.likelihood(s)
+            self.known[s] = any(k.likelihood(s) - back > self.margin * len(s) for k in self.kinds)
+        return self.known[s]
 
     def spans(self, text: str) -> list[tuple[int, str, int, str]]:
         base = base_spans(text)
         more, k = [], 0
-        for m in _TOKEN.finditer(text) if self.kinds else ():
+        for m in re.finditer(_TOKEN % self.shortest, text) if self.kinds else ():
             a, b = m.span()
             if self.likely(m[0]) and not any(s[0] < b and a < s[2] for s in base):
                 more.append((a, "format", b, m[0]))
         return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[1]))) if more else base
 
 
-def fit(docs: DataFrame, sample_docs: int = 20_000, most: int = 1500, margin: float = 0.5) -> Model:
-    """Learns from at most about ``sample_docs`` documents (chosen by a hash of
-    doc_id) and ``most`` distinct strings of a kind (lowest hashes first)."""
-    n = docs.count()
-    part = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(min(1.0, sample_docs / max(n, 1)) * 1_000_000))
+def fit(docs: DataFrame, most: int = 1500, longest: int = 4096, margin: float = 0.5) -> Model:
+    """Learns from a bounded sample: of each kind, and of tokens that are no
+    credentials, the ``most`` distinct strings of up to ``longest`` characters
+    with the lowest hashes, over all documents. A task passes on no more than that
+    of each, and one pass finds them: the lowest of all are among the lowest of each."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lowest: dict[str, dict[str, int]] = {k: {} for k in ("", *KINDS[:3])}
+        limit = dict.fromkeys(lowest, 1 << 64)
+
+        def offer(kind: str, s: str) -> None:
+            own = lowest[kind]
+            if s in own or len(s) > longest:
+                return
+            h = xxhash.xxh64_intdigest(s)
+            if h < limit[kind]:
+                own[s] = h
+                if len(own) >= 2 * most:
+                    keep = sorted(own.items(), key=lambda x: (x[1], x[0]))[:most]
+                    lowest[kind], limit[kind] = dict(keep), keep[-1][1]
+
         for b in batches:
-            rows = set()
             for text in b.column(0).to_pylist():
                 base = base_spans(text or "")
-                rows.update((k, s) for _, k, _, s in base)
-                rows.update(("", m[0]) for m in _TOKEN.finditer(text or "") if not any(s[0] < m.end() and m.start() < s[2] for s in base))
-            rows = sorted(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1][:256] for r in rows], pa.string())], names=["kind", "s"])
-
-    strings = part.select("text").mapInArrow(found, "kind string, s string").distinct()
+                for _, kind, _, s in base:
+                    offer(kind, s)
+                for m in _PLAIN.finditer(text or ""):
+                    if not any(s[0] < m.end() and m.start() < s[2] for s in base):
+                        offer("", m[0])
+        rows = [(k, s, h - (1 << 63)) for k, own in lowest.items() for s, h in sorted(own.items(), key=lambda x: (x[1], x[0]))[:most]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
+                                          pa.array([r[2] for r in rows], pa.int64())], names=["kind", "s", "h"])
+
+    strings = docs.select("text").mapInArrow(found, "kind string, s string, h bigint").distinct()
+    first = Window.partitionBy("kind").orderBy("h", "s")  # ``most`` rows a kind and task, cut before they are shuffled
     by: dict[str, list[str]] = defaultdict(list)
-    for kind in ("",) + KINDS[:3]:
-        by[kind] = [r.s for r in strings.where(F.col("kind") == kind).orderBy(F.xxhash64("s"), "s").limit(most).collect()]
-    return Model([Automaton(by[k]) for k in KINDS[:3] if by[k]], background(by[""]), margin)
+    for r in strings.withColumn("r", F.row_number().over(first)).where(F.col("r") <= most).orderBy("kind", "h", "s").collect():
+        by[r.kind].append(r.s)
+    learned = [by[k] for k in KINDS[:3] if by[k]]
+    return Model([Automaton(x) for x in learned], background(by[""]), margin, min((len(s) for x in learned for s in x), default=6))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
