@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import band, col_of, ratio, snake_case
-from tessera.operators.ordered import null_safe_join, quantiles
+from tessera.operators.ordered import join_stats, quantiles
 
 __all__ = [
     "snake_case_columns", "to_numeric", "sentinel_to_null", "cast_columns", "fill_const", "fill_max",
@@ -58,11 +58,11 @@ def fill_max(df: DataFrame, col: str) -> DataFrame:
 
 def fill_group_mean(df: DataFrame, col: str, keys: Sequence[str], name: str | None = None) -> DataFrame:
     """P7 fill with the mean of the row's own group; all-null groups stay
-    null. Group means are a partial aggregate joined back (null-safe keys),
-    so a hot group is combined map-side."""
+    null. Group means are a partial aggregate joined back (null-safe keys):
+    a hot group is combined map-side, and its rows are not shuffled to it."""
     name = name or col
     means = df.groupBy(*keys).agg(F.avg(col).alias("_gmean"))
-    return null_safe_join(df, means, keys, "left").withColumn(name, F.coalesce(F.col(col), F.col("_gmean"))).drop("_gmean")
+    return join_stats(df, means, keys).withColumn(name, F.coalesce(F.col(col), F.col("_gmean"))).drop("_gmean")
 
 
 def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:

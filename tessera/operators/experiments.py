@@ -148,7 +148,8 @@ def psi(train: DataFrame, val: DataFrame, cols: Sequence[str], bins: int = 10, e
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    binned = both.join(rng, "column_name").withColumn("bin", b)
+    binned = both.join(F.broadcast(rng), "column_name")  # one row a column
+    binned = binned.withColumn("bin", b)
     counts = binned.groupBy("column_name", "bin").agg(F.count_if(F.col("side") == 0).alias("n_e"),
                                                       F.count_if(F.col("side") == 1).alias("n_a"))
     totals = binned.groupBy("column_name").agg(F.count_if(F.col("side") == 0).alias("t_e"),

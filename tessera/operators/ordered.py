@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
 
-__all__ = ["sorted_frame", "with_rank", "null_safe_join", "quantiles"]
+__all__ = ["sorted_frame", "with_rank", "null_safe_join", "join_stats", "quantiles"]
 
 _POS_MASK = (1 << 33) - 1
 
@@ -71,6 +71,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*ren.values())
 
 
+#: rows of a per-group table up to which it is sent to the rows rather than these to it
+SMALL = 100_000
+
+
+def join_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Joins per-group numbers back to the rows of their groups (null keys
+    match). The table of groups is computed once and counted: a small one is
+    broadcast, so that the rows stay where they are and few or uneven groups
+    make no hot task; a large one is joined by shuffle, where groups are many."""
+    checkpoint_dir(df.sparkSession)
+    stats = stats.checkpoint()
+    return null_safe_join(df, F.broadcast(stats) if stats.count() <= SMALL else stats, keys, how)
+
+
 def _with_ghosts(s: DataFrame, halo: int, of: str | None) -> DataFrame:
     """``s`` (a sorted frame) and, flagged ``_ghost``, the ``halo`` rows before
     each partition (with ``of``, the last row before it in which that column

@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import null_safe_join
+from tessera.operators.ordered import join_stats
 
 __all__ = ["onehot_drop_first", "target_encode", "standardize", "minmax", "variance_filter", "text_tokens",
            "tfidf_vocabulary", "tfidf", "tfidf_top_terms", "route_text", "impute", "column_routing", "drop_columns"]
@@ -46,7 +46,7 @@ def target_encode(train: DataFrame, others: Sequence[DataFrame], cols: Sequence[
     for c in cols:
         stats = train.groupBy(c).agg(F.sum(F.col(label).cast("double")).alias("_s"), F.count(F.lit(1)).alias("_n"))
         enc = stats.select(c, ((F.col("_s") + smoothing * prior) / (F.col("_n") + smoothing)).alias(f"{c}_te"))
-        out = [null_safe_join(d, enc, [c], "left").withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), prior)) for d in out]
+        out = [join_stats(d, enc, [c]).withColumn(f"{c}_te", F.coalesce(F.col(f"{c}_te"), prior)) for d in out]
     return out
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import band, ratio
 from tessera.operators.joins import first_event_attrs
-from tessera.operators.ordered import null_safe_join, quantiles, with_rank
-from tessera.operators.windows import gap_days
+from tessera.session import checkpoint_dir
+from tessera.operators.ordered import join_stats, null_safe_join, quantiles, with_rank
 
 __all__ = ["monthly_total", "mean_median_by", "user_profile", "kpi_sheet", "return_split", "return_share_by",
            "return_by_segment", "return_by_weekday", "histogram", "box_stats", "counts_by", "flag_share_by",
@@ -47,14 +47,15 @@ def user_profile(purchases: DataFrame, *, user: str = "user_id", order: str = "o
     """A23 per user: first/last order, distinct orders, mean revenue, mean
     tickets, mean days since the previous order, mean revenue per ticket,
     attributes of the first order (J10) and the return flags."""
-    gaps = gap_days(purchases.select(user, order, ts, date), [user], [F.col(ts), F.col(order)], date, "days_since_prev")
-    p = (purchases.join(gaps.select(order, "days_since_prev"), order, "left")
-         .withColumn("rev_per_ticket", F.try_divide(F.col(revenue).cast("double"), F.col(tickets).cast("double"))
+    p = (purchases.withColumn("rev_per_ticket", F.try_divide(F.col(revenue).cast("double"), F.col(tickets).cast("double"))
                      .cast("decimal(25,10)")))
+    # The gaps between successive orders add up to the time from the first to the last.
+    place = F.struct(ts, order)
+    span = F.datediff(F.max_by(date, place).cast("date"), F.min_by(date, place).cast("date"))
     agg = p.groupBy(user).agg(
         F.min(ts).alias("first_order"), F.max(ts).alias("last_order"), F.count_distinct(order).alias("total_orders"),
         ratio(F.sum(revenue), F.count(revenue)).alias("avg_order_rev"),
-        F.avg(tickets).alias("avg_tickets_count"), F.avg("days_since_prev").alias("avg_days_since_prev"),
+        F.avg(tickets).alias("avg_tickets_count"), F.try_divide(span.cast("double"), F.count(date) - 1).alias("avg_days_since_prev"),
         ratio(F.sum("rev_per_ticket"), F.count("rev_per_ticket")).alias("avg_revenue_per_ticket"))
     first = first_event_attrs(purchases, user, [ts, order], list(attrs), prefix="first_")
     return (agg.join(first, user)
@@ -64,7 +65,8 @@ def user_profile(purchases: DataFrame, *, user: str = "user_id", order: str = "o
 
 def kpi_sheet(profile: DataFrame) -> DataFrame:
     """A24 one aggregate over the profile, unpivoted to (metric, value)."""
-    profile = profile.persist()     # read by the aggregate and the median scan
+    checkpoint_dir(profile.sparkSession)
+    profile = profile.checkpoint()     # read by the aggregate and the median scan
     stacked = profile.select(F.explode(F.array(
         F.struct(F.lit("median_order_revenue").alias("m"), F.col("avg_order_rev").cast("double").alias("v")),
         F.struct(F.lit("median_tickets").alias("m"), F.col("avg_tickets_count").cast("double").alias("v")))).alias("s")).select("s.*")
@@ -126,7 +128,7 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     q = q.withColumn("lower_fence", F.col("q1") - 1.5 * iqr).withColumn("upper_fence", F.col("q3") + 1.5 * iqr)
     x = F.col(col).cast("double")
-    j = null_safe_join(df.select(*by, col), q, by, "inner")
+    j = join_stats(df.select(*by, col), q, by, "inner")
     inside = (x >= F.col("lower_fence")) & (x <= F.col("upper_fence"))
     w = j.groupBy(*by).agg(F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
                            F.count_if(~inside).alias("outliers"))

@@ -18,6 +18,7 @@ from tessera.operators import linear
 from tessera.operators.metrics import incremental_revenue
 from tessera.operators.ordered import with_rank
 from tessera.operators.windows import dense_rank_values
+from tessera.session import checkpoint_dir
 
 __all__ = ["grouped_time_folds", "stack_scores", "ranking_scores", "threshold_scores", "summarise", "search", "backward_select"]
 
@@ -83,7 +84,9 @@ def search(candidates: Mapping[str, object], folds: Sequence[tuple[DataFrame, Da
            larger_better: bool = True, threshold: float = 0.5) -> DataFrame:
     """Grid or random search by an exact scorer, over any folds: one fixed validation pair
     (M9), grouped time folds (M8) or k folds."""
-    stacked = stack_scores(candidates, folds, label).checkpoint()
+    stacked = stack_scores(candidates, folds, label)
+    checkpoint_dir(stacked.sparkSession)
+    stacked = stacked.checkpoint()
     scores = ranking_scores(stacked) if metric in ("average_precision", "roc_auc") else threshold_scores(stacked, threshold)
     return summarise(scores, metric, larger_better)
 
@@ -94,6 +97,7 @@ def backward_select(df: DataFrame, features: Sequence[str], label: str, fold: st
     last named). All candidates of a round are ridge fits from the same moments of
     each fold, and their validation scores are judged in one pass. -> (step,
     dropped, left, score), step 0 with all columns."""
+    checkpoint_dir(df.sparkSession)
     data = df.select(*features, label, fold).dropna().checkpoint()
     folds = sorted(r[0] for r in data.select(fold).distinct().collect())
     # Moments of the rows outside a fold, for all folds in one aggregate.

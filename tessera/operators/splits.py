@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import null_safe_join, quantiles, with_rank
+from tessera.operators.ordered import join_stats, quantiles, with_rank
 from tessera.operators.windows import dense_rank_values
 
 __all__ = ["hash_rank", "hash_unit", "hash_split", "stratified_split", "time_split", "time_fraction_split", "group_split",
@@ -140,4 +140,4 @@ def balanced_weights(df: DataFrame, label: str, col: str = "weight") -> DataFram
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     n = df.agg(F.count(F.lit(1))).scalar()
     k = counts.agg(F.count(F.lit(1))).scalar()
-    return null_safe_join(df, counts, [label], "left").withColumn(col, n / (k * F.col("_nc"))).drop("_nc")
+    return join_stats(df, counts, [label]).withColumn(col, n / (k * F.col("_nc"))).drop("_nc")

@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import null_safe_join, with_rank
+from tessera.operators.ordered import join_stats, with_rank
 
 __all__ = ["lags", "expanding_mean_before", "rolling_mean_before", "gap_days", "dense_rank_values",
            "group_total", "time_series_features"]
@@ -72,7 +72,7 @@ def dense_rank_values(df: DataFrame, col: str, name: str = "dense_rank") -> Data
     single-partition window)."""
     distinct = df.select(col).distinct().where(F.col(col).isNotNull())
     ranked = with_rank(distinct, [], [F.col(col)]).select(col, (F.col("_rank") + 1).alias(name))
-    return df.join(ranked, col, "left")
+    return join_stats(df, ranked, [col])
 
 
 def group_total(df: DataFrame, keys: Sequence[str], col: str, name: str | None = None) -> DataFrame:
@@ -81,7 +81,7 @@ def group_total(df: DataFrame, keys: Sequence[str], col: str, name: str | None =
     pre-aggregated map-side instead of landing in one task."""
     name = name or f"{col}_group_total"
     tot = df.groupBy(*keys).agg(F.sum(col).alias(name))
-    return null_safe_join(df, tot, keys, how="left")
+    return join_stats(df, tot, keys)
 
 
 def time_series_features(df: DataFrame, keys: Sequence[str], date_col: str, col: str) -> DataFrame:

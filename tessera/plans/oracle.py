@@ -184,20 +184,16 @@ def _():
                                "avg_transaction_count", "avg_transaction", "avg_sum_of_transaction"))
 def _():
     return f"""WITH {GAME},
-    ewn AS (SELECT id, count(id) AS tx_count, sum(amount) AS tx_sum FROM g_events WHERE amount > 0 GROUP BY id),
-    total_players AS (SELECT race_id, count(DISTINCT id) AS total_players FROM g_users GROUP BY race_id),
-    buyers AS (SELECT u.race_id, count(e.id) AS total_players_with_transaction,
-                      count(CASE WHEN u.payer = 1 THEN 1 END) AS total_paying_buyers,
-                      avg(e.tx_count) AS avg_transaction_count,
-                      CAST(sum(e.tx_sum) AS DOUBLE) / sum(e.tx_count) AS avg_transaction,
-                      CAST(sum(e.tx_sum) AS DOUBLE) / count(e.tx_sum) AS avg_sum_of_transaction
-               FROM ewn e JOIN g_users u USING (id) GROUP BY u.race_id)
-    SELECT r.race, t.total_players, b.total_players_with_transaction,
-           CAST(b.total_players_with_transaction AS DOUBLE) / t.total_players AS share_with_transaction_players,
-           CAST(b.total_paying_buyers AS DOUBLE) / b.total_players_with_transaction AS share_paying_among_buyers,
-           b.avg_transaction_count, b.avg_transaction, b.avg_sum_of_transaction
-    FROM total_players t JOIN buyers b USING (race_id) JOIN g_race r USING (race_id)
-    WHERE b.total_paying_buyers > 0"""
+    player AS (
+      SELECT race_id, id, max(payer) AS payer, count(*) FILTER (amount > 0) AS purchases, coalesce(sum(amount) FILTER (amount > 0), 0) AS spent
+      FROM g_users LEFT JOIN g_events USING (id) GROUP BY race_id, id)
+    SELECT race, count(*) AS total_players, count_if(purchases > 0) AS total_players_with_transaction,
+           count_if(purchases > 0) / count(*) AS share_with_transaction_players,
+           count_if(purchases > 0 AND payer = 1) / count_if(purchases > 0) AS share_paying_among_buyers,
+           sum(purchases) / count_if(purchases > 0) AS avg_transaction_count,
+           CAST(sum(spent) AS DOUBLE) / sum(purchases) AS avg_transaction,
+           CAST(sum(spent) AS DOUBLE) / count_if(purchases > 0) AS avg_sum_of_transaction
+    FROM player JOIN g_race USING (race_id) GROUP BY race HAVING count_if(purchases > 0 AND payer = 1) > 0"""
 
 
 # ------------------------------------------------------------------ time-aware core
