@@ -209,19 +209,18 @@ def members(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     while True:
         named = members.join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
         by = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
-        largest = by.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        largest = by.groupBy("bucket").agg(F.max(F.struct("c", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("c").alias("size")).where("comps > 1")
+        # A large bucket's members are dealt over salts, with its centres repeated for each.
+        salts = F.least(F.lit(parts), F.floor(F.col("size") / DEALT) + 1).cast("int")
         strays = named.select("bucket", "v", "comp").join(largest.select("bucket", "main"), "bucket").where("comp <> main").join(used, ["bucket", "v"], "left_anti")
         picked = strays.groupBy("bucket", F.pmod(F.xxhash64("v", F.lit(turn)), F.lit(CENTRES)).alias("s")).agg(F.min("v").alias("v")).select("bucket", "v")
-        centres = cut(named.join(picked, ["bucket", "v"]).select("bucket", F.col("v").alias("a"), F.col("n").alias("m"), F.col("comp").alias("own"),
+        centres = cut(named.join(picked, ["bucket", "v"]).join(largest.select("bucket", salts.alias("salts")), "bucket").select("bucket", "salts", F.col("v").alias("a"), F.col("n").alias("m"), F.col("comp").alias("own"),
                                                                 F.col("same").alias("its_same"), F.col("bits").alias("its_bits")))
         if centres.isEmpty():
             break
         # Comparing is work, not bytes: a stated count of partitions keeps it from being drawn together.
-        # A large bucket's members are dealt over salts, with its centres repeated for each.
-        salts = (named.join(centres.select("bucket").distinct(), "bucket", "left_semi").groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-                 .select("bucket", F.least(F.lit(parts), F.floor(F.col("size") / DEALT) + 1).cast("int").alias("salts")))
-        dealt = named.join(F.broadcast(salts) if salts.count() <= 100_000 else salts, "bucket").select(F.col("bucket").alias("at"), F.pmod(F.xxhash64("v"), F.col("salts")).cast("int").alias("part"), *named.drop("bucket").columns)
-        spread = centres.join(salts, "bucket").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+        dealt = named.join(largest.select("bucket", salts.alias("salts")), "bucket").select(F.col("bucket").alias("at"), F.pmod(F.xxhash64("v"), F.col("salts")).cast("int").alias("part"), *named.drop("bucket").columns)
+        spread = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
         met = (dealt.repartition(parts, "at", "part").join(spread.repartition(parts, "bucket", "salt"), (F.col("at") == F.col("bucket")) & (F.col("part") == F.col("salt")) & (F.col("comp") != F.col("own")) & near & _may_link(percent))
                .select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct())
         pairs = cut(met.join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
