@@ -1,23 +1,28 @@
 """Toxicity by a subsequence string kernel and a support vector machine.
 
-Two words are alike by their common subsequences of three letters, gaps allowed,
-each weighted by DECAY to the length it spans (inserted characters and signs
-cost a factor each and do not break the match); the kernel is normalised. Words
-of labelled documents serve as Nystroem landmarks, a linear machine with squared
-hinge loss is trained in the landmark space, and a document scores as its most
-toxic sentence, a sentence as its most toxic word. Labels are known by document
+A sentence is read in units: its words, and its pairs of neighbouring words with
+what stands between them. Two units are alike by their common subsequences of three
+letters, gaps allowed, each weighted by DECAY to the length it spans (inserted
+characters, signs and blanks cost a factor each and do not break the match, up to
+``REACH`` characters beyond the first letter); the kernel is normalised. So an insult
+counts when a blank cuts it in two, and a phrase of ordinary words when it is the phrase that is toxic. Units
+of the sentences of labelled documents serve as Nystroem landmarks, a linear machine with squared
+hinge loss is trained in the landmark space, a sentence scores as its most toxic unit, and a
+document as its most toxic sentence. Labels are known by document
 only, so the sentences that carry a toxic label are found in rounds: the highest
-scoring sentence of each toxic document against the highest scoring one of every
+scoring one of each toxic document against the highest scoring one of every
 other document. A logistic curve turns the score into a probability.
 
 As the machine is linear in the landmark space, it folds into one weight for each
-letter triple: scoring is a table look-up over the distinct words of a chunk.
+letter triple: scoring is a table look-up over the distinct units of a chunk.
+Bytes of other scripts share 37 symbols.
 
 Defined cases: null and empty texts score as a text without toxic words; letters
 without labels, null labels and labels without documents are ignored, a document
-labelled twice is toxic if either row says so; other columns stay; no rows give
+labelled twice is toxic if either row says so, of rows that share a doc_id each is learned; other columns stay; no rows give
 no rows; without labelled documents of both classes every score is the share of
-toxic ones (0 without any).
+toxic ones (0 without any); of units with equal scores or odds the first by bytes counts; units of a labelled text
+under three bytes are no training units; a text is scored as a whole, in memory that grows with the longest one.
 """
 
 from __future__ import annotations
@@ -39,15 +44,23 @@ from tessera.llm.common import LOWER, byte_chunks, doc_bytes, gather, span_hash,
 __all__ = ["Model", "fit", "train", "training_sample", "score", "triples"]
 
 DECAY, REACH, CHUNK = 0.6, 5, 1 << 20
-#: Letters 1-26, digits that stand for letters, bytes of other letters in 27-31; all else is a gap.
+#: Bits of a symbol, and codes of three of them.
+BITS = 6
+SPACE = 1 << 3 * BITS
+#: Letters 1-26, digits that stand for letters, bytes of other scripts dealt over the rest; all else is a gap.
 SYMBOL = np.zeros(256, np.int32)
 SYMBOL[97:123] = np.arange(1, 27)
 for _digit, _letter in zip(b"013457", b"oieast"):
     SYMBOL[_digit] = SYMBOL[_letter]
-SYMBOL[128:] = 27 + np.arange(128) % 5
+SYMBOL[128:] = 27 + np.arange(128) % ((1 << BITS) - 27)
+_STOP = np.zeros(256, bool)
+_STOP[list(b".!?")] = True
+#: Bytes of a pair of words, at most.
+PAIR = 32
 _STEPS = [(a, b) for a in range(1, REACH) for b in range(1, REACH + 1 - a)]
-_WHOLE = np.zeros(1 << 15, np.float32)
-_WHOLE[[(x << 10) | (y << 5) | z for x in range(1, 32) for y in range(1, 32) for z in range(1, 32)]] = 1
+_WHOLE = np.zeros(SPACE, np.float32)
+_codes = np.arange(SPACE)
+_WHOLE[(_codes >> 2 * BITS > 0) & (_codes >> BITS & (1 << BITS) - 1 > 0) & (_codes & (1 << BITS) - 1 > 0)] = 1
 
 
 def triples(word: bytes) -> dict[int, float]:
@@ -57,7 +70,7 @@ def triples(word: bytes) -> dict[int, float]:
         for i in range(len(s) - a - b):
             x, y, z = s[i], s[i + a], s[i + a + b]
             if x and y and z:
-                c = (x << 10) | (y << 5) | z
+                c = (x << 2 * BITS) | (y << BITS) | z
                 out[c] = out.get(c, 0.0) + DECAY ** (a + b + 1)
     return out
 
@@ -70,7 +83,8 @@ def unit(word: bytes) -> tuple[list[int], np.ndarray]:
 
 
 def words(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, document) of words of lower-case bytes; letters set apart by single spaces count as one word."""
+    """(start, end, document) of the units of lower-case bytes, by document: words (letters set apart by single spaces
+    count as one) and pairs of neighbouring words of a sentence, from the first letter of one to the last of the other."""
     start, end, doc = word_spans(flat, offsets)
     if not len(start):
         return start, end, doc
@@ -79,7 +93,12 @@ def words(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     joined[1:] = single[1:] & single[:-1] & (start[1:] == end[:-1] + 1) & (doc[1:] == doc[:-1])
     first = np.flatnonzero(~joined)
     last = np.concatenate((first[1:], [len(start)])) - 1
-    return start[first], end[last], doc[first]
+    start, end, doc = start[first], end[last], doc[first]
+    close = (doc[1:] == doc[:-1]) & (start[1:] - end[:-1] <= 2) & ~_STOP[flat[end[:-1] - 1]] & (flat[end[:-1]] != 10) & (end[1:] - start[:-1] <= PAIR)
+    i = np.flatnonzero(close)
+    start, end, doc = (np.concatenate(x) for x in ((start, start[i]), (end, end[i + 1]), (doc, doc[i])))
+    order = np.argsort(doc, kind="stable")
+    return start[order], end[order], doc[order]
 
 
 @dataclass
@@ -102,7 +121,7 @@ class Model:
                 break
             same = who[reach:] == who[:m]
             for a in range(1, reach):
-                code = (s[:m] << 10) | (s[a:a + m] << 5) | s[reach:]
+                code = (s[:m] << 2 * BITS) | (s[a:a + m] << BITS) | s[reach:]
                 code *= same
                 value[:m] += np.float32(DECAY ** (reach + 1)) * self.weight[code]
                 norm[:m] += np.float32(DECAY ** (2 * reach + 2)) * _WHOLE[code]
@@ -156,7 +175,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     y = np.array(labels, int)
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < y.sum() < len(y):
-        return Model(np.zeros(1 << 15, np.float32), 0.0, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
+        return Model(np.zeros(SPACE, np.float32), 0.0, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     flat, offsets = doc_bytes(pa.array(texts, pa.large_string()))
     flat = LOWER[flat]
     start, end, doc = words(flat, offsets)
@@ -179,11 +198,15 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     plain = sorted((w for w in seen[0] if w not in odds), key=by_hash)
     marks = [w for w in good + plain[:landmarks - len(good)] if triples(w)]
     if not marks:
-        return Model(np.zeros(1 << 15, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
-    base = np.zeros((1 << 15, len(marks)), np.float32)
+        return Model(np.zeros(SPACE, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
+    # The landmarks' own triples, numbered; all others are 0 with every landmark.
+    codes = np.array(sorted({c for m in marks for c in triples(m)}), np.int64)
+    number = np.full(SPACE, len(codes), np.int32)
+    number[codes] = np.arange(len(codes))
+    base = np.zeros((len(codes) + 1, len(marks)), np.float32)
     for k, m in enumerate(marks):
         places, weights = unit(m)
-        base[places, k] = weights
+        base[number[places], k] = weights
     values, vectors = np.linalg.eigh(base.T @ base)
     keep = values > 1e-6
     root = vectors[:, keep] / np.sqrt(values[keep])  # kernel of the landmarks to the power -1/2
@@ -193,7 +216,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
         for w in ws:
             if w not in known:
                 places, weights = unit(w)
-                known[w] = (weights @ base[places]) @ root
+                known[w] = (weights @ base[number[places]]) @ root
         return np.stack([known[w] for w in ws])
 
     rest = plain[:3000]
@@ -201,7 +224,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
 
     def borne_out(w: bytes) -> bool:
         """Alike a word that several toxic documents share; else the label is not this word's doing."""
-        own = np.zeros(1 << 15)
+        own = np.zeros(SPACE)
         at, weights = unit(w)
         own[at] = weights
         return any(x @ own[c] >= 0.5 for c, x in places)
@@ -212,7 +235,8 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     for _ in range(rounds):
         x = features(positive + negative)
         w = _machine(x, np.array([1.0] * len(positive) + [-1.0] * len(negative)))
-        model = Model((base @ (root @ w[:-1])).astype(np.float32), float(w[-1]), 1.0, 0.0)
+        model = Model(np.zeros(SPACE, np.float32), float(w[-1]), 1.0, 0.0)
+        model.weight[codes] = (base @ (root @ w[:-1]))[:-1]
         model.weight[_WHOLE == 0] = 0
         scores = np.concatenate([model.word_scores(flat[offsets[i]:offsets[j]], start[a:b] - offsets[i], end[a:b] - offsets[i])
                                  for i, j in byte_chunks(offsets, CHUNK) for a, b in [(bounds[i], bounds[j])] if b > a])
@@ -230,7 +254,7 @@ def _sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
             .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, most: int = 5000) -> tuple[list[str], list[int]]:
+def training_sample(docs: DataFrame, labels: DataFrame, most: int = 4000) -> tuple[list[str], list[int]]:
     """Texts and toxic labels of at most ``most`` labelled documents (lowest hashes of
     doc_id first) whose crc32 of the id's text mod 4 is not 2."""
     rows = sorted(map(tuple, _sample(docs, labels, most).collect()))

@@ -81,6 +81,89 @@ def test_toxicity_held_out_and_edge_rows(spark):
     assert toxicity.score(docs.limit(0), toxicity.fit([], [])).count() == 0
 
 
+def test_kernel_against_plain_subsequences():
+    """The weights of a unit, its length and a model's score, from all index triples of the definition."""
+    r = random.Random(3)
+    symbol = lambda c: int(toxicity.SYMBOL[c])
+
+    def plain(unit):
+        out = {}
+        for i in range(len(unit)):
+            for j in range(i + 1, len(unit)):
+                for k in range(j + 1, min(len(unit), i + toxicity.REACH + 1)):
+                    t = symbol(unit[i]), symbol(unit[j]), symbol(unit[k])
+                    if all(t):
+                        out[t] = out.get(t, 0) + toxicity.DECAY ** (k - i + 1)
+        return out
+
+    units = ["".join(r.choice("abc-1 é") for _ in range(r.randint(1, 14))).strip().encode() or b"a" for _ in range(60)]
+    weight = np.random.default_rng(0).normal(size=toxicity.SPACE).astype(np.float32) * (toxicity._WHOLE > 0)
+    model = toxicity.Model(weight, -0.1, 1.0, 0.0)
+    flat = np.frombuffer(b"".join(units), np.uint8)
+    end = np.cumsum([len(u) for u in units])
+    start = end - [len(u) for u in units]
+    for u, got in zip(units, model.word_scores(flat, start, end)):
+        want = plain(u)
+        split = lambda c: (c >> 2 * toxicity.BITS, c >> toxicity.BITS & 63, c & 63)
+        have = {split(c): w for c, w in toxicity.triples(u).items()}
+        assert have.keys() == want.keys() and all(abs(have[t] - want[t]) < 1e-12 for t in want)
+        value = sum(w * weight[(t[0] << 2 * toxicity.BITS) | (t[1] << toxicity.BITS) | t[2]] for t, w in want.items())
+        exact = value / np.sqrt(sum(w * w for w in want.values())) - 0.1 if want else -0.1
+        assert abs(got - exact) < 1e-4 or (got <= 0 and exact <= 0)  # exact where it can call a text toxic
+
+
+def test_units_of_a_sentence():
+    flat = np.frombuffer(b"ab cd. ef  g h\nij " + b"x" * 40 + b" k", np.uint8)
+    start, end, doc = toxicity.words(flat, np.array([0, len(flat)]))
+    got = sorted(flat[a:b].tobytes() for a, b in zip(start, end))
+    assert got == sorted([b"ab", b"cd.", b"ef", b"g h", b"ij", b"x" * 40, b"k", b"ab cd.", b"ef  g h"])
+
+
+def toxic_texts(n, vocab, r, put):
+    texts, y = [], []
+    for i in range(n):
+        ws = [r.choice(vocab) for _ in range(40)]
+        put(i, ws)
+        texts.append(" ".join(ws))
+        y.append(int(i % 5 == 0))
+    return texts, y
+
+
+def test_toxic_phrases_cut_insults_and_other_scripts():
+    from tessera.llm.common import doc_bytes
+    r = random.Random(1)
+    latin = ["".join(r.choice("aeioulnrst") for _ in range(r.randint(3, 8))) for _ in range(300)]
+    other = ["".join(r.choice("абвгдежзиклмнопрст") for _ in range(r.randint(3, 8))) for _ in range(300)]
+
+    def phrase(i, ws):
+        for j in r.sample(range(10, 40), 2):
+            ws[j] = "green"  # in every text, and "tomato" in half of the clean ones
+        if i % 5 == 0:
+            ws[7:9] = ["green", "tomato"]
+        elif r.random() < 0.5:
+            ws[3] = "tomato"
+
+    def word(bad):
+        def put(i, ws):
+            if i % 5 == 0:
+                ws[7] = r.choice(bad)
+        return put
+
+    def judged(vocab, put):
+        model = toxicity.fit(*toxic_texts(600, vocab, r, put))
+        texts, y = toxic_texts(300, vocab, r, put)
+        p = model.probability(model.decide(*doc_bytes(pa.array(texts)))) >= 0.3
+        y = np.array(y) == 1
+        assert p[y].mean() >= 0.95 and p[~y].mean() <= 0.03
+        return model
+
+    judged(latin, phrase)
+    judged(other, word(["шурубурум", "цыцыкака"]))
+    model = judged(latin, word(["blorgfizz", "snarfleblorg"]))
+    for w in ("snarfleblorg", "SNAR fleblorg", "snar.fle-blorg", "s n a r f l e b l o r g"):
+        assert model.probability(model.decide(*doc_bytes(pa.array(["le ane " + w + " re nelo"]))))[0] >= 0.3
+
+
 def test_toxicity_on_given_labels(spark):
     base = "/root/testdata/sf0.1"
     docs, lab = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
