@@ -230,7 +230,9 @@ def members(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
             edges = edges.union(more)
             label = components(edges)
     comp = vertices.select("v", "doc_id").join(label, "v", "left").withColumn("comp", F.coalesce("comp", "v"))
-    least = comp.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that the join has shuffles of its own, which are split where one class has very many members.
+    comp = cut(comp)
+    least = cut(comp.groupBy("comp").agg(F.min("doc_id").alias("component_id")))
     comp = comp.join(least, "comp").select("v", "comp", "component_id")
     return f.select("doc_id", "text_hash", "n_shingles", "v").join(comp, "v", "left").select("doc_id", "text_hash", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).alias("comp"), "component_id")
 
