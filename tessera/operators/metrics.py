@@ -11,6 +11,7 @@ the 1001-row grid (not 1001 scans, not a range join).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +23,7 @@ from tessera.operators.ordered import with_rank
 __all__ = ["regression_metrics", "mape", "pricing_risk", "confusion", "classification_report",
            "binary_scores", "roc_auc", "average_precision", "pr_curve", "log_loss_brier", "calibration_curve",
            "ece_mce", "approval_sweep", "choose_approval_threshold", "revenue_sweep", "best_revenue_threshold",
-           "approval_at", "business_effect", "cv_summary", "incremental_revenue"]
+           "approval_at", "business_effect", "cv_summary", "incremental_revenue", "Economics"]
 
 
 def regression_metrics(df: DataFrame, y: str, pred: str, by: Sequence[str] = ()) -> DataFrame:
@@ -194,19 +195,25 @@ def choose_approval_threshold(sweep: DataFrame, min_approval: float = 0.65, max_
     return ok.orderBy(F.col("approval_rate").desc(), F.col("threshold").asc()).limit(1)
 
 
-# Unit economics of the booking-cancellation case (revenue per room,
-# compensation for a false alarm, revenue lost to a cancellation, value of a rebooking).
-AVG_REV, COST_FP, LOST_REV, PER_REBOOKING = 64_500, 7_000, 64_500, 45_000
+@dataclass(frozen=True)
+class Economics:
+    """Worth of each outcome. Fixed values as defaults: the booking-cancellation case
+    (revenue per room, compensation for a false alarm, revenue lost to a cancellation, value of a rebooking)."""
 
+    avg_rev: float = 64_500
+    cost_fp: float = 7_000
+    lost_rev: float = 64_500
+    per_rebooking: float = 45_000
 
-def incremental_revenue(tn: Column, fp: Column, fn: Column, tp: Column) -> tuple[Column, Column, Column]:
+
+def incremental_revenue(tn: Column, fp: Column, fn: Column, tp: Column, worth: Economics = Economics()) -> tuple[Column, Column, Column]:
     """K13 (ir, relative ir %, ir_before) from confusion counts."""
-    ir0 = (tn + fp) * AVG_REV - (tp + fn) * LOST_REV
-    ir1 = tp * PER_REBOOKING + tn * AVG_REV - fp * COST_FP - fn * LOST_REV
+    ir0 = (tn + fp) * worth.avg_rev - (tp + fn) * worth.lost_rev
+    ir1 = tp * worth.per_rebooking + tn * worth.avg_rev - fp * worth.cost_fp - fn * worth.lost_rev
     return ir1 - ir0, F.try_divide((ir1 - ir0).cast("double"), ir0.cast("double")) * 100, ir0
 
 
-def revenue_sweep(df: DataFrame, y: str, p: str, steps: int = 1000) -> DataFrame:
+def revenue_sweep(df: DataFrame, y: str, p: str, steps: int = 1000, worth: Economics = Economics()) -> DataFrame:
     """K13/K14 confusion counts and incremental revenue for every threshold
     t = k/steps with positive = p >= t (one histogram pass)."""
     pp = F.col(p).cast("double")
@@ -218,7 +225,7 @@ def revenue_sweep(df: DataFrame, y: str, p: str, steps: int = 1000) -> DataFrame
     g = (_grid(df.sparkSession, steps).join(hist, "k", "left").fillna(0, subset=["pos", "neg"])
          .withColumn("tp", F.sum("pos").over(w)).withColumn("fp", F.sum("neg").over(w)))
     g = g.withColumn("fn", P - F.col("tp")).withColumn("tn", Nn - F.col("fp"))
-    ir, rel, _ = incremental_revenue(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp"))
+    ir, rel, _ = incremental_revenue(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp"), worth)
     return g.select("threshold", "tn", "fp", "fn", "tp", ir.alias("incremental_revenue"), rel.alias("relative_ir"))
 
 
@@ -236,14 +243,14 @@ def approval_at(df: DataFrame, y: str, p: str, threshold: float) -> DataFrame:
                       F.coalesce(ratio("ad", "d"), F.lit(0.0)).alias("missed_default_rate"))
 
 
-def business_effect(df: DataFrame, y: str, p: str, threshold: float) -> DataFrame:
-    """K16 cancel rate before/after, occupancy change % and relative IR at a threshold."""
-    pred = (F.col(p) >= threshold).cast("int")
+def business_effect(df: DataFrame, y: str, p: str, threshold: float, worth: Economics = Economics()) -> DataFrame:
+    """K16 cancel rate before/after, occupancy change % and relative IR of acting on scores above a threshold."""
+    pred = (F.col(p) > threshold).cast("int")
     c = df.withColumn("_pred", pred)
     conf = confusion(c, y, "_pred")
     tn, fp, fn, tp = (F.col(k) for k in ("tn", "fp", "fn", "tp"))
     n = tn + fp + fn + tp
-    _, rel, _ = incremental_revenue(tn, fp, fn, tp)
+    _, rel, _ = incremental_revenue(tn, fp, fn, tp, worth)
     return conf.select(((fn + tp) / n).alias("cancel_rate_before"), (fn / n).alias("cancel_rate_after"),
                        (((tn) - (tn + fp)) / (tn + fp) * 100).alias("occupancy_change_pct"), rel.alias("relative_ir"))
 

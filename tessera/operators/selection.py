@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import linear
-from tessera.operators.metrics import incremental_revenue
+from tessera.operators.metrics import Economics, incremental_revenue
 from tessera.operators.ordered import with_rank
 from tessera.operators.windows import dense_rank_values
 from tessera.session import checkpoint_dir
@@ -63,13 +63,13 @@ def ranking_scores(stacked: DataFrame) -> DataFrame:
                                F.try_divide(F.sum(F.col("neg") * above), F.max(F.col("_tot_pos").cast("double") * F.col("_tot_neg"))).alias("roc_auc"))
 
 
-def threshold_scores(stacked: DataFrame, threshold: float = 0.5) -> DataFrame:
+def threshold_scores(stacked: DataFrame, threshold: float = 0.5, worth: Economics = Economics()) -> DataFrame:
     """(candidate, fold, missed_rate, revenue, revenue_percent): the share of positives below
     the threshold, and the revenue that acting on the others brings, absolute and relative."""
     hit = F.col("score") > threshold
     c = stacked.groupBy(*_BY).agg(*[F.count_if(cond).alias(n) for n, cond in
                                     (("tn", ~hit & (F.col("y") == 0)), ("fp", hit & (F.col("y") == 0)), ("fn", ~hit & (F.col("y") == 1)), ("tp", hit & (F.col("y") == 1)))])
-    gain, percent, _ = incremental_revenue(*[F.col(x) for x in ("tn", "fp", "fn", "tp")])
+    gain, percent, _ = incremental_revenue(*[F.col(x) for x in ("tn", "fp", "fn", "tp")], worth)
     return c.select(*_BY, F.try_divide(F.col("fn").cast("double"), F.col("fn") + F.col("tp")).alias("missed_rate"), gain.cast("double").alias("revenue"), percent.alias("revenue_percent"))
 
 

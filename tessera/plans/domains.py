@@ -302,6 +302,19 @@ def doc_features(t: Tables) -> DataFrame:
                     F.col("quality").cast("double").alias("quality"), F.col("toxic").cast("double").alias("toxic")))
 
 
+def store_attributes(t: Tables) -> DataFrame:
+    """Stores of the panel (nations): type = region, size = number of customers."""
+    size = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).cast("double").alias("store_size"))
+    n = t.nation.select(F.col("n_nationkey").alias("store"), F.col("n_regionkey").cast("double").alias("store_type"))
+    return n.join(size.withColumnRenamed("c_nationkey", "store"), "store", "left")
+
+
+def weekly_factors(t: Tables) -> DataFrame:
+    """Outside factors of each week, known beforehand: mean discount, tax and quantity of what ships in it."""
+    week = F.date_trunc("week", F.col("l_shipdate").cast("timestamp")).cast("date").alias("date")
+    return t.lineitem.groupBy(week).agg(F.avg("l_discount").alias("factor_discount"), F.avg("l_tax").alias("factor_tax"), F.avg("l_quantity").alias("factor_quantity"))
+
+
 def labelled(t: Tables) -> DataFrame:
     """Ids and labels of the labelled documents."""
     return t.documents.select("doc_id").join(t.labels, "doc_id").select("doc_id", F.col("quality").cast("double").alias("quality"), F.col("toxic").cast("double").alias("toxic"))

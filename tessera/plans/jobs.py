@@ -41,17 +41,20 @@ def drifting_columns(train: DataFrame, val: DataFrame, cols) -> list[str]:
 
 
 def forecast_scoring(t: D.Tables, plan_weeks: int = 8, out_path: str | None = None) -> DataFrame:
-    """Panel -> time-series features (one ordered scan) -> train boosted
+    """Panel -> time-series features (one ordered scan) -> store attributes
+    and the week's factors joined (one row a store, one a week) -> train boosted
     trees on history -> score plan rows (lags of unknown weeks -> 0) -> clip
     at 0 -> stamped predictions keyed by (store, dept, date)."""
     panel = windows.time_series_features(plan_panel(t, plan_weeks), ["store", "dept"], "date", "weekly_sales")
+    outside = ["store_type", "store_size", "factor_discount", "factor_tax", "factor_quantity"]
     feats = ["store", "dept", "month", "quarter", "year", "avg_sales_before", "sales_1week_ago", "sales_2week_ago",
-             "sales_4week_ago", "mean_sales_2week", "mean_sales_4week"]
+             "sales_4week_ago", "mean_sales_2week", "mean_sales_4week", *outside]
+    panel = panel.join(D.store_attributes(t), "store", "left").join(D.weekly_factors(t), "date", "left")
     panel = panel.select("store", "dept", "date", "is_plan", F.col("weekly_sales").cast("double").alias("weekly_sales"),
                          *[F.col(c).cast("double").alias(c) for c in feats if c not in ("store", "dept")])
     panel = panel.checkpoint()                       # one materialised panel for drift check, fit and scoring
     hist = panel.where(~F.col("is_plan")).dropna()
-    plan = panel.where(F.col("is_plan")).fillna(0.0, subset=[c for c in feats if c not in ("store", "dept")])
+    plan = panel.where(F.col("is_plan")).fillna(0.0, subset=[c for c in feats if c not in ("store", "dept")])      # lags of weeks not yet known
     val_start = hist.agg(F.date_sub(F.max("date"), 7 * 26)).scalar()
     drift = drifting_columns(hist.where(F.col("date") < val_start), hist.where(F.col("date") >= val_start), feats[5:])
     use = [c for c in feats if c not in drift]

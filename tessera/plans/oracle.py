@@ -845,8 +845,8 @@ def _():
 
 @oracle("business_effect", dbl=("cancel_rate_before", "cancel_rate_after", "occupancy_change_pct", "relative_ir"))
 def _():
-    return f"""WITH {SCORED}, c AS (SELECT count(*) FILTER (WHERE y = 0 AND p < 0.415) AS tn, count(*) FILTER (WHERE y = 0 AND p >= 0.415) AS fp,
-                                      count(*) FILTER (WHERE y = 1 AND p < 0.415) AS fn, count(*) FILTER (WHERE y = 1 AND p >= 0.415) AS tp FROM sc)
+    return f"""WITH {SCORED}, c AS (SELECT count(*) FILTER (WHERE y = 0 AND p <= 0.415) AS tn, count(*) FILTER (WHERE y = 0 AND p > 0.415) AS fp,
+                                      count(*) FILTER (WHERE y = 1 AND p <= 0.415) AS fn, count(*) FILTER (WHERE y = 1 AND p > 0.415) AS tp FROM sc)
     SELECT CAST(fn + tp AS DOUBLE) / (tn + fp + fn + tp) AS cancel_rate_before, CAST(fn AS DOUBLE) / (tn + fp + fn + tp) AS cancel_rate_after,
            CAST(tn - (tn + fp) AS DOUBLE) / (tn + fp) * 100 AS occupancy_change_pct,
            CAST((tp * 45000 + tn * 64500 - fp * 7000 - fn * 64500) - ((tn + fp) * 64500 - (tp + fn) * 64500) AS DOUBLE)
@@ -1110,6 +1110,12 @@ def _():
     return f"SELECT o_orderkey, CASE WHEN {u} < 0.6 THEN 'train' WHEN {u} < 0.8 THEN 'val' ELSE 'test' END AS split FROM orders"
 
 
+@oracle("hash_split")
+def _():
+    u = f"({ranked_hash('o_orderkey')} / pow(2.0, 60))"
+    return f"SELECT CASE WHEN {u} < 0.6 THEN 'train' WHEN {u} < 0.6 + 0.2 THEN 'val' ELSE 'test' END AS split, count(*) AS n FROM orders GROUP BY 1"
+
+
 @oracle("stratified_split_rows", dbl=("quality",))
 def _():
     return f"""WITH {DOCS}, r AS (

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tessera.session import checkpoint_dir
+
 __all__ = [
     "TABLES", "read_table", "read_csv", "read_tsv_decimal_comma", "read_query",
     "register_mart", "scratch_table", "write_partitioned", "write_predictions", "check_batch",
@@ -69,11 +71,13 @@ def register_mart(df: DataFrame, name: str, table: bool = False) -> DataFrame:
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Drop-and-recreate a scratch table inside one job: the view is
-    replaced and the data persisted (spilling to disk) for reuse."""
+    replaced and the data written to the checkpoint folder for reuse, from
+    where it goes with the last frame that reads it."""
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         spark.catalog.dropTempView(name)
-    out = df.persist()
+    checkpoint_dir(spark)
+    out = df.checkpoint()
     out.createOrReplaceTempView(name)
     return out
 

@@ -15,7 +15,9 @@ import __spark_entry__ as E  # noqa: E402
 BASE = "/root/testdata/sf0.001"
 SUBSET = ["customer_mart", "region_report", "item_popularity", "ts_features", "asof_join", "interval_label",
           "describe_numeric", "dedup_first", "batch_features", "prop_ztest", "psi", "roc_auc", "threshold_sweep",
-          "user_profile", "box_stats", "cramers_v"]
+          "user_profile", "box_stats", "cramers_v", "ts_lags", "ts_rolling_mean", "lagged_label", "credit_observations", "knn_regression",
+          "alpha_grid", "fold_ranking_scores", "fold_threshold_scores", "grouped_time_folds", "stratified_split_rows", "resample_rows",
+          "visitor_features", "tfidf_features", "written_batch_features", "csv_round_trip", "business_effect", "class_weights"]
 KEYS = sorted(E.oracle_sql()) if os.environ.get("TESSERA_ALL_ORACLE") else SUBSET
 
 

@@ -10,7 +10,9 @@ import __spark_entry__ as E
 BASE = "/root/testdata/sf0.001"
 SUBSET = ["customer_mart", "item_popularity", "asof_join", "ts_features", "interval_label", "batch_features",
           "prop_ztest", "psi", "threshold_sweep", "user_profile", "dedup_first", "fill_group_mean", "box_stats",
-          "regression_metrics", "global_stats", "describe_numeric"]
+          "regression_metrics", "global_stats", "describe_numeric", "ts_lags", "lag_gap_days", "credit_observations", "booking_table",
+          "knn_regression", "alpha_grid", "fold_ranking_scores", "stratified_split_rows", "resample_rows", "visitor_features",
+          "class_weights", "target_encoding", "tfidf_features", "kpi_sheet", "group_activity"]
 
 
 def _plan(df) -> str:
@@ -60,3 +62,12 @@ def test_mart_pushes_filters_and_prunes_columns(spark):
     assert "PushedFilters: [In(o_orderstatus, [F,P])" in plan or "In(o_orderstatus" in plan
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert scans and all(s.count(":") <= 4 for s in scans)   # no full-width table scans
+
+
+@pytest.mark.parametrize("name", ["ts_lags", "ts_rolling_mean", "lag_gap_days", "asof_join", "lagged_label"])
+def test_looking_back_joins_no_rows(spark, name):
+    """What is before a row comes from a window and carried rows, not from a join of the rows with themselves."""
+    plan = _plan(E.queries()[name](spark, BASE))
+    for windows in _window_partitions(plan):
+        assert "_pid" in windows, windows
+    assert plan.count("SortMergeJoin") == 0
