@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -91,15 +91,20 @@ def write_partitioned(df: DataFrame, path: str, run_date: str, fmt: str = "parqu
 
 
 def check_batch(df: DataFrame, key: Sequence[str] | str) -> dict:
-    """Pre-write checks in one job: row count and duplicated keys."""
+    """Checks in one job: row count, rows with a null in the key, duplicated keys."""
     key = [key] if isinstance(key, str) else list(key)
+    missing = F.lit(False)
+    for k in key:
+        missing = missing | F.col(k).isNull()
     row = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+             .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).alias("nulls"),
                   F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).alias("dups"))
              .first())
-    result = {"rows": int(row["rows"]), "duplicate_keys": int(row["dups"])}
+    result = {"rows": int(row["rows"]), "null_keys": int(row["nulls"]), "duplicate_keys": int(row["dups"])}
     if result["rows"] == 0:
         raise ValueError("batch is empty")
+    if result["null_keys"] > 0:
+        raise ValueError(f"{result['null_keys']} rows without key {key}")
     if result["duplicate_keys"] > 0:
         raise ValueError(f"{result['duplicate_keys']} duplicated keys on {key}")
     return result
@@ -107,29 +112,18 @@ def check_batch(df: DataFrame, key: Sequence[str] | str) -> dict:
 
 def publish(df: DataFrame, path: str, key: Sequence[str] | str, partition: str | None = None, fmt: str = "parquet") -> dict:
     """S6-S8 write, check, publish. ``df`` is computed once, into a staging
-    folder under ``path``, and counted on the way (rows, rows with a null in
-    the key); duplicated keys are counted on the staged key columns. Only if
-    the rows pass does the staged folder take the place of ``path``'s
+    folder under ``path``; rows, null keys and duplicated keys are counted
+    there, from the key columns alone. Only if the rows pass does the staged folder take the place of ``path``'s
     ``partition`` (``run_date=...``) or, without one, of the whole table. A
     failing check raises and leaves what was published as it was."""
     key = [key] if isinstance(key, str) else list(key)
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
-    missing = F.lit(False)
-    for k in key:
-        missing = missing | F.col(k).isNull()
-    seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("null_keys"))
     folder = spark._jvm.org.apache.hadoop.fs.Path
     fs = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
-        counted.write.format(fmt).save(staged)
-        result = {"rows": int(seen.get["rows"]), "null_keys": int(seen.get["null_keys"])}
-        if result["rows"] == 0:
-            raise ValueError("batch is empty")
-        if result["null_keys"]:
-            raise ValueError(f"{result['null_keys']} rows without key {key}")
-        check_batch(spark.read.format(fmt).load(staged).select(*key), key)
+        df.write.format(fmt).save(staged)
+        result = check_batch(spark.read.format(fmt).load(staged).select(*key), key)
         target = f"{path.rstrip('/')}/{partition}" if partition else path.rstrip("/")
         old = [folder(target)] if partition else [f.getPath() for f in fs.listStatus(folder(path)) if not f.getPath().getName().startswith("_staging-")]
         for p in old:

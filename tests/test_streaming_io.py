@@ -99,7 +99,7 @@ def test_publish_computes_once_and_only_replaces_what_passes(spark):
                 yield b
         return spark.createDataFrame([(i, "a") for i in ids], "id long, v string").mapInPandas(run, "id long, v string")
 
-    assert io.publish(rows([1, 2, 3]), path, "id", partition="run_date=2024-01-01") == {"rows": 3, "null_keys": 0}
+    assert io.publish(rows([1, 2, 3]), path, "id", partition="run_date=2024-01-01") == {"rows": 3, "null_keys": 0, "duplicate_keys": 0}
     assert made.value == 3
     io.publish(rows([7]), path, "id", partition="run_date=2024-01-02")
     stored = lambda: sorted((r.id, str(r.run_date)) for r in spark.read.parquet(path).collect())
