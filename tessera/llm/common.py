@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from typing import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
 
-__all__ = ["table", "cut", "doc_bytes", "byte_chunks", "mix64", "word_spans", "free_name", "LOWER"]
+__all__ = ["table", "cut", "doc_bytes", "byte_chunks", "mix64", "word_spans", "free_name", "release", "LOWER"]
 
 #: byte -> byte, A-Z to a-z
 LOWER = np.arange(256, dtype=np.uint8)
@@ -45,6 +46,16 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def release() -> None:
+    """Gives memory that a task has freed back to the system: a Python worker lives on
+    for the tasks of other operators, and what it keeps counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it does this by itself or not at all
+        pass
+
+
 def doc_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, offsets) of a string or binary Arrow column; null is empty."""
     if column.null_count:

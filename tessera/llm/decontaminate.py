@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, byte_chunks, doc_bytes, mix64
+from tessera.llm.common import LOWER, byte_chunks, doc_bytes, mix64, release
 
 __all__ = ["Index", "edit_match", "edit_matches", "item_blocks", "hits", "clean"]
 
@@ -369,6 +369,7 @@ def clean(docs: DataFrame, items: DataFrame, edits: float = 0.2, block_bytes: in
                 keep = np.ones(b.num_rows, bool)
                 keep[[d for d, *_ in index.value.find(*doc_bytes(b.column(at)))]] = False
                 yield b.filter(pa.array(keep))
+            release()
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs

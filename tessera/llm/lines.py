@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import byte_chunks, cut, free_name, mix64
+from tessera.llm.common import byte_chunks, cut, free_name, mix64, release
 from tessera.llm.graph import attach
 
 __all__ = ["align", "aligned", "windows", "common_lines", "deletions", "dedup_lines"]
@@ -203,6 +203,7 @@ def deletions(docs: DataFrame, min_words: int = 6) -> DataFrame:
                 keep = [r for r, x in enumerate(gone) if len(x)]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([p + r for r in keep], pa.int64())),
                                                   pa.array([gone[r] for r in keep], pa.list_(pa.int32()))], names=["doc", "gone"])
+        release()
 
     lines = F.split("text", "\n")
     own = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text <> ''")

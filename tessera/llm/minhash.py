@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, byte_chunks, cut, doc_bytes, free_name, mix64, span_hash, word_spans
+from tessera.llm.common import LOWER, byte_chunks, cut, doc_bytes, free_name, mix64, release, span_hash, word_spans
 from tessera.llm.graph import attach, components
 
 __all__ = ["shingle_sets", "sketches", "features", "members", "classes", "first_of_each"]
@@ -112,6 +112,7 @@ def features(docs: DataFrame, k: int) -> DataFrame:
                     [b.column(0).slice(i, j - i), b.column(2).slice(i, j - i), pa.array(n, pa.int64()), pa.array(v.view(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, (j - i) * bands + 1, bands, dtype=np.int32)), pa.array(key.reshape(-1).view(np.int64)))],
                     names=["doc_id", "text_hash", "n_shingles", "v", "bands"])
+        release()
 
     ids = F.col("doc_id").cast("bigint").alias("doc_id")
     return docs.select(ids, "text", F.xxhash64("text").alias("text_hash")).where("doc_id IS NOT NULL").mapInArrow(run, schema)

@@ -27,9 +27,7 @@ under three bytes are no training units; a text is scored as a whole, in memory
 
 from __future__ import annotations
 
-import hashlib
 import pickle
-from collections import Counter
 from dataclasses import dataclass
 from typing import Iterator
 
@@ -39,11 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import LOWER, byte_chunks, doc_bytes, gather, span_hash, word_spans
+from tessera.llm.common import LOWER, byte_chunks, doc_bytes, gather, mix64, release, span_hash, word_spans
 
 __all__ = ["Model", "fit", "train", "training_sample", "score", "triples"]
 
-DECAY, REACH, CHUNK = 0.6, 5, 1 << 20
+DECAY, REACH, CHUNK = 0.6, 5, 1 << 18
 #: Bits of a symbol, and codes of three of them.
 BITS = 6
 SPACE = 1 << 3 * BITS
@@ -180,22 +178,31 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
     flat = LOWER[flat]
     start, end, doc = words(flat, offsets)
     raw, bounds = flat.tobytes(), np.searchsorted(doc, np.arange(len(y) + 1))
-    pool: dict[bytes, bytes] = {}  # one object for equal words
-    bags = [sorted({pool.setdefault(raw[a:b], raw[a:b]) for a, b in zip(start[i:j].tolist(), end[i:j].tolist()) if b - a >= 3}) for i, j in zip(bounds, bounds[1:])]
-    by_hash = lambda w: hashlib.md5(w).digest()
-    # Copies of one text would lend its words a weight of their own: each group counts once.
-    spread, taken, own = Counter(w for b in bags for w in b), set(), []
+    # Units by number: their strings are taken out of the text only where they are needed.
+    long = np.flatnonzero(end - start >= 3)
+    kinds, first, kind = np.unique(span_hash(flat, start[long], end[long]), return_index=True, return_inverse=True)
+    first = long[first]
+    string = lambda k: raw[start[first[k]]:end[first[k]]]
+    pairs = np.unique(doc[long] * max(len(kinds), 1) + kind)
+    of, kind = pairs // max(len(kinds), 1), pairs % max(len(kinds), 1)
+    edge, spread, chance = np.searchsorted(of, np.arange(len(y) + 1)), np.bincount(kind, minlength=len(kinds)), mix64(kinds)
+    # Copies of one text would lend its units a weight of their own: each group counts once.
+    taken, own = set(), np.zeros(len(y), bool)
     for d in sorted(range(len(y)), key=lambda d: (-y[d], d)):
-        rare = [by_hash(w) for w in bags[d] if spread[w] <= max(2, len(y) // 200)]
-        signs = {(k, min(h[k:k + 4] for h in rare)) for k in (0, 4, 8, 12)} if len(rare) >= 5 else set()
-        if len(signs & taken) < 2:
-            own.append(d)
+        rare = kind[edge[d]:edge[d + 1]]
+        rare = kinds[rare[spread[rare] <= max(2, len(y) // 200)]]
+        signs = {(k, int(mix64(rare + np.uint64(k + 1)).min())) for k in range(4)} if len(rare) >= 5 else set()
+        own[d] = len(signs & taken) < 2
         taken |= signs
-    seen = [Counter(w for d in own if y[d] == t for w in bags[d]) for t in (0, 1)]
-    sure, n0 = sum(y[d] for d in own), sum(1 - y[d] for d in own)
-    odds = {w: (np.log((n + 0.5) / (sure + 1)) - np.log((seen[0][w] + 0.5) / (n0 + 1))) * np.sqrt(n) for w, n in seen[1].items()}
-    good = [w for w in sorted(odds, key=lambda w: (-odds[w], w)) if seen[1][w] >= min(3, sure)][:landmarks * 2 // 3]
-    plain = sorted((w for w in seen[0] if w not in odds), key=by_hash)
+    seen = [np.bincount(kind[own[of] & (y[of] == t)], minlength=len(kinds)) for t in (0, 1)]
+    sure, n0 = int(y[own].sum()), int((1 - y[own]).sum())
+    odds = np.where(seen[1] > 0, (np.log((seen[1] + 0.5) / (sure + 1)) - np.log((seen[0] + 0.5) / (n0 + 1))) * np.sqrt(seen[1]), 0.0)
+    shared = np.flatnonzero(seen[1] >= max(min(3, sure), 1)).tolist()
+    good = [string(k) for k in sorted(shared, key=lambda k: (-odds[k], string(k)))[:landmarks * 2 // 3]]
+    ordinary = np.flatnonzero((seen[0] > 0) & (seen[1] == 0))
+    plain = [string(k) for k in ordinary[np.argsort(chance[ordinary], kind="stable")][:3000].tolist()]
+    most = [mine[odds[mine] == odds[mine].max()].tolist() for d in np.flatnonzero(y == 1) for mine in [kind[edge[d]:edge[d + 1]]] if len(mine)]
+    likely = [max(string(k) for k in ties) for ties in most]
     marks = [w for w in good + plain[:landmarks - len(good)] if triples(w)]
     if not marks:
         return Model(np.zeros(SPACE, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
@@ -219,7 +226,6 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
                 known[w] = (weights @ base[number[places]]) @ root
         return np.stack([known[w] for w in ws])
 
-    rest = plain[:3000]
     places = [unit(w) for w in good]
 
     def borne_out(w: bytes) -> bool:
@@ -229,21 +235,27 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
         own[at] = weights
         return any(x @ own[c] >= 0.5 for c, x in places)
 
-    positive = [w for w in (max(b, key=lambda w: (odds.get(w, 0), w)) for b, t in zip(bags, y) if t and b) if borne_out(w)] or good
-    negative = list(rest)
-    model = None
+    positive = [w for w in likely if borne_out(w)] or good
+    negative = list(plain)
+    best, model = -np.inf, None
     for _ in range(rounds):
         x = features(positive + negative)
         w = _machine(x, np.array([1.0] * len(positive) + [-1.0] * len(negative)))
-        model = Model(np.zeros(SPACE, np.float32), float(w[-1]), 1.0, 0.0)
-        model.weight[codes] = (base @ (root @ w[:-1]))[:-1]
-        model.weight[_WHOLE == 0] = 0
-        scores = np.concatenate([model.word_scores(flat[offsets[i]:offsets[j]], start[a:b] - offsets[i], end[a:b] - offsets[i])
+        tried = Model(np.zeros(SPACE, np.float32), float(w[-1]), 1.0, 0.0)
+        tried.weight[codes] = (base @ (root @ w[:-1]))[:-1]
+        tried.weight[_WHOLE == 0] = 0
+        scores = np.concatenate([tried.word_scores(flat[offsets[i]:offsets[j]], start[a:b] - offsets[i], end[a:b] - offsets[i])
                                  for i, j in byte_chunks(offsets, CHUNK) for a, b in [(bounds[i], bounds[j])] if b > a])
         top = [bounds[d] + int(np.argmax(scores[bounds[d]:bounds[d + 1]])) if bounds[d + 1] > bounds[d] else None for d in range(len(y))]
+        # The round whose scores tell the labelled documents apart best is kept.
+        decision = np.array([min(tried.bias, 0.0) if t is None else max(scores[t], min(tried.bias, 0.0)) for t in top])
+        tried.slope, tried.shift = _logistic(decision, y)
+        p = np.clip(tried.probability(decision), 1e-9, 1 - 1e-9)
+        fits = float(np.where(y == 1, np.log(p), np.log(1 - p)).mean())
+        if fits > best:
+            best, model = fits, tried
         witness = lambda k: [raw[start[i]:end[i]] for i, t in zip(top, y) if t == k and i is not None]
-        positive, negative = [w for w in witness(1) if borne_out(w)] or good, sorted({*negative, *witness(0)}, key=by_hash)
-    model.slope, model.shift = _logistic(model.decide(flat, offsets), y)
+        positive, negative = [w for w in witness(1) if borne_out(w)] or good, sorted({*negative, *witness(0)})
     return model
 
 
@@ -266,7 +278,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 4000) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit([r[1] for r in rows], [r[2] for r in rows]))], pa.binary())], names=["model"])
+        model = pickle.dumps(fit([r[1] for r in rows], [r[2] for r in rows]))
+        del rows
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], names=["model"])
 
     models = _sample(docs, labels, most).repartition(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(models[0].model) if models else fit([], [])
@@ -283,5 +298,6 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
             m = shared.value
             p = m.probability(m.decide(*doc_bytes(b.column(at))))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p, pa.float64())], names=[*b.schema.names, column])
+        release()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
