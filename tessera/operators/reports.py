@@ -213,8 +213,12 @@ def top_share_mean(df: DataFrame, value: str, by: Sequence[str], p: float = 0.99
 
 
 def cluster_profile(df: DataFrame, cluster: str, cols: Sequence[str]) -> DataFrame:
-    """A47 mean of each input per cluster."""
-    return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col(c).cast("double")).alias(f"mean_{c}") for c in cols])
+    """A47 mean of each input per cluster. The inputs are stacked, so that any
+    number of them is one small aggregate, combined map-side."""
+    stacked = df.select(F.col(cluster), F.posexplode(F.array(*[F.col(c).cast("double") for c in cols])).alias("_at", "_v"))
+    means = stacked.groupBy(cluster, "_at").agg(F.count(F.lit(1)).alias("_n"), F.avg("_v").alias("_mean"))
+    out = means.groupBy(cluster).agg(F.max("_n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_at", "_mean"))).alias("_m"))
+    return out.select(cluster, "n", *[F.col("_m")[i].alias(f"mean_{c}") for i, c in enumerate(cols)])
 
 
 def error_profile(df: DataFrame, y: str, pred: str, by: Sequence[str]) -> DataFrame:
