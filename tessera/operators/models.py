@@ -207,7 +207,7 @@ def importances(model, names: Sequence[str], spark) -> DataFrame:
     return spark.createDataFrame([(n, float(v)) for n, v in zip(names, vals)], "feature string, importance double")
 
 
-def shuffled_rank(rank: Column, n: Column, seed: Column, rounds: int = 24) -> Column:
+def shuffled_rank(rank: Column, n: Column, seed: Column, rounds: int = 12) -> Column:
     """A keyed bijection of 0 .. n-1: swap-or-not rounds, in each of which a place and
     its mirror image about a keyed point change over or not, as a hash of the pair says."""
     keys = F.array(*[F.struct(F.lit(r).alias("r"), F.pmod(F.xxhash64(seed, F.lit(r)), n).alias("k")) for r in range(rounds)])
