@@ -30,7 +30,7 @@ from tessera.operators.ordered import with_rank
 __all__ = ["baseline", "logistic", "multinomial", "one_vs_rest", "one_vs_one", "linear_svc",
            "huber", "decision_tree", "random_forest", "gbt_regressor", "gbt_classifier",
            "kmeans_elbow", "cluster_feature", "grid_search", "random_param_maps", "isotonic_calibrate",
-           "comparison_table", "importances", "permutation_importance", "shuffled_rank", "score", "linear_formula"]
+           "comparison_table", "dealt", "importances", "permutation_importance", "shuffled_rank", "score", "linear_formula"]
 
 
 def baseline(train: DataFrame, others: Sequence[DataFrame], label: str, kind: str = "mean",
@@ -201,6 +201,13 @@ def comparison_table(rows: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def dealt(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """``df`` in partitions of about ``rows`` rows at most, for fits that read their
+    rows again and again: a split of a packed file unpacks to many times its size."""
+    n = df.count()
+    return df.repartition(max(-(-n // rows), df.sparkSession.sparkContext.defaultParallelism)) if n > rows else df
+
+
 def importances(model, names: Sequence[str], spark) -> DataFrame:
     """G18 tree importances or linear coefficients with feature names."""
     vals = model.featureImportances.toArray() if hasattr(model, "featureImportances") else model.coefficients.toArray()
@@ -223,20 +230,30 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], key: s
                            assemble: Callable[[DataFrame], DataFrame], repeats: int = 10, seed: int = 42) -> DataFrame:
     """G19 drop in ``metric`` (an aggregate of the prediction, larger is better)
     when one column is permuted. Rows are ranked once, and a row's shuffled
-    values are those of the rank a keyed bijection gives it, one for each
-    repeat: all repeats are one equi-join with the narrow (rank, values) table,
-    whose key is unique, and each column is scored for all repeats at once."""
-    base = model.transform(assemble(df)).agg(metric).first()[0]
-    ranked = with_rank(df, [], [F.col(key)], materialize=True)
+    values are those of the rank a keyed bijection gives it, another one for
+    each repeat. A repeat is one equi-join with the narrow (rank, values) table,
+    whose key is unique, and scores all columns in one pass; nothing of it is
+    written but its shuffle, which goes before the next one starts."""
+    base, n = model.transform(assemble(df)).agg(metric, F.count(F.lit(1))).first()
+    ranked = with_rank(df, [], [F.col(key)]).drop("_n")
     values = ranked.select(F.col("_rank").alias("_from"), *[F.col(c).alias(f"_v_{c}") for c in features])
-    turns = ranked.withColumn("_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    turns = turns.withColumn("_from", shuffled_rank(F.col("_rank"), F.col("_n"), F.lit(seed) + F.col("_repeat")))
-    joined = turns.join(values, "_from").drop("_from", "_rank", "_n").checkpoint()
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in features]
+    swaps = F.array(*[F.struct(F.lit(c).alias("_feature"), *[F.col(f"_v_{x}" if x == c else x).alias(x) for x in features]) for c in features])
+
+    def turn(repeat: int) -> dict[str, float]:
+        place = shuffled_rank(F.col("_rank"), F.lit(max(n, 1)).cast("bigint"), F.lit(seed + repeat))
+        joined = ranked.withColumn("_from", place).drop("_rank").join(values, "_from")
+        swapped = joined.select(*rest, F.inline(swaps))
+        return {r["_feature"]: base - r.m for r in model.transform(assemble(swapped)).groupBy("_feature").agg(metric.alias("m")).collect()}  # a row a column
+
+    drops = []
+    for r in range(repeats):
+        drops.append(turn(r))
+        df.sparkSession.sparkContext._jvm.System.gc()   # shuffle files are removed when the driver's JVM collects their frames
     rows = []
     for c in features:
-        swapped = joined.withColumn(c, F.col(f"_v_{c}")).drop(*[f"_v_{x}" for x in features])
-        drops = [base - r.m for r in model.transform(assemble(swapped)).groupBy("_repeat").agg(metric.alias("m")).collect()]  # a row a repeat
-        rows.append((c, float(np.mean(drops)), float(np.std(drops))))
+        own = [d[c] for d in drops if c in d]
+        rows.append((c, float(np.mean(own)), float(np.std(own))))
     return df.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
 
 

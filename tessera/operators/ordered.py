@@ -167,7 +167,9 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
                  F.coalesce(F.sum(f"_k_{c}").over(prev), F.lit(0)).alias(f"_ck_{c}")]
         if totals:
             cols.append(F.sum(f"_s_{c}").over(wk).alias(f"_tot_{c}"))
-    out = out.join(summ.select(*cols), [*nn, "_pid"])
+    summ = summ.select(*cols)
+    # Without keys the summary is one row a partition: the rows stay where they are.
+    out = out.join(summ if nn else F.broadcast(summ), [*nn, "_pid"])
     out = out.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
     for c in sums:
         out = (out.withColumn(f"_cum_{c}", F.col(f"_lcum_{c}") + F.col(f"_cs_{c}"))

@@ -119,3 +119,30 @@ def test_permutation_importance_ranks_columns(spark):
     # Shuffling a column of unit variance with weight w moves the error to about w * sqrt(2).
     assert abs(got["a"].importance_mean - 5 * 2 ** 0.5) < 0.7 and abs(got["b"].importance_mean - 2 ** 0.5) < 0.25 and abs(got["c"].importance_mean) < 1e-6
     assert got["a"].importance_std > 0
+
+
+def test_permutation_importance_keeps_one_copy_of_the_rows(spark, monkeypatch):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import classic
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(60), "a": rng.normal(size=60)})).withColumn("y", F.col("a") * 2)
+    asm = VectorAssembler(inputCols=["a"], outputCol="features")
+    m = G.LinearRegression(labelCol="y").fit(asm.transform(df))
+    written, plain = [], classic.dataframe.DataFrame.checkpoint
+
+    def counted(self, *args, **kw):
+        out = plain(self, *args, **kw)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(classic.dataframe.DataFrame, "checkpoint", counted)
+    G.permutation_importance(m, df, ["a"], "id", -F.avg(F.abs(F.col("prediction") - F.col("y"))), asm.transform, repeats=5)
+    assert sum(written) == 60
+
+
+def test_dealt_bounds_the_rows_of_a_partition(spark):
+    whole = spark.range(1000).coalesce(1)
+    got = G.dealt(whole, rows=100)
+    sizes = [r["n"] for r in got.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 150
+    assert G.dealt(whole, rows=1000) is whole
