@@ -911,9 +911,9 @@ def q_permutation_importance(spark, base):
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_extendedprice") \
         .withColumn("row_key", F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax"))
     feats = ["l_quantity", "l_discount", "l_tax"]
+    li = li.select("row_key", *feats, "l_extendedprice")
     from pyspark.ml.feature import VectorAssembler
     asm = VectorAssembler(inputCols=feats, outputCol="features")
-    li = li.checkpoint()
     m = G.decision_tree(label="l_extendedprice", depth=5).fit(asm.transform(li))
     rmse = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2)))
     return finish(G.permutation_importance(m, li, feats, "row_key", -rmse, asm.transform, repeats=10))
