@@ -40,13 +40,23 @@ def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
+#: rows compared with the pivots at a time, bytes of vectors handed on at a time
+PIECE, SENT = 1024, 1 << 22
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, b.num_rows, PIECE):
+            yield b.slice(i, PIECE)
+
+
 def _placed(rows: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
     """``rows(id, x, ...)`` with ``cell`` and ``away``, the nearest pivot and its distance."""
     shared = rows.sparkSession.sparkContext.broadcast(pivots)  # at most MAX_PIVOTS rows
     at = rows.columns.index("x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _pieces(batches):
             d = distances(_matrix(b.column(at), shared.value.shape[1]), shared.value, metric)
             near = d.argmin(1)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(near, pa.int32()), pa.array(d[np.arange(len(d)), near])],
@@ -66,7 +76,7 @@ def _chosen(test: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, flo
         p, known = shared.value
         names = np.array(sorted(known))
         size, least, most = (np.array([known[c][i] for c in names]) for i in range(3))
-        for b in batches:
+        for b in _pieces(batches):
             d = distances(_matrix(b.column(1), p.shape[1]), p, metric)[:, names]
             low = np.maximum(np.maximum(d - most, least - d), 0)
             order = np.lexsort((d, low), axis=1)
@@ -76,8 +86,11 @@ def _chosen(test: DataFrame, pivots: np.ndarray, cells: dict[int, tuple[int, flo
             # Sums of many squares are rounded: a cell at the very edge of the bound is not left out.
             pick = ~first & (low <= b.column(2).to_numpy(zero_copy_only=False)[:, None] * (1 + 1e-9) + 1e-12) if rest else first
             row, col = np.nonzero(pick)
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(names[col], pa.int32())], names=["id", "x", "cell"])
+            # A row goes to many cells, with its vector each time: so much at once, however many cells there are.
+            step = max(SENT // (8 * p.shape[1]), 1)
+            for i in range(0, len(row), step):
+                take = pa.array(row[i:i + step])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(names[col[i:i + step]], pa.int32())], names=["id", "x", "cell"])
 
     return test.mapInArrow(run, f"id {id_type}, x array<double>, cell int")
 

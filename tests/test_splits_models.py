@@ -144,3 +144,23 @@ def test_knn_blocks_bounds_and_metrics(spark):
 def test_resample_without_minority(spark):
     df = spark.range(20).withColumn("y", F.lit(0))
     assert M.resample_ratio(df, "y", ["id"]).count() == 20
+
+
+def test_knn_hands_on_vectors_in_bounded_pieces():
+    import pyarrow as pa
+    from tessera.operators import neighbors as N
+
+    class Frame:   # stands for a frame: takes the function that its tasks run
+        schema = type("S", (), {"__getitem__": lambda self, c: type("C", (), {"dataType": type("D", (), {"simpleString": lambda self: "bigint"})()})()})()
+        sparkSession = type("P", (), {"sparkContext": type("X", (), {"broadcast": staticmethod(lambda v: type("B", (), {"value": v})())})()})()
+
+        def mapInArrow(self, run, spec):
+            return run
+
+    rng = np.random.default_rng(8)
+    pivots = rng.normal(size=(256, 64))
+    cells = {c: (1, 0.0, 100.0) for c in range(256)}
+    x = pa.array(list(rng.normal(size=(2500, 64))), pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), x, pa.array([1e9] * 2500)], names=["id", "x", "bound"])
+    out = [(b.num_rows, b.nbytes) for b in N._chosen(Frame(), pivots, cells, "euclidean", 5, True)(iter([batch]))]
+    assert sum(n for n, _ in out) == 2500 * 251 and max(s for _, s in out) <= 2 * N.SENT
