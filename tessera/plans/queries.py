@@ -900,7 +900,8 @@ def q_feature_importance(spark, base):
     li = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice", "p_size"), "l_partkey")
     from pyspark.ml.feature import VectorAssembler
     feats = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
-    li = VectorAssembler(inputCols=feats, outputCol="features").transform(li).checkpoint()
+    li = G.dealt(li.select(*feats, "l_extendedprice"))
+    li = VectorAssembler(inputCols=feats, outputCol="features").transform(li).select("features", "l_extendedprice").checkpoint()
     m = G.gbt_regressor(label="l_extendedprice", iters=8, depth=4).fit(li)
     return finish(G.importances(m, feats, spark))
 
