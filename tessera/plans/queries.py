@@ -822,7 +822,8 @@ def q_regression_models(spark, base):
     li = M.hash_split(li, ["l_orderkey", "l_linenumber", "l_partkey"], [0.8, 0.2], ["train", "test"])
     from pyspark.ml.feature import VectorAssembler
     feats = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"]
-    li = VectorAssembler(inputCols=feats, outputCol="features").transform(li).checkpoint()
+    li = G.dealt(li.select(*feats, "l_extendedprice", "split"))
+    li = VectorAssembler(inputCols=feats, outputCol="features").transform(li).select("features", "l_extendedprice", "split").checkpoint()
     tr, te = li.where("split = 'train'"), li.where("split = 'test'")
     rows = {}
     for name, est in [("ols", G.LinearRegression(labelCol="l_extendedprice")),
