@@ -99,6 +99,18 @@ def words(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start[order], end[order], doc[order]
 
 
+def units(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``words`` and their hashes, read a chunk of documents at a time: the working numbers of a
+    byte, some hundred bytes, are held for one chunk only, and a unit keeps 20 bytes."""
+    place = np.int32 if len(flat) < 1 << 31 else np.int64
+    parts = []
+    for i, j in byte_chunks(offsets, CHUNK):
+        part = flat[offsets[i]:offsets[j]]
+        start, end, doc = words(part, offsets[i:j + 1] - offsets[i])
+        parts.append(((start + offsets[i]).astype(place), (end + offsets[i]).astype(place), (doc + i).astype(np.int32), span_hash(part, start, end)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 @dataclass
 class Model:
     weight: np.ndarray  # of each triple
@@ -176,14 +188,17 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
         return Model(np.zeros(SPACE, np.float32), 0.0, 0.0, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     flat, offsets = doc_bytes(pa.array(texts, pa.large_string()))
     flat = LOWER[flat]
-    start, end, doc = words(flat, offsets)
-    raw, bounds = flat.tobytes(), np.searchsorted(doc, np.arange(len(y) + 1))
+    start, end, doc, sign = units(flat, offsets)
+    taken_out = lambda i: flat[start[i]:end[i]].tobytes()
+    bounds = np.searchsorted(doc, np.arange(len(y) + 1, dtype=doc.dtype))
     # Units by number: their strings are taken out of the text only where they are needed.
     long = np.flatnonzero(end - start >= 3)
-    kinds, first, kind = np.unique(span_hash(flat, start[long], end[long]), return_index=True, return_inverse=True)
+    kinds, first, kind = np.unique(sign[long], return_index=True, return_inverse=True)
+    del sign
     first = long[first]
-    string = lambda k: raw[start[first[k]]:end[first[k]]]
-    pairs = np.unique(doc[long] * max(len(kinds), 1) + kind)
+    string = lambda k: taken_out(first[k])
+    pairs = np.unique(doc[long].astype(np.int64) * max(len(kinds), 1) + kind)
+    del long
     of, kind = pairs // max(len(kinds), 1), pairs % max(len(kinds), 1)
     edge, spread, chance = np.searchsorted(of, np.arange(len(y) + 1)), np.bincount(kind, minlength=len(kinds)), mix64(kinds)
     # Copies of one text would lend its units a weight of their own: each group counts once.
@@ -254,7 +269,7 @@ def fit(texts: list[str], labels: list[int], landmarks: int = 192, rounds: int =
         fits = float(np.where(y == 1, np.log(p), np.log(1 - p)).mean())
         if fits > best:
             best, model = fits, tried
-        witness = lambda k: [raw[start[i]:end[i]] for i, t in zip(top, y) if t == k and i is not None]
+        witness = lambda k: [taken_out(i) for i, t in zip(top, y) if t == k and i is not None]
         positive, negative = [w for w in witness(1) if borne_out(w)] or good, sorted({*negative, *witness(0)})
     return model
 

@@ -319,3 +319,19 @@ def test_chunks_of_documents_do_not_mix():
     half = "the quick brown fox jumps over th"
     from tessera.llm.common import doc_bytes
     assert x.find(*doc_bytes(pa.array([half, "e lazy dog and then some more words"]))) == []
+
+
+def test_units_of_many_texts_take_little_memory():
+    import tracemalloc
+    from tessera.llm import toxicity
+    from tessera.llm.common import span_hash
+    rng = np.random.default_rng(5)
+    letters = np.where(rng.random(6 << 20) < 0.18, 32, rng.integers(97, 123, 6 << 20)).astype(np.uint8)
+    offsets = np.concatenate((np.arange(0, len(letters), 5000), [len(letters)])).astype(np.int64)
+    tracemalloc.start()
+    start, end, doc, sign = toxicity.units(letters, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(letters)
+    s, e, d = toxicity.words(letters, offsets)
+    assert all((a == b).all() for a, b in ((start, s), (end, e), (doc, d), (sign, span_hash(letters, s, e))))
