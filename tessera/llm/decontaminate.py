@@ -45,13 +45,20 @@ __all__ = ["Index", "edit_match", "edit_matches", "item_blocks", "hits", "clean"
 #: bytes from which on items are found by walks; steps of a walk, places in a sample, samples; bytes of an item counted once; diagonals of a band
 SHORT, STEPS, PLACES, SAMPLES, CELL, BAND = 80, 20, 12, 6, 16, 32
 #: bytes searched at a time, walks begun at a time (they stay in a core's cache), chunks of items and whole items verified at a time
-CHUNK, PIECE, BATCH, WHOLE = 1 << 20, 1 << 15, 1 << 12, 512
+CHUNK, PIECE, BATCH, WHOLE = 1 << 20, 1 << 14, 1 << 12, 512
 _FOLD = LOWER.copy()
 _FOLD[[9, 10, 11, 12, 13]] = 32
-_BITS = 22
+#: places of a key's table: at most 2 ** _BITS, 2 ** SPARE times the keys, so that it stays in a core's cache
+_BITS, SPARE = 22, 4
 _random = mix64(np.arange(1, STEPS * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _GO_ON = (_random >> np.uint64(63)).astype(np.int64).reshape(STEPS, 256)
-_SAMPLED = [set(np.argsort(mix64(np.arange(STEPS, dtype=np.uint64) + np.uint64(1000 * (s + 1))))[:PLACES].tolist()) for s in range(SAMPLES)]
+_SAMPLED = [sorted(np.argsort(mix64(np.arange(STEPS, dtype=np.uint64) + np.uint64(1000 * (s + 1))))[:PLACES].tolist()) for s in range(SAMPLES)]
+#: a key is a polynomial: (sample, power) of each step, what a key begins with; and for each byte a bit for each step
+_POWERS = np.array([pow(0x9E3779B1, i, 1 << 32) for i in range(PLACES + 1)], np.uint32)
+_POWER_AT = [[(s, PLACES - 1 - sampled.index(j)) for s, sampled in enumerate(_SAMPLED) if j in sampled] for j in range(STEPS)]
+_FIRST = np.arange(1, SAMPLES + 1, dtype=np.uint32) * _POWERS[PLACES]
+_GO_BITS = (_GO_ON[:-1] << np.arange(33 - STEPS, 32)[:, None]).sum(0).astype(np.uint32).view(np.int32)
+_HALF, _MIX = np.uint32(15), np.uint32(0x85EBCA6B)
 
 
 def normal(flat: np.ndarray) -> np.ndarray:
@@ -115,22 +122,37 @@ def edit_matches(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: np
 
 def edits_at_most(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: np.ndarray, lo: np.ndarray, steps: int) -> np.ndarray:
     """The least edits of ``edit_matches`` for strings of up to 64 bytes, each against ``steps`` bytes from ``lo`` on."""
-    n, bit, one = len(which), (sizes - 1).astype(np.uint64), np.uint64(1)
-    pv, mv, row, place = np.full(n, ~np.uint64(0)), np.zeros(n, np.uint64), which * 256, lo.copy()
-    dist = sizes.astype(np.int64)
+    n, one = len(which), np.uint64(1)
+    pv, mv, row, top = np.full(n, ~np.uint64(0)), np.zeros(n, np.uint64), which * 256, one << (sizes - 1).astype(np.uint64)
+    dist = sizes.astype(np.int8)
     best = dist.copy()
-    for _ in range(steps):
-        eq = peq.take(row + flat.take(place, mode="clip"))
-        d0 = (((eq & pv) + pv) ^ pv) | eq | mv
-        ph, mh = mv | ~(d0 | pv), pv & d0
-        dist += ((ph >> bit) & one).view(np.int64)
-        dist -= ((mh >> bit) & one).view(np.int64)
+    eq, d0, ph, at, bit = np.empty(n, np.uint64), np.empty(n, np.uint64), np.empty(n, np.uint64), np.empty(n, np.int64), np.empty(n, bool)
+    for j in range(steps):
+        if j % 16 == 0:
+            read = flat.take(lo + np.arange(j, min(j + 16, steps))[:, None], mode="clip")
+        np.add(row, read[j % 16], out=at)
+        peq.take(at, out=eq, mode="clip")
+        np.bitwise_and(eq, pv, out=d0)
+        d0 += pv
+        d0 ^= pv
+        d0 |= eq
+        d0 |= mv
+        np.bitwise_or(d0, pv, out=ph)
+        np.invert(ph, out=ph)
+        ph |= mv
+        pv &= d0
+        np.not_equal(np.bitwise_and(ph, top, out=eq), 0, out=bit)
+        dist += bit.view(np.int8)
+        np.not_equal(np.bitwise_and(pv, top, out=eq), 0, out=bit)
+        dist -= bit.view(np.int8)
         np.minimum(best, dist, out=best)
-        ph <<= one
-        mh <<= one
-        pv, mv = mh | ~(d0 | ph), ph & d0
-        place += 1
-    return best
+        ph += ph
+        pv += pv
+        np.bitwise_and(ph, d0, out=mv)
+        d0 |= ph
+        np.invert(d0, out=d0)
+        pv |= d0
+    return best.astype(np.int64)
 
 
 def places_of(strings: list[bytes]) -> np.ndarray:
@@ -143,23 +165,37 @@ def places_of(strings: list[bytes]) -> np.ndarray:
 
 
 def walks(flat: np.ndarray) -> list[np.ndarray]:
-    """For each sample, the key of the walk from each byte on; walks that leave the bytes are left out."""
+    """For each sample, the key of the walk from each byte on; walks that leave the bytes are left out.
+    From the last step to the first, a place's key is its byte and the key of the place where the next step stands, its own or the one behind."""
     n = max(len(flat) - STEPS + 1, 0)
     out = [np.empty(n, np.uint32) for _ in range(SAMPLES)]
+    shape = min(PIECE, n) + STEPS
+    room = [np.empty((rows, shape), np.uint32) for rows in (SAMPLES, SAMPLES, PLACES)]
     for a in range(0, n, PIECE):
         size = min(PIECE, n - a)
-        part, place, keys = flat[a:a + size + STEPS], np.arange(size), [np.full(size, s + 1, np.uint32) for s in range(SAMPLES)]
-        wide, at = part.astype(np.uint32), part.astype(np.int64)
-        for j in range(STEPS):
-            c = wide.take(place)
-            for key, sampled in zip(keys, _SAMPLED):
-                if j in sampled:
-                    key *= np.uint32(0x9E3779B1)
-                    key += c
-            place += _GO_ON[j].take(at).take(place)
-        for o, key in zip(out, keys):
-            key ^= key >> np.uint32(15)
-            o[a:a + size] = key * np.uint32(0x85EBCA6B)
+        part = flat[a:a + size + STEPS - 1]
+        keys, other, read = (x[:, :len(part)] for x in room)
+        wide, bits = part.astype(np.uint32), _GO_BITS.take(part, mode="clip")
+        for power in range(PLACES):
+            np.multiply(wide, _POWERS[power], out=read[power])
+        keys[:] = 0
+        for j in range(STEPS - 1, -1, -1):
+            m = size + j
+            here = keys[:, :m]
+            if j < STEPS - 1:
+                # The sign bit says whether the walk goes on; the next step's bit takes its place.
+                step = np.bitwise_xor(here, keys[:, 1:m + 1], out=other[:, :m])
+                step &= (bits[:m] >> 31).view(np.uint32)
+                here ^= step
+                bits += bits
+            for s, power in _POWER_AT[j]:
+                key = here[s]
+                key += read[power, :m]
+        for s, o in enumerate(out):
+            key = keys[s, :size]
+            key += _FIRST[s]
+            key ^= key >> _HALF
+            np.multiply(key, _MIX, out=o[a:a + size])
     return out
 
 
@@ -185,29 +221,37 @@ class _Keys:
         for s in sorted({f[0] for f in found}):
             key, who, off = (np.concatenate([f[c] for f in found if f[0] == s]) for c in (1, 2, 3))
             order = np.argsort(key, kind="stable")
-            table = np.zeros(1 << _BITS, bool)
-            table[self._slot(key)] = True
+            bits = min(_BITS, len(key).bit_length() + SPARE)
+            table = np.zeros(1 << bits, bool)
+            table[self._slot(key, bits)] = True
             key, begin = np.unique(key[order], return_index=True)
-            self.tables.append((key, np.append(begin, len(order)), who[order], off[order], table))
+            # Where the keys of each two leading bits fewer than the table's begin; behind the last key one that none is above.
+            first = np.searchsorted(key, np.arange(1 << bits - 2, dtype=np.uint32) << np.uint32(34 - bits)).astype(np.int32)
+            self.tables.append((np.append(key, ~np.uint32(0)), np.append(begin, len(order)), who[order], off[order], table, first))
 
     @staticmethod
-    def _slot(key: np.ndarray) -> np.ndarray:
-        return key >> np.uint32(32 - _BITS)
-
-    def shared(self, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(place in ``flat``, item, place in the item) of equal keys, some millions at a time."""
-        for (key, begin, who, off, table), x in zip(self.tables, self.of(flat)):
-            near = np.flatnonzero(table.take(self._slot(x)))
-            mine = x.take(near)
-            at = np.searchsorted(key, mine)
+    def _slot(key: np.ndarray, bits: int) -> np.ndarray:
+        return (key >> np.uint32(32 - bits)).astype(np.int64)
+
+    def shared(self, flat: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(places in ``flat``, how many equal keys each has, which these are, item and place in the item of every key), some millions at a time."""
+        for (key, begin, who, off, table, first), x in zip(self.tables, self.of(flat)):
+            bits = len(table).bit_length() - 1
+            near = [np.flatnonzero(table.take(self._slot(x[a:a + PIECE], bits), mode="clip")) + a for a in range(0, len(x), PIECE)]
+            near = np.concatenate(near or [np.zeros(0, np.int64)])
+            mine = x.take(near, mode="clip")
+            at = first.take(self._slot(mine, bits - 2), mode="clip").astype(np.int64)
+            below = np.flatnonzero(key.take(at, mode="clip") < mine)
+            while len(below):
+                at[below] += 1
+                below = below[key.take(at.take(below, mode="clip"), mode="clip") < mine.take(below, mode="clip")]
             here = np.flatnonzero(key.take(at, mode="clip") == mine)
-            near, at = near[here], at[here]
-            lo = begin[at]
-            n = begin[at + 1] - lo
+            near, at = near.take(here, mode="clip"), at.take(here, mode="clip")
+            lo = begin.take(at, mode="clip")
+            n = begin.take(at + 1, mode="clip") - lo
             for i, j in byte_chunks(np.concatenate(([0], np.cumsum(n))), 1 << 21):
                 m = n[i:j]
-                pick = np.repeat(lo[i:j] - (np.cumsum(m) - m), m) + np.arange(m.sum())
-                yield np.repeat(near[i:j], m), who[pick], off[pick]
+                yield near[i:j], m, np.repeat(lo[i:j] - (np.cumsum(m) - m), m) + np.arange(m.sum()), who, off
 
 
 class Index:
@@ -228,11 +272,9 @@ class Index:
                 kinds[q].append(k)
                 self.least[k] = len(t) + 1 - q * (int(self.most[k]) + 1)
         self.keys = [(_Keys(partial(grams, q) if q else walks, self.items, which, 0 if q else STEPS - 1), CELL if not q else 1) for q, which in kinds.items()]
-        # Of an item cut into chunks, one has no more than its share of the edits.
         chunks = [(k, len(t) * c // n, len(t) * (c + 1) // n) for k, t in enumerate(self.items) if t for n in [-(-len(t) // 64)] for c in range(n)]
         self.chunk_at = np.searchsorted([c[0] for c in chunks], np.arange(len(self.items) + 1))
         self.chunk_off, self.chunk_size = (np.array([f(c) for c in chunks], np.int64) for f in (lambda c: c[1], lambda c: c[2] - c[1]))
-        self.chunk_most = (edits * self.chunk_size + 1e-9).astype(np.int64)
         self.peq = places_of([self.items[k][a:b] for k, a, b in chunks])[0]
 
     def windows(self, flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -242,27 +284,46 @@ class Index:
         of = np.append(of, np.full(STEPS, len(offsets) - 2))
         for keys, cell in self.keys:
             # A walk may read on behind its document; that can only add a window to be verified.
-            for near, who, off in keys.shared(np.concatenate((flat, np.zeros(STEPS - 1, np.uint8)))):
-                d = of[near]
-                shift = near - offsets[d] - off + below * BAND
-                seen.append((((d * len(self.items) + who) * bands + shift // BAND) * cells + off // cell) * BAND + shift % BAND)
-        seen = np.sort(np.concatenate(seen))
+            for near, m, pick, who, off in keys.shared(np.concatenate((flat, np.zeros(STEPS - 1, np.uint8)))):
+                d = of.take(near, mode="clip")
+                shift = np.repeat(near - offsets.take(d, mode="clip") + below * BAND, m)
+                shift -= off.take(pick, mode="clip")
+                code = np.repeat(d * (len(self.items) * bands * cells * BAND), m)
+                code += ((who * bands * cells + off // cell) * BAND).take(pick, mode="clip")
+                code += shift % BAND
+                shift //= BAND
+                shift *= cells * BAND
+                code += shift
+                seen.append(code)
+        seen = np.concatenate(seen)
         if not len(seen):
             return np.zeros((0, 4), np.int64)
+        seen.sort()
         cell = seen // BAND
-        code = cell // cells
+        cell_at = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+        code = cell.take(cell_at, mode="clip") // cells
         start = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-        low, high = (f.reduceat(seen % BAND, start) for f in (np.minimum, np.maximum))
-        count = np.add.reduceat(np.concatenate(([True], cell[1:] != cell[:-1])).astype(np.int64), start)
-        code = code[start]
-        least = self.least[code // bands % len(self.items)]
+        count, code = np.diff(np.append(start, len(code))), code.take(start, mode="clip")
+        least = self.least.take(code // bands % len(self.items), mode="clip")
         # A band by itself, or with the next one.
         after = np.minimum(np.arange(len(code)) + 1, len(code) - 1)
         joined = (code[after] == code + 1) & (count + count[after] >= least) & ((count < least) | (count[after] < least))
-        keep = (count >= least) | joined
-        last = np.where(joined, high[after] + BAND, high)
-        pair, first = code // bands, (code % bands - below) * BAND
-        return np.stack([pair // len(self.items), pair % len(self.items), first + low, first + last], 1)[keep]
+        keep = np.flatnonzero((count >= least) | joined)
+        begin, joined = np.append(cell_at.take(start, mode="clip"), len(seen)), joined[keep]
+        low, high = self._ends(seen, begin, keep)
+        high[joined] = self._ends(seen, begin, keep[joined] + 1)[1] + BAND
+        pair, first = code[keep] // bands, (code[keep] % bands - below) * BAND
+        return np.stack([pair // len(self.items), pair % len(self.items), first + low, first + high], 1)
+
+    @staticmethod
+    def _ends(seen: np.ndarray, begin: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least and greatest place, inside its band, of the walks of each of ``bands``."""
+        if not len(bands):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        n = begin[bands + 1] - begin[bands]
+        start = np.cumsum(n) - n
+        place = seen.take(np.repeat(begin[bands] - start, n) + np.arange(n.sum()), mode="clip") % BAND
+        return np.minimum.reduceat(place, start), np.maximum.reduceat(place, start)
 
     def _spread(self, offsets: np.ndarray) -> tuple[int, int, int]:
         """Bands of places before a document's first byte, bands in all, and cells of an item."""
@@ -287,17 +348,21 @@ class Index:
     def _verified(self, part: np.ndarray, local: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, item, edits, start, end) of the windows that match."""
         d, k, first, last = found.T
-        n = self.chunk_at[k + 1] - self.chunk_at[k]
-        near = np.zeros(len(found), bool)
-        row = np.repeat(np.arange(len(found)), n)
-        chunk = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.chunk_at[k], n)
-        lo, hi = self._between(local, d[row], self.most[k[row]], first[row] + self.chunk_off[chunk], last[row] - first[row] + self.chunk_size[chunk])
-        order = np.argsort(hi - lo, kind="stable")
-        for a in range(0, len(order), BATCH):
-            x = order[a:a + BATCH]
-            least = edits_at_most(self.peq, chunk[x], self.chunk_size[chunk[x]], part, lo[x], int((hi - lo)[x[-1]]))
-            near[row[x[least <= self.chunk_most[chunk[x]]]]] = True
-        d, k, first, last = found[near].T
+        # The least edits of an item's chunks together are no more than those of the item; 1, 1, 2, 4, 8... chunks at a time.
+        left, chunks, done = self.most[k], self.chunk_at[k + 1] - self.chunk_at[k], 0
+        alive = np.arange(len(found))
+        while len(some := alive[chunks[alive] > done]):
+            upto = max(done * 2, 1)
+            n = np.minimum(chunks[some], upto) - done
+            row = np.repeat(some, n)
+            chunk = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.chunk_at[k[some]] + done, n)
+            lo, hi = self._between(local, d[row], self.most[k[row]], first[row] + self.chunk_off[chunk], last[row] - first[row] + self.chunk_size[chunk])
+            order = np.argsort(hi - lo, kind="stable")
+            for a in range(0, len(order), BATCH):
+                x = order[a:a + BATCH]
+                np.subtract.at(left, row[x], edits_at_most(self.peq, chunk[x], self.chunk_size[chunk[x]], part, lo[x], int((hi - lo)[x[-1]])))
+            alive, done = alive[left[alive] >= 0], upto
+        d, k, first, last = found[alive].T
         lo, hi = self._between(local, d, self.most[k], first, last - first + self.size[k])
         order = np.lexsort((hi - lo, self.size[k]))
         for a in range(0, len(order), WHOLE):
