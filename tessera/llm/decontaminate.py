@@ -44,8 +44,8 @@ __all__ = ["Index", "edit_match", "edit_matches", "item_blocks", "hits", "clean"
 
 #: bytes from which on items are found by walks; steps of a walk, places in a sample, samples; bytes of an item counted once; diagonals of a band
 SHORT, STEPS, PLACES, SAMPLES, CELL, BAND = 80, 20, 12, 6, 16, 32
-#: bytes searched at a time, walks begun at a time (they stay in a core's cache), chunks of items and whole items verified at a time
-CHUNK, PIECE, BATCH, WHOLE = 1 << 20, 1 << 14, 1 << 12, 512
+#: bytes searched at a time, walks begun at a time (they stay in a core's cache), bytes of a chunk of an item at most, chunks and whole items verified at a time
+CHUNK, PIECE, PART, BATCH, WHOLE = 1 << 20, 1 << 14, 64, 1 << 13, 512
 _FOLD = LOWER.copy()
 _FOLD[[9, 10, 11, 12, 13]] = 32
 #: places of a key's table: at most 2 ** _BITS, 2 ** SPARE times the keys, so that it stays in a core's cache
@@ -120,17 +120,21 @@ def edit_matches(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: np
     return best, end
 
 
-def edits_at_most(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: np.ndarray, lo: np.ndarray, steps: int) -> np.ndarray:
-    """The least edits of ``edit_matches`` for strings of up to 64 bytes, each against ``steps`` bytes from ``lo`` on."""
-    n, one = len(which), np.uint64(1)
-    pv, mv, row, top = np.full(n, ~np.uint64(0)), np.zeros(n, np.uint64), which * 256, one << (sizes - 1).astype(np.uint64)
-    dist = sizes.astype(np.int8)
-    best = dist.copy()
-    eq, d0, ph, at, bit = np.empty(n, np.uint64), np.empty(n, np.uint64), np.empty(n, np.uint64), np.empty(n, np.int64), np.empty(n, bool)
+def edits_at_most(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: np.ndarray, lo: np.ndarray, steps: int, every: int = 1) -> np.ndarray:
+    """The least edits of ``edit_matches`` for strings of up to 64 bytes, each against ``steps`` bytes from ``lo`` on.
+    Looked at after ``every`` bytes only, as they change by one with a byte: then at least so many."""
+    n, row = len(which), which * 256
+    pv, mv, own = np.full(n, ~np.uint64(0)), np.zeros(n, np.uint64), ~np.uint64(0) >> (64 - sizes).astype(np.uint64)
+    eq, d0, ph, at, up, down = (np.empty(n, kind) for kind in (np.uint64, np.uint64, np.uint64, np.int64, np.uint8, np.uint8))
+    best = sizes.astype(np.uint8)
+    text = np.concatenate((flat, np.zeros(steps + 8, np.uint8)))
+    eight = np.ndarray(len(text) - 7, "<i8", text, 0, (1,))  # the eight bytes from each byte on
     for j in range(steps):
-        if j % 16 == 0:
-            read = flat.take(lo + np.arange(j, min(j + 16, steps))[:, None], mode="clip")
-        np.add(row, read[j % 16], out=at)
+        if j % 8 == 0:
+            read = eight[lo + j]
+        np.bitwise_and(read, 255, out=at)
+        at += row
+        read >>= 8
         peq.take(at, out=eq, mode="clip")
         np.bitwise_and(eq, pv, out=d0)
         d0 += pv
@@ -141,18 +145,19 @@ def edits_at_most(peq: np.ndarray, which: np.ndarray, sizes: np.ndarray, flat: n
         np.invert(ph, out=ph)
         ph |= mv
         pv &= d0
-        np.not_equal(np.bitwise_and(ph, top, out=eq), 0, out=bit)
-        dist += bit.view(np.int8)
-        np.not_equal(np.bitwise_and(pv, top, out=eq), 0, out=bit)
-        dist -= bit.view(np.int8)
-        np.minimum(best, dist, out=best)
         ph += ph
         pv += pv
         np.bitwise_and(ph, d0, out=mv)
         d0 |= ph
         np.invert(d0, out=d0)
         pv |= d0
-    return best.astype(np.int64)
+        if j % every == every - 1 or j == steps - 1:
+            # Each place of the string adds an edit, takes one off or neither.
+            np.bitwise_count(np.bitwise_and(pv, own, out=eq), out=up)
+            np.bitwise_count(np.bitwise_and(mv, own, out=eq), out=down)
+            up -= down
+            np.minimum(best, up, out=best)
+    return np.maximum(best.astype(np.int64) - every // 2, 0)
 
 
 def places_of(strings: list[bytes]) -> np.ndarray:
@@ -272,7 +277,7 @@ class Index:
                 kinds[q].append(k)
                 self.least[k] = len(t) + 1 - q * (int(self.most[k]) + 1)
         self.keys = [(_Keys(partial(grams, q) if q else walks, self.items, which, 0 if q else STEPS - 1), CELL if not q else 1) for q, which in kinds.items()]
-        chunks = [(k, len(t) * c // n, len(t) * (c + 1) // n) for k, t in enumerate(self.items) if t for n in [-(-len(t) // 64)] for c in range(n)]
+        chunks = [(k, len(t) * c // n, len(t) * (c + 1) // n) for k, t in enumerate(self.items) if t for n in [-(-len(t) // PART)] for c in range(n)]
         self.chunk_at = np.searchsorted([c[0] for c in chunks], np.arange(len(self.items) + 1))
         self.chunk_off, self.chunk_size = (np.array([f(c) for c in chunks], np.int64) for f in (lambda c: c[1], lambda c: c[2] - c[1]))
         self.peq = places_of([self.items[k][a:b] for k, a, b in chunks])[0]
@@ -360,7 +365,7 @@ class Index:
             order = np.argsort(hi - lo, kind="stable")
             for a in range(0, len(order), BATCH):
                 x = order[a:a + BATCH]
-                np.subtract.at(left, row[x], edits_at_most(self.peq, chunk[x], self.chunk_size[chunk[x]], part, lo[x], int((hi - lo)[x[-1]])))
+                np.subtract.at(left, row[x], edits_at_most(self.peq, chunk[x], self.chunk_size[chunk[x]], part, lo[x], int((hi - lo)[x[-1]]), every=4))
             alive, done = alive[left[alive] >= 0], upto
         d, k, first, last = found[alive].T
         lo, hi = self._between(local, d, self.most[k], first, last - first + self.size[k])

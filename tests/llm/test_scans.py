@@ -307,6 +307,45 @@ def test_distances_of_many_pairs():
     assert least.tolist() == [decontaminate.edit_match(items[k], flat[lo[k]:lo[k] + 250].tobytes())[0] for k in short]
 
 
+def test_walks_step_by_step():
+    r = np.random.default_rng(15)
+    for n in (0, 19, 20, 300, (1 << 14) + 50):  # beyond one piece
+        flat = r.integers(0, 256, n).astype(np.uint8)
+        got = decontaminate.walks(flat)
+        assert [len(x) for x in got] == [max(n - 19, 0)] * decontaminate.SAMPLES
+        for a in [*range(max(n - 19, 0))][:40] + [*range(max(n - 19, 0))][-60:]:
+            keys, place = [*range(1, decontaminate.SAMPLES + 1)], a
+            for j in range(decontaminate.STEPS):
+                c = int(flat[place])
+                keys = [(k * 0x9E3779B1 + c) % (1 << 32) if j in sampled else k for k, sampled in zip(keys, decontaminate._SAMPLED)]
+                place += int(decontaminate._GO_ON[j, c])
+            assert [int(x[a]) for x in got] == [(k ^ k >> 15) * 0x85EBCA6B % (1 << 32) for k in keys]
+
+
+def test_distances_looked_at_now_and_then_are_bounds():
+    r = random.Random(16)
+    text = lambda n: bytes(r.choice(b"ab c") for _ in range(n))
+    items = [text(r.choice([1, 3, 17, 63, 64])) for _ in range(50)]
+    flat, lo, size = np.frombuffer(text(3000), np.uint8), np.array([r.randrange(3000) for _ in items]), np.array([len(t) for t in items])
+    for steps in (0, 1, 3, 90):
+        exact, bound = (decontaminate.edits_at_most(decontaminate.places_of(items)[0], np.arange(50), size, flat, lo, steps, every=e) for e in (1, 4))
+        assert (bound <= exact).all() and (bound >= exact - 2).all()
+
+
+def test_windows_are_given_up_before_all_chunks_are_compared(monkeypatch):
+    from tessera.llm.common import doc_bytes
+    r = random.Random(17)
+    words = ["".join(r.choice("aeioustrnl") for _ in range(r.randint(2, 9))) for _ in range(60)]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    items, docs = [text(150)[:250].encode() for _ in range(60)], [text(400) for _ in range(60)]
+    x, pairs, exact = decontaminate.Index(list(range(60)), items), [], decontaminate.edits_at_most
+    monkeypatch.setattr(decontaminate, "edits_at_most", lambda peq, which, *a, **k: (pairs.append(len(which)), exact(peq, which, *a, **k))[1])
+    flat, offsets = doc_bytes(pa.array(docs + [docs[0] + items[7].decode() + docs[1]]))
+    every = sum(int(x.chunk_at[k + 1] - x.chunk_at[k]) for k in x.windows(decontaminate.normal(flat), offsets)[:, 1])
+    assert (60, 7) in {(d, k) for d, k, *_ in x.find(flat, offsets)}
+    assert every > 1000 and 0 < sum(pairs) < 0.8 * every
+
+
 def test_bit_parallel_distance():
     r = random.Random(4)
     for _ in range(200):
