@@ -9,9 +9,9 @@ begin at every byte of items and texts, so that an item of L bytes has about L /
 even if the edits, a fifth of its length, are spread evenly. Walks that share a
 bucket are counted by item and diagonal (place in the text less place in the
 item) in overlapping bands; a band with walks in ``least_cells`` stretches of the item
-is a window. Of an item cut into chunks one has no more than its share of the edits, so a window is
-verified by the exact edit distance of its chunks first and of the whole item where one of
-them is near, many windows at a time. Recall at the limit is measured in the tests, by length and kind of edit.
+is a window. The least edits of an item's chunks together are no more than the item's, so a window is
+verified by the edit distances of its chunks first, and of the whole item where these do
+not add up to more than its limit, many windows at a time. Recall at the limit is measured in the tests, by length and kind of edit.
 
 Items shorter than ``SHORT`` bytes have too few walks. For them the keys are
 their strings of q bytes; k edits of L bytes leave L + 1 - q (k + 1) of these, and a band with so
