@@ -7,10 +7,14 @@ k-NN (G9) has no ``pyspark.ml`` estimator; it is in ``neighbors``.
 
 from __future__ import annotations
 
+import gc
 import random
-from typing import Callable, Sequence
+from itertools import chain
+from typing import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
@@ -23,6 +27,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, IsotonicR
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from tessera.functions.columns import sigmoid
 from tessera.operators.ordered import with_rank
@@ -30,7 +35,7 @@ from tessera.operators.ordered import with_rank
 __all__ = ["baseline", "logistic", "multinomial", "one_vs_rest", "one_vs_one", "linear_svc",
            "huber", "decision_tree", "random_forest", "gbt_regressor", "gbt_classifier",
            "kmeans_elbow", "cluster_feature", "grid_search", "random_param_maps", "isotonic_calibrate",
-           "comparison_table", "dealt", "importances", "permutation_importance", "shuffled_rank", "score", "linear_formula"]
+           "comparison_table", "dealt", "importances", "permutation_importance", "shuffled_rank", "unshuffled_rank", "score", "linear_formula"]
 
 
 def baseline(train: DataFrame, others: Sequence[DataFrame], label: str, kind: str = "mean",
@@ -226,29 +231,169 @@ def shuffled_rank(rank: Column, n: Column, seed: Column, rounds: int = 12) -> Co
     return F.aggregate(keys, rank.cast("bigint"), step)
 
 
+#: constants of xxhash64
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _hash_int(i: int, seed: int) -> int:
+    """Spark's xxhash64 of one int."""
+    p1, p2, p3, _, p5 = (int(p) for p in (_P1, _P2, _P3, _P4, _P5))
+    low = (1 << 64) - 1
+    h = (seed + p5 + 4 ^ (i & 0xFFFFFFFF) * p1) & low
+    h = ((h << 23 | h >> 41) * p2 + p3) & low
+    h = (h ^ h >> 33) * p2 & low
+    h = (h ^ h >> 29) * p3 & low
+    return h ^ h >> 32
+
+
+def unshuffled_rank(place: np.ndarray, n: int, seed: int, rounds: int = 12) -> np.ndarray:
+    """The ranks whose ``shuffled_rank`` (with an int seed) is ``place``: each round
+    undoes itself, so they are taken from the last to the first."""
+    first = _hash_int(seed, 42)
+    keys = [_hash_int(r, first) for r in range(rounds)]
+    out = np.array(place, np.int64)
+    for i in range(0, len(out), 8192):   # so many that the working numbers stay in the cache
+        x = out[i:i + 8192]
+        h, t = np.empty(len(x), np.uint64), np.empty(len(x), np.uint64)
+        for key in reversed(keys):
+            other = (key - (key >> 63 << 64)) % n - x
+            np.add(other, n, out=other, where=other < 0)
+            np.multiply(np.maximum(x, other).view(np.uint64), _P2, out=h)
+            np.left_shift(h, np.uint64(31), out=t)
+            np.right_shift(h, np.uint64(33), out=h)
+            np.bitwise_or(h, t, out=h)
+            np.multiply(h, _P1, out=h)
+            np.bitwise_xor(h, np.uint64((key + int(_P5) + 8) & (1 << 64) - 1), out=h)
+            np.left_shift(h, np.uint64(27), out=t)
+            np.right_shift(h, np.uint64(37), out=h)
+            np.bitwise_or(h, t, out=h)
+            np.multiply(h, _P1, out=h)
+            np.add(h, _P4, out=h)
+            for down, by in ((33, _P2), (29, _P3)):
+                np.right_shift(h, np.uint64(down), out=t)
+                np.bitwise_xor(h, t, out=h)
+                np.multiply(h, by, out=h)
+            np.right_shift(h, np.uint64(32), out=t)
+            np.bitwise_xor(h, t, out=h)
+            np.bitwise_and(h, np.uint64(1), out=h)
+            np.copyto(x, other, where=h.astype(bool))
+    return out
+
+
+#: ranks that meet in one group at most, bytes of rows dealt out at a time, repeats in one pass
+RANKS, DEALT, TOGETHER = 1 << 18, 1 << 24, 2
+
+
+def _flat(column: pa.ChunkedArray) -> pa.Array:
+    """The elements of an array column, one after another."""
+    return pa.concat_arrays([c.flatten() for c in column.chunks]) if column.num_chunks else pa.array([], column.type.value_type)
+
+
+def _taken(values: pa.Array, width: int, rows: np.ndarray, columns: Sequence[int]) -> list[pa.Array]:
+    """The named columns of some rows of ``values``, which holds rows of ``width`` values."""
+    if not values.null_count and (pa.types.is_floating(values.type) or pa.types.is_integer(values.type)):
+        found = values.to_numpy().reshape(-1, width)[rows]
+        return [pa.array(np.ascontiguousarray(found[:, j])) for j in columns]
+    return [values.take(pa.array(rows * width + j)) for j in columns]
+
+
+def _with_shuffled(ranked: DataFrame, features: Sequence[str], n: int, seeds: Sequence[int]) -> DataFrame:
+    """``ranked(..., _rank)`` with ``_v<i>_<feature>``, the features of the row that holds the
+    rank shuffled by the i-th seed. Runs of ranks meet in groups: a row goes to the group of its
+    rank, its features to those of the rows which get them, as arrays that hold many rows,
+    since what a row costs on its way goes by its columns (those of one type are one array)."""
+    columns = [f for f in ranked.schema.fields if f.name != "_rank"]
+    kinds = list({f.dataType.json(): f.dataType for f in columns}.values())
+    members = [[f.name for f in columns if f.dataType == k] for k in kinds]
+    moved = [[j for j, c in enumerate(m) if c in features] for m in members]
+    run = int(min(RANKS, max(-(-n // (2 * ranked.sparkSession.sparkContext.defaultParallelism)), 1024)))
+    # part 0: the rows themselves; part i: features shuffled by the i-th seed
+    sent = StructType([StructField("_run", LongType()), StructField("_part", IntegerType()), StructField("_at", ArrayType(IntegerType())),
+                       *[StructField(f"_{i}_{j}", ArrayType(k)) for i, k in enumerate(kinds) for j in range(len(members[i]))]])
+
+    def pieces(part: int, rank: np.ndarray, values: list[pa.Array]) -> pa.RecordBatch:
+        to = rank // run
+        order = np.argsort(to, kind="stable")
+        to, at = to[order], (rank % run)[order]
+        cuts = np.concatenate(([0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]))
+        follow = not part and len(cuts) - 2 == np.count_nonzero(np.diff(at) != 1)   # of places that follow each other the first will do
+        places = pa.ListArray.from_arrays(pa.array(np.arange(len(cuts)) if follow else cuts, pa.int32()), pa.array(at[cuts[:-1]] if follow else at, pa.int32()))
+
+        def listed(i: int, j: int) -> pa.Array:
+            if part and j not in moved[i]:
+                return pa.nulls(len(cuts) - 1, pa.list_(values[i].type))
+            return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), taken[i][j])
+
+        taken = [dict(zip(js, _taken(values[i], len(members[i]), order, js))) for i, js in enumerate(moved if part else [range(len(m)) for m in members])]
+        return pa.RecordBatch.from_arrays([pa.array(to[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, part, np.int32)), places,
+                                           *[listed(i, j) for i, m in enumerate(members) for j in range(len(m))]], names=sent.names)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in chain(batches, [None]):
+            if b is not None and b.num_rows:
+                held.append(b)
+                size += b.nbytes
+            if held and (b is None or size >= DEALT):
+                rows = pa.Table.from_batches(held)
+                rank, values = rows.column("_rank").to_numpy(), [_flat(rows.column(f"_{i}")) for i in range(len(kinds))]
+                yield pieces(0, rank, values)
+                for part, seed in enumerate(seeds, 1):
+                    yield pieces(part, unshuffled_rank(rank, n, seed), values)
+                held, size = [], 0
+
+    def meet(group: pa.Table) -> pa.Table:
+        part, out = group.column("_part").to_numpy(), {}
+        for p in range(len(seeds) + 1):
+            own = group.take(pa.array(np.flatnonzero(part == p)))
+            if p:
+                at, place = _flat(own.column("_at")).to_numpy(), np.empty(run, np.int64)
+                place[at] = np.arange(len(at))
+                place = place[rows]
+            else:
+                sizes = np.concatenate([c.value_lengths().to_numpy() for c in own.column("_0_0").chunks])
+                rows = np.concatenate([np.arange(a[0], a[0] + m) if len(a) < m else a for a, m in zip((a.values.to_numpy() for a in own.column("_at")), sizes)])
+            for i, m in enumerate(members):
+                for j in moved[i] if p else range(len(m)):
+                    values = _flat(own.column(f"_{i}_{j}"))
+                    out[f"_v{p}_{m[j]}" if p else m[j]] = _taken(values, 1, place, [0])[0] if p else values
+        return pa.table({c: out[c] for c in met.names})
+
+    met = StructType([*columns, *[StructField(f"_v{p}_{c}", ranked.schema[c].dataType) for p in range(1, len(seeds) + 1) for c in features]])
+    packed = ranked.select("_rank", *[F.array(*[F.col(f"`{c}`") for c in m]).alias(f"_{i}") for i, m in enumerate(members)])
+    return packed.mapInArrow(deal, sent).groupBy("_run").applyInArrow(meet, met)
+
+
 def permutation_importance(model, df: DataFrame, features: Sequence[str], key: str, metric: Column,
                            assemble: Callable[[DataFrame], DataFrame], repeats: int = 10, seed: int = 42) -> DataFrame:
     """G19 drop in ``metric`` (an aggregate of the prediction, larger is better)
     when one column is permuted. Rows are ranked once, and a row's shuffled
     values are those of the rank a keyed bijection gives it, another one for
-    each repeat. A repeat is one equi-join with the narrow (rank, values) table,
-    whose key is unique, and scores all columns in one pass; nothing of it is
-    written but its shuffle, which goes before the next one starts."""
+    each repeat. A pass over the ranked rows is one shuffle, in which rows and the
+    shuffled values of ``TOGETHER`` repeats meet by runs of ranks, and scores all columns;
+    nothing of it is written but its shuffle, which goes before the next pass starts."""
     base, n = model.transform(assemble(df)).agg(metric, F.count(F.lit(1))).first()
-    ranked = with_rank(df, [], [F.col(key)]).drop("_n")
-    values = ranked.select(F.col("_rank").alias("_from"), *[F.col(c).alias(f"_v_{c}") for c in features])
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in features]
-    swaps = F.array(*[F.struct(F.lit(c).alias("_feature"), *[F.col(f"_v_{x}" if x == c else x).alias(x) for x in features]) for c in features])
-
-    def turn(repeat: int) -> dict[str, float]:
-        place = shuffled_rank(F.col("_rank"), F.lit(max(n, 1)).cast("bigint"), F.lit(seed + repeat))
-        joined = ranked.withColumn("_from", place).drop("_rank").join(values, "_from")
-        swapped = joined.select(*rest, F.inline(swaps))
-        return {r["_feature"]: base - r.m for r in model.transform(assemble(swapped)).groupBy("_feature").agg(metric.alias("m")).collect()}  # a row a column
+    unused = []
+    if key not in features:
+        try:   # a key that neither model nor metric names is not written or shuffled
+            model.transform(assemble(df.drop(key))).agg(metric)
+            unused = [key]
+        except AnalysisException:
+            pass
+    ranked = with_rank(df, [], [F.col(key)], without=unused).drop("_n").withColumn("_rank", F.col("_rank").cast("bigint"))
+    rest = [F.col(f"`{c}`") for c in ranked.columns if c not in features and c != "_rank"]
+
+    def turn(some: Sequence[int]) -> list[dict[str, float]]:
+        swaps = F.array(*[F.struct(F.lit(r).alias("_repeat"), F.lit(c).alias("_feature"), *[F.col(f"_v{i}_{x}" if x == c else x).alias(x) for x in features])
+                          for i, r in enumerate(some, 1) for c in features])
+        swapped = _with_shuffled(ranked, features, max(n, 1), [seed + r for r in some]).select(*rest, F.inline(swaps))
+        got = model.transform(assemble(swapped)).groupBy("_repeat", "_feature").agg(metric.alias("m")).collect()  # a row a repeat and column
+        return [{r["_feature"]: base - r.m for r in got if r["_repeat"] == i} for i in some]
 
     drops = []
-    for r in range(repeats):
-        drops.append(turn(r))
+    for r in range(0, repeats, TOGETHER):
+        drops += turn(range(r, min(r + TOGETHER, repeats)))
+        gc.collect()
         df.sparkSession.sparkContext._jvm.System.gc()   # shuffle files are removed when the driver's JVM collects their frames
     rows = []
     for c in features:

@@ -42,10 +42,11 @@ def _cols(cs) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
-def sorted_frame(df: DataFrame, keys: Sequence[str], order: Sequence, partitions: int | None = None) -> DataFrame:
+def sorted_frame(df: DataFrame, keys: Sequence[str], order: Sequence, partitions: int | None = None, without: Sequence[str] = ()) -> DataFrame:
     """Range-partition and sort on (keys, order); tag each row with its
     partition id ``_pid`` and position ``_pos``; checkpoint (reliable, to the
-    cluster's checkpoint folder) so later branches see one fixed layout."""
+    cluster's checkpoint folder) so later branches see one fixed layout, with
+    all columns but those of ``without``."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     sort_cols = _cols(keys) + _cols(order)
@@ -55,7 +56,7 @@ def sorted_frame(df: DataFrame, keys: Sequence[str], order: Sequence, partitions
     ranged = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
     s = (ranged.sortWithinPartitions(*sort_cols)
          .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))))
+         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))).drop(*without))
     return s.checkpoint(eager=True)
 
 
@@ -115,7 +116,8 @@ def _with_ghosts(s: DataFrame, halo: int, of: str | None) -> DataFrame:
 
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequence[str] = (),
               partitions: int | None = None, materialize: bool = False, totals: bool = False, rank: bool = True,
-              local: Mapping[str, Callable[[WindowSpec], Column]] | None = None, halo: int = 0, halo_of: str | None = None) -> DataFrame:
+              local: Mapping[str, Callable[[WindowSpec], Column]] | None = None, halo: int = 0, halo_of: str | None = None,
+              without: Sequence[str] = ()) -> DataFrame:
     """Add ``_rank`` (0-based position in the group order), ``_n`` (group
     size) and, for each column ``c`` in ``sums``, ``_cum_<c>`` (inclusive
     running sum, nulls skipped) and ``_cnt_<c>`` (inclusive running count of
@@ -127,9 +129,9 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
     ``local`` adds native window functions of the group order that look back
     at most ``halo`` rows, or with ``halo_of`` to the last row in which that
     boolean column is true; ``rank=False`` leaves ``_rank`` and ``_n`` out
-    (only without ``sums``)."""
+    (only without ``sums``). Columns ``without`` serve the order alone."""
     keys = list(keys)
-    s = sorted_frame(df, keys, order, partitions)
+    s = sorted_frame(df, keys, order, partitions, without)
     # Non-null surrogate keys (value-or-default, is-null flag): plain equality on
     # them equals null-safe equality on the keys, and the local window and the
     # join-back can then share ONE hash partitioning of the big side.
@@ -168,7 +170,10 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
         if totals:
             cols.append(F.sum(f"_s_{c}").over(wk).alias(f"_tot_{c}"))
     summ = summ.select(*cols)
-    # Without keys the summary is one row a partition: the rows stay where they are.
+    # Without keys the summary is one row a partition: the rows stay where they are,
+    # and who reads the result again and again does not count them each time.
+    if not nn:
+        summ = df.sparkSession.createDataFrame(summ.toArrow(), summ.schema)
     out = out.join(summ if nn else F.broadcast(summ), [*nn, "_pid"])
     out = out.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
     for c in sums:

@@ -140,6 +140,42 @@ def test_permutation_importance_keeps_one_copy_of_the_rows(spark, monkeypatch):
     assert sum(written) == 60
 
 
+@pytest.mark.parametrize("n, seed", [(1, 3), (2, 3), (7, 42), (20_000, 44), (20_000, 2**31 - 1)])
+def test_unshuffled_rank_undoes_shuffled_rank(spark, n, seed):
+    df = spark.range(n).select("id", G.shuffled_rank(F.col("id"), F.lit(n).cast("bigint"), F.lit(seed)).alias("p")).toPandas()
+    assert (G.unshuffled_rank(df["p"].to_numpy(), n, seed) == df["id"].to_numpy()).all()
+
+
+@pytest.mark.parametrize("shift", [0, 1])
+def test_shuffled_values_are_those_of_the_shuffled_rank(spark, shift):
+    """Nulls, strings, columns of several types, ranks in an order of their own: the same as a join on the shuffled rank."""
+    n, seeds = 3000, [5, 6]
+    rows = [(float(i) if i % 7 else None, f"s{i}" if i % 5 else None, i % 3 == 0, i, float(-i), i * 701 % n if shift else i) for i in range(n)]
+    df = spark.createDataFrame(rows, "a double, s string, o boolean, i bigint, `b c` double, _rank bigint").repartition(3 + shift)
+    got = {r["_rank"]: r for r in G._with_shuffled(df.withColumn("_r", F.col("_rank")), ["a", "s", "i"], n, seeds).withColumnRenamed("_r", "_rank").collect()}
+    place = {r["_rank"]: r for r in df.select("*", *[G.shuffled_rank(F.col("_rank"), F.lit(n).cast("bigint"), F.lit(x)).alias(f"p{x}") for x in seeds]).collect()}
+    assert len(got) == n
+    for k, r in got.items():
+        own = place[k]
+        assert [r[c] for c in ("a", "s", "o", "i", "b c")] == [own[c] for c in ("a", "s", "o", "i", "b c")]
+        for p, x in enumerate(seeds, 1):
+            assert [r[f"_v{p}_{c}"] for c in ("a", "s", "i")] == [place[own[f"p{x}"]][c] for c in ("a", "s", "i")]
+
+
+def test_permutation_importance_shuffles_no_row_twice_for_two_repeats(spark, monkeypatch):
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.createDataFrame([(i, float(i % 9), float(i % 4), float(i % 9) * 2) for i in range(90)], "id int, a double, b double, y double")
+    asm = VectorAssembler(inputCols=["a", "b"], outputCol="features")
+    m = G.LinearRegression(labelCol="y").fit(asm.transform(df))
+    passes, plain = [], G._with_shuffled
+    monkeypatch.setattr(G, "_with_shuffled", lambda ranked, features, n, seeds: passes.append((sorted(ranked.columns), list(seeds))) or plain(ranked, features, n, seeds))
+    for metric, kept in ((-F.avg(F.abs(F.col("prediction") - F.col("y"))), []), (-F.avg(F.abs(F.col("prediction") - F.col("y")) + 0 * F.col("id")), ["id"])):
+        passes.clear()
+        got = G.permutation_importance(m, df, ["a", "b"], "id", metric, asm.transform, repeats=5).collect()
+        assert passes == [(sorted(["_rank", "a", "b", "y", *kept]), s) for s in ([42, 43], [44, 45], [46])]   # the key only where it is named
+        assert {r.feature: round(r.importance_mean, 6) > 1 for r in got} == {"a": True, "b": False}
+
+
 def test_dealt_bounds_the_rows_of_a_partition(spark):
     whole = spark.range(1000).coalesce(1)
     got = G.dealt(whole, rows=100)
