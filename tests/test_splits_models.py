@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -164,3 +165,68 @@ def test_knn_hands_on_vectors_in_bounded_pieces():
     batch = pa.RecordBatch.from_arrays([pa.array(range(2500)), x, pa.array([1e9] * 2500)], names=["id", "x", "bound"])
     out = [(b.num_rows, b.nbytes) for b in N._chosen(Frame(), pivots, cells, "euclidean", 5, True)(iter([batch]))]
     assert sum(n for n, _ in out) == 2500 * 251 and max(s for _, s in out) <= 2 * N.SENT
+
+
+def _brute(q, x, rank, k, metric, bound=None):
+    d = neighbors.distances(q, x, metric)
+    best = [np.lexsort((rank, d[i]))[:k] for i in range(len(q))]
+    return sorted((i, int(rank[j]), d[i, j]) for i, js in enumerate(best) for j in js if bound is None or np.isnan(bound[i]) or d[i, j] <= bound[i])
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_closest_is_exact(metric):
+    """Ties, points far from zero, huge and tiny ones, missing and endless coordinates, many and few dimensions: bit by bit as brute force."""
+    rng = np.random.default_rng(5)
+    ties = np.round(rng.normal(size=(3000, 6)), 1)
+    ties[:1000] = ties[0]
+    odd = rng.normal(size=(3000, 8))
+    odd[3, 2], odd[5, 1], odd[9] = np.nan, np.inf, 1e9
+    asked = rng.normal(size=(40, 8))
+    asked[4, 4], asked[7, 0] = np.nan, -np.inf
+    cases = [(rng.normal(size=(40, n)), rng.normal(size=(3000, n))) for n in (1, 3, 64, 700)]
+    cases += [(f(np.vstack((ties[:30], np.full((1, 6), 50.0)))), f(ties)) for f in (lambda v: v, lambda v: v * 1e-9 + 1e6, lambda v: v * 1e150, lambda v: v * 1e-160)]
+    cases += [(asked, odd), (asked[:3], odd[:4]), (np.ones((20, 5)), np.zeros((2500, 5)))]
+    for q, x in cases:
+        rank = rng.permutation(len(x))
+        d = neighbors.distances(q, x, metric)
+        tenth = np.sort(d, axis=1)[:, min(10, len(x) - 1)]
+        for bound in (None, np.where(np.isfinite(d).sum(1) > 10, tenth, np.nan)):
+            row, col, dist = neighbors.closest(q, x, rank, 5, metric, bound)
+            assert np.array_equal(np.array(sorted(zip(row, rank[col], dist))), np.array(_brute(q, x, rank, 5, metric, bound)), equal_nan=True)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_closest_takes_few_distances(metric, monkeypatch):
+    rng = np.random.default_rng(6)
+    q, x, taken = rng.normal(size=(256, 64)), rng.normal(size=(20_000, 64)), []
+    pairs, plain = neighbors._of_pairs, neighbors.distances
+    monkeypatch.setattr(neighbors, "_of_pairs", lambda q, x, row, col, m: taken.append(len(row)) or pairs(q, x, row, col, m))
+    monkeypatch.setattr(neighbors, "distances", lambda q, x, m: taken.append(len(q) * len(x)) or plain(q, x, m))
+    neighbors.closest(q, x, np.arange(len(x)), 5, metric)
+    assert sum(taken) < 0.03 * len(q) * len(x)
+
+
+def test_knn_zones_hold_neighbouring_cells():
+    """Cells of few rows make up a zone, a large one stands alone, and a test row goes to a zone once."""
+    import pyarrow as pa
+    pivots = np.arange(40.0)[::-1, None]
+    cells = {c: (500 if c == 7 else 10, 0.0, 0.5) for c in range(40) if c != 20}
+    zones = neighbors._zones(cells, pivots, "euclidean", 100)
+    held = {z: sorted(c for c in cells if zones[c] == z) for z in set(zones.values())}
+    assert set(zones) == set(cells) and held[zones[7]] == [7] and max(len(v) for v in held.values()) == 10 and len(held) < 8
+
+    class Frame:   # stands for a frame: takes the function that its tasks run
+        schema = type("S", (), {"__getitem__": lambda self, c: type("C", (), {"dataType": type("D", (), {"simpleString": lambda self: "bigint"})()})()})()
+        sparkSession = type("P", (), {"sparkContext": type("X", (), {"broadcast": staticmethod(lambda v: type("B", (), {"value": v})())})()})()
+
+        def mapInArrow(self, run, spec):
+            return run
+
+    x = pa.array([[5.2], [38.9], [float("nan")]], pa.list_(pa.float64()))
+    for bound in (1.0, 1e9):
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), x, pa.array([bound, bound, float("nan")])], names=["id", "x", "bound"])
+        sent = [[r for b in neighbors._chosen(Frame(), pivots, cells, "euclidean", 5, rest, zones)(iter([batch])) for r in zip(b.column("id").to_pylist(), b.column("zone").to_pylist())] for rest in (False, True)]
+        assert len(set(sent[0] + sent[1])) == len(sent[0] + sent[1])
+        assert {z for i, z in sent[0] + sent[1] if i == 3} == set(held)
+        near = {zones[c] for c in (33, 34, 35)}   # the pivots 6, 5 and 4
+        assert {z for i, z in sent[0] + sent[1] if i == 1} >= (near if bound == 1.0 else set(held))
