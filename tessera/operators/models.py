@@ -27,7 +27,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, IsotonicR
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from tessera.functions.columns import sigmoid
 from tessera.operators.ordered import with_rank
@@ -249,24 +249,30 @@ def _hash_int(i: int, seed: int) -> int:
 def unshuffled_rank(place: np.ndarray, n: int, seed: int, rounds: int = 12) -> np.ndarray:
     """The ranks whose ``shuffled_rank`` (with an int seed) is ``place``: each round
     undoes itself, so they are taken from the last to the first."""
-    first = _hash_int(seed, 42)
+    first, low = _hash_int(seed, 42), (1 << 64) - 1
     keys = [_hash_int(r, first) for r in range(rounds)]
     out = np.array(place, np.int64)
     for i in range(0, len(out), 8192):   # so many that the working numbers stay in the cache
         x = out[i:i + 8192]
-        h, t = np.empty(len(x), np.uint64), np.empty(len(x), np.uint64)
-        for key in reversed(keys):
-            other = (key - (key >> 63 << 64)) % n - x
-            np.add(other, n, out=other, where=other < 0)
-            np.multiply(np.maximum(x, other).view(np.uint64), _P2, out=h)
-            np.left_shift(h, np.uint64(31), out=t)
-            np.right_shift(h, np.uint64(33), out=h)
+        other, h, t = np.empty(len(x), np.int64), np.empty(len(x), np.uint64), np.empty(len(x), np.uint64)
+        signed, spare = h.view(np.int64), t.view(np.int64)
+
+        def rotated(left: int) -> None:
+            np.left_shift(h, np.uint64(left), out=t)
+            np.right_shift(h, np.uint64(64 - left), out=h)
             np.bitwise_or(h, t, out=h)
+
+        for key in reversed(keys):
+            np.subtract((key - (key >> 63 << 64)) % n, x, out=other)
+            np.right_shift(other, 63, out=spare)
+            np.bitwise_and(spare, n, out=spare)
+            np.add(other, spare, out=other)
+            np.maximum(x, other, out=signed)
+            np.multiply(h, _P2, out=h)
+            rotated(31)
             np.multiply(h, _P1, out=h)
-            np.bitwise_xor(h, np.uint64((key + int(_P5) + 8) & (1 << 64) - 1), out=h)
-            np.left_shift(h, np.uint64(27), out=t)
-            np.right_shift(h, np.uint64(37), out=h)
-            np.bitwise_or(h, t, out=h)
+            np.bitwise_xor(h, np.uint64((key + int(_P5) + 8) & low), out=h)
+            rotated(27)
             np.multiply(h, _P1, out=h)
             np.add(h, _P4, out=h)
             for down, by in ((33, _P2), (29, _P3)):
@@ -275,8 +281,11 @@ def unshuffled_rank(place: np.ndarray, n: int, seed: int, rounds: int = 12) -> n
                 np.multiply(h, by, out=h)
             np.right_shift(h, np.uint64(32), out=t)
             np.bitwise_xor(h, t, out=h)
-            np.bitwise_and(h, np.uint64(1), out=h)
-            np.copyto(x, other, where=h.astype(bool))
+            np.bitwise_and(signed, 1, out=signed)   # x and other change over where the hash is odd
+            np.negative(signed, out=signed)
+            np.bitwise_xor(x, other, out=spare)
+            np.bitwise_and(spare, signed, out=spare)
+            np.bitwise_xor(x, spare, out=x)
     return out
 
 
@@ -306,6 +315,8 @@ def _with_shuffled(ranked: DataFrame, features: Sequence[str], n: int, seeds: Se
     kinds = list({f.dataType.json(): f.dataType for f in columns}.values())
     members = [[f.name for f in columns if f.dataType == k] for k in kinds]
     moved = [[j for j, c in enumerate(m) if c in features] for m in members]
+    along = kinds.index(DoubleType()) if DoubleType() in kinds else None   # the rank goes along with the doubles, which hold it exactly
+    widths = [len(m) + (i == along) for i, m in enumerate(members)]
     run = int(min(RANKS, max(-(-n // (2 * ranked.sparkSession.sparkContext.defaultParallelism)), 1024)))
     # part 0: the rows themselves; part i: features shuffled by the i-th seed
     sent = StructType([StructField("_run", LongType()), StructField("_part", IntegerType()), StructField("_at", ArrayType(IntegerType())),
@@ -313,7 +324,7 @@ def _with_shuffled(ranked: DataFrame, features: Sequence[str], n: int, seeds: Se
 
     def pieces(part: int, rank: np.ndarray, values: list[pa.Array]) -> pa.RecordBatch:
         to = rank // run
-        order = np.argsort(to, kind="stable")
+        order = np.argsort(to.astype(np.uint16) if to.max() < 1 << 16 else to, kind="stable")   # 16 bits are sorted by counting
         to, at = to[order], (rank % run)[order]
         cuts = np.concatenate(([0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]))
         follow = not part and len(cuts) - 2 == np.count_nonzero(np.diff(at) != 1)   # of places that follow each other the first will do
@@ -324,7 +335,7 @@ def _with_shuffled(ranked: DataFrame, features: Sequence[str], n: int, seeds: Se
                 return pa.nulls(len(cuts) - 1, pa.list_(values[i].type))
             return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), taken[i][j])
 
-        taken = [dict(zip(js, _taken(values[i], len(members[i]), order, js))) for i, js in enumerate(moved if part else [range(len(m)) for m in members])]
+        taken = [dict(zip(js, _taken(values[i], widths[i], order, js))) for i, js in enumerate(moved if part else [range(len(m)) for m in members])]
         return pa.RecordBatch.from_arrays([pa.array(to[cuts[:-1]]), pa.array(np.full(len(cuts) - 1, part, np.int32)), places,
                                            *[listed(i, j) for i, m in enumerate(members) for j in range(len(m))]], names=sent.names)
 
@@ -336,7 +347,9 @@ def _with_shuffled(ranked: DataFrame, features: Sequence[str], n: int, seeds: Se
                 size += b.nbytes
             if held and (b is None or size >= DEALT):
                 rows = pa.Table.from_batches(held)
-                rank, values = rows.column("_rank").to_numpy(), [_flat(rows.column(f"_{i}")) for i in range(len(kinds))]
+                values = [_flat(rows.column(f"_{i}")) for i in range(len(kinds))]
+                rank = (rows.column("_rank").to_numpy() if along is None
+                        else values[along].to_numpy(zero_copy_only=False).reshape(-1, widths[along])[:, -1].astype(np.int64))
                 yield pieces(0, rank, values)
                 for part, seed in enumerate(seeds, 1):
                     yield pieces(part, unshuffled_rank(rank, n, seed), values)
@@ -360,7 +373,8 @@ def _with_shuffled(ranked: DataFrame, features: Sequence[str], n: int, seeds: Se
         return pa.table({c: out[c] for c in met.names})
 
     met = StructType([*columns, *[StructField(f"_v{p}_{c}", ranked.schema[c].dataType) for p in range(1, len(seeds) + 1) for c in features]])
-    packed = ranked.select("_rank", *[F.array(*[F.col(f"`{c}`") for c in m]).alias(f"_{i}") for i, m in enumerate(members)])
+    packed = ranked.select(*["_rank"] * (along is None),
+                           *[F.array(*[F.col(f"`{c}`") for c in m], *[F.col("_rank").cast("double")] * (i == along)).alias(f"_{i}") for i, m in enumerate(members)])
     return packed.mapInArrow(deal, sent).groupBy("_run").applyInArrow(meet, met)
 
 
