@@ -394,7 +394,7 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], key: s
             unused = [key]
         except AnalysisException:
             pass
-    ranked = with_rank(df, [], [F.col(key)], without=unused).drop("_n").withColumn("_rank", F.col("_rank").cast("bigint"))
+    ranked = with_rank(df, [], [F.col(key)], without=unused, reread=True).drop("_n").withColumn("_rank", F.col("_rank").cast("bigint"))
     rest = [F.col(f"`{c}`") for c in ranked.columns if c not in features and c != "_rank"]
 
     def turn(some: Sequence[int]) -> list[dict[str, float]]:

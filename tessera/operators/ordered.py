@@ -117,7 +117,7 @@ def _with_ghosts(s: DataFrame, halo: int, of: str | None) -> DataFrame:
 def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequence[str] = (),
               partitions: int | None = None, materialize: bool = False, totals: bool = False, rank: bool = True,
               local: Mapping[str, Callable[[WindowSpec], Column]] | None = None, halo: int = 0, halo_of: str | None = None,
-              without: Sequence[str] = ()) -> DataFrame:
+              without: Sequence[str] = (), reread: bool = False) -> DataFrame:
     """Add ``_rank`` (0-based position in the group order), ``_n`` (group
     size) and, for each column ``c`` in ``sums``, ``_cum_<c>`` (inclusive
     running sum, nulls skipped) and ``_cnt_<c>`` (inclusive running count of
@@ -129,7 +129,9 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
     ``local`` adds native window functions of the group order that look back
     at most ``halo`` rows, or with ``halo_of`` to the last row in which that
     boolean column is true; ``rank=False`` leaves ``_rank`` and ``_n`` out
-    (only without ``sums``). Columns ``without`` serve the order alone."""
+    (only without ``sums``). Columns ``without`` serve the order alone.
+    ``reread`` (only without ``keys``) counts the partitions once, for callers
+    that read the result again and again."""
     keys = list(keys)
     s = sorted_frame(df, keys, order, partitions, without)
     # Non-null surrogate keys (value-or-default, is-null flag): plain equality on
@@ -170,9 +172,8 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence, sums: Sequenc
         if totals:
             cols.append(F.sum(f"_s_{c}").over(wk).alias(f"_tot_{c}"))
     summ = summ.select(*cols)
-    # Without keys the summary is one row a partition: the rows stay where they are,
-    # and who reads the result again and again does not count them each time.
-    if not nn:
+    # Without keys the summary is one row a partition: the rows stay where they are.
+    if reread and not nn:
         summ = df.sparkSession.createDataFrame(summ.toArrow(), summ.schema)
     out = out.join(summ if nn else F.broadcast(summ), [*nn, "_pid"])
     out = out.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_p0"))
